@@ -236,7 +236,8 @@ def sentinel_flags(df: DataFrame, cols: Sequence[str], max_power: int = 20,
             cond = qcol(c).cast("double") == F.lit(code)
             prev = nulls.get(c, qcol(c))
             nulls[c] = F.when(~cond, prev)
-        cur = _replace(cur, nulls).select("*", *flags)
+        # One select: flags read the input columns, codes become NULL.
+        cur = cur.select(*[(nulls[c].alias(c) if c in nulls else qcol(c)) for c in cur.columns], *flags)
         found += hits
     return cur, found
 

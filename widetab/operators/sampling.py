@@ -10,12 +10,13 @@ row numbers use ``ordering.row_number`` (bucketed windows).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from widetab.functions.hashing import key_hash
-from widetab.operators._util import bounded_broadcast, broadcast_if_small
+from widetab.operators._util import broadcast_if_small
 from widetab.operators.ordering import first_n, row_number
 
 SHARE_SCALE = 10000
@@ -115,7 +116,7 @@ def bags(df: DataFrame, key: str, n_bags: int, row_share: float = 0.8, valid_sha
     sub-samples are schema-level: use ``profile.sample_columns(cols, k, seed + b)``.
     """
     total = df.count()
-    size = int(row_share * total)
+    size = int(Fraction(str(row_share)) * total)  # exact floor, no float rounding
     keys = df.select(key)
     parts = []
     for b in range(n_bags):
