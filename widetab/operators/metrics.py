@@ -93,15 +93,16 @@ def progress(preds: DataFrame, order: str, label: str, score: str, step: int,
 
 
 def best_run(log: DataFrame, metric: str, higher_is_better: bool = True,
-             by: Sequence[str] = ()) -> DataFrame:
-    """Row(s) with the best metric (F7), ties broken by the run columns'
-    order; per group when ``by`` is given."""
+             by: Sequence[str] = (), tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Row(s) with the best metric (F7); ties go to the smallest ``tiebreak``
+    values. Per group when ``by`` is given (row_number ≤ 1 lets Spark limit
+    each group before the shuffle)."""
     by = list(by)
     o = F.col(metric).desc_nulls_last() if higher_is_better else F.col(metric).asc_nulls_last()
-    rest = [F.col(c).asc() for c in log.columns if c != metric and c not in by]
-    w = Window.partitionBy(*by).orderBy(o, *rest) if by else Window.orderBy(o, *rest)
+    rest = [F.col(c).asc() for c in tiebreak]
     if not by:
         return log.orderBy(o, *rest).limit(1)
+    w = Window.partitionBy(*by).orderBy(o, *rest)
     return log.withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r")
 
 
