@@ -1 +1,312 @@
-"""(filled in below)"""
+"""Screening, learner, stacking and search queries.
+
+Model fits have no SQL twin; these queries are checked by rows here and by
+invariant tests (keys predicted once, no out-of-fold leak, probabilities in
+[0, 1], AUC above chance on a learnable label).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from widetab.operators import features as C
+from widetab.operators import learners as L
+from widetab.operators import metrics as M
+from widetab.operators import profile as P
+from widetab.operators import sampling as D
+from widetab.operators import screen as S
+from widetab.operators import search as SE
+from widetab.operators import stacking as ST
+from widetab.plans.registry import register
+from widetab.plans.tables import KEY, LABEL, read, wide
+
+LI_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _corr_sql(method: str) -> str:
+    pairs = [(LI_COLS[i], LI_COLS[j]) for i in range(len(LI_COLS)) for j in range(i + 1, len(LI_COLS))]
+    if method == "pearson":
+        src = "lineitem"
+        sel = [f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) AS r FROM {src}" for a, b in pairs]
+        return " UNION ALL ".join(sel)
+    ranks = ", ".join(
+        f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS {c}"
+        for c in LI_COLS)
+    sel = [f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) AS r FROM rk" for a, b in pairs]
+    return f"WITH rk AS (SELECT {ranks} FROM lineitem) " + " UNION ALL ".join(sel)
+
+
+@register("pearson", _corr_sql("pearson"), ("B21",))
+def pearson(spark, d):
+    return S.correlation(read(spark, d, "lineitem"), LI_COLS, "pearson", digits=6)
+
+
+@register("spearman", _corr_sql("spearman"), ("B22",))
+def spearman(spark, d):
+    return S.correlation(read(spark, d, "lineitem"), LI_COLS, "spearman", digits=6)
+
+
+def _screen_table(spark, d):
+    li = read(spark, d, "lineitem")
+    return li.select(*LI_COLS, (F.col("l_extendedprice") * 2 + F.col("l_tax")).alias("price2"),
+                     (F.col("l_quantity") + F.col("l_discount")).alias("qty2"))
+
+
+@register("prune_correlated", None, ("B23", "B24"))
+def prune_correlated(spark, d):
+    t = _screen_table(spark, d)
+    cols = t.columns
+    pe = S.prune_correlated(S.correlation_matrix(t, cols, "pearson"), cols, 0.95)
+    sp = S.prune_correlated(S.correlation_matrix(t, cols, "spearman"), cols, 0.95)
+    both = set(S.columns_in_both(pe, sp))
+    return spark.createDataFrame([(c, c in pe, c in sp, c in both) for c in cols],
+                                 "col_name string, pearson boolean, spearman boolean, both boolean")
+
+
+@register("prune_curve", None, ("B25",))
+def prune_curve(spark, d):
+    t = _screen_table(spark, d)
+    cols = t.columns
+    m = S.correlation_matrix(t, cols, "pearson")
+    return spark.createDataFrame(S.prune_curve(m, cols, 21), "cutoff double, n_pruned int")
+
+
+# ---------------------------------------------------------------- learners
+
+NUM = ["price_na", "near_const", "sentinel", "nation", "acctbal", "custkey"]
+FEATS = NUM + ["date_txt", "priority", "segment"]
+
+
+def learning_table(spark, d):
+    """Keyed feature table from the wide fixture: text dates → epoch,
+    sentinel codes flagged, text → first-appearance level ids, a hashed
+    70/30 train/test split and 4 plain folds."""
+    w = wide(spark, d)
+    w = C.parse_dates(w, ["date_txt"], as_epoch=True)
+    w, _ = C.sentinel_flags(w, ["sentinel"])
+    w, _none, _lv = C.encode_levels(w, None, KEY, ["priority", "segment"])
+    w = D.split(w, KEY, [0.7, 0.3], seed="tt", name="is_test_part")
+    w = D.folds(w, KEY, 4, seed="cv")
+    return w.withColumn("is_test", F.col("is_test_part") == 1).drop("is_test_part")
+
+
+def _train_test(spark, d, extra=()):
+    t = learning_table(spark, d).cache()
+    cols = FEATS + [c for c in t.columns if c.startswith("sentinel_")]
+    keep = [KEY, LABEL, "fold", *extra]
+    tr = L.assemble(t.filter(~F.col("is_test")), cols, keep=keep)
+    te = L.assemble(t.filter(F.col("is_test")), cols, keep=[KEY, LABEL])
+    return tr, te, cols
+
+
+GBT = {"eta": 0.1, "nrounds": 20, "max_depth": 4, "subsample": 0.8, "colsample_bytree": 0.8, "seed": 1}
+
+
+@register("boosted_scores", None, ("E1", "E2", "E15", "F8"))
+def boosted_scores(spark, d):
+    tr, te, _ = _train_test(spark, d)
+    tr = D.holdout_n(tr, KEY, tr.count() * 3 // 10, seed="valid", flag="is_valid")
+    model = L.fit_boosted(tr.filter(~F.col("is_valid")), LABEL, GBT)
+    curve = L.boosted_curve(model, tr.filter(F.col("is_valid")), LABEL)
+    best = M.best_round(curve, "loss", higher_is_better=False).first()["round"]
+    final = L.refit_boosted(tr, LABEL, GBT, best)
+    return L.predict(final, te, KEY)
+
+
+@register("boosted_curve", None, ("F8", "E3"))
+def boosted_curve(spark, d):
+    tr, te, _ = _train_test(spark, d)
+    model = L.fit_boosted(tr, LABEL, {"eta": 0.03, "nrounds": 15, "max_depth": 4, "subsample": 0.5,
+                                      "min_child_weight": 20, "seed": 2})
+    return L.boosted_curve(model, te, LABEL)
+
+
+@register("forest_scores", None, ("E5",))
+def forest_scores(spark, d):
+    tr, te, _ = _train_test(spark, d)
+    reg = L.fit_forest(tr, LABEL, n_trees=20, depth=6, min_rows=5, regression=True)
+    cls = L.fit_forest(tr, LABEL, n_trees=20, depth=6, min_rows=5, regression=False, impurity="entropy")
+    a = L.predict(reg, te, KEY, "value").withColumn("model", F.lit("rf_regression"))
+    b = L.predict(cls, te, KEY, "prob").withColumn("model", F.lit("rf_entropy"))
+    return a.unionByName(b)
+
+
+@register("linear_scores", None, ("E6", "E4"))
+def linear_scores(spark, d):
+    tr, te, _ = _train_test(spark, d)
+    lin = L.fit_linear(tr, LABEL, alpha=0.43, lam=1e-5)
+    gbr = L.fit_boosted(tr, LABEL, {"eta": 0.12, "nrounds": 10, "max_depth": 3}, regression=True)
+    return (L.predict(lin, te, KEY, "value").withColumn("model", F.lit("glm"))
+            .unionByName(L.predict(gbr, te, KEY, "value").withColumn("model", F.lit("gbm_regression"))))
+
+
+@register("logistic_scores", None, ("E7", "E8", "E16", "F4"))
+def logistic_scores(spark, d):
+    tr, te, _ = _train_test(spark, d)
+    trw = L.class_weight(tr, LABEL)
+    parts = [L.predict(L.fit_logistic(trw, LABEL, weight_col="weight"), te, KEY, keep=[LABEL], name="score")
+             .withColumn("model", F.lit("logistic_balanced"))]
+    for lam, m in zip((1e-1, 1e-2, 1e-3), L.ridge_path(tr, LABEL, (1e-1, 1e-2, 1e-3))):
+        parts.append(L.predict(m, te, KEY, keep=[LABEL], name="score").withColumn("model", F.lit(f"ridge_{lam:g}")))
+    preds = parts[0]
+    for p in parts[1:]:
+        preds = preds.unionByName(p)
+    return M.score_table(preds.withColumn("split", F.lit("test")), LABEL, "score", ["model", "split"], max_groups=8)
+
+
+@register("mlp_svm_scores", None, ("E11", "E12"))
+def mlp_svm_scores(spark, d):
+    tr, te, cols = _train_test(spark, d)
+    from pyspark.ml.feature import StandardScaler
+    sc = StandardScaler(inputCol=L.FEATURES, outputCol="__z", withMean=True).fit(tr)
+    trz = sc.transform(tr).drop(L.FEATURES).withColumnRenamed("__z", L.FEATURES)
+    tez = sc.transform(te).drop(L.FEATURES).withColumnRenamed("__z", L.FEATURES)
+    mlp = L.fit_mlp(trz, LABEL, len(cols), hidden=(16, 16), max_iter=20)
+    svm = L.fit_svm_platt(trz, LABEL, reg=0.01)
+    return (L.predict(mlp, tez, KEY).withColumn("model", F.lit("mlp"))
+            .unionByName(L.predict(svm, tez, KEY).withColumn("model", F.lit("svm_platt"))))
+
+
+@register("isotonic_scores", None, ("E13",))
+def isotonic_scores(spark, d):
+    tr, te, _ = _train_test(spark, d)
+    stack = ST.stack_oof(tr, te, KEY, {"lr": lambda df: L.fit_logistic(df, LABEL)})
+    oof = stack.filter("set = 'train'").select(KEY, F.col("target").alias("score")) \
+        .join(tr.select(KEY, LABEL, "fold"), KEY)
+    return L.isotonic_calibrate(oof, KEY, LABEL, "fold", score="score")
+
+
+@register("boost_from_margin", None, ("E14",))
+def boost_from_margin(spark, d):
+    tr, te, _ = _train_test(spark, d)
+    base = L.fit_logistic(tr, LABEL)
+    tr_p = L.predict(base, tr, KEY, keep=[LABEL, L.FEATURES], name="__p")
+    more = L.boost_from_margin(tr_p, LABEL, "__p", {"eta": 0.1, "nrounds": 5, "max_depth": 3})
+    te_p = L.predict(base, te, KEY, keep=[L.FEATURES], name="__p")
+    return L.predict(more, te_p, KEY, "value", keep=["__p"]).select(
+        KEY, F.least(F.greatest(F.col("__p") + F.col("target"), F.lit(0.0)), F.lit(1.0)).alias("target"))
+
+
+@register("top_features", None, ("C15",))
+def top_features(spark, d):
+    tr, _te, cols = _train_test(spark, d)
+    model = L.fit_boosted(tr, LABEL, GBT)
+    return spark.createDataFrame(L.top_features(model, cols, 5), "col_name string, importance double")
+
+
+@register("class_weights", """
+WITH w AS (SELECT o_orderkey AS ID, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS target FROM orders),
+r AS (SELECT CAST(count(*) FILTER (WHERE target = 0) AS DOUBLE) / CAST(count(*) FILTER (WHERE target = 1) AS DOUBLE) AS ratio FROM w)
+SELECT ID, target, CASE WHEN target = 1 THEN ratio ELSE CAST(1 AS DOUBLE) END AS weight FROM w, r
+""", ("E16",))
+def class_weights(spark, d):
+    o = read(spark, d, "orders").select(F.col("o_orderkey").alias(KEY),
+                                        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias(LABEL))
+    return L.class_weight(o, LABEL)
+
+
+# ---------------------------------------------------------------- stacking
+
+BASE = {
+    "lr": lambda df: L.fit_logistic(df, LABEL),
+    "gbt": lambda df: L.fit_boosted(df, LABEL, {"eta": 0.2, "nrounds": 8, "max_depth": 3, "seed": 3}),
+}
+
+
+@register("stack_oof", None, ("G5",))
+def stack_oof(spark, d):
+    tr, te, _ = _train_test(spark, d)
+    return ST.stack_oof(tr, te, KEY, BASE)
+
+
+@register("stack_holdout", None, ("G6",))
+def stack_holdout(spark, d):
+    tr, te, _ = _train_test(spark, d)
+    tr = D.split(tr, KEY, [0.5, 0.5], seed="half", name="half")
+    return ST.stack_holdout(tr, te, KEY, LABEL, "half", BASE, lambda df: L.fit_logistic(df, LABEL))
+
+
+@register("stack_meta", None, ("G7",))
+def stack_meta(spark, d):
+    t = learning_table(spark, d).cache()
+    cols = FEATS
+    tr = L.assemble(t.filter(~F.col("is_test")), cols, keep=[KEY, LABEL, "fold"])
+    te = L.assemble(t.filter(F.col("is_test")), cols, keep=[KEY])
+    stack = ST.stack_oof(tr, te, KEY, BASE)
+    raw_tr = D.holdout_n(t.filter(~F.col("is_test")).select(KEY, LABEL, *cols), KEY,
+                         t.filter(~F.col("is_test")).count() * 3 // 10, seed="meta", flag="is_valid")
+    raw_te = t.filter(F.col("is_test")).select(KEY, *cols)
+    preds, _best = ST.stack_meta(raw_tr, raw_te, KEY, LABEL, cols, stack, list(BASE),
+                                 {"eta": 0.2, "nrounds": 10, "max_depth": 3}, "is_valid")
+    return preds
+
+
+@register("bagged_scores", None, ("G10", "D8", "B18"))
+def bagged_scores(spark, d):
+    t = learning_table(spark, d).cache()
+    train = t.filter(~F.col("is_test"))
+    test = t.filter(F.col("is_test"))
+    members = D.bags(train.select(KEY), KEY, 3, 0.8, 0.1, seed=5)
+    bag_cols = {b: P.sample_columns(FEATS, 7, seed=5 + b) for b in range(3)}
+    return ST.bag(lambda df: L.fit_boosted(df, LABEL, {"eta": 0.2, "nrounds": 8, "max_depth": 3}),
+                  train, test, KEY, LABEL, members, bag_cols)
+
+
+@register("seed_ensemble", None, ("G11",))
+def seed_ensemble(spark, d):
+    tr, te, _ = _train_test(spark, d)
+    return ST.seed_ensemble(lambda df, s: L.fit_forest(df, LABEL, 10, 5, regression=True, seed=s),
+                            tr, te, KEY, n=3, seed=7, out="value")
+
+
+# ---------------------------------------------------------------- search
+
+@register("grid_search", None, ("F5", "F7"))
+def grid_search(spark, d):
+    tr, te, _ = _train_test(spark, d)
+
+    def evaluate(s):
+        m = L.fit_boosted(tr, LABEL, {**s, "nrounds": int(s["nrounds"])})
+        a = M.auc(L.predict(m, te, KEY, keep=[LABEL], name="score"), "score", LABEL).first()["auc"]
+        return {"auc_test": a}
+    log = SE.search(spark, SE.grid({"eta": [0.1, 0.3], "max_depth": [2, 4], "nrounds": [5]}), evaluate)
+    return M.best_run(log, "auc_test", tiebreak=["i"])
+
+
+@register("cross_validated_grid", None, ("F5",))
+def cross_validated_grid(spark, d):
+    from pyspark.ml.classification import LogisticRegression
+    tr, _te, _ = _train_test(spark, d)
+    _model, log = SE.cross_validate(LogisticRegression(labelCol=LABEL, featuresCol=L.FEATURES),
+                                    {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5]}, tr, LABEL,
+                                    fold_col="fold")
+    return spark.createDataFrame([(p["regParam"], p["elasticNetParam"], s) for p, s in log],
+                                 "regParam double, elasticNetParam double, auc double")
+
+
+@register("random_search", None, ("F6",))
+def random_search(spark, d):
+    tr, te, _ = _train_test(spark, d)
+    space = {"eta": ("uniform", 0.1, 0.5), "max_depth": ("int", 2, 5), "subsample": ("choice", [0.7, 1.0])}
+
+    def evaluate(s):
+        m = L.fit_boosted(tr, LABEL, {**s, "nrounds": 5})
+        return {"auc_test": M.auc(L.predict(m, te, KEY, keep=[LABEL], name="score"), "score", LABEL).first()["auc"]}
+    return SE.search(spark, SE.random_grid(space, 3, seed=1), evaluate)
+
+
+@register("sweep_online", None, ("F9", "A10"))
+def sweep_online(spark, d):
+    from widetab.operators import online as O
+    from widetab.plans.q_online import _prepared
+    from widetab.session import scratch_path
+    from widetab.sources.io import run_id
+    e = _prepared(spark, d)
+
+    def fit_predict(s):
+        params = O.OnlineParams(algo="adagrad", alpha=s["alpha"], beta=s["beta"])
+        state, _ = O.fit(e, "event_id", "y", scratch_path(spark, "sweep"), params=params, n_batches=2)
+        return O.score(state, e, "event_id", params=params, keep=["y"])
+    preds = SE.sweep(fit_predict, [{"alpha": 0.05, "beta": 1.0}, {"alpha": 0.1, "beta": 1.0}],
+                     lambda s: run_id(s, "SGD"))
+    return M.auc(preds, "p", "y", ["model"], max_groups=2)
