@@ -137,3 +137,40 @@ def adagrad_scores(spark, d):
     state, _log = O.fit(e, "event_id", "y", scratch_path(spark, "adagrad"), params=params, n_batches=4)
     scored = O.score(state, e, "event_id", params=params, keep=["y"])
     return M.auc(scored, "p", "y")
+
+
+def _stream_source(spark, d, n_batches=4):
+    """Hashed event rows written as a file stream source in the shared
+    folder: one append per mini-batch, so files arrive in batch order."""
+    e = O.hash_features(_events(spark, d), FEATURES, D)
+    mb = F.pmod(F.conv(F.substring(F.md5(F.concat(F.col("event_id").cast("string"), F.lit("_mb"))), 1, 8), 16, 10)
+                .cast("bigint"), F.lit(n_batches))
+    src = scratch_path(spark, "stream-src")
+    for b in range(n_batches):
+        e.filter(mb == b).write.mode("append").parquet(src)
+    return src, e.schema
+
+
+@register("stream_fit", None, ("H1", "E9"))
+def stream_fit(spark, d):
+    from widetab.streaming import stream_fit as run
+    src, schema = _stream_source(spark, d)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    base = scratch_path(spark, "stream-fit")
+    q = run(stream, "event_id", "y", f"{base}/model", f"{base}/ckpt", params=O.OnlineParams(alpha=0.05))
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/model/log").select("event_id", "y", "p", "batch_id")
+
+
+@register("stream_score", None, ("H2",))
+def stream_score(spark, d):
+    from widetab.streaming import stream_score as run
+    src, schema = _stream_source(spark, d)
+    e = spark.read.parquet(src)
+    base = scratch_path(spark, "stream-score")
+    params = O.OnlineParams(alpha=0.05)
+    state, _ = O.fit(e.withColumn("batch", F.lit(0)), "event_id", "y", f"{base}/model", params=params, n_batches=1)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(src)
+    q = run(stream, "event_id", f"{base}/scores", f"{base}/ckpt", state=state, params=params, keep=["y"])
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/scores").select("event_id", "y", "p", "batch_id")
