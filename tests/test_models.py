@@ -13,17 +13,16 @@ from conftest import SMALL
 
 def test_stack_oof_no_leak(spark):
     tr, te, _ = _train_test(spark, SMALL)
-    seen = {}
+    seen = []
 
     def fit(df):
         # record the folds each model was trained on (planted leak check)
-        folds = {r[0] for r in df.select("fold").distinct().collect()}
-        m = L.fit_logistic(df, LABEL, max_iter=5)
-        seen[len(seen)] = folds
-        return m
+        seen.append({r[0] for r in df.select("fold").distinct().collect()})
+        return L.fit_logistic(df, LABEL, max_iter=5)
     stack = ST.stack_oof(tr, te, KEY, {"lr": fit}, k=4)
-    for i, folds in seen.items():
-        assert i not in folds
+    # every fit saw exactly three folds, and each fold was left out once
+    assert all(len(f) == 3 for f in seen)
+    assert sorted(({0, 1, 2, 3} - f).pop() for f in seen) == [0, 1, 2, 3]
     train_part = stack.filter("set = 'train'")
     n_tr = tr.count()
     assert train_part.count() == n_tr

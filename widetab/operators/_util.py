@@ -65,3 +65,13 @@ def bounded_broadcast(df: DataFrame, bound: int, limit: int = BROADCAST_ROW_LIMI
 def qcol(name: str):
     """Column reference that tolerates dots and odd characters in names."""
     return F.col(f"`{name}`")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back
+    (reliable ``checkpoint``): later passes reuse it instead of recomputing
+    the lineage, and a lost executor cannot lose it. Used for aggregated
+    intermediates that several later passes read."""
+    from widetab.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from widetab.functions.exprs import epoch_seconds, nan_to_null, parse_text_date, TEXT_DATE_FORMAT
 from widetab.operators.ordering import row_number
 from widetab.operators._util import (
-    bounded_broadcast, broadcast_if_small, chunks, columns_by_type, qcol,
+    bounded_broadcast, chunks, columns_by_type, materialize, qcol,
 )
 
 
@@ -90,17 +90,18 @@ def encode_levels(train: DataFrame, test: DataFrame | None, key: str, cols: Sequ
     # whole column in one task: bucketed windows (ordering.row_number).
     first = first.withColumn("__ord", F.col("__src").cast("double") * F.lit(1e18)
                              + F.col("__key").cast("double"))
-    levels = row_number(first, ["__ord", "__src", "__key"], ["col_name"], "level",
-                        max_groups=len(cols)).select(
-        "col_name", "value", F.col("level").cast("int").alias("level"))
-    lv = broadcast_if_small(levels)
+    levels = materialize(row_number(first, ["__ord", "__src", "__key"], ["col_name"], "level",
+                                    max_groups=len(cols), materialize_input=True).select(
+        "col_name", "value", F.col("level").cast("int").alias("level")))
+    sizes = {r["col_name"]: r["n"] for r in levels.groupBy("col_name").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     def apply(df: DataFrame) -> DataFrame:
         out = df
         for c in cols:
-            m = lv.filter(F.col("col_name") == c).select(F.col("value").alias(f"__v_{c}"),
-                                                       F.col("level").alias(f"__l_{c}"))
-            out = out.join(m, qcol(c).cast("string") == F.col(f"__v_{c}"), "left")
+            # Each column's level table is broadcast only when its counted size allows.
+            m = levels.filter(F.col("col_name") == c).select(F.col("value").alias(f"__v_{c}"),
+                                                           F.col("level").alias(f"__l_{c}"))
+            out = out.join(bounded_broadcast(m, sizes.get(c, 0)), qcol(c).cast("string") == F.col(f"__v_{c}"), "left")
         return out.select(*[(F.col(f"__l_{c}").alias(c + suffix) if c in cols else qcol(c))
                             for c in df.columns])
 

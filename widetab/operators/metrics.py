@@ -37,7 +37,7 @@ def auc(df: DataFrame, score: str, label: str, by: Sequence[str] = (),
     by = list(by)
     counts = score_counts(df, score, label, by)
     ranked = prefix_sum(counts, ["__s"], {"__neg_below": F.col("__neg")}, by, inclusive=False,
-                        max_groups=max_groups)
+                        max_groups=max_groups, materialize_input=True)
     agg = ranked.groupBy(*by).agg(
         F.sum("__pos").alias("P"), F.sum("__neg").alias("N"),
         F.sum(F.col("__pos") * (F.col("__neg_below") + F.col("__neg") / F.lit(2.0))).alias("U"))

@@ -21,11 +21,14 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from widetab.operators._util import broadcast_if_small, bounded_broadcast
+from widetab.operators._util import broadcast_if_small, bounded_broadcast, materialize
 from widetab.session import shuffle_partitions
 
 SMALL_RANGE_ROWS = 200_000
 HIST_BINS = 4096
+# Inputs up to this many rows (counted, after being written once) take a
+# plain window instead of the bucketed form.
+DIRECT_WINDOW_ROWS = 100_000
 
 
 def _lex_le(cols: Sequence[str], values: Sequence) -> Column:
@@ -100,16 +103,32 @@ def _bucket_splits(df: DataFrame, col: str, n_buckets: int) -> list[float]:
 
 def prefix_sum(df: DataFrame, order_cols: Sequence[str], values: dict[str, Column],
                partition_cols: Sequence[str] = (), inclusive: bool = True,
-               n_buckets: int | None = None, max_groups: int | None = None) -> DataFrame:
+               n_buckets: int | None = None, max_groups: int | None = None,
+               materialize_input: bool = False) -> DataFrame:
     """Running sums of ``values`` along ``order_cols`` within ``partition_cols``.
 
     Adds one column per entry of ``values`` (name → expression), holding the
     sum over all earlier rows (and the row itself when ``inclusive``). Ties in
     ``order_cols`` are broken arbitrarily, so pass a total order. The first
     order column must be numeric; it decides the buckets.
+
+    The input is read three times (quantiles, bucket totals, running sums);
+    ``materialize_input`` writes it once first, which pays off when it is an
+    aggregate that would otherwise be recomputed.
     """
     spark = df.sparkSession
     order_cols, partition_cols = list(order_cols), list(partition_cols)
+    if materialize_input:
+        df = materialize(df)
+        if df.count() <= DIRECT_WINDOW_ROWS:
+            # Proven small (counted on the written copy): one plain window.
+            w = Window.partitionBy(*partition_cols).orderBy(*order_cols) \
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            sel = [F.col(c) for c in df.columns]
+            for n, expr in values.items():
+                run = F.sum(expr).over(w)
+                sel.append((run if inclusive else run - expr).alias(n))
+            return df.select(*sel)
     B = n_buckets or max(16, 4 * shuffle_partitions(spark))
     splits = _bucket_splits(df, order_cols[0], B)
     tmp = "__order_d"

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from widetab.functions.exprs import null_if_token, safe_ratio, DEFAULT_NA_TOKENS
 from widetab.operators._util import (
-    bounded_broadcast, broadcast_if_small, chunks, columns_by_type, qcol, sum_columns,
+    bounded_broadcast, broadcast_if_small, chunks, columns_by_type, materialize, qcol, sum_columns,
 )
 
 # Library-default cut-offs of the near-zero-variance rule (caret): the ratio
@@ -42,26 +42,27 @@ def _unpivot(df: DataFrame, cols: list[str], cast: str, value: str) -> DataFrame
 
 def long_values(df: DataFrame, exclude: Iterable[str] = (), numeric: Sequence[str] | None = None,
                 text: Sequence[str] | None = None) -> DataFrame:
-    """Wide → long ``(column, kind, v_num, v_txt)`` with one row per cell."""
+    """Wide → long ``(col_name, kind, v_num, v_txt)`` with one row per cell.
+
+    One ``unpivot`` (a single Expand over one scan): every cell becomes a
+    struct of a double and a string, one of them NULL, so numbers are never
+    turned into text.
+    """
     if numeric is None or text is None:
         num, txt = _profile_columns(df, exclude)
         numeric = num if numeric is None else numeric
         text = txt if text is None else text
-    parts = []
-    if numeric:
-        parts.append(_unpivot(df, list(numeric), "double", "v_num")
-                     .select("col_name", F.lit("numeric").alias("kind"), "v_num",
-                             F.lit(None).cast("string").alias("v_txt")))
-    if text:
-        parts.append(_unpivot(df, list(text), "string", "v_txt")
-                     .select("col_name", F.lit("text").alias("kind"),
-                             F.lit(None).cast("double").alias("v_num"), "v_txt"))
-    if not parts:
+    numeric, text = list(numeric), list(text)
+    if not numeric and not text:
         raise ValueError("no numeric or text columns to profile")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    cells = [F.struct(qcol(c).cast("double").alias("v_num"), F.lit(None).cast("string").alias("v_txt")).alias(c)
+             for c in numeric]
+    cells += [F.struct(F.lit(None).cast("double").alias("v_num"), qcol(c).cast("string").alias("v_txt")).alias(c)
+              for c in text]
+    long = df.select(*cells).unpivot([], numeric + text, "col_name", "cell")
+    kind = F.when(F.col("col_name").isin(numeric), F.lit("numeric")).otherwise(F.lit("text"))
+    return long.select("col_name", kind.alias("kind"), F.col("cell.v_num").alias("v_num"),
+                       F.col("cell.v_txt").alias("v_txt"))
 
 
 def value_counts(df: DataFrame, exclude: Iterable[str] = (), numeric: Sequence[str] | None = None,
@@ -82,7 +83,8 @@ def column_profile(df: DataFrame, exclude: Iterable[str] = (), vc: DataFrame | N
     ``nzv`` follow the near-zero-variance rule, ``is_constant`` the
     one-distinct-value rule (missing counted).
     """
-    vc = value_counts(df, exclude) if vc is None else vc
+    # The value counts feed two passes below; write them once.
+    vc = materialize(value_counts(df, exclude)) if vc is None else vc
     isnull = F.col("v_num").isNull() & F.col("v_txt").isNull()
     first = (vc.groupBy("col_name", "kind").agg(
         F.sum("cnt").alias("n_rows"),

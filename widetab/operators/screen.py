@@ -4,6 +4,7 @@ The correlation matrix is computed by Spark (pairwise ``corr`` aggregates for
 few columns, ML ``Correlation`` — a distributed Gramian, or per-column
 distributed ranks for Spearman — for many). Only the p × p matrix reaches
 the driver, where the greedy pruning runs on numpy: O(p²) numbers, no rows.
+Spearman is Pearson on average ranks computed by ``average_ranks``.
 """
 
 from __future__ import annotations
@@ -21,6 +22,32 @@ from widetab.operators._util import qcol
 PAIRWISE_MAX_COLS = 64
 
 
+def average_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Replace each column by its average rank (ties share the mean rank),
+    over the rows complete in ``cols``.
+
+    Ranks come from per-column value counts and a distributed prefix sum
+    (no global sort); each column's (value → rank) table is joined back,
+    broadcast only when its counted size allows.
+    """
+    from widetab.operators._util import bounded_broadcast, materialize
+    from widetab.operators.ordering import prefix_sum
+    cols = list(cols)
+    base = df.select(*[qcol(c).cast("double").alias(c) for c in cols]).na.drop(subset=cols)
+    vc = (base.unpivot([], cols, "col_name", "v").groupBy("col_name", "v")
+          .agg(F.count(F.lit(1)).cast("double").alias("cnt")))
+    ranked = prefix_sum(vc, ["v"], {"below": F.col("cnt")}, ["col_name"], inclusive=False,
+                        max_groups=len(cols), materialize_input=True)
+    ranks = materialize(ranked.select(
+        "col_name", "v", (F.col("below") + (F.col("cnt") + F.lit(1.0)) / F.lit(2.0)).alias("rank")))
+    sizes = {r["col_name"]: r["n"] for r in ranks.groupBy("col_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    out = base
+    for i, c in enumerate(cols):
+        r = ranks.filter(F.col("col_name") == c).select(F.col("v").alias(f"__v{i}"), F.col("rank").alias(f"__r{i}"))
+        out = out.join(bounded_broadcast(r, sizes.get(c, 0)), qcol(c) == F.col(f"__v{i}"))
+    return out.select(*[F.col(f"__r{i}").alias(c) for i, c in enumerate(cols)])
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str], method: str = "pearson") -> np.ndarray:
     """p × p correlation matrix on the driver.
 
@@ -31,6 +58,8 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], method: str = "pearso
     """
     cols = list(cols)
     p = len(cols)
+    if method == "spearman":
+        return correlation_matrix(average_ranks(df, cols), cols, "pearson")
     if method == "pearson" and p <= PAIRWISE_MAX_COLS:
         exprs = [F.corr(qcol(cols[i]).cast("double"), qcol(cols[j]).cast("double")).alias(f"c{i}_{j}")
                  for i in range(p) for j in range(i + 1, p)]

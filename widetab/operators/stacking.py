@@ -20,6 +20,20 @@ from widetab.operators.ensemble import pivot_models
 
 Fit = Callable[[DataFrame], object]
 
+# Independent fits are submitted from this many driver threads at once
+# (each fit is a distributed Spark job; the threads only submit them).
+DEFAULT_PARALLELISM = 4
+
+
+def fit_many(jobs: list[tuple[Fit, DataFrame]], parallelism: int = DEFAULT_PARALLELISM) -> list:
+    """Fit several independent models concurrently, like
+    ``CrossValidator(parallelism=…)``; results keep the input order."""
+    if parallelism <= 1 or len(jobs) <= 1:
+        return [fit(df) for fit, df in jobs]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(lambda job: job[0](job[1]), jobs))
+
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
@@ -29,7 +43,8 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def stack_oof(train: DataFrame, test: DataFrame, key: str, learners: dict[str, Fit], fold_col: str = "fold",
-              k: int | None = None, out: str = "prob", features: str = L.FEATURES) -> DataFrame:
+              k: int | None = None, out: str = "prob", features: str = L.FEATURES,
+              parallelism: int = DEFAULT_PARALLELISM) -> DataFrame:
     """CV stacking, stage 1.
 
     ``train`` carries ``features``, the label and ``fold_col``; ``test``
@@ -41,12 +56,12 @@ def stack_oof(train: DataFrame, test: DataFrame, key: str, learners: dict[str, F
     if k is None:
         k = train.agg(F.max(fold_col)).first()[0] + 1
     oof, tst = [], []
-    for name, fit in learners.items():
-        for i in range(k):
-            model = fit(train.filter(F.col(fold_col) != i))
-            oof.append(L.predict(model, train.filter(F.col(fold_col) == i), key, out)
-                       .select(F.lit(name).alias("model"), key, "target"))
-            tst.append(L.predict(model, test, key, out).select(F.lit(name).alias("model"), key, "target"))
+    pairs = [(name, i) for name in learners for i in range(k)]
+    models = fit_many([(learners[name], train.filter(F.col(fold_col) != i)) for name, i in pairs], parallelism)
+    for (name, i), model in zip(pairs, models):
+        oof.append(L.predict(model, train.filter(F.col(fold_col) == i), key, out)
+                   .select(F.lit(name).alias("model"), key, "target"))
+        tst.append(L.predict(model, test, key, out).select(F.lit(name).alias("model"), key, "target"))
     train_part = _union(oof).select("model", F.lit("train").alias("set"), key, "target")
     test_part = (_union(tst).groupBy("model", key).agg(F.avg("target").alias("target"))
                  .select("model", F.lit("test").alias("set"), key, "target"))
@@ -100,26 +115,29 @@ def stack_meta(train: DataFrame, test: DataFrame, key: str, label: str, feature_
 
 
 def bag(fit: Fit, df: DataFrame, test: DataFrame, key: str, label: str, members: DataFrame,
-        bag_cols: dict[int, Sequence[str]], out: str = "prob") -> DataFrame:
+        bag_cols: dict[int, Sequence[str]], out: str = "prob", parallelism: int = DEFAULT_PARALLELISM) -> DataFrame:
     """Bagging (G10): for each bag, fit on its member rows (not the bag's
     validation rows) and its own column subset, score the test table with
     the same columns, and average over bags. ``members`` is the long
     ``(bag, key, is_valid)`` table from ``sampling.bags``."""
     parts = []
-    for b, cols in bag_cols.items():
-        rows = members.filter((F.col("bag") == b) & ~F.col("is_valid")).select(key)
-        tr = L.assemble(df.join(rows, key), cols, keep=[key, label])
-        model = fit(tr)
+    bags_ = list(bag_cols.items())
+    inputs = [L.assemble(df.join(members.filter((F.col("bag") == b) & ~F.col("is_valid")).select(key), key),
+                         cols, keep=[key, label]) for b, cols in bags_]
+    models = fit_many([(fit, tr) for tr in inputs], parallelism)
+    for (b, cols), model in zip(bags_, models):
         te = L.assemble(test, cols, keep=[key])
         parts.append(L.predict(model, te, key, out).select(F.lit(b).alias("bag"), key, "target"))
     return _union(parts).groupBy(key).agg(F.avg("target").alias("target"))
 
 
 def seed_ensemble(fit_with_seed: Callable[[DataFrame, int], object], train: DataFrame, test: DataFrame,
-                  key: str, n: int = 1, seed: int = 0, out: str = "prob") -> DataFrame:
+                  key: str, n: int = 1, seed: int = 0, out: str = "prob",
+                  parallelism: int = DEFAULT_PARALLELISM) -> DataFrame:
     """The same learner under seeds seed, seed+1, …; mean prediction."""
     parts = []
-    for s in range(seed, seed + n):
-        model = fit_with_seed(train, s)
+    seeds = list(range(seed, seed + n))
+    models = fit_many([((lambda df, s=s: fit_with_seed(df, s)), train) for s in seeds], parallelism)
+    for s, model in zip(seeds, models):
         parts.append(L.predict(model, test, key, out).select(F.lit(s).alias("seed"), key, "target"))
     return _union(parts).groupBy(key).agg(F.avg("target").alias("target"))

@@ -90,8 +90,44 @@ def learning_table(spark, d):
     return w.withColumn("is_test", F.col("is_test_part") == 1).drop("is_test_part")
 
 
+FEATURE_TABLE_VERSION = "1"
+
+
+def _input_signature(d: str) -> str:
+    import hashlib
+    import os
+    parts = [FEATURE_TABLE_VERSION, os.path.abspath(d)]
+    for t in ("orders", "customer"):
+        try:
+            st = os.stat(f"{d}/{t}.parquet")
+            parts.append(f"{t}:{st.st_size}:{int(st.st_mtime)}")
+        except OSError:
+            parts.append(f"{t}:?")
+    return hashlib.md5("|".join(parts).encode()).hexdigest()[:16]
+
+
+def _fit_table(spark, d):
+    """The learning table, built once per input and written to the shared
+    checkpoint folder (as a preprocessing step writes its feature files for
+    all model steps); later model queries read it. Written spread over the
+    shuffle partitions by key, since fits make many passes and a
+    single-row-group input would otherwise leave each pass in one task."""
+    import os
+    from widetab.session import ensure_checkpoint_dir, shuffle_partitions
+    base = ensure_checkpoint_dir(spark)
+    base = base[len("file:"):] if base.startswith("file:") else base
+    path = os.path.join(base, f"features-{_input_signature(d)}")
+    jvm = spark.sparkContext._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(jvm.org.apache.hadoop.fs.Path(hp, "_SUCCESS")):
+        (learning_table(spark, d).repartition(shuffle_partitions(spark), KEY)
+         .write.mode("overwrite").parquet(path))
+    return spark.read.parquet(path)
+
+
 def _train_test(spark, d, extra=()):
-    t = learning_table(spark, d).cache()
+    t = _fit_table(spark, d)
     cols = FEATS + [c for c in t.columns if c.startswith("sentinel_")]
     keep = [KEY, LABEL, "fold", *extra]
     tr = L.assemble(t.filter(~F.col("is_test")), cols, keep=keep)
@@ -228,7 +264,7 @@ def stack_holdout(spark, d):
 
 @register("stack_meta", None, ("G7",))
 def stack_meta(spark, d):
-    t = learning_table(spark, d).cache()
+    t = _fit_table(spark, d)
     cols = FEATS
     tr = L.assemble(t.filter(~F.col("is_test")), cols, keep=[KEY, LABEL, "fold"])
     te = L.assemble(t.filter(F.col("is_test")), cols, keep=[KEY])
@@ -243,7 +279,7 @@ def stack_meta(spark, d):
 
 @register("bagged_scores", None, ("G10", "D8", "B18"))
 def bagged_scores(spark, d):
-    t = learning_table(spark, d).cache()
+    t = _fit_table(spark, d)
     train = t.filter(~F.col("is_test"))
     test = t.filter(F.col("is_test"))
     members = D.bags(train.select(KEY), KEY, 3, 0.8, 0.1, seed=5)
