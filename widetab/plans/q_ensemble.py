@@ -136,3 +136,37 @@ def prediction_files_average(spark, d):
         io.write_predictions(scores.filter(F.col("model") == m), keys, KEY, path=f"{base}/model={m}")
     long = io.read_predictions(spark, f"{base}/model=*/*.csv")
     return G.average(long, KEY)
+
+
+@register("stage_outputs_average", _S + """
+SELECT ID, round(sum(target) / CAST(5 AS DOUBLE), 6) AS target FROM s GROUP BY ID
+""", ("A9", "G1"))
+def stage_outputs_average(spark, d):
+    """Each model's output saved under ``model=<name>`` with dynamic
+    partition overwrite; a re-run skips models already present."""
+    base = scratch_path(spark, "stage")
+    scores = _scores(spark, d)
+    for m in MODELS:
+        if m in io.completed_models(spark, base):
+            continue
+        io.checkpoint_stage(scores.filter(F.col("model") == m).select(KEY, "target"), base, m)
+    # a second pass finds every model done and writes nothing
+    assert io.completed_models(spark, base) == sorted(MODELS)
+    return G.average(spark.read.parquet(base).select("model", KEY, "target"), KEY)
+
+
+@register("model_columns_files", _S + """
+SELECT ID, """ + ", ".join(f"max(target) FILTER (WHERE model = '{m}') AS {m}" for m in MODELS) + """
+FROM s GROUP BY ID
+""", ("A8", "A6"))
+def model_columns_files(spark, d):
+    """Named prediction files (one ``ID,target`` CSV per model) read back one
+    column each into the long table, then pivoted to meta columns."""
+    base = scratch_path(spark, "named")
+    scores = _scores(spark, d)
+    keys = read(spark, d, "orders").select(F.col("o_orderkey").alias(KEY))
+    paths = {}
+    for m in MODELS:
+        paths[m] = f"{base}/{m}"
+        io.write_predictions(scores.filter(F.col("model") == m), keys, KEY, path=paths[m])
+    return G.pivot_models(io.read_model_columns(spark, paths), KEY, MODELS)

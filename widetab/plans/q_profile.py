@@ -284,3 +284,62 @@ FROM nation n LEFT JOIN c ON n.n_nationkey = c.n_nationkey
 def counts_with_lookup(spark, d):
     return P.counts_with_lookup(read(spark, d, "supplier"), "s_nationkey", read(spark, d, "nation"),
                                 "n_nationkey", "n_name")
+
+
+@register("read_table_tokens", f"""
+WITH w AS ({WIDE_SQL})
+SELECT ID, price_na, k_const, near_const, sentinel,
+       CASE WHEN prio_tok IN ('-1', '', '[]') THEN NULL ELSE prio_tok END AS prio_tok,
+       CASE WHEN status IN ('-1', '', '[]') THEN NULL ELSE status END AS status,
+       priority, segment, nation, acctbal, custkey, date_txt, target
+FROM w
+""", ("A1", "B7"))
+def read_table_tokens(spark, d):
+    """The wide table written as CSV to the shared folder and read back as a
+    labelled table: key first, label last, missing tokens → NULL."""
+    from widetab.session import scratch_path
+    from widetab.sources import io
+    w = wide(spark, d)
+    path = scratch_path(spark, "wide-csv")
+    w.write.option("header", True).csv(path)
+    return io.read_table(spark, path, KEY, LABEL, fmt="csv", schema=w.schema)
+
+
+@register("read_text_records", """
+SELECT CAST(o_orderkey AS VARCHAR) AS ID, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+       o_orderpriority, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS target
+FROM orders
+""", ("A4",))
+def read_text_records(spark, d):
+    """Rows read back as all-text records; the label is 1 exactly when its
+    text is '1'."""
+    from widetab.session import scratch_path
+    from widetab.sources import io
+    o = read(spark, d, "orders").select(
+        F.col("o_orderkey").alias("ID"), "o_custkey", "o_orderstatus", "o_orderpriority",
+        F.when(F.col("o_orderstatus") == "F", "1").otherwise("0").alias("target"))
+    path = scratch_path(spark, "text-records")
+    o.write.option("header", True).csv(path)
+    return io.read_text_records(spark, path)
+
+
+@register("write_variant", f"""
+WITH w AS ({WIDE_SQL})
+SELECT ID, price_na, sentinel, prio_tok, status, priority, segment, nation, acctbal, custkey, date_txt, target
+FROM w
+""", ("A5", "C7", "B4", "B20"))
+def write_variant(spark, d):
+    """Column variants from the profile (constant and near-zero-variance drop
+    sets); the variant without both is written key first, label last, and
+    read back."""
+    from widetab.operators.features import variant_columns
+    from widetab.session import scratch_path
+    from widetab.sources import io
+    w = wide(spark, d)
+    prof = P.column_profile(w, exclude=EXCLUDE).select("col_name", "is_constant", "nzv").collect()
+    drops = {"constant": [r["col_name"] for r in prof if r["is_constant"]],
+             "nzv": [r["col_name"] for r in prof if r["nzv"]]}
+    variants = variant_columns(w.columns, drops, keep=[KEY])
+    path = scratch_path(spark, "variant")
+    io.write_variant(w, path, variants["minus_all"], KEY, LABEL)
+    return spark.read.parquet(path)
