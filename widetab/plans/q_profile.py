@@ -63,7 +63,7 @@ def _profile(spark, d):
 
 
 @register("column_profile", PROFILE_CTES + "SELECT * FROM prof",
-          ("B3", "B15", "B17", "B19", "B20"))
+          ("B3", "B5", "B15", "B17", "B19", "B20"))
 def column_profile(spark, d):
     return _profile(spark, d)
 
