@@ -74,22 +74,26 @@ def progress(preds: DataFrame, order: str, label: str, score: str, step: int,
     (an integer position, e.g. a row number), the running train loss, running
     hold-out loss and hold-out row count up to the end of the block.
 
-    Work is one aggregate to (block) rows; the running sums run over the
-    block table, which has n/step rows.
+    One aggregate reduces rows to blocks (n/step rows); the running sums over
+    blocks are a distributed prefix sum, so a long pass never puts all
+    blocks into one task.
     """
     by = list(by)
     block = F.floor((F.col(order) - 1) / F.lit(step)).cast("bigint")
     ll = row_logloss(score, label)
     per = preds.groupBy(*by, block.alias("block")).agg(
-        F.sum(F.when(~F.col(valid_flag), ll)).alias("tl"), F.count_if(~F.col(valid_flag)).alias("tn"),
-        F.sum(F.when(F.col(valid_flag), ll)).alias("vl"), F.count_if(F.col(valid_flag)).alias("vn"),
+        F.coalesce(F.sum(F.when(~F.col(valid_flag), ll)), F.lit(0.0)).alias("tl"),
+        F.count_if(~F.col(valid_flag)).cast("double").alias("tn"),
+        F.coalesce(F.sum(F.when(F.col(valid_flag), ll)), F.lit(0.0)).alias("vl"),
+        F.count_if(F.col(valid_flag)).cast("double").alias("vn"),
         F.max(order).alias("rows"))
-    w = Window.partitionBy(*by).orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
-    return per.select(
+    run = prefix_sum(per, ["block"], {"ctl": F.col("tl"), "ctn": F.col("tn"), "cvl": F.col("vl"),
+                                      "cvn": F.col("vn")}, by, inclusive=True, materialize_input=True)
+    return run.select(
         *by, "block", F.col("rows").cast("bigint").alias("rows"),
-        safe_ratio(F.sum(F.coalesce("tl", F.lit(0.0))).over(w), F.sum("tn").over(w)).alias("train_logloss"),
-        safe_ratio(F.sum(F.coalesce("vl", F.lit(0.0))).over(w), F.sum("vn").over(w)).alias("valid_logloss"),
-        F.sum("vn").over(w).cast("bigint").alias("n_valid"))
+        safe_ratio(F.col("ctl"), F.col("ctn")).alias("train_logloss"),
+        safe_ratio(F.col("cvl"), F.col("cvn")).alias("valid_logloss"),
+        F.col("cvn").cast("bigint").alias("n_valid"))
 
 
 def best_run(log: DataFrame, metric: str, higher_is_better: bool = True,
