@@ -24,3 +24,38 @@ def test_drop_constant_applies_train_list_to_test(spark):
     te = spark.createDataFrame([(3, 9, 2)], "ID int, c int, v int")
     a, b, names = P.drop_constant(tr, te, exclude=["ID"])
     assert names == ["c"] and a.columns == ["ID", "v"] and b.columns == ["ID", "v"]
+
+
+def test_approx_profile_agrees_on_flags(spark):
+    from widetab.plans.tables import wide
+    from conftest import SMALL
+    w = wide(spark, SMALL)
+    ex = {r["col_name"]: r for r in P.column_profile(w, exclude=["ID", "target"]).collect()}
+    ap = {r["col_name"]: r for r in P.column_profile(w, exclude=["ID", "target"], exact=False).collect()}
+    assert set(ex) == set(ap)
+    for c in ex:
+        assert ex[c]["nzv"] == ap[c]["nzv"] and ex[c]["is_constant"] == ap[c]["is_constant"], c
+        assert ex[c]["n_null"] == ap[c]["n_null"], c
+        if ap[c]["top1"] is not None:
+            assert ex[c]["n_distinct"] == ap[c]["n_distinct"], c
+
+
+def test_encode_levels_strategies_agree(spark):
+    from widetab.operators import features as C
+    from conftest import SMALL
+    o = spark.read.parquet(f"{SMALL}/orders.parquet").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    tr, te = o.filter("o_orderkey % 3 <> 0"), o.filter("o_orderkey % 3 = 0")
+    cols = ["o_orderstatus", "o_orderpriority"]
+    a, b, _ = C.encode_levels(tr, te, "o_orderkey", cols, strategy="broadcast")
+    c, d, _ = C.encode_levels(tr, te, "o_orderkey", cols, strategy="long")
+    assert sorted(a.collect()) == sorted(c.collect()) and sorted(b.collect()) == sorted(d.collect())
+
+
+def test_unpivot_keeps_nulls_after_non_nullable_first_column(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "x int, t string").select(
+        F.lit(1).alias("k"), "t")  # k is non-nullable and comes first
+    vc = {r["col_name"]: r for r in P.value_counts(df).collect()}
+    assert vc["t"]["v_num"] is None
+    prof = {r["col_name"]: r for r in P.column_profile(df).collect()}
+    assert prof["t"]["min_value"] is None and prof["t"]["max_value"] is None

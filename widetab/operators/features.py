@@ -67,15 +67,21 @@ def null_negative(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def encode_levels(train: DataFrame, test: DataFrame | None, key: str, cols: Sequence[str],
-                  suffix: str = "") -> tuple[DataFrame, DataFrame | None, DataFrame]:
+                  suffix: str = "", strategy: str = "auto",
+                  broadcast_rows: int = 2_000_000) -> tuple[DataFrame, DataFrame | None, DataFrame]:
     """Text → integer level id by order of first appearance over train, then
     test, in key order; missing stays missing (C4).
 
     The level table ``(column, value, level)`` is built from a tagged union:
     ``min(struct(src, key))`` per (column, value) is the first appearance;
-    ``row_number`` per column over distinct values numbers them. The level
-    table is joined back per column; it is broadcast only after counting.
-    Returns (train, test, levels).
+    ``row_number`` per column over distinct values numbers them.
+
+    Joining back (``strategy``): ``"broadcast"`` — one broadcast hash join
+    per column, no shuffle, when every column's level table is small
+    (counted); ``"long"`` — unpivot to ``(key, column, value)``, one join on
+    (column, value), pivot back by key: three shuffles whatever the number
+    of columns, for large level tables (``key`` must be unique). ``"auto"``
+    picks by the counted sizes. Returns (train, test, levels).
     """
     cols = list(cols)
     tagged = train.select(F.lit(0).alias("__src"), key, *[qcol(c).cast("string").alias(c) for c in cols])
@@ -95,7 +101,22 @@ def encode_levels(train: DataFrame, test: DataFrame | None, key: str, cols: Sequ
         "col_name", "value", F.col("level").cast("int").alias("level")))
     sizes = {r["col_name"]: r["n"] for r in levels.groupBy("col_name").agg(F.count(F.lit(1)).alias("n")).collect()}
 
+    if strategy == "auto":
+        strategy = "broadcast" if max(sizes.values(), default=0) <= broadcast_rows else "long"
+
+    def apply_long(df: DataFrame) -> DataFrame:
+        long = df.select(key, *[qcol(c).cast("string").alias(c) for c in cols]) \
+            .unpivot([key], cols, "col_name", "value")
+        coded = long.join(levels, ["col_name", "value"], "left")
+        back = coded.groupBy(key).pivot("col_name", cols).agg(F.first("level"))
+        back = back.select(key, *[F.col(c).alias(f"__l_{c}") for c in cols])
+        out = df.join(back, key, "left")
+        return out.select(*[(F.col(f"__l_{c}").alias(c + suffix) if c in cols else qcol(c))
+                            for c in df.columns])
+
     def apply(df: DataFrame) -> DataFrame:
+        if strategy == "long":
+            return apply_long(df)
         out = df
         for c in cols:
             # Each column's level table is broadcast only when its counted size allows.

@@ -55,10 +55,14 @@ def long_values(df: DataFrame, exclude: Iterable[str] = (), numeric: Sequence[st
     numeric, text = list(numeric), list(text)
     if not numeric and not text:
         raise ValueError("no numeric or text columns to profile")
-    cells = [F.struct(qcol(c).cast("double").alias("v_num"), F.lit(None).cast("string").alias("v_txt")).alias(c)
-             for c in numeric]
-    cells += [F.struct(F.lit(None).cast("double").alias("v_num"), qcol(c).cast("string").alias("v_txt")).alias(c)
-              for c in text]
+    # The cast makes both struct fields nullable for every column: unpivot
+    # takes the struct type of the first column, and a non-nullable field
+    # there would turn the other columns' NULLs into 0.0.
+    cell = "struct<v_num:double,v_txt:string>"
+    cells = [F.struct(qcol(c).cast("double").alias("v_num"), F.lit(None).cast("string").alias("v_txt"))
+             .cast(cell).alias(c) for c in numeric]
+    cells += [F.struct(F.lit(None).cast("double").alias("v_num"), qcol(c).cast("string").alias("v_txt"))
+              .cast(cell).alias(c) for c in text]
     long = df.select(*cells).unpivot([], numeric + text, "col_name", "cell")
     kind = F.when(F.col("col_name").isin(numeric), F.lit("numeric")).otherwise(F.lit("text"))
     return long.select("col_name", kind.alias("kind"), F.col("cell.v_num").alias("v_num"),
@@ -73,8 +77,37 @@ def value_counts(df: DataFrame, exclude: Iterable[str] = (), numeric: Sequence[s
             .agg(F.count(F.lit(1)).alias("cnt")))
 
 
+def approx_column_stats(df: DataFrame, numeric: Sequence[str], text: Sequence[str],
+                        rsd: float = 0.02) -> DataFrame:
+    """Per column in one wide aggregate (chunks of 200 columns, no value
+    shuffle): rows, missing count, HyperLogLog++ distinct count of the
+    non-missing values, min and max of numbers."""
+    out = None
+    for kind, cols in (("numeric", list(numeric)), ("text", list(text))):
+        for part in chunks(cols, 200):
+            exprs = [F.count(F.lit(1)).alias("__n")]
+            for c in part:
+                v = qcol(c).cast("double") if kind == "numeric" else qcol(c)
+                exprs += [F.count_if(qcol(c).isNull()).alias(f"z::{c}"),
+                          F.approx_count_distinct(v, rsd).alias(f"d::{c}"),
+                          (F.min(v) if kind == "numeric" else F.lit(None).cast("double")).alias(f"lo::{c}"),
+                          (F.max(v) if kind == "numeric" else F.lit(None).cast("double")).alias(f"hi::{c}")]
+            row = df.agg(*exprs)
+            stack = ", ".join(f"'{c}', `z::{c}`, `d::{c}`, `lo::{c}`, `hi::{c}`" for c in part)
+            long = row.selectExpr(
+                "__n", f"stack({len(part)}, {stack}) as (col_name, n_null, n_dnn_approx, min_value, max_value)") \
+                .select("col_name", F.lit(kind).alias("kind"), F.col("__n").cast("bigint").alias("n_rows"),
+                        F.col("n_null").cast("bigint").alias("n_null"),
+                        F.col("n_dnn_approx").cast("bigint").alias("n_dnn_approx"),
+                        F.col("min_value").cast("double").alias("min_value"),
+                        F.col("max_value").cast("double").alias("max_value"))
+            out = long if out is None else out.unionByName(long)
+    return out
+
+
 def column_profile(df: DataFrame, exclude: Iterable[str] = (), vc: DataFrame | None = None,
-                   freq_cut: float = NZV_FREQ_CUT, unique_cut: float = NZV_UNIQUE_CUT) -> DataFrame:
+                   freq_cut: float = NZV_FREQ_CUT, unique_cut: float = NZV_UNIQUE_CUT,
+                   exact: bool = True, rsd: float = 0.02) -> DataFrame:
     """One row per column.
 
     ``n_distinct`` counts a missing value as one value (as ``unique`` does);
@@ -82,7 +115,37 @@ def column_profile(df: DataFrame, exclude: Iterable[str] = (), vc: DataFrame | N
     commonest and second commonest non-missing values. ``zero_var`` and
     ``nzv`` follow the near-zero-variance rule, ``is_constant`` the
     one-distinct-value rule (missing counted).
+
+    ``exact=False`` first runs one approximate pass (no value shuffle). A
+    column whose approximate share of distinct values is above
+    ``unique_cut`` with a margin of 5 standard errors cannot be constant or
+    near-zero-variance; it keeps exact null counts and min/max, an
+    approximate ``n_distinct`` and NULL top counts, and is left out of the
+    value-count shuffle, whose size near-unique columns would otherwise
+    dominate. The other columns get the exact profile.
     """
+    if vc is None and not exact:
+        num, txt = _profile_columns(df, exclude)
+        stats = materialize(approx_column_stats(df, num, txt, rsd))
+        rows = stats.collect()  # p rows
+        cut = unique_cut / 100.0 * (1.0 + 5.0 * rsd)
+        wide_cols = {r["col_name"] for r in rows
+                     if r["n_rows"] and r["n_dnn_approx"] > max(1, r["n_rows"] * cut + 1)}
+        keep_num = [c for c in num if c not in wide_cols]
+        keep_txt = [c for c in txt if c not in wide_cols]
+        approx_rows = stats.filter(F.col("col_name").isin(sorted(wide_cols))).select(
+            "col_name", "kind", "n_rows", "n_null",
+            (F.col("n_dnn_approx") + F.when(F.col("n_null") > 0, 1).otherwise(0)).cast("bigint").alias("n_distinct"),
+            F.col("n_dnn_approx").alias("n_distinct_nonnull"), "min_value", "max_value",
+            F.lit(None).cast("bigint").alias("top1"), F.lit(None).cast("bigint").alias("top2"),
+            F.lit(None).cast("double").alias("freq_ratio"),
+            (F.lit(100.0) * safe_ratio(F.col("n_dnn_approx"), F.col("n_rows"))).alias("pct_unique"),
+            F.lit(False).alias("is_constant"), F.lit(False).alias("zero_var"), F.lit(False).alias("nzv"))
+        if not keep_num and not keep_txt:
+            return approx_rows
+        exact_rows = column_profile(df.select(*[qcol(c) for c in keep_num + keep_txt]),
+                                    freq_cut=freq_cut, unique_cut=unique_cut)
+        return exact_rows.unionByName(approx_rows)
     # The value counts feed two passes below; write them once.
     vc = materialize(value_counts(df, exclude)) if vc is None else vc
     isnull = F.col("v_num").isNull() & F.col("v_txt").isNull()

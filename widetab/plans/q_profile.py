@@ -343,3 +343,14 @@ def write_variant(spark, d):
     path = scratch_path(spark, "variant")
     io.write_variant(w, path, variants["minus_all"], KEY, LABEL)
     return spark.read.parquet(path)
+
+
+@register("column_profile_approx", PROFILE_CTES + """
+SELECT col_name, kind, n_rows, n_null, min_value, max_value, is_constant, zero_var, nzv FROM prof
+""", ("B3", "B20"))
+def column_profile_approx(spark, d):
+    """Profile with the approximate pre-pass: near-unique columns skip the
+    value-count shuffle; the columns compared here are exact in both modes."""
+    prof = P.column_profile(wide(spark, d), exclude=EXCLUDE, exact=False)
+    return prof.select("col_name", "kind", "n_rows", "n_null", "min_value", "max_value",
+                       "is_constant", "zero_var", "nzv")
