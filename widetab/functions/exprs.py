@@ -34,10 +34,12 @@ def nan_to_null(c) -> Column:
 def parse_text_date(c, fmt: str = TEXT_DATE_FORMAT, pivot_year: int = 69) -> Column:
     """Parse a text date; unparsable → NULL.
 
-    Spark maps two-digit years to 2000-2099. POSIX ``%y`` maps 69-99 to the
-    1900s, so those are moved back one century.
+    The result is a TIMESTAMP_NTZ holding the wall-clock time, so it means
+    the same instant (read as UTC, as the reference did) whatever the
+    session time zone. Spark maps two-digit years to 2000-2099; POSIX ``%y``
+    maps 69-99 to the 1900s, so those are moved back one century.
     """
-    ts = F.try_to_timestamp(col_(c), F.lit(fmt))
+    ts = F.try_to_timestamp(col_(c), F.lit(fmt)).cast("timestamp_ntz")
     if "yy" not in fmt or "yyyy" in fmt:
         return ts
     return F.when(F.year(ts) >= 2000 + pivot_year,

@@ -349,7 +349,7 @@ def detect_date_columns(df: DataFrame, cols: Sequence[str] | None = None,
 
 def week_histogram(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows per (column, week starting Monday) over timestamp columns."""
-    long = df.select(*[qcol(c).cast("timestamp").alias(c) for c in cols]).unpivot([], list(cols), "col_name", "ts")
+    long = df.select(*[qcol(c).cast("timestamp_ntz").alias(c) for c in cols]).unpivot([], list(cols), "col_name", "ts")
     return (long.filter(F.col("ts").isNotNull())
             .groupBy("col_name", F.date_trunc("week", "ts").alias("week"))
             .agg(F.count(F.lit(1)).alias("count")))
