@@ -59,3 +59,12 @@ def test_unpivot_keeps_nulls_after_non_nullable_first_column(spark):
     assert vc["t"]["v_num"] is None
     prof = {r["col_name"]: r for r in P.column_profile(df).collect()}
     assert prof["t"]["min_value"] is None and prof["t"]["max_value"] is None
+
+
+def test_profile_in_column_chunks(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    df = spark.range(50).select(F.col("id").alias("ID"), *[(F.col("id") % (i + 2)).alias(f"c{i}") for i in range(7)],
+                                F.lit("x").alias("t"))
+    whole = sorted(P.column_profile(df, exclude=["ID"]).collect())
+    monkeypatch.setattr(P, "UNPIVOT_CHUNK", 3)
+    assert sorted(P.column_profile(df, exclude=["ID"]).collect()) == whole

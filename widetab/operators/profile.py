@@ -28,6 +28,7 @@ NZV_FREQ_CUT = 95 / 5
 NZV_UNIQUE_CUT = 10.0
 
 VC_SCHEMA_COLS = ["col_name", "kind", "v_num", "v_txt", "cnt"]
+UNPIVOT_CHUNK = 400
 
 
 def _profile_columns(df: DataFrame, exclude: Iterable[str]) -> tuple[list[str], list[str]]:
@@ -59,14 +60,21 @@ def long_values(df: DataFrame, exclude: Iterable[str] = (), numeric: Sequence[st
     # takes the struct type of the first column, and a non-nullable field
     # there would turn the other columns' NULLs into 0.0.
     cell = "struct<v_num:double,v_txt:string>"
-    cells = [F.struct(qcol(c).cast("double").alias("v_num"), F.lit(None).cast("string").alias("v_txt"))
-             .cast(cell).alias(c) for c in numeric]
-    cells += [F.struct(F.lit(None).cast("double").alias("v_num"), qcol(c).cast("string").alias("v_txt"))
-              .cast(cell).alias(c) for c in text]
-    long = df.select(*cells).unpivot([], numeric + text, "col_name", "cell")
-    kind = F.when(F.col("col_name").isin(numeric), F.lit("numeric")).otherwise(F.lit("text"))
-    return long.select("col_name", kind.alias("kind"), F.col("cell.v_num").alias("v_num"),
-                       F.col("cell.v_txt").alias("v_txt"))
+    cells = {c: F.struct(qcol(c).cast("double").alias("v_num"), F.lit(None).cast("string").alias("v_txt"))
+             .cast(cell).alias(c) for c in numeric}
+    cells |= {c: F.struct(F.lit(None).cast("double").alias("v_num"), qcol(c).cast("string").alias("v_txt"))
+              .cast(cell).alias(c) for c in text}
+    # Very wide tables are unpivoted in column chunks (one Expand each) so
+    # the generated code per operator stays bounded.
+    out = None
+    for part in chunks(numeric + text, UNPIVOT_CHUNK):
+        long = df.select(*[cells[c] for c in part]).unpivot([], list(part), "col_name", "cell")
+        part_num = [c for c in part if c in set(numeric)]
+        kind = F.when(F.col("col_name").isin(part_num), F.lit("numeric")).otherwise(F.lit("text"))
+        long = long.select("col_name", kind.alias("kind"), F.col("cell.v_num").alias("v_num"),
+                           F.col("cell.v_txt").alias("v_txt"))
+        out = long if out is None else out.unionByName(long)
+    return out
 
 
 def value_counts(df: DataFrame, exclude: Iterable[str] = (), numeric: Sequence[str] | None = None,
