@@ -94,9 +94,18 @@ FEATURE_TABLE_VERSION = "1"
 
 
 def _input_signature(d: str) -> str:
+    """Key of a written feature table: input files (size, mtime) plus the
+    source of the code that builds it, so a code or data change rebuilds."""
     import hashlib
     import os
+    from widetab.operators import features, sampling
+    from widetab.plans import tables
     parts = [FEATURE_TABLE_VERSION, os.path.abspath(d)]
+    for mod in (features, sampling, tables):
+        with open(mod.__file__, "rb") as fh:
+            parts.append(hashlib.md5(fh.read()).hexdigest())
+    with open(__file__, "rb") as fh:
+        parts.append(hashlib.md5(fh.read()).hexdigest())
     for t in ("orders", "customer"):
         try:
             st = os.stat(f"{d}/{t}.parquet")
