@@ -104,7 +104,8 @@ def _bucket_splits(df: DataFrame, col: str, n_buckets: int) -> list[float]:
 def prefix_sum(df: DataFrame, order_cols: Sequence[str], values: dict[str, Column],
                partition_cols: Sequence[str] = (), inclusive: bool = True,
                n_buckets: int | None = None, max_groups: int | None = None,
-               materialize_input: bool = False) -> DataFrame:
+               materialize_input: bool = False,
+               uniform_range: tuple[float, float] | None = None) -> DataFrame:
     """Running sums of ``values`` along ``order_cols`` within ``partition_cols``.
 
     Adds one column per entry of ``values`` (name → expression), holding the
@@ -114,7 +115,9 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], values: dict[str, Colum
 
     The input is read three times (quantiles, bucket totals, running sums);
     ``materialize_input`` writes it once first, which pays off when it is an
-    aggregate that would otherwise be recomputed.
+    aggregate that would otherwise be recomputed. ``uniform_range`` says the
+    first order column is spread evenly over [lo, hi) (a hash), so equal
+    buckets are used and the quantile pass is skipped.
     """
     spark = df.sparkSession
     order_cols, partition_cols = list(order_cols), list(partition_cols)
@@ -130,7 +133,11 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], values: dict[str, Colum
                 sel.append((run if inclusive else run - expr).alias(n))
             return df.select(*sel)
     B = n_buckets or max(16, 4 * shuffle_partitions(spark))
-    splits = _bucket_splits(df, order_cols[0], B)
+    if uniform_range is not None:
+        lo, hi = uniform_range
+        splits = [float("-inf")] + [lo + (hi - lo) * i / B for i in range(1, B)] + [float("inf")]
+    else:
+        splits = _bucket_splits(df, order_cols[0], B)
     tmp = "__order_d"
     staged = df.withColumn(tmp, F.col(order_cols[0]).cast("double"))
     for name, expr in values.items():

@@ -15,7 +15,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from widetab.functions.hashing import key_hash
+from widetab.functions.hashing import U32, key_hash
 from widetab.operators._util import broadcast_if_small
 from widetab.operators.ordering import first_n, row_number
 
@@ -69,7 +69,8 @@ def stratified_folds(df: DataFrame, key: str, label: str, k: int, seed=0, fn: st
     if not exact:
         return df.withColumn(name, F.pmod(key_hash(key, seed, fn), F.lit(k)).cast("int"))
     hashed = with_hash(df, key, seed, fn, "__h")
-    numbered = row_number(hashed, ["__h", key], [label], "__rn", max_groups=max_classes)
+    numbered = row_number(hashed, ["__h", key], [label], "__rn", max_groups=max_classes,
+                          uniform_range=(0.0, float(U32)))
     return numbered.withColumn(name, F.pmod(F.col("__rn") - 1, F.lit(k)).cast("int")) \
         .drop("__h", "__rn")
 
@@ -80,7 +81,7 @@ def stratified_split(df: DataFrame, key: str, label: str, share: float, seed=0,
     ``round(share * class size)`` rows (half up) go to the test side, chosen
     by (hash, key)."""
     hashed = with_hash(df, key, seed, fn, "__h")
-    numbered = row_number(hashed, ["__h", key], [label], "__rn")
+    numbered = row_number(hashed, ["__h", key], [label], "__rn", uniform_range=(0.0, float(U32)))
     sizes = df.groupBy(label).agg(
         F.floor(F.count(F.lit(1)) * F.lit(share) + F.lit(0.5)).cast("bigint").alias("__n_test"))
     joined = numbered.join(broadcast_if_small(sizes), label)
