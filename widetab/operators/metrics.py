@@ -30,12 +30,9 @@ def score_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ())
         F.count_if(F.col(label) != 1).cast("double").alias("__neg"))
 
 
-def auc(df: DataFrame, score: str, label: str, by: Sequence[str] = (),
-        max_groups: int | None = None) -> DataFrame:
-    """AUC per group with average ranks for ties (F1). NULL when a class is
-    empty. Output: ``*by, n_pos, n_neg, auc``."""
+def auc_from_counts(counts: DataFrame, by: Sequence[str] = (), max_groups: int | None = None) -> DataFrame:
+    """AUC per group from a ``(by…, __s, __pos, __neg)`` count table."""
     by = list(by)
-    counts = score_counts(df, score, label, by)
     ranked = prefix_sum(counts, ["__s"], {"__neg_below": F.col("__neg")}, by, inclusive=False,
                         max_groups=max_groups, materialize_input=True)
     agg = ranked.groupBy(*by).agg(
@@ -45,6 +42,13 @@ def auc(df: DataFrame, score: str, label: str, by: Sequence[str] = (),
                       F.try_divide(F.col("U"), F.col("P") * F.col("N")).alias("auc"))
 
 
+def auc(df: DataFrame, score: str, label: str, by: Sequence[str] = (),
+        max_groups: int | None = None) -> DataFrame:
+    """AUC per group with average ranks for ties (F1). NULL when a class is
+    empty. Output: ``*by, n_pos, n_neg, auc``."""
+    return auc_from_counts(score_counts(df, score, label, by), by, max_groups)
+
+
 def logloss(df: DataFrame, p: str, label: str, by: Sequence[str] = (), eps: float = LOGLOSS_EPS) -> DataFrame:
     """Mean binary log loss with p clipped to [eps, 1 − eps] (F2)."""
     pc = F.greatest(F.least(F.col(p).cast("double"), F.lit(1.0 - eps)), F.lit(eps))
@@ -60,11 +64,22 @@ def row_logloss(p, label, eps: float = LOGLOSS_EPS):
 
 
 def score_table(preds: DataFrame, label: str, score: str = "target",
-                by: Sequence[str] = ("model", "split"), max_groups: int | None = None) -> DataFrame:
-    """AUC and log loss per (model, split) in one table."""
+                by: Sequence[str] = ("model", "split"), max_groups: int | None = None,
+                eps: float = LOGLOSS_EPS) -> DataFrame:
+    """AUC and log loss per (model, split) in one table.
+
+    One pass over the rows builds the per-distinct-score counts (written
+    once); AUC and log loss both come from that small table, since the loss
+    of a row depends only on its score and label.
+    """
     by = list(by)
-    a = auc(preds, score, label, by, max_groups=max_groups)
-    ll = logloss(preds, score, label, by).select(*by, "logloss")
+    from widetab.operators._util import materialize
+    counts = materialize(score_counts(preds, score, label, by))
+    a = auc_from_counts(counts, by, max_groups)
+    pc = F.greatest(F.least(F.col("__s"), F.lit(1.0 - eps)), F.lit(eps))
+    ll = counts.groupBy(*by).agg(
+        (F.sum(F.col("__pos") * -F.ln(pc) + F.col("__neg") * -F.ln(F.lit(1.0) - pc))
+         / F.sum(F.col("__pos") + F.col("__neg"))).alias("logloss"))
     return a.join(ll, by, "left")
 
 
