@@ -92,6 +92,19 @@ def minmax(preds: DataFrame, score: str = "target", by: Sequence[str] = ()) -> D
         .drop("__lo", "__hi")
 
 
+def _wide_with_label(preds: DataFrame, labels: DataFrame | None, key: str, label: str,
+                     models: Sequence[str], score: str, model: str) -> DataFrame:
+    """One column per model plus the label. When ``labels`` is None the
+    label is a column of ``preds`` and rides along the same pivot (one
+    shuffle); otherwise it is joined by key."""
+    if labels is None:
+        return (preds.groupBy(key).pivot(model, list(models))
+                .agg(F.first(score).alias("s"), F.max(label).alias("y"))
+                .select(key, *[F.col(f"{m}_s").alias(m) for m in models],
+                        F.greatest(*[F.col(f"{m}_y") for m in models]).alias(label)))
+    return pivot_models(preds, key, models, score, model).join(labels.select(key, label), key)
+
+
 def weight_grid(models: Sequence[str], step: float = 0.1) -> list[dict[str, float]]:
     """All weight vectors on the simplex with the given step (driver-side,
     size C(1/step + k − 1, k − 1))."""
@@ -109,7 +122,7 @@ def weight_grid(models: Sequence[str], step: float = 0.1) -> list[dict[str, floa
     return [{m: u / units for m, u in zip(models, ws)} for ws in out]
 
 
-def blend_grid_losses(preds: DataFrame, labels: DataFrame, key: str, label: str,
+def blend_grid_losses(preds: DataFrame, labels: DataFrame | None, key: str, label: str,
                       models: Sequence[str], step: float = 0.1, score: str = "target",
                       model: str = "model") -> DataFrame:
     """Log loss of every weight vector on a simplex grid (G8, grid form).
@@ -120,7 +133,7 @@ def blend_grid_losses(preds: DataFrame, labels: DataFrame, key: str, label: str,
     """
     models = list(models)
     grid = weight_grid(models, step)
-    wide = pivot_models(preds, key, models, score, model).join(labels.select(key, label), key)
+    wide = _wide_with_label(preds, labels, key, label, models, score, model)
     gw = F.array(*[F.array(*[F.lit(g[m]) for m in models]) for g in grid])
     pvec = F.array(*[qcol(m).cast("double") for m in models])
     blended = F.transform(gw, lambda w: F.aggregate(F.zip_with(w, pvec, lambda a, b: a * b),
@@ -140,7 +153,7 @@ def blend_grid_losses(preds: DataFrame, labels: DataFrame, key: str, label: str,
     return sums.join(bounded_broadcast(gdf, len(grid)), "grid_id")
 
 
-def fit_blend_weights(preds: DataFrame, labels: DataFrame, key: str, label: str, models: Sequence[str],
+def fit_blend_weights(preds: DataFrame, labels: DataFrame | None, key: str, label: str, models: Sequence[str],
                       steps: int = 50, rate: float = 2.0, score: str = "target", model: str = "model",
                       eps: float = 1e-14) -> dict[str, float]:
     """Blend weights in the simplex minimising log loss.
@@ -153,7 +166,7 @@ def fit_blend_weights(preds: DataFrame, labels: DataFrame, key: str, label: str,
     models = list(models)
     k = len(models)
     w = [1.0 / k] * k
-    wide = pivot_models(preds, key, models, score, model).join(labels.select(key, label), key) \
+    wide = _wide_with_label(preds, labels, key, label, models, score, model) \
         .select(F.array(*[qcol(m).cast("double") for m in models]).alias("__p"),
                 F.col(label).cast("double").alias("__y")).cache()
     try:

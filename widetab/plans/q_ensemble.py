@@ -97,9 +97,8 @@ SELECT CAST(grid_id AS INTEGER) AS grid_id,
 FROM b JOIN g USING (grid_id) GROUP BY grid_id
 """, ("G8",))
 def blend_weight_grid(spark, d):
-    ms = model_scores(spark, d)
-    labels = ms.filter(F.col("model") == "m1").select(KEY, "y")
-    out = G.blend_grid_losses(ms.select("model", KEY, "target"), labels, KEY, "y", _GRID_MODELS, step=0.25)
+    ms = model_scores(spark, d).filter(F.col("model").isin(list(_GRID_MODELS)))
+    out = G.blend_grid_losses(ms.select("model", KEY, "target", "y"), None, KEY, "y", _GRID_MODELS, step=0.25)
     return out.select(F.col("grid_id").cast("int").alias("grid_id"), F.round("logloss", 9).alias("logloss"),
                       "w_m1", "w_m2", "w_m3")
 
@@ -107,8 +106,7 @@ def blend_weight_grid(spark, d):
 @register("blend_weights_fit", None, ("G8",))
 def blend_weights_fit(spark, d):
     ms = model_scores(spark, d)
-    labels = ms.filter(F.col("model") == "m1").select(KEY, "y")
-    w = G.fit_blend_weights(ms.select("model", KEY, "target"), labels, KEY, "y", list(MODELS), steps=20)
+    w = G.fit_blend_weights(ms.select("model", KEY, "target", "y"), None, KEY, "y", list(MODELS), steps=20)
     return spark.createDataFrame(sorted(w.items()), "model string, weight double")
 
 
