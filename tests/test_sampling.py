@@ -50,3 +50,12 @@ def test_every_nth(spark):
     keys = sorted(r[0] for r in out.filter("is_valid").collect())
     allk = sorted(r[0] for r in e.collect())
     assert keys == allk[9::10]
+
+
+def test_multi_seed_thresholds_match_single(spark):
+    from widetab.operators.ordering import nth_smallest
+    o = _orders(spark, 3).select("o_orderkey")
+    got = D._thresholds_for_seeds(o, "o_orderkey", 400, [0, 1, 2], small=50, bins=16)
+    for s in (0, 1, 2):
+        ref = nth_smallest(D.with_hash(o, "o_orderkey", s, name="__h"), ["__h", "o_orderkey"], 400)
+        assert got[s] == ref

@@ -107,6 +107,63 @@ def folds(df: DataFrame, key: str, k: int, seed=0, fn: str = "md5", name: str =
     return df.withColumn(name, F.pmod(key_hash(key, seed, fn), F.lit(k)).cast("int"))
 
 
+def _thresholds_for_seeds(keys: DataFrame, key: str, n: int, seeds: Sequence, fn: str = "md5",
+                          small: int = 200_000, bins: int = 4096) -> dict:
+    """For every seed s, the (hash, key) of the n-th smallest row by
+    (hash(key, s), key), found for all seeds together: each refinement
+    level is one scan and one aggregate keyed by (seed index, bucket), so
+    the number of scans does not grow with the number of seeds."""
+    seeds = list(seeds)
+    k = len(seeds)
+    total = keys.count()
+    if n <= 0 or total < n:
+        return {s: None for s in seeds}
+    lo = {i: 0 for i in range(k)}
+    hi = {i: U32 - 1 for i in range(k)}
+    m = {i: n for i in range(k)}
+    cnt = {i: total for i in range(k)}
+    hash_of = F.element_at(F.array(*[key_hash(key, s, fn) for s in seeds]), F.col("__i") + 1)
+    exploded = keys.select(key, F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("__i")) \
+        .withColumn("__h", hash_of)
+
+    def in_range(active):
+        cond = F.lit(False)
+        for i in active:
+            cond = cond | ((F.col("__i") == i) & F.col("__h").between(lo[i], hi[i]))
+        return cond
+
+    active = [i for i in range(k) if cnt[i] > small and lo[i] != hi[i]]
+    while active:
+        lo_e = F.element_at(F.array(*[F.lit(float(lo[i])) for i in range(k)]), F.col("__i") + 1)
+        hi_e = F.element_at(F.array(*[F.lit(float(hi[i])) for i in range(k)]), F.col("__i") + 1)
+        bucket = F.width_bucket(F.col("__h").cast("double"), lo_e, hi_e, F.lit(bins))
+        rows = (exploded.filter(in_range(active)).groupBy("__i", bucket.alias("b"))
+                .agg(F.count(F.lit(1)).alias("n"), F.min("__h").alias("lo"), F.max("__h").alias("hi"))
+                .orderBy("__i", "b").collect())
+        seen = {i: 0 for i in active}
+        done = set()
+        for r in rows:
+            i = r["__i"]
+            if i in done:
+                continue
+            if seen[i] + r["n"] >= m[i]:
+                m[i] -= seen[i]
+                cnt[i], lo[i], hi[i] = r["n"], r["lo"], r["hi"]
+                done.add(i)
+            else:
+                seen[i] += r["n"]
+        active = [i for i in active if cnt[i] > small and lo[i] != hi[i]]
+    # Final step on the small candidate sets: row_number per seed (bounded
+    # by ``small`` rows per seed, or by ties of one hash value).
+    from pyspark.sql import Window
+    w = Window.partitionBy("__i").orderBy("__h", key)
+    cands = exploded.filter(in_range(range(k))).withColumn("__rn", F.row_number().over(w))
+    want = F.element_at(F.array(*[F.lit(m[i]) for i in range(k)]), F.col("__i") + 1)
+    picked = {r["__i"]: (r["__h"], r[key]) for r in cands.filter(F.col("__rn") == want)
+              .select("__i", "__h", key).collect()}
+    return {s: picked.get(i) for i, s in enumerate(seeds)}
+
+
 def bags(df: DataFrame, key: str, n_bags: int, row_share: float = 0.8, valid_share: float = 0.1,
          seed=0, fn: str = "md5", exact: bool = True) -> DataFrame:
     """Long bag membership table ``(bag, key, is_valid)``.
@@ -120,10 +177,14 @@ def bags(df: DataFrame, key: str, n_bags: int, row_share: float = 0.8, valid_sha
     size = int(Fraction(str(row_share)) * total)  # exact floor, no float rounding
     keys = df.select(key)
     parts = []
+    thresholds = _thresholds_for_seeds(keys, key, size, [seed + b for b in range(n_bags)], fn) if exact else {}
     for b in range(n_bags):
         s = seed + b
         if exact:
-            member = holdout_n(keys, key, size, s, fn, "__in").filter("__in").drop("__in")
+            t = thresholds[s]
+            h = key_hash(key, s, fn)
+            member = keys.filter(F.lit(size >= total) if t is None
+                                 else (h < F.lit(t[0])) | ((h == F.lit(t[0])) & (F.col(key) <= F.lit(t[1]))))
         else:
             member = keys.filter(F.pmod(key_hash(key, s, fn), F.lit(SHARE_SCALE))
                                  < int(round(row_share * SHARE_SCALE)))
