@@ -93,14 +93,15 @@ def learning_table(spark, d):
 FEATURE_TABLE_VERSION = "1"
 
 
-def _input_signature(d: str) -> str:
-    """Key of a written feature table: input files (size, mtime) plus the
-    source of the code that builds it, so a code or data change rebuilds."""
+def _input_signature(spark, d: str) -> str:
+    """Key of a written feature table: the application (so each run builds
+    it once and shares it only within the run), the input files (size,
+    mtime) and the source of the code that builds it."""
     import hashlib
     import os
     from widetab.operators import features, sampling
     from widetab.plans import tables
-    parts = [FEATURE_TABLE_VERSION, os.path.abspath(d)]
+    parts = [FEATURE_TABLE_VERSION, spark.sparkContext.applicationId, os.path.abspath(d)]
     for mod in (features, sampling, tables):
         with open(mod.__file__, "rb") as fh:
             parts.append(hashlib.md5(fh.read()).hexdigest())
@@ -125,7 +126,7 @@ def _fit_table(spark, d):
     from widetab.session import ensure_checkpoint_dir, shuffle_partitions
     base = ensure_checkpoint_dir(spark)
     base = base[len("file:"):] if base.startswith("file:") else base
-    path = os.path.join(base, f"features-{_input_signature(d)}")
+    path = os.path.join(base, f"features-{_input_signature(spark, d)}")
     jvm = spark.sparkContext._jvm
     hp = jvm.org.apache.hadoop.fs.Path(path)
     fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
