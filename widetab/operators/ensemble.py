@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from widetab.functions.exprs import safe_ratio
 from widetab.operators._util import bounded_broadcast, qcol, sum_columns
-from widetab.operators.metrics import row_logloss
 
 
 def average(preds: DataFrame, key: str, score: str = "target", model: str = "model",

@@ -11,13 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from widetab.functions.exprs import epoch_seconds, nan_to_null, parse_text_date, TEXT_DATE_FORMAT
 from widetab.operators.ordering import row_number
 from widetab.operators._util import (
-    bounded_broadcast, chunks, columns_by_type, materialize, qcol,
+    bounded_broadcast, columns_by_type, materialize, qcol,
 )
 
 
