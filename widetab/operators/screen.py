@@ -22,13 +22,17 @@ from widetab.operators._util import qcol
 PAIRWISE_MAX_COLS = 64
 
 
-def average_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def average_ranks(df: DataFrame, cols: Sequence[str], strategy: str = "auto",
+                  broadcast_rows: int = 2_000_000) -> DataFrame:
     """Replace each column by its average rank (ties share the mean rank),
     over the rows complete in ``cols``.
 
     Ranks come from per-column value counts and a distributed prefix sum
-    (no global sort); each column's (value → rank) table is joined back,
-    broadcast only when its counted size allows.
+    (no global sort). Joining back (``strategy``): ``"broadcast"`` — one
+    broadcast join per column, no shuffle, when every rank table is small
+    (counted); ``"long"`` — rows get a stable id (written once), are
+    unpivoted, joined to the ranks on (column, value) and pivoted back: about
+    2·n·p values moved instead of n·p per column. ``"auto"`` picks by size.
     """
     from widetab.operators._util import bounded_broadcast, materialize
     from widetab.operators.ordering import prefix_sum
@@ -41,6 +45,14 @@ def average_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     ranks = materialize(ranked.select(
         "col_name", "v", (F.col("below") + (F.col("cnt") + F.lit(1.0)) / F.lit(2.0)).alias("rank")))
     sizes = {r["col_name"]: r["n"] for r in ranks.groupBy("col_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if strategy == "auto":
+        strategy = "broadcast" if max(sizes.values(), default=0) <= broadcast_rows else "long"
+    if strategy == "long":
+        ided = materialize(base.withColumn("__rid", F.monotonically_increasing_id()))
+        long = ided.unpivot(["__rid"], cols, "col_name", "v")
+        back = (long.join(ranks, ["col_name", "v"]).groupBy("__rid")
+                .pivot("col_name", cols).agg(F.first("rank")))
+        return back.select(*[F.col(c) for c in cols])
     out = base
     for i, c in enumerate(cols):
         r = ranks.filter(F.col("col_name") == c).select(F.col("v").alias(f"__v{i}"), F.col("rank").alias(f"__r{i}"))
