@@ -91,6 +91,7 @@ def learning_table(spark, d):
 
 
 FEATURE_TABLE_VERSION = "1"
+_BUILD_LOCK = __import__("threading").Lock()
 
 
 def _input_signature(spark, d: str) -> str:
@@ -130,9 +131,10 @@ def _fit_table(spark, d):
     jvm = spark.sparkContext._jvm
     hp = jvm.org.apache.hadoop.fs.Path(path)
     fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(jvm.org.apache.hadoop.fs.Path(hp, "_SUCCESS")):
-        (learning_table(spark, d).repartition(shuffle_partitions(spark), KEY)
-         .write.mode("overwrite").parquet(path))
+    with _BUILD_LOCK:  # queries may run from several driver threads
+        if not fs.exists(jvm.org.apache.hadoop.fs.Path(hp, "_SUCCESS")):
+            (learning_table(spark, d).repartition(shuffle_partitions(spark), KEY)
+             .write.mode("overwrite").parquet(path))
     return spark.read.parquet(path)
 
 
