@@ -40,3 +40,22 @@ def test_logloss_clips(spark):
     v = M.logloss(df, "p", "y").first()["logloss"]
     want = (-math.log(1e-14) - math.log(1.0 - (1.0 - 1e-14)) - math.log(0.5)) / 3
     assert abs(v - want) < 1e-9
+
+
+def test_auc_same_for_any_layout(spark):
+    rnd = random.Random(9)
+    rows = [(round(rnd.random(), 2), rnd.randint(0, 1), rnd.randint(0, 2)) for _ in range(600)]
+    base = spark.createDataFrame(rows, "s double, y int, g int")
+    ref = None
+    for parts in (1, 4, 17):
+        got = sorted(M.auc(base.repartition(parts), "s", "y", ["g"]).collect())
+        ref = ref or got
+        assert got == ref
+
+
+def test_unique_key_check(spark):
+    import pytest
+    from widetab.operators.features import assert_unique_key
+    assert_unique_key(spark.createDataFrame([(1,), (2,)], "k int"), "k")
+    with pytest.raises(ValueError):
+        assert_unique_key(spark.createDataFrame([(1,), (1,)], "k int"), "k")

@@ -151,6 +151,15 @@ def interactions(df: DataFrame, cols: Sequence[str], ops: Iterable[str] = ("plus
     return df.select(*(["*"] if keep else []), *exprs)
 
 
+def assert_unique_key(df: DataFrame, key: str) -> None:
+    """Refuse a table whose key repeats (rows are tied by key, so a
+    duplicate would silently multiply rows in every later join). One
+    aggregate; only the count of repeated keys reaches the driver."""
+    dup = df.groupBy(key).count().filter("count > 1").agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    if dup:
+        raise ValueError(f"key {key!r} is not unique: {dup} values repeat")
+
+
 def attach(df: DataFrame, other: DataFrame, key: str, check: bool = False) -> DataFrame:
     """Paste the columns of ``other`` onto ``df`` row by row, by key.
 
