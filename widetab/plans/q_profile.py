@@ -302,7 +302,7 @@ def read_table_tokens(spark, d):
     w = wide(spark, d)
     path = scratch_path(spark, "wide-csv")
     w.write.option("header", True).csv(path)
-    return io.read_table(spark, path, KEY, LABEL, fmt="csv", schema=w.schema)
+    return io.read_table(spark, path, KEY, LABEL, fmt="csv", schema=w.schema, check_key=True)
 
 
 @register("read_text_records", """

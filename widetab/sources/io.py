@@ -19,9 +19,10 @@ from widetab.operators._util import columns_by_type, qcol
 
 def read_table(spark: SparkSession, path: str, key: str = "ID", label: str | None = "target",
                na_tokens: Iterable[str] = DEFAULT_NA_TOKENS, fmt: str = "parquet",
-               schema=None) -> DataFrame:
+               schema=None, check_key: bool = False) -> DataFrame:
     """Read a labelled table (A1): key first, label (if any) last, missing
-    text tokens → NULL in one projection. CSV is read with an explicit schema
+    text tokens → NULL in one projection; ``check_key`` refuses a repeated
+    key. CSV is read with an explicit schema
     when given (inference is one extra pass over the data)."""
     if fmt == "csv":
         reader = spark.read.option("header", True)
@@ -35,6 +36,9 @@ def read_table(spark: SparkSession, path: str, key: str = "ID", label: str | Non
     cols = [qcol(key)] + [(null_if_token(qcol(c), tokens).alias(c) if c in text else qcol(c)) for c in body]
     if label and label in df.columns:
         cols.append(qcol(label))
+    if check_key:
+        from widetab.operators.features import assert_unique_key
+        assert_unique_key(df, key)
     return df.select(*cols)
 
 
