@@ -39,3 +39,19 @@ def test_stage_outputs_per_model(spark):
 
 def test_run_id():
     assert io.run_id({"alpha": 0.1, "beta": 1}, "SGD") == "SGD_alpha_0.1_beta_1"
+
+
+def test_read_table_nan_is_missing(spark):
+    base = tempfile.mkdtemp(prefix="wt-nan-", dir="/tmp")
+    spark.createDataFrame([(1, float("nan")), (2, 1.5)], "ID long, x double").write.parquet(f"{base}/p")
+    got = {r["ID"]: r["x"] for r in io.read_table(spark, f"{base}/p", "ID", None).collect()}
+    assert got == {1: None, 2: 1.5}
+
+
+def test_strict_average_rejects_gaps(spark):
+    import pytest
+    from widetab.operators.ensemble import average
+    preds = spark.createDataFrame([("a", 1, 0.2), ("b", 1, 0.4), ("a", 2, 0.6)], "model string, ID long, target double")
+    assert {r["ID"]: r["target"] for r in average(preds, "ID").collect()} == {1: 0.3, 2: 0.3}
+    with pytest.raises(ValueError):
+        average(preds, "ID", strict=True)

@@ -22,7 +22,8 @@ def average(preds: DataFrame, key: str, score: str = "target", model: str = "mod
     """Mean prediction per key over models (G1).
 
     The divisor is the number of models (a model lacking a key still counts,
-    as in the reference); ``strict`` drops keys not predicted by every model.
+    as in the reference); ``strict`` rejects the input when some key is not
+    predicted by every model.
     """
     n = n_models
     agg = preds.groupBy(key).agg(F.sum(score).alias("__s"), F.countDistinct(model).alias("__k"))
@@ -31,7 +32,9 @@ def average(preds: DataFrame, key: str, score: str = "target", model: str = "mod
         n = preds.agg(F.countDistinct(model).alias("__n")).first()["__n"]
     div = F.lit(n)
     if strict:
-        agg = agg.filter(F.col("__k") == div)
+        gaps = agg.filter(F.col("__k") < div).agg(F.count(F.lit(1)).alias("g")).first()["g"]
+        if gaps:
+            raise ValueError(f"average: {gaps} keys lack a prediction from some model")
     val = F.col("__s") / div.cast("double")
     if digits is not None:
         val = F.round(val, digits)

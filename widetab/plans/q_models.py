@@ -315,8 +315,9 @@ def grid_search(spark, d):
 
     def evaluate(s):
         m = L.fit_boosted(tr, LABEL, {**s, "nrounds": int(s["nrounds"])})
-        a = M.auc(L.predict(m, te, KEY, keep=[LABEL], name="score"), "score", LABEL).first()["auc"]
-        return {"auc_test": a}
+        a_tr = M.auc(L.predict(m, tr, KEY, keep=[LABEL], name="score"), "score", LABEL).first()["auc"]
+        a_te = M.auc(L.predict(m, te, KEY, keep=[LABEL], name="score"), "score", LABEL).first()["auc"]
+        return {"auc_train": a_tr, "auc_test": a_te}
     log = SE.search(spark, SE.grid({"eta": [0.1, 0.3], "max_depth": [2, 4], "nrounds": [5]}), evaluate)
     return M.best_run(log, "auc_test", tiebreak=["i"])
 

@@ -13,7 +13,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from widetab.functions.exprs import null_if_token, DEFAULT_NA_TOKENS
+from widetab.functions.exprs import nan_to_null, null_if_token, DEFAULT_NA_TOKENS
 from widetab.operators._util import columns_by_type, qcol
 
 
@@ -31,9 +31,17 @@ def read_table(spark: SparkSession, path: str, key: str = "ID", label: str | Non
     else:
         df = spark.read.format(fmt).load(path)
     text = set(columns_by_type(df)["text"])
+    floats = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
     tokens = list(na_tokens)
     body = [c for c in df.columns if c not in (key, label)]
-    cols = [qcol(key)] + [(null_if_token(qcol(c), tokens).alias(c) if c in text else qcol(c)) for c in body]
+
+    def clean(c):
+        if c in text:
+            return null_if_token(qcol(c), tokens).alias(c)
+        if c in floats:
+            return nan_to_null(qcol(c)).alias(c)  # NaN is missing, as NULL is
+        return qcol(c)
+    cols = [qcol(key)] + [clean(c) for c in body]
     if label and label in df.columns:
         cols.append(qcol(label))
     if check_key:
