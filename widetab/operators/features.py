@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from widetab.functions.exprs import epoch_seconds, nan_to_null, parse_text_date, TEXT_DATE_FORMAT
 from widetab.operators.ordering import row_number
 from widetab.operators._util import (
-    bounded_broadcast, columns_by_type, materialize, qcol,
+    bounded_broadcast, broadcast_if_small, columns_by_type, materialize, qcol,
 )
 
 
@@ -283,7 +283,10 @@ def pooled_frequency_score(df: DataFrame, key: str, cols: Sequence[str]) -> Data
     long = df.select(key, *[qcol(c).cast("string").alias(c) for c in cols]) \
         .unpivot([key], list(cols), "col_name", "v").filter(F.col("v").isNotNull())
     freq = long.groupBy("v").agg(F.count(F.lit(1)).alias("freq"))
-    scored = long.join(freq, "v")
+    # Joined on the value itself, so a hot value would skew a shuffle join:
+    # broadcast the frequency table when its counted size allows (otherwise
+    # AQE splits the skewed partition).
+    scored = long.join(broadcast_if_small(freq), "v")
     return scored.groupBy(key).agg(
         F.sum("freq").cast("bigint").alias("freq_sum"),
         F.count(F.lit(1)).cast("bigint").alias("freq_count")).select(
