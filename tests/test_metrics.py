@@ -59,3 +59,9 @@ def test_unique_key_check(spark):
     assert_unique_key(spark.createDataFrame([(1,), (2,)], "k int"), "k")
     with pytest.raises(ValueError):
         assert_unique_key(spark.createDataFrame([(1,), (1,)], "k int"), "k")
+
+
+def test_auc_ignores_missing_scores(spark):
+    df = spark.createDataFrame([(0.1, 0), (0.9, 1), (None, 1), (float("nan"), 0), (0.5, None)], "s double, y int")
+    r = M.auc(df, "s", "y").first()
+    assert r["auc"] == 1.0 and r["n_pos"] == 1 and r["n_neg"] == 1

@@ -24,8 +24,12 @@ LOGLOSS_EPS = 1e-14
 
 
 def score_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """``(by…, __s, __pos, __neg)`` per distinct score; rows with a missing
+    (NULL or NaN) score or label are left out."""
     by = list(by)
-    return df.groupBy(*by, F.col(score).cast("double").alias("__s")).agg(
+    s = F.col(score).cast("double")
+    df = df.filter(s.isNotNull() & ~F.isnan(s) & F.col(label).isNotNull())
+    return df.groupBy(*by, s.alias("__s")).agg(
         F.count_if(F.col(label) == 1).cast("double").alias("__pos"),
         F.count_if(F.col(label) != 1).cast("double").alias("__neg"))
 
