@@ -116,7 +116,16 @@ def bags(spark, d):
     return out.select(F.col("bag").cast("int").alias("bag"), "o_orderkey", "is_valid")
 
 
-@register("with_sample", None, ("B28", "B18"))
+_WIDE_COLS = ["price_na", "k_const", "near_const", "sentinel", "prio_tok", "status", "priority", "segment",
+              "nation", "acctbal", "custkey", "date_txt"]
+_SAMPLED = P.sample_columns(_WIDE_COLS, 6, seed=1)
+
+
+@register("with_sample", f"""
+WITH w AS ({WIDE_SQL}),
+r AS (SELECT *, row_number() OVER (ORDER BY {sql_key_hash('ID', 1)}, ID) AS rn FROM w)
+SELECT ID, target, {", ".join(_SAMPLED)} FROM r WHERE rn <= (SELECT count(*) // 4 FROM w)
+""", ("B28", "B18"))
 def with_sample(spark, d):
     w = wide(spark, d)
     n = w.count() // 4
