@@ -116,7 +116,9 @@ def step(state: DataFrame, batch: DataFrame, key: str, label: str, idx_col: str
          params: OnlineParams = OnlineParams(), add_bias: bool = True,
          broadcast_limit: int = 2_000_000) -> tuple[DataFrame, DataFrame]:
     """One synchronous mini-batch. Returns (new state, per-row predictions
-    made *before* the update: ``key, label, p``)."""
+    made *before* the update: ``key, label, p``). ``key`` identifies a row
+    and must be unique within the batch (the per-row step groups by it, so
+    its groups are bounded by the row's width)."""
     idx = with_bias(F.col(idx_col)) if add_bias else F.col(idx_col)
     ex = batch.select(key, F.col(label).cast("double").alias("__y"), F.explode(idx).alias("idx"))
     j = _join_state(ex, state, params, broadcast_limit)
