@@ -92,14 +92,18 @@ s{b + 1} AS (SELECT coalesce(m.idx, g{b}.idx) AS idx, m.a, m.b, m.w, g{b}.G, g{b
 t{b + 1} AS (SELECT idx, {upd_a.replace(" w", " coalesce(w, " + zero + ")")} AS a, {upd_b} AS b FROM s{b + 1})""")
         prev = f"t{b + 1}"
     body = ",".join(steps)
+    return _two_step_ctes(body) + f"""
+SELECT idx, round(a, 9) + {zero} AS a, round(b, 9) + {zero} AS b FROM t2"""
+
+
+def _two_step_ctes(body: str) -> str:
     return f"""
 WITH e AS (SELECT event_id, CASE WHEN value > 50 THEN 1 ELSE 0 END AS y,
                   {sql_key_hash('event_id', 'batch')} % 2 AS batch, event_type, user_id, props FROM events),
 f AS (SELECT event_id, y, batch, CAST(0 AS BIGINT) AS idx FROM e
       UNION ALL """ + " UNION ALL ".join(
         f"SELECT event_id, y, batch, {_feat_sql(c)} FROM e" for c in FEATURES) + f"""),
-s0 AS (SELECT CAST(NULL AS BIGINT) AS idx, CAST(NULL AS DOUBLE) AS a, CAST(NULL AS DOUBLE) AS b WHERE false),{body}
-SELECT idx, round(a, 9) + {zero} AS a, round(b, 9) + {zero} AS b FROM t2"""
+s0 AS (SELECT CAST(NULL AS BIGINT) AS idx, CAST(NULL AS DOUBLE) AS a, CAST(NULL AS DOUBLE) AS b WHERE false),{body}"""
 
 
 @register("ftrl_two_steps", _two_step_sql("ftrl"), ("E9",))
@@ -193,3 +197,45 @@ def ftrl_wide_table(spark, d):
     _state, log = O.fit(h, KEY, LABEL, scratch_path(spark, "ftrl-wide"), params=O.OnlineParams(alpha=0.05),
                         n_batches=4, epochs=1, valid_flag="is_valid")
     return M.auc(log, "p", LABEL, ["epoch", "is_valid"], max_groups=2)
+
+
+
+def _ftrl_state(spark, d):
+    e = O.hash_features(_events(spark, d), FEATURES, D)
+    e = e.withColumn("batch", F.pmod(F.conv(F.substring(F.md5(F.concat(F.col("event_id").cast("string"),
+                                                                         F.lit("_batch"))), 1, 8), 16, 10)
+                                     .cast("bigint"), F.lit(2)))
+    params = O.OnlineParams(algo="ftrl", alpha=ALPHA, beta=BETA, l1=L1, l2=L2)
+    state = O.empty_state(spark)
+    for b in range(2):
+        state, _ = O.step(state, e.filter(F.col("batch") == b), "event_id", "y", "idx", params)
+    return O.save_state(state, scratch_path(spark, "ftrl-state")), params
+
+
+def _stream_score_sql() -> str:
+    zero = "CAST(0 AS DOUBLE)"
+    full = _two_step_sql("ftrl")
+    ctes = full[:full.rindex("SELECT idx, round(a, 9)")]
+    weight = (f"CASE WHEN abs(coalesce(a, {zero})) <= {L1} THEN {zero} ELSE "
+              f"(sign(coalesce(a, {zero})) * {L1} - coalesce(a, {zero})) / "
+              f"(({BETA} + sqrt(coalesce(b, {zero}))) / {ALPHA} + {L2}) END")
+    return ctes + f""",
+wf AS (SELECT idx, {weight} AS w FROM t2),
+sc AS (SELECT f.event_id, max(f.y) AS y, sum(coalesce(wf.w, {zero})) AS wtx
+       FROM f LEFT JOIN wf ON f.idx = wf.idx GROUP BY f.event_id)
+SELECT event_id, y, round(1 / (1 + exp(-greatest(least(wtx, 35), -35))), 9) + {zero} AS p FROM sc"""
+
+
+@register("stream_score_ftrl", _stream_score_sql(), ("H2", "E9", "E15"))
+def stream_score_ftrl(spark, d):
+    """Score a stream of events with the FTRL state of two mini-batch steps
+    (stream–static, per micro-batch); same scores as SQL replaying the steps."""
+    from widetab.streaming import stream_score as run
+    state, params = _ftrl_state(spark, d)
+    src, schema = _stream_source(spark, d)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    base = scratch_path(spark, "stream-score-ftrl")
+    q = run(stream, "event_id", f"{base}/scores", f"{base}/ckpt", state=state, params=params, keep=["y"])
+    q.awaitTermination()
+    out = spark.read.parquet(f"{base}/scores")
+    return out.select("event_id", "y", (F.round("p", 9) + F.lit(0.0)).alias("p"))
