@@ -114,7 +114,7 @@ def score(state: DataFrame, df: DataFrame, key: str, idx_col: str = "idx", param
 
 def step(state: DataFrame, batch: DataFrame, key: str, label: str, idx_col: str = "idx",
          params: OnlineParams = OnlineParams(), add_bias: bool = True,
-         broadcast_limit: int = 2_000_000) -> tuple[DataFrame, DataFrame]:
+         broadcast_limit: int = 2_000_000, hold: list | None = None) -> tuple[DataFrame, DataFrame]:
     """One synchronous mini-batch. Returns (new state, per-row predictions
     made *before* the update: ``key, label, p``). ``key`` identifies a row
     and must be unique within the batch (the per-row step groups by it, so
@@ -128,6 +128,11 @@ def step(state: DataFrame, batch: DataFrame, key: str, label: str, idx_col: str
                              F.collect_list("idx").alias("__idx"))
     p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.least(F.col("wtx"), F.lit(WTX_CLIP)), F.lit(-WTX_CLIP))))
     scored = per.select(key, F.col("__y").alias(label), p.alias("p"), "__idx")
+    if hold is not None:
+        # The caller writes both outputs; keep the per-row scores for the
+        # second write and release them afterwards (``hold`` collects them).
+        scored = scored.persist()
+        hold.append(scored)
     preds = scored.select(key, label, "p")
     grads = (scored.select((F.col("p") - F.col(label)).alias("g"), F.explode("__idx").alias("idx"))
              .groupBy("idx").agg(F.sum("g").alias("G"), F.sum(F.col("g") * F.col("g")).alias("G2"),
@@ -184,7 +189,8 @@ def fit(df: DataFrame, key: str, label: str, state_path: str, idx_col: str = "id
                 valid = batch.filter(F.col(valid_flag))
             else:
                 train, valid = batch, None
-            new_state, preds = step(state, train, key, label, idx_col, params, add_bias)
+            hold: list = []
+            new_state, preds = step(state, train, key, label, idx_col, params, add_bias, hold=hold)
             logs = preds.select(F.lit(e).alias("epoch"), F.lit(b).alias("batch"), key, label, "p",
                                 F.lit(False).alias("is_valid"))
             if valid is not None:
@@ -193,6 +199,8 @@ def fit(df: DataFrame, key: str, label: str, state_path: str, idx_col: str = "id
                                                   "p", F.lit(True).alias("is_valid")))
             logs.write.mode("append").parquet(log_path)
             state = save_state(new_state, f"{state_path}/state/epoch={e}/batch={b}")
+            for h in hold:
+                h.unpersist()
     return state, spark.read.parquet(log_path)
 
 

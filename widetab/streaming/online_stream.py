@@ -65,12 +65,15 @@ def stream_fit(stream: DataFrame, key: str, label: str, state_path: str, checkpo
             return  # replayed batch: already applied
         state = read_state(spark, state_path, before=batch_id)
         rows = batch_df.select(key, label, idx_col).persist()
+        hold: list = []
         try:
-            new_state, preds = O.step(state, rows, key, label, idx_col, params, add_bias)
+            new_state, preds = O.step(state, rows, key, label, idx_col, params, add_bias, hold=hold)
             preds.withColumn("batch_id", F.lit(batch_id)) \
                 .write.mode("overwrite").parquet(f"{state_path}/log/batch={batch_id}")
             new_state.write.mode("overwrite").parquet(f"{state_path}/state/batch={batch_id}")
         finally:
+            for h in hold:
+                h.unpersist()
             rows.unpersist()
 
     w = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
