@@ -2,8 +2,8 @@
 
 The driver tables carry no NULLs, text dates, sentinels or several models'
 scores, so the wide labelled table is derived from ``orders`` ⋈ ``customer``
-with the recipes of FIXTURES.md §3. Each builder here has a SQL twin in
-``plans.oracle`` that produces the same values in DuckDB.
+with the recipes of FIXTURES.md §3. Each builder here has a SQL twin
+(``WIDE_SQL``, ``MODEL_SCORES_SQL``) that produces the same values in DuckDB.
 """
 
 from __future__ import annotations
