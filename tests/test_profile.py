@@ -68,3 +68,17 @@ def test_profile_in_column_chunks(spark, monkeypatch):
     whole = sorted(P.column_profile(df, exclude=["ID"]).collect())
     monkeypatch.setattr(P, "UNPIVOT_CHUNK", 3)
     assert sorted(P.column_profile(df, exclude=["ID"]).collect()) == whole
+
+
+def test_date_detection_and_hour_bins(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([("16JAN14:21:16:00", "x"), ("02FEB15:03:00:00", "JAN1"), (None, "y")],
+                               "d string, t string")
+    full = {r["col_name"]: r["is_date"] for r in P.detect_date_columns(df).collect()}
+    assert full == {"d": True, "t": False}
+    legacy = {r["col_name"]: r["is_date"] for r in
+              P.detect_date_columns(df, pattern=P.LEGACY_DATE_PATTERN).collect()}
+    assert legacy == {"d": True, "t": True}
+    ts = df.select(F.try_to_timestamp("d", F.lit("ddMMMyy:HH:mm:ss")).alias("ts"))
+    hist = {r["hour"]: r["count"] for r in P.hour_histogram(ts, ["ts"]).collect()}
+    assert len(hist) == 24 and hist[21] == 1 and hist[3] == 1 and sum(hist.values()) == 2
