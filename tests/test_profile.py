@@ -82,3 +82,11 @@ def test_date_detection_and_hour_bins(spark):
     ts = df.select(F.try_to_timestamp("d", F.lit("ddMMMyy:HH:mm:ss")).alias("ts"))
     hist = {r["hour"]: r["count"] for r in P.hour_histogram(ts, ["ts"]).collect()}
     assert len(hist) == 24 and hist[21] == 1 and hist[3] == 1 and sum(hist.values()) == 2
+
+
+def test_missing_pattern_groups_brute_force(spark):
+    rows = [(i, None if i < 3 else 1.0, "a" if i < 7 else "b", 5.0 if i < 9 else 6.0) for i in range(10)]
+    df = spark.createDataFrame(rows, "ID int, x double, t string, y double")
+    got = {r["m"]: r["n_columns"] for r in P.missing_pattern_groups(P.column_profile(df, exclude=["ID"])).collect()}
+    # x: {NULL×3, 1.0×7} → m = 3; t: {a×7, b×3} → m = 3; y: {5×9, 6×1} → m = 1
+    assert got == {3: 2, 1: 1}
