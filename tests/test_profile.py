@@ -90,3 +90,13 @@ def test_missing_pattern_groups_brute_force(spark):
     got = {r["m"]: r["n_columns"] for r in P.missing_pattern_groups(P.column_profile(df, exclude=["ID"])).collect()}
     # x: {NULL×3, 1.0×7} → m = 3; t: {a×7, b×3} → m = 3; y: {5×9, 6×1} → m = 1
     assert got == {3: 2, 1: 1}
+
+
+def test_top_values_ties_and_lookup_keeps_all(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("b",), ("c",), ("a",), ("d",)], "t string")
+    top = [(r["rank"], r["value"], r["count"]) for r in P.distinct_values(df, k=3).orderBy("rank").collect()]
+    assert top == [(1, "a", 2), (2, "b", 2), (3, "c", 1)]  # ties broken by value
+    lk = spark.createDataFrame([(1, "ONE"), (2, "TWO"), (3, "THREE")], "code int, name string")
+    facts = spark.createDataFrame([(1,), (1,), (3,)], "code int")
+    got = {r["code"]: (r["name"], r["count"]) for r in P.counts_with_lookup(facts, "code", lk, "code", "name").collect()}
+    assert got == {1: ("one", 2), 2: ("two", None), 3: ("three", 1)}
