@@ -9,11 +9,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from widetab.llm import mixing, packing, secrets
+from widetab.llm import mixing, neardup, packing, quality, secrets
 from widetab.llm.common import query_table, write_shared
 from widetab.llm.queries import prepare
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or their host's verdict reject go."""
+    prepare(spark)
+    return quality.keep_good(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays (five words, 0.8)."""
+    prepare(spark)
+    return neardup.drop_near_copies(docs)
+
+
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in every text are replaced by a mark; no document goes."""
     prepare(spark)
@@ -32,7 +44,13 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack_documents(docs)
 
 
-STAGES = [("secret_scans", redact_secrets), ("mix_sources", mix_sources), ("best_fit_packing", pack_sequences)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("secret_scans", redact_secrets),
+    ("mix_sources", mix_sources),
+    ("best_fit_packing", pack_sequences),
+]
 #: Tokenised packing has no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 

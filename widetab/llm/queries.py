@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from widetab.llm import fingerprint, mixing, packing, rans, secrets, warc
+from widetab.llm import fingerprint, html_tree, mixing, neardup, packing, quality, rans, secrets, warc
 from widetab.llm.common import query_table, shared_path
 from widetab.session import ensure_checkpoint_dir
 
@@ -82,3 +82,18 @@ def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "token-archive")
     rans.write_ids(query_table(spark, sf_dir, "documents"), path)
     return rans.read_documents(spark, path).select("doc_id", "start", F.col("n_tokens"), "ids_crc32")
+
+
+@query("op7_near_duplicates")
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.components(query_table(spark, sf_dir, "documents"), width=3, percent=85).drop("th")
+
+
+@query("op8_host_quality", quality.JUDGE_SQL)
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(query_table(spark, sf_dir, "documents"))
+
+
+@query("op9_main_text")
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_tree.main_text(query_table(spark, sf_dir, "pages"))
