@@ -3,8 +3,9 @@
 The byte-level BPE splits text before merging, and no piece crosses a single
 space that has a non-space character on both sides. So a text is cut there,
 and each unit (with its leading space) is encoded once by the library and
-remembered as packed ids. Texts with a special token's string are encoded
-whole. The memory is cleared when it is full, so it stays bounded.
+remembered as packed ids. Units of letters, of letters and a mark, and of lines
+of these are put together from their pieces. Texts with a special token's
+string are encoded whole. The memory is cut back when it is full.
 """
 
 from __future__ import annotations
@@ -16,9 +17,9 @@ from itertools import islice
 import numpy as np
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_ODD = re.compile(r"\s | \s")
-MEMORY_UNITS = 400_000
-KEPT_UNITS = 60_000
+_MARKS = ".,;:!?"
+MEMORY_UNITS = 900_000
+KEPT_UNITS = 100_000
 
 
 def default_tokenizer_path() -> str:
@@ -27,6 +28,36 @@ def default_tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies:
+    printable Latin-1 characters for themselves, the others from 256 up."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b if b in plain else next(others)) for b in range(256)]
+
+
+class _CutElsewhere(Exception):
+    """A unit starts or ends with white space, or is empty."""
+
+
+class _Units(dict):
+    """Ids of units that follow ``lead`` (a space, or nothing)."""
+
+    def __init__(self, enc: UnitEncoder, lead: str):
+        super().__init__()
+        self.enc, self.lead = enc, lead
+
+    def __missing__(self, u: str) -> bytes:
+        ids = self.enc.new_unit(self.lead, u)
+        if len(self) >= self.enc.memory:
+            # Keep the units met first: frequent ones are among them.
+            first = list(islice(self.items(), min(KEPT_UNITS, self.enc.memory // 2)))
+            self.clear()
+            self.update(first)
+        self[u] = ids
+        return ids
+
+
 class UnitEncoder:
     """``encode(text)`` → ids as little-endian unsigned 32-bit bytes, equal to
     ``tokenizer.encode(text, add_special_tokens=False).ids``."""
@@ -37,39 +68,47 @@ class UnitEncoder:
         self.tok = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.memory = memory
-        self.known: dict[str, bytes] = {}     # unit without its leading space → ids
-        self.first: dict[str, bytes] = {}     # unit at the start of a text → ids
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        self.letters = _byte_letters()
+        self.spaced, self.bare = _Units(self, " "), _Units(self, "")
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _word(self, piece: str) -> bytes:
+        """A piece that is a word for the splitter goes to the library's model."""
+        got = self.tok.model.tokenize("".join([self.letters[b] for b in piece.encode()]))
+        return b"".join([t.id.to_bytes(4, "little") for t in got])
+
+    def new_unit(self, lead: str, u: str) -> bytes:
+        if not u or u[0].isspace() or u[-1].isspace():
+            raise _CutElsewhere
+        word = u.rstrip(_MARKS)
+        if word.isalpha() and max(word) < "ɐ":
+            if word == u:
+                return self._word(lead + u)
+            return (self.spaced if lead else self.bare)[word] + self.bare[u[len(word):]]
+        if "\n" in u:
+            lines = u.split("\n")
+            if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
+                first = (self.spaced if lead else self.bare)[lines[0]]
+                end = self.whole("\n")
+                return first + b"".join([end + self.bare[x] for x in lines[1:]])
+        return self.whole(lead + u)
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         if any(s in text for s in self.special):
-            return self._whole([text])[0]
-        if text[0] == " " or text[-1] == " " or _ODD.search(text):
-            units = _CUT.split(text)
-        else:
-            units = text.split(" ")
-        start = units[0]
-        if start not in self.first:
-            if len(self.first) >= KEPT_UNITS:
-                self.first.clear()
-            self.first[start] = self._whole([start])[0]
-        rest = units[1:]
-        known = self.known
-        new = [u for u in set(rest) if u not in known]
-        if new:
-            if len(known) + len(new) > self.memory:
-                # Keep the units met first: frequent ones are among them.
-                known = self.known = dict(islice(known.items(), KEPT_UNITS))
-                new = [u for u in set(rest) if u not in known]
-            for at in range(0, len(new), 4096):
-                part = new[at:at + 4096]
-                known.update(zip(part, self._whole([" " + u for u in part])))
-        return self.first[start] + b"".join(map(known.__getitem__, rest))
+            return self.whole(text)
+        units = text.split(" ")
+        try:
+            return self.bare[units[0]] + b"".join(map(self.spaced.__getitem__, units[1:]))
+        except _CutElsewhere:
+            out = []
+            for i, u in enumerate(_CUT.split(text)):
+                plain = " " not in u and u and not u[0].isspace() and not u[-1].isspace()
+                out.append((self.spaced if i else self.bare)[u] if plain else self.whole(" " + u if i else u))
+            return b"".join(out)
 
 
 _ENCODERS: dict[str, UnitEncoder] = {}
