@@ -7,38 +7,49 @@ from pyspark.sql import functions as F
 from widetab.operators import online as O
 
 
+def _sigmoid(x):
+    return 1.0 / (1.0 + math.exp(-x))
+
+
 def _seq_ftrl(rows, alpha, beta, l1, l2):
-    z, n = {}, {}
+    """FTRL-proximal from its closed form. The weight of a coordinate solves
+    min_w  g·w + l1·|w| + (l2 + (beta + sqrt(n)) / alpha)·w²/2 − Σ sigma·w_t·w,
+    so it is the soft threshold of −z over that curvature, and z is rebuilt
+    from the whole history of (gradient, weight) of the coordinate."""
+    seen = {}                                     # coordinate → [(gradient, weight at that time)]
+
+    def sums(c):
+        z = n = 0.0
+        for g, w in seen.get(c, ()):
+            rate = (math.sqrt(n + g * g) - math.sqrt(n)) / alpha
+            z, n = z + g - rate * w, n + g * g
+        return z, n
+
+    def weight(c):
+        z, n = sums(c)
+        return math.copysign(max(abs(z) - l1, 0.0), -z) / ((beta + math.sqrt(n)) / alpha + l2)
     for idx, y in rows:
-        ids = [0] + idx
-        w = {}
-        wtx = 0.0
-        for i in ids:
-            zi, ni = z.get(i, 0.0), n.get(i, 0.0)
-            s = -1.0 if zi < 0 else 1.0
-            w[i] = 0.0 if s * zi <= l1 else (s * l1 - zi) / ((beta + math.sqrt(ni)) / alpha + l2)
-            wtx += w[i]
-        p = 1.0 / (1.0 + math.exp(-max(min(wtx, 35.0), -35.0)))
-        g = p - y
-        for i in ids:
-            ni = n.get(i, 0.0)
-            sigma = (math.sqrt(ni + g * g) - math.sqrt(ni)) / alpha
-            z[i] = z.get(i, 0.0) + g - sigma * w[i]
-            n[i] = ni + g * g
-    return z, n
+        at = {c: weight(c) for c in [0, *idx]}
+        err = _sigmoid(sum(at.values())) - y
+        for c, w in at.items():
+            seen.setdefault(c, []).append((err, w))
+    got = {c: sums(c) for c in seen}
+    return {c: z for c, (z, _) in got.items()}, {c: n for c, (_, n) in got.items()}
 
 
 def _seq_adagrad(rows, alpha, beta, l2):
-    w, G = {}, {}
+    """Gradient steps with rate alpha / (beta + root of the summed squares)."""
+    import numpy as np
+    size = 1 + max(max(idx) for idx, _ in rows)
+    w, squares = np.zeros(size), np.zeros(size)
     for idx, y in rows:
-        ids = [0] + idx
-        wtx = sum(w.get(i, 0.0) for i in ids)
-        p = 1.0 / (1.0 + math.exp(-max(min(wtx, 35.0), -35.0)))
-        g = p - y
-        for i in ids:
-            G[i] = G.get(i, 0.0) + g * g
-            w[i] = w.get(i, 0.0) - alpha / (beta + math.sqrt(G[i])) * (g + l2 * w.get(i, 0.0))
-    return w, G
+        x = np.zeros(size)
+        x[[0, *idx]] = 1.0
+        err = _sigmoid(float(w @ x)) - y
+        squares += (err * x) ** 2
+        w -= x * alpha / (beta + np.sqrt(squares)) * (err + l2 * w)
+    used = sorted({0, *[i for idx, _ in rows for i in idx]})
+    return {i: w[i] for i in used}, {i: squares[i] for i in used}
 
 
 ROWS = [([1 + (r * 7) % 5, 10 + (r * 3) % 4], (r * 5 + 1) % 3 % 2) for r in range(50)]

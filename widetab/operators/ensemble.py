@@ -41,10 +41,20 @@ def average(preds: DataFrame, key: str, score: str = "target", model: str = "mod
     return agg.select(key, val.alias(score))
 
 
+def _refuse_gaps(preds: DataFrame, known: Sequence[str], score: str, model: str) -> None:
+    """Weighted means need a score in every row and a weight for every model."""
+    bad = preds.agg(F.count_if(F.col(score).isNull()).alias("empty"),
+                    F.count_if(F.coalesce(~F.col(model).isin(list(known)), F.lit(True))).alias("unknown")).first()
+    if bad["empty"] or bad["unknown"]:
+        raise ValueError(f"{bad['empty']} rows without a score, {bad['unknown']} rows of models without a weight")
+
+
 def weighted_average(preds: DataFrame, weights: dict[str, float], key: str, score: str = "target",
                      model: str = "model") -> DataFrame:
     """Σ w·p / Σ w per key with given model weights (G2). The weight table
-    has one row per model and is broadcast (bounded by the dict size)."""
+    has one row per model and is broadcast (bounded by the dict size). Rows
+    without a score and models without a weight are refused."""
+    _refuse_gaps(preds, list(weights), score, model)
     spark = preds.sparkSession
     wdf = spark.createDataFrame([(m, float(w)) for m, w in weights.items()], f"{model} string, __w double")
     j = preds.join(bounded_broadcast(wdf, len(weights)), model)
@@ -55,8 +65,10 @@ def weighted_average(preds: DataFrame, weights: dict[str, float], key: str, scor
 def blend(preds: DataFrame, families: dict[str, dict[str, float]], family_weights: dict[str, float],
           key: str, score: str = "target", model: str = "model") -> DataFrame:
     """Two-level blend (G3): a weighted mean inside each family of models,
-    then a weighted mean of the family scores."""
+    then a weighted mean of the family scores. Rows without a score and models
+    outside the families are refused."""
     spark = preds.sparkSession
+    _refuse_gaps(preds, [m for ms in families.values() for m in ms], score, model)
     rows = [(m, fam, float(w)) for fam, ms in families.items() for m, w in ms.items()]
     wdf = spark.createDataFrame(rows, f"{model} string, __fam string, __w double")
     inner = (preds.join(bounded_broadcast(wdf, len(rows)), model)

@@ -93,11 +93,9 @@ def encode_levels(train: DataFrame, test: DataFrame | None, key: str, cols: Sequ
     first = first.select("col_name", "value", F.col("__first.__src").alias("__src"),
                          F.col(f"__first.{key}").alias("__key"))
     # Number distinct values per column by first appearance without putting a
-    # whole column in one task: bucketed windows (ordering.row_number).
-    first = first.withColumn("__ord", F.col("__src").cast("double") * F.lit(1e18)
-                             + F.col("__key").cast("double"))
-    levels = materialize(row_number(first, ["__ord", "__src", "__key"], ["col_name"], "level",
-                                    max_groups=len(cols), materialize_input=True).select(
+    # whole column in one task: range-partitioned windows (ordering.row_number).
+    levels = materialize(row_number(first, ["__src", "__key"], ["col_name"], "level",
+                                    materialize_input=True).select(
         "col_name", "value", F.col("level").cast("int").alias("level")))
     sizes = {r["col_name"]: r["n"] for r in levels.groupBy("col_name").agg(F.count(F.lit(1)).alias("n")).collect()}
 
@@ -232,20 +230,20 @@ def sentinel_codes(max_power: int = 20, max_offset: int = 4) -> list[float]:
 
 
 def sentinel_flags(df: DataFrame, cols: Sequence[str], max_power: int = 20,
-                   max_offset: int = 4, max_passes: int = 8) -> tuple[DataFrame, list[tuple[str, float]]]:
+                   max_offset: int = 4) -> tuple[DataFrame, list[tuple[str, float]]]:
     """Sentinel codes to flags.
 
     A column whose maximum is ``10^i - j`` (or minimum ``-(10^i - j)``) gets a
     0/1 column ``<col>_<code>`` and the code becomes NULL. Repeated while any
-    column still matches (a column may carry several codes); each pass is one
-    min/max aggregate over all columns. Returns the table and the
+    column still matches (a column may carry several codes; the list of codes is
+    finite, so this ends); each pass is one min/max aggregate over all columns. Returns the table and the
     ``(column, code)`` list.
     """
     codes = set(sentinel_codes(max_power, max_offset))
     cols = list(cols)
     found: list[tuple[str, float]] = []
     cur = df
-    for _ in range(max_passes):
+    while True:
         exprs = []
         for c in cols:
             exprs += [F.max(qcol(c).cast("double")).alias(f"hi::{c}"),

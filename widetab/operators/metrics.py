@@ -34,11 +34,10 @@ def score_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ())
         F.count_if(F.col(label) != 1).cast("double").alias("__neg"))
 
 
-def auc_from_counts(counts: DataFrame, by: Sequence[str] = (), max_groups: int | None = None) -> DataFrame:
+def auc_from_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """AUC per group from a ``(by…, __s, __pos, __neg)`` count table."""
     by = list(by)
-    ranked = prefix_sum(counts, ["__s"], {"__neg_below": F.col("__neg")}, by, inclusive=False,
-                        max_groups=max_groups, materialize_input=True)
+    ranked = prefix_sum(counts, ["__s"], {"__neg_below": F.col("__neg")}, by, inclusive=False, materialize_input=True)
     agg = ranked.groupBy(*by).agg(
         F.sum("__pos").alias("P"), F.sum("__neg").alias("N"),
         F.sum(F.col("__pos") * (F.col("__neg_below") + F.col("__neg") / F.lit(2.0))).alias("U"))
@@ -46,11 +45,10 @@ def auc_from_counts(counts: DataFrame, by: Sequence[str] = (), max_groups: int |
                       F.try_divide(F.col("U"), F.col("P") * F.col("N")).alias("auc"))
 
 
-def auc(df: DataFrame, score: str, label: str, by: Sequence[str] = (),
-        max_groups: int | None = None) -> DataFrame:
+def auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """AUC per group with average ranks for ties (F1). NULL when a class is
     empty. Output: ``*by, n_pos, n_neg, auc``."""
-    return auc_from_counts(score_counts(df, score, label, by), by, max_groups)
+    return auc_from_counts(score_counts(df, score, label, by), by)
 
 
 def logloss(df: DataFrame, p: str, label: str, by: Sequence[str] = (), eps: float = LOGLOSS_EPS) -> DataFrame:
@@ -68,7 +66,7 @@ def row_logloss(p, label, eps: float = LOGLOSS_EPS):
 
 
 def score_table(preds: DataFrame, label: str, score: str = "target",
-                by: Sequence[str] = ("model", "split"), max_groups: int | None = None,
+                by: Sequence[str] = ("model", "split"),
                 eps: float = LOGLOSS_EPS) -> DataFrame:
     """AUC and log loss per (model, split) in one table.
 
@@ -79,12 +77,16 @@ def score_table(preds: DataFrame, label: str, score: str = "target",
     by = list(by)
     from widetab.operators._util import materialize
     counts = materialize(score_counts(preds, score, label, by))
-    a = auc_from_counts(counts, by, max_groups)
+    a = auc_from_counts(counts, by)
     pc = F.greatest(F.least(F.col("__s"), F.lit(1.0 - eps)), F.lit(eps))
     ll = counts.groupBy(*by).agg(
         (F.sum(F.col("__pos") * -F.ln(pc) + F.col("__neg") * -F.ln(F.lit(1.0) - pc))
          / F.sum(F.col("__pos") + F.col("__neg"))).alias("logloss"))
-    return a.join(ll, by, "left")
+    ll = ll.select(*[F.col(c).alias(f"__g{i}") for i, c in enumerate(by)], "logloss")
+    same = F.lit(True)
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"__g{i}"))
+    return a.join(ll, same, "left").drop(*[f"__g{i}" for i in range(len(by))])
 
 
 def progress(preds: DataFrame, order: str, label: str, score: str, step: int,

@@ -55,8 +55,9 @@ def hash_features(df: DataFrame, cols: Sequence[str], D: int = DEFAULT_D, fn: st
                   out: str = "idx") -> DataFrame:
     """Hash one-hot (C8): ``idx = hash(name + '_' + value) mod D`` for every
     listed column, as an ``ARRAY<BIGINT>`` in column order. Values are used
-    as text (the reference reads every field as text)."""
-    arr = F.array(*[F.pmod(raw_hash(F.concat(F.lit(f"{c}_"), qcol(c).cast("string")), fn), F.lit(D))
+    as text (the reference reads every field as text); a missing cell is a
+    category of its own, ``name + '_'``."""
+    arr = F.array(*[F.pmod(raw_hash(F.concat(F.lit(f"{c}_"), F.coalesce(qcol(c).cast("string"), F.lit(""))), fn), F.lit(D))
                     for c in cols])
     return df.withColumn(out, arr)
 

@@ -8,27 +8,23 @@ task. The two helpers here avoid that:
   groups, and narrows the candidate range to one bucket. Only bucket counts
   (and finally one row) reach the driver.
 * ``prefix_sum`` computes running sums (row numbers, ranks, "negatives
-  below") by cutting the order into B contiguous buckets from approximate
-  quantiles, running a window inside each (group, bucket) and adding the
-  bucket offsets, which come from a (groups × B)-row table.
+  below") by range-partitioning the rows by (group, order), running a window
+  inside each (partition, group) and adding what the partitions before hold,
+  which is at most one row per group and partition.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from widetab.operators._util import broadcast_if_small, bounded_broadcast, materialize
+from widetab.operators._util import NUMERIC_TYPES, broadcast_if_small, materialize
 from widetab.session import shuffle_partitions
 
 SMALL_RANGE_ROWS = 200_000
 HIST_BINS = 4096
-# Inputs up to this many rows (counted, after being written once) take a
-# plain window instead of the bucketed form.
-DIRECT_WINDOW_ROWS = 100_000
 
 
 def _lex_le(cols: Sequence[str], values: Sequence) -> Column:
@@ -43,11 +39,15 @@ def nth_smallest(df: DataFrame, order_cols: Sequence[str], n: int,
                  small: int = SMALL_RANGE_ROWS, bins: int = HIST_BINS):
     """Values of ``order_cols`` at the n-th smallest row (1-based), or None
     when the table has fewer than n rows. ``order_cols`` must form a total
-    order (end with a unique key); the first one must be numeric."""
+    order (end with a unique key). Numeric columns are narrowed by histograms;
+    if one is of another type, the row is found by its distributed row number."""
     if n <= 0:
         return None
     order_cols = list(order_cols)
     base = df.select(*order_cols)
+    if not all(isinstance(base.schema[c].dataType, NUMERIC_TYPES) for c in order_cols):
+        row = row_number(base, order_cols, name="__rn").filter(F.col("__rn") == n).first()
+        return None if row is None else tuple(row[c] for c in order_cols)
     prefix: list = []
     m = n
     cols = order_cols
@@ -94,73 +94,44 @@ def first_n(df: DataFrame, order_cols: Sequence[str], n: int, flag: str) -> Data
     return df.withColumn(flag, _lex_le(list(order_cols), list(t)))
 
 
-def _bucket_splits(df: DataFrame, col: str, n_buckets: int) -> list[float]:
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    qs = df.select(F.col(col).cast("double").alias(col)).approxQuantile(col, probs, 1.0 / (4 * n_buckets))
-    inner = sorted(set(q for q in qs if q is not None))
-    return [float("-inf")] + inner + [float("inf")]
-
-
 def prefix_sum(df: DataFrame, order_cols: Sequence[str], values: dict[str, Column],
                partition_cols: Sequence[str] = (), inclusive: bool = True,
-               n_buckets: int | None = None, max_groups: int | None = None,
-               materialize_input: bool = False,
-               uniform_range: tuple[float, float] | None = None) -> DataFrame:
+               n_buckets: int | None = None, materialize_input: bool = False) -> DataFrame:
     """Running sums of ``values`` along ``order_cols`` within ``partition_cols``.
 
     Adds one column per entry of ``values`` (name → expression), holding the
     sum over all earlier rows (and the row itself when ``inclusive``). Ties in
-    ``order_cols`` are broken arbitrarily, so pass a total order. The first
-    order column must be numeric; it decides the buckets.
-
-    The input is read three times (quantiles, bucket totals, running sums);
-    ``materialize_input`` writes it once first, which pays off when it is an
-    aggregate that would otherwise be recomputed. ``uniform_range`` says the
-    first order column is spread evenly over [lo, hi) (a hash), so equal
-    buckets are used and the quantile pass is skipped.
+    ``order_cols`` are broken arbitrarily, so pass a total order. Columns of any
+    sortable type will do; NULL groups are a group, NULL order values come
+    first.
+
+    Rows are range-partitioned by (group, order) and written once, so every
+    group, wide or narrow, is cut by its own rows. Each partition sums its own
+    part of each group; what comes before it is one row per (partition, group)
+    it holds, at most groups + partitions rows. ``materialize_input`` writes an
+    input that is costly to compute first (range partitioning samples it).
     """
     spark = df.sparkSession
     order_cols, partition_cols = list(order_cols), list(partition_cols)
     if materialize_input:
         df = materialize(df)
-        if df.count() <= DIRECT_WINDOW_ROWS:
-            # Proven small (counted on the written copy): one plain window.
-            w = Window.partitionBy(*partition_cols).orderBy(*order_cols) \
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            sel = [F.col(c) for c in df.columns]
-            for n, expr in values.items():
-                run = F.sum(expr).over(w)
-                sel.append((run if inclusive else run - expr).alias(n))
-            return df.select(*sel)
-    B = n_buckets or max(16, 4 * shuffle_partitions(spark))
-    if uniform_range is not None:
-        lo, hi = uniform_range
-        splits = [float("-inf")] + [lo + (hi - lo) * i / B for i in range(1, B)] + [float("inf")]
-    else:
-        splits = _bucket_splits(df, order_cols[0], B)
-    tmp = "__order_d"
-    staged = df.withColumn(tmp, F.col(order_cols[0]).cast("double"))
-    for name, expr in values.items():
-        staged = staged.withColumn(f"__v_{name}", expr)
-    bucketed = Bucketizer(splits=splits, inputCol=tmp, outputCol="__bucket",
-                          handleInvalid="keep").transform(staged).drop(tmp)
-    grp = partition_cols + ["__bucket"]
-    totals = bucketed.groupBy(*grp).agg(*[F.sum(f"__v_{n}").alias(f"__t_{n}") for n in values])
-    ow = Window.partitionBy(*partition_cols).orderBy("__bucket") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*grp, *[F.coalesce(F.sum(f"__t_{n}").over(ow), F.lit(0)).alias(f"__o_{n}")
-                                    for n in values])
-    if partition_cols:
-        offsets = bounded_broadcast(offsets, max_groups * (B + 1)) if max_groups \
-            else broadcast_if_small(offsets)
-    else:
-        offsets = bounded_broadcast(offsets, B + 1)
-    rw = Window.partitionBy(*grp).orderBy(*order_cols) \
+    parts = n_buckets or max(16, 4 * shuffle_partitions(spark))
+    staged = df.withColumns({f"__v_{n}": e for n, e in values.items()})
+    laid = materialize(staged.repartitionByRange(parts, *partition_cols, *order_cols)
+                       .withColumn("__part", F.spark_partition_id()))
+    totals = laid.groupBy(*partition_cols, "__part").agg(*[F.sum(f"__v_{n}").alias(f"__t_{n}") for n in values])
+    before = Window.partitionBy(*partition_cols).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(F.col("__part").alias("__op"), *[F.col(c).alias(f"__g{i}") for i, c in enumerate(partition_cols)],
+                            *[F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__o_{n}") for n in values])
+    same = F.col("__part") == F.col("__op")
+    for i, c in enumerate(partition_cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"__g{i}"))
+    out = laid.join(broadcast_if_small(offsets), same)
+    w = Window.partitionBy("__part", *partition_cols).orderBy(*order_cols) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = bucketed.join(offsets, grp)
     sel = [F.col(c) for c in df.columns]
     for n in values:
-        run = F.sum(f"__v_{n}").over(rw)
+        run = F.sum(f"__v_{n}").over(w)
         if not inclusive:
             run = run - F.col(f"__v_{n}")
         sel.append((F.col(f"__o_{n}") + run).alias(n))

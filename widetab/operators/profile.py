@@ -280,18 +280,20 @@ def missing_share(df: DataFrame, exclude: Iterable[str] = ()) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame, cols: Sequence[str] | None = None, exclude: Iterable[str] = (),
-                   hashed: bool | None = None) -> DataFrame:
+                   hashed: bool = False) -> DataFrame:
     """Rows minus distinct rows over ``cols`` (B2): one row.
 
-    Wide rows are first reduced to two independent hashes (xxhash64 + md5 of
-    the row), so the shuffle moves 2 values per row instead of p.
+    With ``hashed``, for wide rows, each row is first reduced to two independent
+    hashes (xxhash64 + md5), so the shuffle moves 2 values per row instead of
+    p; -0.0 counts as 0.0 and all NaN are one value, as when grouping.
     """
     cols = list(cols) if cols is not None else [c for c in df.columns if c not in set(exclude)]
-    hashed = len(cols) > 32 if hashed is None else hashed
     if hashed:
-        row_txt = F.concat_ws("\u0001", *[F.coalesce(qcol(c).cast("string"), F.lit("\u0000"))
-                                          for c in cols])
-        keyed = df.select(F.xxhash64(*[qcol(c) for c in cols]).alias("h1"), F.md5(row_txt).alias("h2"))
+        kinds = dict(df.dtypes)
+        cells = [F.when(qcol(c) == 0, F.lit(0).cast(kinds[c])).otherwise(qcol(c)) if kinds[c] in ("double", "float")
+                 else qcol(c) for c in cols]
+        row_txt = F.concat_ws("\u0001", *[F.coalesce(c.cast("string"), F.lit("\u0000")) for c in cells])
+        keyed = df.select(F.xxhash64(*cells).alias("h1"), F.md5(row_txt).alias("h2"))
         groups = keyed.groupBy("h1", "h2").count()
     else:
         groups = df.groupBy(*[qcol(c) for c in cols]).count()

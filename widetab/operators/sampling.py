@@ -22,6 +22,18 @@ from widetab.operators.ordering import first_n, row_number
 SHARE_SCALE = 10000
 
 
+def _scale(*shares: float) -> int:
+    """Modulus that shares are cut at: the smallest power of ten from 10^4 on
+    at which all of them are whole numbers, else the full hash range."""
+    exact = [Fraction(str(s)) for s in shares]
+    scale = SHARE_SCALE
+    while scale < U32:
+        if all((x * scale).denominator == 1 for x in exact):
+            return scale
+        scale *= 10
+    return U32
+
+
 def with_hash(df: DataFrame, key: str, seed=0, fn: str = "md5", name: str = "h") -> DataFrame:
     return df.withColumn(name, key_hash(key, seed, fn))
 
@@ -35,17 +47,17 @@ def holdout_n(df: DataFrame, key: str, n: int, seed=0, fn: str = "md5",
 
 def split(df: DataFrame, key: str, shares: Sequence[float], seed=0, fn: str = "md5",
           name: str = "part") -> DataFrame:
-    """Share split into parts 0..len(shares)-1 by ``pmod(hash, 10000)``.
+    """Share split into parts 0..len(shares)-1 by the hash modulo 10000, or
+    a finer modulus if the shares ask for it (D2).
 
     Share boundaries are cumulative; stable across layouts, unlike
     ``randomSplit``.
     """
-    total = float(sum(shares))
-    edges, acc = [], 0.0
-    for s in shares[:-1]:
-        acc += s / total
-        edges.append(int(round(acc * SHARE_SCALE)))
-    u = F.pmod(key_hash(key, seed, fn), F.lit(SHARE_SCALE))
+    exact = [Fraction(str(s)) for s in shares]
+    cuts = [sum(exact[:i + 1]) / sum(exact) for i in range(len(exact) - 1)]
+    scale = _scale(*[float(c) for c in cuts])
+    edges = [round(c * scale) for c in cuts]
+    u = F.pmod(key_hash(key, seed, fn), F.lit(scale))
     expr = F.lit(len(shares) - 1)
     for i, e in reversed(list(enumerate(edges))):
         expr = F.when(u < e, F.lit(i)).otherwise(expr)
@@ -58,19 +70,19 @@ def head_tail(df: DataFrame, key: str, k: int, flag: str = "is_head") -> DataFra
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int, seed=0, fn: str = "md5",
-                     exact: bool = True, name: str = "fold", max_classes: int | None = 1000) -> DataFrame:
+                     exact: bool = True, name: str = "fold") -> DataFrame:
     """Stratified k folds.
 
     Exact form: within each class rows are numbered by (hash, key) and dealt
-    round-robin, so per class the fold sizes differ by at most one.
+    round-robin, so per class the fold sizes differ by at most one. Rows
+    without a label are a class of their own.
     Scale form (``exact=False``): ``pmod(hash, k)``, balanced in expectation,
     no shuffle at all.
     """
     if not exact:
         return df.withColumn(name, F.pmod(key_hash(key, seed, fn), F.lit(k)).cast("int"))
     hashed = with_hash(df, key, seed, fn, "__h")
-    numbered = row_number(hashed, ["__h", key], [label], "__rn", max_groups=max_classes,
-                          uniform_range=(0.0, float(U32)))
+    numbered = row_number(hashed, ["__h", key], [label], "__rn")
     return numbered.withColumn(name, F.pmod(F.col("__rn") - 1, F.lit(k)).cast("int")) \
         .drop("__h", "__rn")
 
@@ -79,13 +91,13 @@ def stratified_split(df: DataFrame, key: str, label: str, share: float, seed=0,
                      flag: str = "is_test") -> DataFrame:
     """Stratified shuffle split (D5): in every class exactly
     ``round(share * class size)`` rows (half up) go to the test side, chosen
-    by (hash, key)."""
+    by (hash, key). Rows without a label are a class of their own."""
     hashed = with_hash(df, key, seed, fn, "__h")
-    numbered = row_number(hashed, ["__h", key], [label], "__rn", uniform_range=(0.0, float(U32)))
-    sizes = df.groupBy(label).agg(
+    numbered = row_number(hashed, ["__h", key], [label], "__rn")
+    sizes = df.groupBy(F.col(label).alias("__label")).agg(
         F.floor(F.count(F.lit(1)) * F.lit(share) + F.lit(0.5)).cast("bigint").alias("__n_test"))
-    joined = numbered.join(broadcast_if_small(sizes), label)
-    return joined.withColumn(flag, F.col("__rn") <= F.col("__n_test")).drop("__h", "__rn", "__n_test")
+    joined = numbered.join(broadcast_if_small(sizes), F.col(label).eqNullSafe(F.col("__label")))
+    return joined.withColumn(flag, F.col("__rn") <= F.col("__n_test")).drop("__h", "__rn", "__n_test", "__label")
 
 
 def every_nth(df: DataFrame, key: str, n: int, flag: str = "is_valid") -> DataFrame:
@@ -175,23 +187,21 @@ def bags(df: DataFrame, key: str, n_bags: int, row_share: float = 0.8, valid_sha
     """
     total = df.count()
     size = int(Fraction(str(row_share)) * total)  # exact floor, no float rounding
-    keys = df.select(key)
-    parts = []
-    thresholds = _thresholds_for_seeds(keys, key, size, [seed + b for b in range(n_bags)], fn) if exact else {}
-    for b in range(n_bags):
-        s = seed + b
+    seeds = [seed + b for b in range(n_bags)]
+    thresholds = _thresholds_for_seeds(df.select(key), key, size, seeds, fn) if exact else {}
+    share_scale, valid_scale = _scale(row_share), _scale(valid_share)
+    entries = []
+    for b, s in enumerate(seeds):
+        h = key_hash(key, s, fn)
         if exact:
             t = thresholds[s]
-            h = key_hash(key, s, fn)
-            member = keys.filter(F.lit(size >= total) if t is None
-                                 else (h < F.lit(t[0])) | ((h == F.lit(t[0])) & (F.col(key) <= F.lit(t[1]))))
+            member = (F.lit(size >= total) if t is None
+                      else (h < F.lit(t[0])) | ((h == F.lit(t[0])) & (F.col(key) <= F.lit(t[1]))))
         else:
-            member = keys.filter(F.pmod(key_hash(key, s, fn), F.lit(SHARE_SCALE))
-                                 < int(round(row_share * SHARE_SCALE)))
-        vh = F.pmod(key_hash(key, f"{s}_valid", fn), F.lit(SHARE_SCALE))
-        parts.append(member.select(F.lit(b).alias("bag"), key,
-                                   (vh < int(round(valid_share * SHARE_SCALE))).alias("is_valid")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            member = F.pmod(h, F.lit(share_scale)) < round(Fraction(str(row_share)) * share_scale)
+        vh = F.pmod(key_hash(key, f"{s}_valid", fn), F.lit(valid_scale))
+        entries.append(F.when(member, F.struct(
+            F.lit(b).alias("bag"), (vh < round(Fraction(str(valid_share)) * valid_scale)).alias("is_valid"))))
+    # One scan: a row's memberships are one array, exploded.
+    return (df.select(key, F.explode(F.array_compact(F.array(*entries))).alias("__m"))
+            .select(F.col("__m.bag").alias("bag"), key, F.col("__m.is_valid").alias("is_valid")))

@@ -1,10 +1,10 @@
 """Correlation screens.
 
-The correlation matrix is computed by Spark (pairwise ``corr`` aggregates for
-few columns, ML ``Correlation`` — a distributed Gramian, or per-column
-distributed ranks for Spearman — for many). Only the p × p matrix reaches
-the driver, where the greedy pruning runs on numpy: O(p²) numbers, no rows.
-Spearman is Pearson on average ranks computed by ``average_ranks``.
+The correlation matrix is computed by Spark: ``corr`` of every pair of columns
+over the rows that have both (for any number of columns, in aggregates of a
+bounded number of pairs). Only the p × p matrix reaches the driver, where the
+pruning runs on numpy: O(p²) numbers, no rows. Spearman is Pearson on average
+ranks, each column ranked over its own values.
 """
 
 from __future__ import annotations
@@ -12,20 +12,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from widetab.operators._util import qcol
+from widetab.operators._util import chunks, qcol
 
-PAIRWISE_MAX_COLS = 64
+PAIRS_PER_AGGREGATE = 2000
 
 
 def average_ranks(df: DataFrame, cols: Sequence[str], strategy: str = "auto",
                   broadcast_rows: int = 2_000_000) -> DataFrame:
     """Replace each column by its average rank (ties share the mean rank),
-    over the rows complete in ``cols``.
+    over the column's own values; missing cells stay missing.
 
     Ranks come from per-column value counts and a distributed prefix sum
     (no global sort). Joining back (``strategy``): ``"broadcast"`` — one
@@ -37,11 +35,11 @@ def average_ranks(df: DataFrame, cols: Sequence[str], strategy: str = "auto",
     from widetab.operators._util import bounded_broadcast, materialize
     from widetab.operators.ordering import prefix_sum
     cols = list(cols)
-    base = df.select(*[qcol(c).cast("double").alias(c) for c in cols]).na.drop(subset=cols)
-    vc = (base.unpivot([], cols, "col_name", "v").groupBy("col_name", "v")
+    base = df.select(*[F.nanvl(qcol(c).cast("double"), F.lit(None)).alias(c) for c in cols])
+    vc = (base.unpivot([], cols, "col_name", "v").filter("v is not null").groupBy("col_name", "v")
           .agg(F.count(F.lit(1)).cast("double").alias("cnt")))
     ranked = prefix_sum(vc, ["v"], {"below": F.col("cnt")}, ["col_name"], inclusive=False,
-                        max_groups=len(cols), materialize_input=True)
+                        materialize_input=True)
     ranks = materialize(ranked.select(
         "col_name", "v", (F.col("below") + (F.col("cnt") + F.lit(1.0)) / F.lit(2.0)).alias("rank")))
     sizes = {r["col_name"]: r["n"] for r in ranks.groupBy("col_name").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -50,42 +48,33 @@ def average_ranks(df: DataFrame, cols: Sequence[str], strategy: str = "auto",
     if strategy == "long":
         ided = materialize(base.withColumn("__rid", F.monotonically_increasing_id()))
         long = ided.unpivot(["__rid"], cols, "col_name", "v")
-        back = (long.join(ranks, ["col_name", "v"]).groupBy("__rid")
+        back = (long.join(ranks, ["col_name", "v"], "left").groupBy("__rid")
                 .pivot("col_name", cols).agg(F.first("rank")))
         return back.select(*[F.col(c) for c in cols])
     out = base
     for i, c in enumerate(cols):
         r = ranks.filter(F.col("col_name") == c).select(F.col("v").alias(f"__v{i}"), F.col("rank").alias(f"__r{i}"))
-        out = out.join(bounded_broadcast(r, sizes.get(c, 0)), qcol(c) == F.col(f"__v{i}"))
+        out = out.join(bounded_broadcast(r, sizes.get(c, 0)), qcol(c) == F.col(f"__v{i}"), "left")
     return out.select(*[F.col(f"__r{i}").alias(c) for i, c in enumerate(cols)])
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str], method: str = "pearson") -> np.ndarray:
-    """p × p correlation matrix on the driver.
-
-    Pearson with few columns: one aggregate of pairwise ``corr`` (rows with a
-    missing value in either column are left out pair by pair). Otherwise ML
-    ``Correlation`` over an assembled vector (rows with a missing value are
-    dropped; fill first to keep them). Spearman uses average ranks for ties.
-    """
+    """p × p correlation matrix on the driver: Pearson over the rows that have
+    both columns, pair by pair; Spearman is Pearson on average ranks."""
     cols = list(cols)
-    p = len(cols)
     if method == "spearman":
         return correlation_matrix(average_ranks(df, cols), cols, "pearson")
-    if method == "pearson" and p <= PAIRWISE_MAX_COLS:
-        exprs = [F.corr(qcol(cols[i]).cast("double"), qcol(cols[j]).cast("double")).alias(f"c{i}_{j}")
-                 for i in range(p) for j in range(i + 1, p)]
-        row = df.agg(*exprs).first() if exprs else None
-        m = np.eye(p)
-        for i in range(p):
-            for j in range(i + 1, p):
-                v = row[f"c{i}_{j}"]
-                m[i, j] = m[j, i] = np.nan if v is None else v
-        return m
-    vec = VectorAssembler(inputCols=cols, outputCol="__v", handleInvalid="skip") \
-        .transform(df.select(*[qcol(c).cast("double").alias(c) for c in cols]))
-    mat = Correlation.corr(vec, "__v", method).first()[0]
-    return mat.toArray()
+    if method != "pearson":
+        raise ValueError(f"unknown method {method!r}")
+    m = np.eye(len(cols))
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    for part in chunks(pairs, PAIRS_PER_AGGREGATE):
+        row = df.agg(*[F.corr(qcol(cols[i]).cast("double"), qcol(cols[j]).cast("double")).alias(f"c{i}_{j}")
+                       for i, j in part]).first()
+        for i, j in part:
+            v = row[f"c{i}_{j}"]
+            m[i, j] = m[j, i] = np.nan if v is None else v
+    return m
 
 
 def correlation(df: DataFrame, cols: Sequence[str], method: str = "pearson", digits: int | None = None) -> DataFrame:
@@ -102,27 +91,20 @@ def correlation(df: DataFrame, cols: Sequence[str], method: str = "pearson", dig
 
 
 def prune_correlated(m: np.ndarray, cols: Sequence[str], cutoff: float = 0.95) -> list[str]:
-    """Greedy pruning (B23): while some pair of kept columns has |r| above the
-    cutoff, take the largest such pair and drop the one of the two whose mean
-    |r| against the other kept columns is larger (ties: the later column).
+    """Pruning by mean |r| (B23): columns are visited from the largest mean |r|
+    with the others (ties: the later column first), and one is dropped if its
+    |r| with a column that is still kept is above the cutoff. One pass, O(p²).
     Missing correlations count as 0."""
     cols = list(cols)
     a = np.abs(np.nan_to_num(np.asarray(m, dtype=float), nan=0.0))
     np.fill_diagonal(a, 0.0)
+    mean = a.sum(axis=1) / max(len(cols) - 1, 1)
     keep = np.ones(len(cols), dtype=bool)
     dropped: list[str] = []
-    while True:
-        sub = a[np.ix_(keep, keep)]
-        if sub.size == 0 or sub.max() <= cutoff:
-            break
-        idx = np.flatnonzero(keep)
-        i, j = np.unravel_index(np.argmax(sub), sub.shape)
-        n_other = max(int(keep.sum()) - 1, 1)
-        mi, mj = sub[i].sum() / n_other, sub[j].sum() / n_other
-        gi, gj = idx[i], idx[j]
-        drop = gi if (mi > mj or (mi == mj and gi > gj)) else gj
-        keep[drop] = False
-        dropped.append(cols[drop])
+    for i in sorted(range(len(cols)), key=lambda k: (-mean[k], -k)):
+        if (a[i][keep] > cutoff).any():
+            keep[i] = False
+            dropped.append(cols[i])
     return dropped
 
 
@@ -135,10 +117,3 @@ def columns_in_both(a: Sequence[str], b: Sequence[str]) -> list[str]:
 def prune_curve(m: np.ndarray, cols: Sequence[str], steps: int = 101) -> list[tuple[float, int]]:
     """Number of columns pruned at cutoffs 0.00 … 1.00."""
     return [(round(k / (steps - 1), 4), len(prune_correlated(m, cols, k / (steps - 1)))) for k in range(steps)]
-
-
-def max_abs_correlation(m: np.ndarray, cols: Sequence[str]) -> list[tuple[str, float]]:
-    """Per column, its largest |r| with another column (cheap form of B25)."""
-    a = np.abs(np.nan_to_num(np.asarray(m, dtype=float), nan=0.0))
-    np.fill_diagonal(a, 0.0)
-    return [(c, float(a[i].max()) if len(cols) > 1 else 0.0) for i, c in enumerate(cols)]

@@ -42,12 +42,12 @@ def auc(spark, d):
 
 @register("auc_by_group", _auc_sql(_DOCS_SQL, "n_chars", "toxic", ["lang"]), ("F1",))
 def auc_by_group(spark, d):
-    return M.auc(_docs(spark, d), "n_chars", "toxic", ["lang"], max_groups=64)
+    return M.auc(_docs(spark, d), "n_chars", "toxic", ["lang"])
 
 
 @register("auc_model_scores", _auc_sql(MODEL_SCORES_SQL, "target", "y", ["model"]), ("F1",))
 def auc_model_scores(spark, d):
-    return M.auc(model_scores(spark, d), "target", "y", ["model"], max_groups=len(MODELS))
+    return M.auc(model_scores(spark, d), "target", "y", ["model"])
 
 
 _LL = ("-(CAST(y AS DOUBLE) * ln(greatest(least(target, 1 - 1e-14), 1e-14)) "
@@ -74,7 +74,7 @@ FROM a LEFT JOIN l ON a.model = l.model AND a.split = l.split
 
 @register("score_table", _SCORE_TABLE_SQL, ("F4", "F1", "F2"))
 def score_table(spark, d):
-    t = M.score_table(model_scores(spark, d), "y", "target", ["model", "split"], max_groups=2 * len(MODELS))
+    t = M.score_table(model_scores(spark, d), "y", "target", ["model", "split"])
     return t.withColumn("logloss", F.round("logloss", 9))
 
 
@@ -84,7 +84,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY auc DESC NULLS LA
 SELECT model, split, n_pos, n_neg, auc, logloss FROM r WHERE rk = 1
 """, ("F7",))
 def best_run(spark, d):
-    t = M.score_table(model_scores(spark, d), "y", "target", ["model", "split"], max_groups=2 * len(MODELS))
+    t = M.score_table(model_scores(spark, d), "y", "target", ["model", "split"])
     t = t.withColumn("logloss", F.round("logloss", 9))
     return M.best_run(t, "auc", by=["split"], tiebreak=["model"])
 

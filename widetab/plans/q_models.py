@@ -199,7 +199,7 @@ def logistic_scores(spark, d):
     preds = parts[0]
     for p in parts[1:]:
         preds = preds.unionByName(p)
-    return M.score_table(preds.withColumn("split", F.lit("test")), LABEL, "score", ["model", "split"], max_groups=8)
+    return M.score_table(preds.withColumn("split", F.lit("test")), LABEL, "score", ["model", "split"])
 
 
 @register("mlp_svm_scores", None, ("E11", "E12"))
@@ -358,4 +358,4 @@ def sweep_online(spark, d):
         return O.score(state, e, "event_id", params=params, keep=["y"])
     preds = SE.sweep(fit_predict, [{"alpha": 0.05, "beta": 1.0}, {"alpha": 0.1, "beta": 1.0}],
                      lambda s: run_id(s, "SGD"))
-    return M.auc(preds, "p", "y", ["model"], max_groups=2)
+    return M.auc(preds, "p", "y", ["model"])

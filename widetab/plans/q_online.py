@@ -196,7 +196,7 @@ def ftrl_wide_table(spark, d):
     h = SMP.folds(h, KEY, 4, seed="mb", name="batch")
     _state, log = O.fit(h, KEY, LABEL, scratch_path(spark, "ftrl-wide"), params=O.OnlineParams(alpha=0.05),
                         n_batches=4, epochs=1, valid_flag="is_valid")
-    return M.auc(log, "p", LABEL, ["epoch", "is_valid"], max_groups=2)
+    return M.auc(log, "p", LABEL, ["epoch", "is_valid"])
 
 
 

@@ -51,7 +51,7 @@ SELECT ID, target, CAST((rn - 1) % 5 AS INTEGER) AS fold FROM r
 """, ("D4",))
 def stratified_folds(spark, d):
     w = wide(spark, d).select(KEY, LABEL)
-    return D.stratified_folds(w, KEY, LABEL, 5, seed=11, max_classes=2)
+    return D.stratified_folds(w, KEY, LABEL, 5, seed=11)
 
 
 @register("fold_balance", f"""
@@ -65,7 +65,7 @@ SELECT fold, count(*) AS n_rows, CAST(count(*) FILTER (WHERE target = 1) AS BIGI
 FROM f GROUP BY fold
 """, ("D4", "B26"))
 def fold_balance(spark, d):
-    folds = D.stratified_folds(wide(spark, d).select(KEY, LABEL), KEY, LABEL, 5, seed=11, max_classes=2)
+    folds = D.stratified_folds(wide(spark, d).select(KEY, LABEL), KEY, LABEL, 5, seed=11)
     return P.label_summary(folds, LABEL, ["fold"])
 
 

@@ -20,27 +20,9 @@ MODELS = ("m1", "m2", "m3", "m4", "m5")
 FAMILIES = {"trees": ("m1", "m2", "m3"), "online": ("m4", "m5")}
 
 
-# Tables whose scan yields fewer splits than this many bytes per core are
-# left alone (spreading them would cost more than it saves).
-MIN_SPREAD_BYTES = 4 << 20
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one driver table. A file with fewer splits (row groups) than
-    cores is spread over the cores with one round-robin exchange, so the
-    per-row work before the first shuffle is not left in one task; inputs
-    that already split (any realistically sized table) are returned as is."""
-    import os
-    path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    try:
-        size = os.path.getsize(path)
-    except OSError:
-        return df
-    if size >= MIN_SPREAD_BYTES and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    """Scan one driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:

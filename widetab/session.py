@@ -44,7 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting points at shared storage and is only read.
-    When unset (local tests) a fresh scratch folder is created and set.
+    When unset in local mode (tests) a fresh scratch folder is created and
+    set; on any other master an unset folder is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
@@ -55,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc_dir:
         spark.conf.set("spark.checkpoint.dir", sc_dir)
         return sc_dir
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="widetab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

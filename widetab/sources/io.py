@@ -115,14 +115,8 @@ def checkpoint_stage(df: DataFrame, path: str, model: str, fmt: str = "parquet")
     Dynamic partition overwrite replaces only that model's folder, so a
     re-run after a crash redoes one model and keeps the others.
     """
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (df.withColumn("model", F.lit(model)).write.mode("overwrite")
-         .partitionBy("model").format(fmt).save(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (df.withColumn("model", F.lit(model)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("model").format(fmt).save(path))
     return path
 
 
@@ -133,6 +127,8 @@ def completed_models(spark: SparkSession, path: str) -> list[str]:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(conf)
+    # Dynamic overwrite moves a model's folder into place when its write
+    # commits, so a folder that is there is finished.
     if not fs.exists(p):
         return []
     out = []
@@ -148,20 +144,3 @@ def run_id(params: dict, prefix: str = "") -> str:
     folder; the parameters themselves go to the run log as columns."""
     body = "_".join(f"{k}_{params[k]}" for k in params)
     return f"{prefix}_{body}" if prefix else body
-
-
-def run_id_column(cols: Sequence[str], prefix: str = "") -> "F.Column":
-    """Column form of ``run_id`` over parameter columns of a run log (A10)."""
-    parts = []
-    for c in cols:
-        parts += [F.lit(c), qcol(c).cast("string")]
-    expr = F.concat_ws("_", *parts)
-    return F.concat_ws("_", F.lit(prefix), expr) if prefix else expr
-
-
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def exists(path: str) -> bool:
-    return os.path.exists(local_path(path))
