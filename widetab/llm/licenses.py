@@ -162,7 +162,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", negatives: i
         "held", F.pmod(F.xxhash64(F.lit(seed + 1), "line"), F.lit(5)) == 0)
     classes = ["none", "unknown", *NAMES]
     label = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("family")).cast("double") - 1
-    sample = write_shared(sample.withColumn("label", label).filter(F.size("grams") > 0).repartition(2), "licence-sample")
+    sample = write_shared(sample.withColumn("label", label).coalesce(2), "licence-sample").filter(F.size("grams") > 0)
     fit = sample.filter("not held")
     # Vocabulary: every n-gram of the named paragraphs; plain ones weigh on those.
     vectors = CountVectorizer(inputCol="grams", outputCol="features", binary=True, vocabSize=1 << 17).fit(

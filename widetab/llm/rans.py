@@ -107,7 +107,8 @@ def encode_ids(ids: np.ndarray, t: Tables, lanes: int = LANES, every: int = CHEC
 def decode_ids(n: int, lanes: int, states: np.ndarray, words: np.ndarray, t: Tables,
                from_step: int = 0, to_step: int | None = None) -> np.ndarray:
     """Ids of steps [from_step, to_step) given the states before from_step and
-    the words from its place on."""
+    the words from its place on. At the last step all states must be back at
+    the encoder's start and all words used."""
     steps = -(-n // lanes)
     last = steps if to_step is None else min(to_step, steps)
     x, at = states.astype(np.uint64).copy(), 0
@@ -126,6 +127,8 @@ def decode_ids(n: int, lanes: int, states: np.ndarray, words: np.ndarray, t: Tab
             at += m
         x[:k] = y
         out[(step - from_step) * lanes:(step - from_step) * lanes + k] = s
+    if last == steps and ((x != LOW).any() or at != len(words)):
+        raise ValueError("block does not decode to its start")
     return out
 
 
