@@ -240,13 +240,21 @@ def candidate_edges(reps: DataFrame, similarity: float, trees: int, node_limit:
     return write_shared(edges.distinct(), "near-edges")
 
 
+def _is_stars(edges: DataFrame) -> bool:
+    """Every u has one v, and no v is a u."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+        edges.select(F.col("v").alias("id"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    sums = ends.groupBy("id").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return sums.filter("out > 1 or (out = 1 and into = 1)").isEmpty()
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(id, low): smallest id of each node's component, by large-star and
-    small-star steps until nothing changes. Nodes without edges are not listed."""
+    small-star steps until all components are stars. Nodes without edges are
+    not listed."""
     now = write_shared(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                        .filter("u <> v").distinct(), "near-star")
-    seen = None
-    while True:
+    while not _is_stars(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         now = write_shared(both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -254,12 +262,8 @@ def connected(edges: DataFrame) -> DataFrame:
         low = now.groupBy("u").agg(F.min("v").alias("m"))
         now = write_shared(now.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
                            .unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "near-star")
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen:
-            break
-        seen = state
     return write_shared(now.select(F.col("u").alias("id"), F.col("v").alias("low"))
-                        .unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("low"))).distinct(), "near-classes")
+                        .unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("low")).distinct()), "near-classes")
 
 
 def confirm_classes(rows: DataFrame, width: int, percent: int) -> DataFrame:
@@ -408,7 +412,7 @@ def _repeats(members: DataFrame, texts: DataFrame) -> bool:
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80,
-               trees: int = 12, node_limit: int = 64, depth: int = 6, class_limit: int = 256, hubs: int = 8) -> DataFrame:
+               trees: int = 12, node_limit: int = 128, depth: int = 4, class_limit: int = 256, hubs: int = 8) -> DataFrame:
     """Per row: key, th (hash of the text), n_shingles, component_id, kept."""
     base = write_shared(signed_sets(docs, key, text, width), "near-sets")
     # One row per distinct set; rid is fixed by being written.
