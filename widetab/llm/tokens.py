@@ -66,26 +66,30 @@ class UnitEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
+        self.model = self.tok.model
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.memory = memory
         self.letters = _byte_letters()
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tok.get_vocab_size())]
         self.spaced, self.bare = _Units(self, " "), _Units(self, "")
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _word(self, piece: str) -> bytes:
+    def _word(self, lead: str, word: str) -> bytes:
         """A piece that is a word for the splitter goes to the library's model."""
-        got = self.tok.model.tokenize("".join([self.letters[b] for b in piece.encode()]))
-        return b"".join([t.id.to_bytes(4, "little") for t in got])
+        start = self.letters[32] if lead else ""
+        spelled = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.model.tokenize(start + spelled)])
 
     def new_unit(self, lead: str, u: str) -> bytes:
         if not u or u[0].isspace() or u[-1].isspace():
             raise _CutElsewhere
         word = u.rstrip(_MARKS)
-        if word.isalpha() and max(word) < "ɐ":
+        if word.isalpha() and (word.isascii() or max(word) < "ɐ"):
             if word == u:
-                return self._word(lead + u)
+                return self._word(lead, u)
             return (self.spaced if lead else self.bare)[word] + self.bare[u[len(word):]]
         if "\n" in u:
             lines = u.split("\n")
