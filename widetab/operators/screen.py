@@ -1,23 +1,25 @@
 """Correlation screens.
 
-The correlation matrix is computed by Spark: ``corr`` of every pair of columns
-over the rows that have both (for any number of columns, in aggregates of a
-bounded number of pairs). Only the p × p matrix reaches the driver, where the
-pruning runs on numpy: O(p²) numbers, no rows. Spearman is Pearson on average
-ranks, each column ranked over its own values.
+The correlation matrix is computed by Spark, every pair of columns over the
+rows that have both, for any number of columns: each task sums masked products
+of its (centred) rows, one row per pair leaves it, and a grouped sum adds them.
+Only the p × p matrix reaches the driver, where the pruning runs on numpy:
+O(p²) numbers, no rows. Spearman is Pearson on average ranks, each column
+ranked over its own values.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from widetab.operators._util import chunks, qcol
 
-PAIRS_PER_AGGREGATE = 2000
+COLUMNS_PER_AGGREGATE = 200
 
 
 def average_ranks(df: DataFrame, cols: Sequence[str], strategy: str = "auto",
@@ -66,14 +68,39 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], method: str = "pearso
         return correlation_matrix(average_ranks(df, cols), cols, "pearson")
     if method != "pearson":
         raise ValueError(f"unknown method {method!r}")
-    m = np.eye(len(cols))
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    for part in chunks(pairs, PAIRS_PER_AGGREGATE):
-        row = df.agg(*[F.corr(qcol(cols[i]).cast("double"), qcol(cols[j]).cast("double")).alias(f"c{i}_{j}")
-                       for i, j in part]).first()
-        for i, j in part:
-            v = row[f"c{i}_{j}"]
-            m[i, j] = m[j, i] = np.nan if v is None else v
+    p = len(cols)
+    m = np.eye(p)
+    names = [f"x{i}" for i in range(p)]
+    x = df.select(*[F.nanvl(qcol(c).cast("double"), F.lit(None)).alias(n) for c, n in zip(cols, names)])
+    mean = np.zeros(p)
+    for part in chunks(list(range(p)), COLUMNS_PER_AGGREGATE):
+        row = x.agg(*[F.avg(names[i]).alias(names[i]) for i in part]).first()
+        mean[part] = [row[names[i]] or 0.0 for i in part]
+    i, j = np.triu_indices(p, 1)
+
+    def products(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in it:
+            v = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float) - mean
+            has = ~np.isnan(v)
+            v, has = np.where(has, v, 0.0), has.astype(float)
+            part = [has.T @ has, v.T @ has, (v * v).T @ has, v.T @ v]
+            total = part if total is None else [a + b for a, b in zip(total, part)]
+        if total is not None:
+            n, s, q, c = total
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(k) for k in (i, j, n[i, j], s[i, j], s[j, i], q[i, j], q[j, i], c[i, j])],
+                names=["i", "j", "n", "si", "sj", "qi", "qj", "c"])
+    if p < 2:
+        return m
+    sums = x.mapInArrow(products, "i bigint, j bigint, n double, si double, sj double, qi double, qj double, c double") \
+        .groupBy("i", "j").agg(*[F.sum(k).alias(k) for k in ("n", "si", "sj", "qi", "qj", "c")])
+    m[i, j] = m[j, i] = np.nan
+    for r in sums.collect():                     # one row per pair of columns
+        if r["n"]:
+            vi, vj = r["qi"] - r["si"] ** 2 / r["n"], r["qj"] - r["sj"] ** 2 / r["n"]
+            if vi > 0 and vj > 0:
+                m[r["i"], r["j"]] = m[r["j"], r["i"]] = (r["c"] - r["si"] * r["sj"] / r["n"]) / np.sqrt(vi * vj)
     return m
 
 
