@@ -99,7 +99,8 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], method: str = "pearso
     for r in sums.collect():                     # one row per pair of columns
         if r["n"]:
             vi, vj = r["qi"] - r["si"] ** 2 / r["n"], r["qj"] - r["sj"] ** 2 / r["n"]
-            if vi > 0 and vj > 0:
+            # A spread that is only rounding of the mean is a constant column.
+            if vi > 1e-20 * r["n"] * mean[r["i"]] ** 2 and vj > 1e-20 * r["n"] * mean[r["j"]] ** 2:
                 m[r["i"], r["j"]] = m[r["j"], r["i"]] = (r["c"] - r["si"] * r["sj"] / r["n"]) / np.sqrt(vi * vj)
     return m
 
