@@ -60,5 +60,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = query_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = write_shared(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = write_shared(stage(spark, docs, sf_dir), f"pipeline-{name}", "zstd")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -21,9 +21,10 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def write_shared(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+def write_shared(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: lineage ends
-    there and a lost executor costs only a re-read."""
+    there and a lost executor costs only a re-read. Tables of texts or ids take
+    ``zstd`` (smaller files); for small ones its native buffers cost more."""
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.option("compression", codec).parquet(path)

@@ -282,7 +282,7 @@ def low_branches(parsed: DataFrame, least: float = 0.2, min_pages: int = 8) -> D
 def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
               least: float = 0.2, min_pages: int = 8) -> DataFrame:
     """Per page: page_id, url, text (blocks joined by a blank line), n_chars."""
-    parsed = write_shared(parsed_pages(pages, page_id, url, html), "html-pages")
+    parsed = write_shared(parsed_pages(pages, page_id, url, html), "html-pages", "zstd")
     low = write_shared(low_branches(parsed, least, min_pages), "html-low").withColumnRenamed("host", "lhost")
     joined = parsed.join(small_or_shuffled(low, 2000), F.col("host") == F.col("lhost"), "left")
     under = lambda path: F.exists(F.coalesce("low", F.array().cast("array<string>")),

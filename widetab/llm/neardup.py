@@ -383,7 +383,7 @@ def confirmed_links(docs: DataFrame, key: str, text: str, reps: DataFrame, class
     asked = docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("th"), F.col(text).alias("t"))
     texts = asked.join(small_or_shuffled(members, 64), F.col("k").eqNullSafe(F.col("mk")) & (F.col("th") == F.col("mth"))) \
         .select("rid", "cls", "size", "t")
-    texts = write_shared(texts, "near-texts").dropDuplicates(["rid"]) if _repeats(members, texts) else write_shared(texts, "near-texts")
+    texts = write_shared(texts, "near-texts", "zstd").dropDuplicates(["rid"]) if _repeats(members, texts) else write_shared(texts, "near-texts", "zstd")
     links = confirm_classes(texts.filter(F.col("size") <= class_limit).select("cls", "rid", "t"), width, percent)
     large = members.filter(F.col("size") > class_limit).select("cls", "rid", "size")
     if large.isEmpty():

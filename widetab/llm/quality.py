@@ -125,7 +125,7 @@ def keep_good(df: DataFrame, text: str = "text", domain: str = "source", limit:
     packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
     rows = write_shared(measured(packed, F.col(f"row.`{text}`"), "m").select(
         "row", F.col(f"row.`{domain}`").alias("host"), base_failed("m").alias("base"),
-        any_rule_failed("m").alias("failed")), "quality-rows")
+        any_rule_failed("m").alias("failed")), "quality-rows", "zstd")
     return _joined(rows, limit).filter(~F.col("base") & F.col("host_ok")).select("row.*")
 
 

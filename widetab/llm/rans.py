@@ -260,7 +260,7 @@ def write_ids(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text
               tokenizer: str | None = None, block_ids: int = BLOCK_IDS) -> None:
     """Write all documents' ids (with an end id each) in the block format."""
     spark = docs.sparkSession
-    blocks = write_shared(id_blocks(docs, key, text, end_id, tokenizer or default_tokenizer_path(), block_ids), "rans-ids")
+    blocks = write_shared(id_blocks(docs, key, text, end_id, tokenizer or default_tokenizer_path(), block_ids), "rans-ids", "zstd")
     counts = symbol_counts(blocks).collect()             # at most one row per vocabulary entry
     freq = np.zeros(max((r["id"] for r in counts), default=-1) + 1, dtype=np.int64)
     for r in counts:
