@@ -50,3 +50,47 @@ def test_blend_weights_simplex_and_not_worse(spark):
     single = min(logloss(wide, m, "y").first()["logloss"] for m in models)
     blended = wide.withColumn("b", sum(F.col(m) * w[m] for m in models))
     assert logloss(blended, "b", "y").first()["logloss"] <= single + 1e-9
+
+
+def _learnable(spark, n=600):
+    """A label made from two features, with some noise."""
+    rows = [(i, float((i * 37) % 101), float((i * 53) % 97), float((i * 71) % 89)) for i in range(n)]
+    df = spark.createDataFrame(rows, "ID bigint, a double, b double, c double")
+    return df.withColumn("y", F.when(F.col("a") + F.col("b") / 2 + F.col("ID") % 7 > 75, 1).otherwise(0))
+
+
+def test_learners_learn(spark):
+    from widetab.operators import metrics as M
+    data = L.assemble(_learnable(spark), ["a", "b", "c"], keep=["ID", "y"])
+    train, test = data.filter("ID % 3 > 0"), data.filter("ID % 3 = 0")
+    for model, out in ((L.fit_logistic(train, "y"), "prob"), (L.fit_boosted(train, "y", {"nrounds": 5, "max_depth": 3}), "prob"),
+                       (L.fit_forest(train, "y", 10, 4), "value"), (L.fit_linear(train, "y"), "value")):
+        scored = L.predict(model, test, "ID", out).join(test.select("ID", "y"), "ID")
+        assert M.auc(scored, "target", "y").first()["auc"] > 0.9, type(model)
+
+
+def test_boosted_curve_has_auc_per_round(spark):
+    data = L.assemble(_learnable(spark), ["a", "b", "c"], keep=["ID", "y"])
+    train, valid = data.filter("ID % 3 > 0"), data.filter("ID % 3 = 0")
+    model = L.fit_boosted(train, "y", {"nrounds": 4, "max_depth": 2, "eta": 0.3})
+    curve = L.boosted_curve(model, valid, "y").orderBy("round").collect()
+    assert [r["round"] for r in curve] == [1, 2, 3, 4]
+    # the last round against brute-force pair counting on the whole model's scores
+    rows = L.predict(model, valid, "ID").join(valid.select("ID", "y"), "ID").collect()
+    pos, neg = [r.target for r in rows if r.y == 1], [r.target for r in rows if r.y == 0]
+    pairs = sum((p > n) + (p == n) / 2 for p in pos for n in neg)
+    assert abs(curve[-1]["auc"] - pairs / (len(pos) * len(neg))) < 1e-12
+    best = max(r["auc"] for r in curve)
+    assert L.best_boosted_round(model, valid, "y") == min(r["round"] for r in curve if r["auc"] == best)
+    assert len(L.fit_boosted_by_auc(train, valid, "y", {"nrounds": 4, "max_depth": 2, "eta": 0.3}).trees) <= 4
+
+
+def test_weighted_means_refuse_gaps(spark):
+    import pytest
+    preds = spark.createDataFrame([("m1", 1, 1.0), ("m2", 1, None)], "model string, ID bigint, target double")
+    with pytest.raises(ValueError):
+        G.weighted_average(preds, {"m1": 1.0, "m2": 1.0}, "ID")
+    with pytest.raises(ValueError):
+        G.weighted_average(preds.filter("target is not null"), {"m2": 1.0}, "ID")
+    with pytest.raises(ValueError):
+        G.blend(preds, {"f": {"m1": 1.0, "m2": 1.0}}, {"f": 1.0}, "ID")

@@ -45,3 +45,22 @@ def test_row_number_same_for_any_layout(spark):
         assert all(d[k] == k + 1 for k in d)
         ref = ref or d
         assert d == ref
+
+
+def test_prefix_sum_keeps_null_groups_and_values(spark):
+    rows = [(None if i % 4 == 0 else f"g{i % 3}", None if i % 10 == 3 else float(i % 7), i, 1) for i in range(200)]
+    df = spark.createDataFrame(rows, "g string, s double, k long, v long")
+    out = prefix_sum(df, ["s", "k"], {"cum": F.col("v")}, ["g"], n_buckets=7).collect()
+    assert len(out) == len(rows)
+    order = lambda r: (r[1] is not None, r[1] or 0.0, r[2])
+    for g in {r[0] for r in rows}:
+        want = [r[2] for r in sorted((r for r in rows if r[0] == g), key=order)]
+        assert [r.k for r in sorted((r for r in out if r.g == g), key=lambda r: r.cum)] == want
+
+
+def test_row_number_and_nth_on_text_keys(spark):
+    names = sorted(f"n{(i * 7919) % 1000:03d}" for i in range(300))
+    df = spark.createDataFrame([(n,) for n in names], "k string")
+    assert [r.k for r in row_number(df, ["k"]).orderBy("rn").collect()] == names
+    assert nth_smallest(df, ["k"], 17) == (names[16],)
+    assert nth_smallest(df, ["k"], 301) is None

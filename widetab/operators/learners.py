@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from widetab.functions.exprs import safe_ratio
 from widetab.operators._util import qcol
+from widetab.operators.metrics import auc, best_round
 
 FEATURES = "features"
 
@@ -97,10 +98,33 @@ def fit_boosted(df: DataFrame, label: str, params: dict | None = None, features:
 
 
 def boosted_curve(model, df: DataFrame, label: str) -> DataFrame:
-    """Validation loss after each round (F8): ``(round, loss)``."""
-    losses = model.evaluateEachIteration(df)
-    return df.sparkSession.createDataFrame([(i + 1, float(v)) for i, v in enumerate(losses)],
-                                           "round int, loss double")
+    """Validation loss and AUC after each round (F8): ``(round, loss, auc)``.
+    Every tree scores the rows once; a round's margin is the sum so far."""
+    losses = [float(v) for v in model.evaluateEachIteration(df)]
+    scored = df.select(label, model.getFeaturesCol())
+    for i, tree in enumerate(model.trees):
+        scored = tree.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(f"__t{i}").transform(scored)
+    margin, margins = F.lit(0.0), []
+    for i, w in enumerate(model.treeWeights):
+        margin = margin + F.lit(float(w)) * F.col(f"__t{i}")
+        margins.append(margin)
+    rounds = scored.select(label, F.posexplode(F.array(*margins)).alias("__r", "__m"))
+    curve = auc(rounds.withColumn("round", (F.col("__r") + 1).cast("int")), "__m", label, ["round"])
+    lost = df.sparkSession.createDataFrame([(i + 1, v) for i, v in enumerate(losses)], "round int, loss double")
+    return lost.join(F.broadcast(curve.select("round", "auc")), "round", "left").select("round", "loss", "auc")
+
+
+def best_boosted_round(model, valid: DataFrame, label: str) -> int:
+    """The round with the highest validation AUC; the earliest of equal ones
+    (by loss where the rows have one class only)."""
+    return best_round(boosted_curve(model, valid, label).orderBy("loss"), "auc").first()["round"]
+
+
+def fit_boosted_by_auc(train: DataFrame, valid: DataFrame, label: str, params: dict, features: str = FEATURES) -> Model:
+    """Boosted trees with the number of rounds that is best on ``valid`` by
+    AUC (E1): fit all rounds, read the curve, fit again up to the best one."""
+    best = best_boosted_round(fit_boosted(train, label, params, features), valid, label)
+    return refit_boosted(train, label, params, best, features)
 
 
 def refit_boosted(df: DataFrame, label: str, params: dict, best_round: int, features: str = FEATURES) -> Model:

@@ -99,8 +99,8 @@ def stack_holdout(train: DataFrame, test: DataFrame, key: str, label: str, part_
 def stack_meta(train: DataFrame, test: DataFrame, key: str, label: str, feature_cols: Sequence[str],
                stack: DataFrame, models: Sequence[str], params: dict, valid_col: str) -> tuple[DataFrame, int]:
     """Stage 2 (G7): original columns + stage-1 meta columns → boosted trees
-    validated on ``valid_col`` rows; the round with the lowest validation
-    loss is kept, the model refit on all rows and the test table scored."""
+    validated on ``valid_col`` rows; the round with the highest validation
+    AUC is kept, the model refit on all rows and the test table scored."""
     cols = list(feature_cols) + list(models)
     tr = train.join(meta_features(stack, key, models, "train"), key)
     te = test.join(meta_features(stack, key, models, "test"), key)
@@ -108,23 +108,30 @@ def stack_meta(train: DataFrame, test: DataFrame, key: str, label: str, feature_
     fit_part = tr_v.filter(~F.col(valid_col))
     val_part = tr_v.filter(F.col(valid_col))
     model = L.fit_boosted(fit_part, label, params)
-    curve = L.boosted_curve(model, val_part, label)
-    best = curve.orderBy("loss", "round").first()["round"]
+    best = L.best_boosted_round(model, val_part, label)
     final = L.refit_boosted(tr_v, label, params, best)
     return L.predict(final, L.assemble(te, cols, keep=[key]), key), best
 
 
 def bag(fit: Fit, df: DataFrame, test: DataFrame, key: str, label: str, members: DataFrame,
-        bag_cols: dict[int, Sequence[str]], out: str = "prob", parallelism: int = DEFAULT_PARALLELISM) -> DataFrame:
+        bag_cols: dict[int, Sequence[str]], out: str = "prob", parallelism: int = DEFAULT_PARALLELISM,
+        fit_valid: Callable[[DataFrame, DataFrame], object] | None = None) -> DataFrame:
     """Bagging (G10): for each bag, fit on its member rows (not the bag's
     validation rows) and its own column subset, score the test table with
     the same columns, and average over bags. ``members`` is the long
-    ``(bag, key, is_valid)`` table from ``sampling.bags``."""
+    ``(bag, key, is_valid)`` table from ``sampling.bags``. ``fit_valid`` takes
+    the bag's training and validation rows instead (e.g. to choose its round)."""
     parts = []
     bags_ = list(bag_cols.items())
-    inputs = [L.assemble(df.join(members.filter((F.col("bag") == b) & ~F.col("is_valid")).select(key), key),
-                         cols, keep=[key, label]) for b, cols in bags_]
-    models = fit_many([(fit, tr) for tr in inputs], parallelism)
+
+    def rows(b: int, cols: Sequence[str], valid: bool) -> DataFrame:
+        chosen = members.filter((F.col("bag") == b) & (F.col("is_valid") == F.lit(valid))).select(key)
+        return L.assemble(df.join(chosen, key), cols, keep=[key, label])
+    if fit_valid:
+        models = fit_many([((lambda pair: fit_valid(*pair)), (rows(b, cols, False), rows(b, cols, True)))
+                           for b, cols in bags_], parallelism)
+    else:
+        models = fit_many([(fit, rows(b, cols, False)) for b, cols in bags_], parallelism)
     for (b, cols), model in zip(bags_, models):
         te = L.assemble(test, cols, keep=[key])
         parts.append(L.predict(model, te, key, out).select(F.lit(b).alias("bag"), key, "target"))

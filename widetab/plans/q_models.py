@@ -68,7 +68,7 @@ def prune_curve(spark, d):
     t = _screen_table(spark, d)
     cols = t.columns
     m = S.correlation_matrix(t, cols, "pearson")
-    return spark.createDataFrame(S.prune_curve(m, cols, 21), "cutoff double, n_pruned int")
+    return spark.createDataFrame(S.prune_curve(m, cols), "cutoff double, n_pruned int")
 
 
 # ---------------------------------------------------------------- learners
@@ -155,8 +155,7 @@ def boosted_scores(spark, d):
     tr, te, _ = _train_test(spark, d)
     tr = D.holdout_n(tr, KEY, tr.count() * 3 // 10, seed="valid", flag="is_valid")
     model = L.fit_boosted(tr.filter(~F.col("is_valid")), LABEL, GBT)
-    curve = L.boosted_curve(model, tr.filter(F.col("is_valid")), LABEL)
-    best = M.best_round(curve, "loss", higher_is_better=False).first()["round"]
+    best = L.best_boosted_round(model, tr.filter(F.col("is_valid")), LABEL)
     final = L.refit_boosted(tr, LABEL, GBT, best)
     return L.predict(final, te, KEY)
 
@@ -297,7 +296,8 @@ def bagged_scores(spark, d):
     members = D.bags(train.select(KEY), KEY, 3, 0.8, 0.1, seed=5)
     bag_cols = {b: P.sample_columns(FEATS, 7, seed=5 + b) for b in range(3)}
     return ST.bag(lambda df: L.fit_boosted(df, LABEL, {"eta": 0.2, "nrounds": 8, "max_depth": 3}),
-                  train, test, KEY, LABEL, members, bag_cols)
+                  train, test, KEY, LABEL, members, bag_cols,
+                  fit_valid=lambda tr, va: L.fit_boosted_by_auc(tr, va, LABEL, {"eta": 0.2, "nrounds": 8, "max_depth": 3}))
 
 
 @register("seed_ensemble", None, ("G11",))
