@@ -1,3 +1,5 @@
+"""Fixtures of the operators' tests (imported by name, as a second conftest would hide the first)."""
+
 import pytest
 
 from widetab.llm.queries import prepare

@@ -4,6 +4,8 @@ import numpy as np
 
 from widetab.llm import fingerprint as P
 
+from shared_fixtures import odd_docs, ready, sample_docs  # noqa: F401
+
 
 def test_every_document_meets_its_next(spark, sample_docs):
     rows = sorted(((r.doc_id, r.text or "") for r in sample_docs.collect()), reverse=True)

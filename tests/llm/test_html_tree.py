@@ -5,6 +5,8 @@ import pandas as pd
 
 from widetab.llm import html_tree as H
 
+from shared_fixtures import ready  # noqa: F401
+
 
 def test_sample_pages_give_their_article(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")

@@ -4,6 +4,8 @@ import pytest
 
 from widetab.llm import licenses as L
 
+from shared_fixtures import odd_docs, ready, sample_docs  # noqa: F401
+
 
 @pytest.fixture(scope="module")
 def model(spark):

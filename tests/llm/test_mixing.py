@@ -4,6 +4,8 @@ import numpy as np
 
 from widetab.llm import mixing as M
 
+from shared_fixtures import odd_docs, ready, sample_docs  # noqa: F401
+
 
 def test_sainte_lague_equals_seat_by_seat():
     rng = np.random.default_rng(2)

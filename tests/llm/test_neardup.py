@@ -5,6 +5,8 @@ import pytest
 
 from widetab.llm import neardup as N
 
+from shared_fixtures import odd_docs, ready, sample_docs  # noqa: F401
+
 
 def brute(rows, width, percent):
     """doc_id → (set size, smallest id of its component), all pairs by shared shingles."""

@@ -7,6 +7,8 @@ from tokenizers import Tokenizer
 from widetab.llm import packing as K
 from widetab.llm.tokens import UnitEncoder, default_tokenizer_path
 
+from shared_fixtures import odd_docs, ready, sample_docs  # noqa: F401
+
 
 def ids_of(tok, text, end):
     return np.array(tok.encode(text, add_special_tokens=False).ids + [end], dtype="<u4")

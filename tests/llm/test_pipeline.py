@@ -5,6 +5,7 @@ from widetab.llm import secrets as S
 
 from test_neardup import brute
 from test_quality import measures
+from shared_fixtures import ready  # noqa: F401
 
 
 def test_stages(spark):

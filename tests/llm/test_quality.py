@@ -3,6 +3,7 @@ import re
 from widetab.llm import quality as Q
 
 from conftest import rows_equal
+from shared_fixtures import ready, sample_docs  # noqa: F401
 
 
 def measures(text):

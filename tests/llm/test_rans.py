@@ -8,6 +8,8 @@ from widetab.llm import rans as R
 from widetab.llm.common import shared_path
 from widetab.llm.tokens import default_tokenizer_path
 
+from shared_fixtures import odd_docs, ready, sample_docs  # noqa: F401
+
 
 @pytest.mark.parametrize("n", [0, 1, 7, 1024, 1025, 300_000])
 def test_block_round_trip_and_parts(n):

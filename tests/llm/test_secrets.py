@@ -6,6 +6,8 @@ from collections import Counter
 
 from widetab.llm import secrets as S
 
+from shared_fixtures import odd_docs, ready, sample_docs  # noqa: F401
+
 
 def brute_base(text):
     found = []

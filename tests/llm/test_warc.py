@@ -3,6 +3,8 @@ import hashlib
 from widetab.llm import warc as A
 from widetab.llm.common import shared_path
 
+from shared_fixtures import ready  # noqa: F401
+
 
 def expected(rows):
     out = []
