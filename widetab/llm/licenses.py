@@ -150,6 +150,20 @@ def _probabilities(scores: np.ndarray, temperature: float) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def _fit(rows: DataFrame, n_classes: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(vocabulary, weights, bias). The vocabulary is every n-gram of the named
+    paragraphs; plain ones weigh on those."""
+    vectors = CountVectorizer(inputCol="grams", outputCol="features", binary=True, vocabSize=1 << 17).fit(
+        rows.filter("family <> 'none'"))
+    lr = LogisticRegression(regParam=0.002, elasticNetParam=0.0, maxIter=60, family="multinomial", standardization=False)
+    fitted = lr.fit(vectors.transform(rows))
+    weights, bias = np.zeros((n_classes, len(vectors.vocabulary))), np.full(n_classes, -20.0)
+    got = fitted.coefficientMatrix.toArray()
+    weights[:got.shape[0]] = got
+    bias[:got.shape[0]] = fitted.interceptVector.toArray()
+    return list(vectors.vocabulary), weights, bias
+
+
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", negatives: int = NEGATIVES, seed: int = 5) -> Model:
     """Fit on the labelled paragraphs and at most ``negatives`` corpus lines
     that do not speak of licences (those with the smallest seeded hashes)."""
@@ -163,18 +177,8 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", negatives: i
     classes = ["none", "unknown", *NAMES]
     label = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("family")).cast("double") - 1
     sample = write_shared(sample.withColumn("label", label).coalesce(2), "licence-sample").filter(F.size("grams") > 0)
-    fit = sample.filter("not held")
-    # Vocabulary: every n-gram of the named paragraphs; plain ones weigh on those.
-    vectors = CountVectorizer(inputCol="grams", outputCol="features", binary=True, vocabSize=1 << 17).fit(
-        fit.filter("family <> 'none'"))
-    lr = LogisticRegression(regParam=0.002, elasticNetParam=0.0, maxIter=60, family="multinomial", standardization=False)
-    fitted = lr.fit(vectors.transform(fit))
-    weights = np.zeros((len(classes), len(vectors.vocabulary)))
-    got = fitted.coefficientMatrix.toArray()
-    weights[:got.shape[0]] = got
-    bias = np.full(len(classes), -20.0)
-    bias[:got.shape[0]] = fitted.interceptVector.toArray()
-    where = {g: i for i, g in enumerate(vectors.vocabulary)}
+    vocabulary, weights, bias = _fit(sample.filter("not held"), len(classes))
+    where = {g: i for i, g in enumerate(vocabulary)}
     held = sample.filter("held").select("grams", "label").collect()     # a fifth of the bounded sample
     scores = np.array([bias + weights[:, [where[g] for g in r["grams"] if g in where]].sum(axis=1) for r in held])
     truth = np.array([int(r["label"]) for r in held])
@@ -188,7 +192,9 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", negatives: i
         # Unknown below the probability that nine in ten right family predictions reach, kept within [0.3, 0.6].
         sure = p.max(axis=1)[(p.argmax(axis=1) == truth) & (truth > 1)]
         least = float(min(0.6, max(0.3, np.quantile(sure, 0.1)))) if len(sure) else 0.5
-    return Model(classes, list(vectors.vocabulary), weights, bias, best_t, least, right)
+    # Calibrated on the held-out part, then fitted on all of the sample.
+    vocabulary, weights, bias = _fit(sample, len(classes))
+    return Model(classes, vocabulary, weights, bias, best_t, least, right)
 
 
 def _array(values) -> Column:
