@@ -5,6 +5,7 @@ import pytest
 
 from widetab.llm import neardup as N
 
+from conftest import rows_equal
 from shared_fixtures import odd_docs, ready, sample_docs  # noqa: F401
 
 
@@ -66,6 +67,12 @@ def test_sample_documents(spark, sample_docs):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_sql(spark, duck, sample_docs):
+    got = N.components(sample_docs, width=3, percent=85).drop("th")
+    res = duck.execute(N.COMPONENTS_SQL)
+    rows_equal(got.collect(), got.columns, res.fetchall(), [d[0] for d in res.description])
+
+
 def test_odd_rows(spark, odd_docs):
     got = N.components(odd_docs, width=3, percent=85).collect()
     assert len(got) == odd_docs.count()

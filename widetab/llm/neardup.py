@@ -458,3 +458,22 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", *
     tagged = left.join(small_or_shuffled(one, 32), F.col(f"d.`{key}`").eqNullSafe(F.col("rk")) & (h == F.col("rth")), "left")
     once = tagged.filter("rth is not null").select(*names).dropDuplicates([key])
     return tagged.filter("rth is null").select(*names).unionByName(once)
+
+
+COMPONENTS_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, g FROM (
+  SELECT doc_id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 2)) AS i FROM d WHERE len(w) >= 3)
+  UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 2)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+l AS (SELECT x AS u, y AS v FROM e UNION SELECT y, x FROM e),
+r(id, root) AS (SELECT doc_id, doc_id FROM d UNION SELECT l.v, r.root FROM r JOIN l ON l.u = r.id),
+m AS (SELECT id, min(root) AS component_id FROM r GROUP BY id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN m ON m.id = d.doc_id
+"""

@@ -84,7 +84,7 @@ def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_documents(spark, path).select("doc_id", "start", F.col("n_tokens"), "ids_crc32")
 
 
-@query("op7_near_duplicates")
+@query("op7_near_duplicates", neardup.COMPONENTS_SQL)
 def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.components(query_table(spark, sf_dir, "documents"), width=3, percent=85).drop("th")
 
