@@ -45,6 +45,7 @@ from widetab.llm.common import small_or_shuffled, write_shared
 from widetab.session import shuffle_partitions
 
 COORDS = 64
+SETS_HELD = 2000
 MASK = (1 << 64) - 1
 _RNG = np.random.default_rng(20240517)
 _MUL = _RNG.integers(1, 1 << 63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -364,9 +365,17 @@ def confirm_pairs(pairs: DataFrame, texts: DataFrame, width: int, percent: int)
             .join(texts.select(F.col("rid").alias("b"), F.col("t").alias("tb")), "b").select("a", "b", "ta", "tb"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, np.ndarray] = {}       # sets met again in this task, up to SETS_HELD
+
+        def set_of(rid: int, text: str) -> np.ndarray:
+            if rid not in known:
+                if len(known) >= SETS_HELD:
+                    known.clear()
+                known[rid] = shingles(text, width)
+            return known[rid]
         for b in it:
             out = [(r["a"], r["b"]) for r in b.to_pylist()
-                   if alike(shingles(r["ta"], width), shingles(r["tb"], width), percent)]
+                   if alike(set_of(r["a"], r["ta"]), set_of(r["b"], r["tb"]), percent)]
             if out:
                 yield _batch(*_EDGE, [list(c) for c in zip(*out)])
     return both.mapInArrow(run, EDGE)
