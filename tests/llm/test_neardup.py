@@ -60,6 +60,31 @@ def test_components_equal_brute_force(spark, limits):
     assert got == brute(rows, 3, 85)
 
 
+def chain_rows():
+    """Two chains of edits (neighbours alike, the next but one not), a third
+    with a dense group at each end."""
+    rng, rows = random.Random(11), []
+    for c, n in enumerate((40, 30, 12)):
+        words = [f"c{c}w{i}" for i in range(200)]
+        for i in range(n):
+            for k in range(40 if c == 2 and i in (0, n - 1) else 1):
+                x = list(words)
+                if k:
+                    x[rng.randrange(200)] = f"e{rng.randrange(10 ** 6)}"
+                rows.append((len(rows), " ".join(x)))
+            words = words[9:] + [f"c{c}i{i}n{j}" for j in range(9)]
+    return rows
+
+
+def test_large_classes_of_bridged_groups(spark):
+    rows = chain_rows()
+    want = brute(rows, 3, 85)
+    assert len({low for _, low in want.values()}) == 3
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.components(docs, width=3, percent=85, class_limit=8).collect()}
+    assert got == want
+
+
 def test_sample_documents(spark, sample_docs):
     rows = [(r.doc_id, r.text) for r in sample_docs.collect()]
     got = N.components(sample_docs).collect()

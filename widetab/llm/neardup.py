@@ -14,8 +14,10 @@
 3. The edges' components are candidate classes. Links are confirmed on full
    sets: classes of up to ``class_limit`` sets in one task, with those already
    connected skipped. Larger classes go in blocks against hubs (the sets
-   closest to the class's most common tokens); sets that no hub links are
-   compared with the whole class, in blocks, and their candidates confirmed.
+   closest to the class's most common tokens), each set linked to every hub
+   alike; tree edges that still cross components are confirmed, then all sets
+   outside their class's largest component are compared with the whole class,
+   in blocks, and every candidate pair across components is confirmed.
 4. Confirmed links' components give each document the smallest doc_id.
 
 Links, classes and components stay in tables; the driver sees counts only.
@@ -309,20 +311,27 @@ def _hubs(members: DataFrame, reps: DataFrame, hubs: int) -> DataFrame:
 
 
 def confirm_against_hubs(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """First linking hub of each set: rows (block, hub flag, rid, t), each
-    block with all hubs of its class first."""
+    """Links of each set to all hubs alike, those that earlier links of the
+    block imply left out: rows (block, hub flag, rid, t), each block with all
+    hubs of its class first."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, pivots, out = None, [], []
+        block, pivots, sets, out = None, [], _Sets(0), []
         for b in it:
             for r in b.to_pylist():
                 if r["block"] != block:
-                    block, pivots = r["block"], []
+                    block, pivots, sets = r["block"], [], _Sets(0)
                 s = shingles(r["t"], width)
-                hit = next((rid for rid, p in pivots if rid != r["rid"] and alike(p, s, percent)), None)
-                if hit is not None:
-                    out.append((hit, r["rid"]))
+                hits: list[int] = []
+                for i, (rid, p) in enumerate(pivots):
+                    if all(sets.find(i) != sets.find(j) for j in hits) and alike(p, s, percent):
+                        hits.append(i)
+                        out.append((rid, r["rid"]))
                 if r["hub"]:
+                    sets.up.append(len(pivots))
+                    hits.append(len(pivots))
                     pivots.append((r["rid"], s))
+                for i in hits[1:]:                           # the set bridges its hubs
+                    sets.union(hits[0], i)
             if out:
                 yield _batch(*_EDGE, [list(c) for c in zip(*out)])
                 out = []
@@ -330,28 +339,54 @@ def confirm_against_hubs(rows: DataFrame, width: int, percent: int) -> DataFrame
     return (rows.repartition(parts, "block").sortWithinPartitions("block", F.desc("hub"), "rid").mapInArrow(run, EDGE))
 
 
-def _rest_pairs(rest: DataFrame, members: DataFrame, reps: DataFrame, blocks: DataFrame, least: int) -> DataFrame:
-    """Candidate pairs (a in rest, b any of its class): rest's tokens go to
-    every block of the class and are compared with all of it."""
+def _parts(large: DataFrame, links: DataFrame) -> DataFrame:
+    """(cls, rid, part): each set's component by the links so far."""
+    found = connected(links).select(F.col("id").alias("rid"), "low")
+    return write_shared(large.select("cls", "rid").join(found, "rid", "left")
+                        .select("cls", "rid", F.coalesce("low", "rid").alias("part")), "near-parts")
+
+
+def _across(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """The pairs of ``parts``' sets whose ends lie in different components."""
+    end = lambda c: parts.select(F.col("rid").alias(c), F.col("part").alias(f"{c}_part"))
+    return pairs.join(end("a"), "a").join(end("b"), "b").filter("a_part <> b_part").select("a", "b")
+
+
+def _outside_largest(parts: DataFrame) -> DataFrame:
+    """The rows of ``parts`` outside their class's largest component: every
+    pair across components has an end among them."""
+    sizes = parts.groupBy("cls", "part").agg(F.count("*").alias("n"))
+    largest = write_shared(sizes.groupBy("cls").agg(F.max(F.struct("n", "part")).alias("top"))
+                           .select("cls", F.col("top.part").alias("largest")), "near-largest")
+    return parts.join(small_or_shuffled(largest, 32), "cls").filter("part <> largest").select("cls", "rid", "part")
+
+
+def _rest_pairs(rest: DataFrame, parts: DataFrame, reps: DataFrame, blocks: DataFrame, least: int) -> DataFrame:
+    """Candidate pairs (a in rest, b any of its class) across components: rest's
+    tokens go to every block of the class and are compared with all of it."""
     sig = reps.select("rid", "sig")
     asked = (rest.join(blocks.select("cls", "block").distinct(), "cls").join(sig, "rid")
-             .select("block", F.lit(True).alias("asks"), "rid", "sig"))
-    there = blocks.join(sig, "rid").select("block", F.lit(False).alias("asks"), "rid", "sig")
+             .select("block", F.lit(True).alias("asks"), "rid", "part", "sig"))
+    there = blocks.select("rid", "block").join(parts.select("rid", "part"), "rid").join(sig, "rid") \
+        .select("block", F.lit(False).alias("asks"), "rid", "part", "sig")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, rids, sigs, table = None, [], [], None
+        block, rids, part, sigs, table, held = None, [], [], [], None, None
         for b in it:
             out = []
             for r in b.to_pylist():
                 if r["block"] != block:
-                    block, rids, sigs, table = r["block"], [], [], None
+                    block, rids, part, sigs, table = r["block"], [], [], [], None
                 if not r["asks"]:
                     rids.append(r["rid"])
+                    part.append(r["part"])
                     sigs.append(np.frombuffer(r["sig"], dtype="<u4"))
                 elif rids:
-                    table = np.stack(sigs) if table is None else table
-                    near = np.flatnonzero((table == np.frombuffer(r["sig"], dtype="<u4")).sum(axis=1) >= least)
-                    out += [(r["rid"], rids[i]) for i in near.tolist() if rids[i] != r["rid"]]
+                    if table is None:
+                        table, held = np.stack(sigs), np.array(part, dtype=np.int64)
+                    other = np.flatnonzero(held != r["part"])
+                    near = other[(table[other] == np.frombuffer(r["sig"], dtype="<u4")).sum(axis=1) >= least]
+                    out += [(r["rid"], rids[i]) for i in near.tolist()]
             if out:
                 yield _batch(*_EDGE, [list(c) for c in zip(*out)])
     parts = shuffle_partitions(rest.sparkSession)
@@ -381,8 +416,8 @@ def confirm_pairs(pairs: DataFrame, texts: DataFrame, width: int, percent: int)
     return both.mapInArrow(run, EDGE)
 
 
-def confirmed_links(docs: DataFrame, key: str, text: str, reps: DataFrame, classes: DataFrame, width: int, percent: int,
-                    class_limit: int, hubs: int) -> DataFrame:
+def confirmed_links(docs: DataFrame, key: str, text: str, reps: DataFrame, edges: DataFrame, classes: DataFrame, width: int,
+                    percent: int, class_limit: int, hubs: int) -> DataFrame:
     """Links on full sets that span the components of every candidate class."""
     size = classes.groupBy(F.col("low").alias("cls")).agg(F.count("*").alias("size"))
     members = write_shared(classes.withColumnRenamed("low", "cls").join(size, "cls")
@@ -406,14 +441,18 @@ def confirmed_links(docs: DataFrame, key: str, text: str, reps: DataFrame, class
     dealt = hubbed.unionByName(plain.join(best.select("rid"), "rid", "left_anti"))
     at_hubs = write_shared(confirm_against_hubs(
         texts.filter(F.col("size") > class_limit).select("rid", "t").join(dealt, "rid"), width, percent).distinct(), "near-links")
-    linked = at_hubs.select(F.col("a").alias("rid")).unionByName(at_hubs.select(F.col("b").alias("rid"))).distinct()
-    # Sets that no hub links are compared with all of their class.
+    # Tree edges join most of what the hubs leave apart; they are as many as the sets, not their pairs.
+    by_edge = write_shared(confirm_pairs(_across(edges, _parts(large, at_hubs)), texts.select("rid", "t"), width, percent),
+                           "near-links")
+    linked = at_hubs.unionByName(by_edge)
+    # All candidate pairs that still cross components.
     similarity = percent / 100
     least = max(1, ceil(COORDS * (similarity - 4 * sqrt(similarity * (1 - similarity) / COORDS))))
-    rest = large.select("cls", "rid").join(linked, "rid", "left_anti")
-    pairs = write_shared(_rest_pairs(write_shared(rest, "near-rest"), large, reps, blocks, least), "near-pairs")
+    parts = _parts(large, linked)
+    rest = write_shared(_outside_largest(parts), "near-rest")
+    pairs = write_shared(_rest_pairs(rest, parts, reps, blocks, least), "near-pairs")
     more = confirm_pairs(pairs, texts.select("rid", "t"), width, percent)
-    return write_shared(links.unionByName(at_hubs).unionByName(more), "near-links")
+    return write_shared(links.unionByName(linked).unionByName(more), "near-links")
 
 
 def _repeats(members: DataFrame, texts: DataFrame) -> bool:
@@ -430,8 +469,8 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
         F.count("*").alias("copies"))
     reps = write_shared(groups.select("sid", F.col("first.k").alias("k"), F.col("first.th").alias("th"), "sig", "copies",
                                       F.monotonically_increasing_id().alias("rid")), "near-reps")
-    classes = connected(candidate_edges(reps, percent / 100, trees, node_limit, depth))
-    links = confirmed_links(docs, key, text, reps, classes, width, percent, class_limit, hubs)
+    edges = candidate_edges(reps, percent / 100, trees, node_limit, depth)
+    links = confirmed_links(docs, key, text, reps, edges, connected(edges), width, percent, class_limit, hubs)
     comp = connected(links)
     named = comp.join(reps.select("sid", "k", F.col("rid").alias("id")), "id")
     lowest = named.groupBy("low").agg(F.min("k").alias("component"))
