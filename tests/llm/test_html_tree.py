@@ -41,6 +41,17 @@ def test_low_importance_branches_go(spark):
     assert got[3] == "words 3 21" and got[100] == "Share this page now\n\nonly page"
 
 
+def test_recurring_blocks_and_wrappers_leave_the_content(spark):
+    rows = []
+    for blocks in (1, 2, 3, 4, 5):
+        for i in range(10):
+            same = "".join(f"<div class='b{k}'><p>Standing block {k}</p></div>" for k in range(blocks))
+            page = f"<html><body>{'<div class=w>' * (blocks * 4)}<div class='c'><p>words {blocks} {i}</p></div>{same}"
+            rows.append((blocks * 100 + i, f"http://h{blocks}/x", page))
+    got = {r.page_id: r.text for r in H.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {b * 100 + i: f"words {b} {i}" for b in (1, 2, 3, 4, 5) for i in range(10)}
+
+
 def test_importance_of_nodes():
     nodes = pd.DataFrame([("h", "body", 10, None, 0.0), ("h", "body>nav", 10, 1.0, None), ("h", "body>p", 10, 0.0, None)],
                          columns=["host", "path", "m", "text_entropy", "style_entropy"])

@@ -6,8 +6,8 @@ children's tags). Pages of one host are merged into a style tree as sums per
 (host, path): how pages spread over presentations and over block texts. A leaf
 whose texts recur on the host's pages has high text entropy and low importance;
 an inner element's importance joins its presentation entropy with its
-children's importance. Branches under ``least`` are cut from each page of
-their host. Elements that mark menus, headers, footers, sidebars, notices,
+children's importance. Branches whose every node is under ``least`` are cut
+from each page of their host. Elements that mark menus, headers, footers, sidebars, notices,
 adverts, forms, comments or code by tag, role or class are cut on every page,
 and where a page marks its article (or main part), text outside goes.
 
@@ -243,7 +243,8 @@ def node_features(parsed: DataFrame) -> DataFrame:
 def importances(nodes: pd.DataFrame, damp: float = 0.9) -> pd.DataFrame:
     """Composite importance of one host's nodes, from the leaves up: a leaf's is
     1 − text entropy; an inner node's weighs its style entropy with its
-    children's mean by damp ** children; own text counts as one child."""
+    children's mean by damp ** children; own text counts as one child.
+    ``highest`` is the largest importance of the node and its descendants."""
     paths = {r.path: r for r in nodes.itertuples()}
     kids: dict[str, list[str]] = {}
     every = set(paths)
@@ -255,6 +256,7 @@ def importances(nodes: pd.DataFrame, damp: float = 0.9) -> pd.DataFrame:
             every.add(up)
             p = up
     value: dict[str, float] = {}
+    highest: dict[str, float] = {}
     for p in sorted(every, key=lambda x: -x.count(">")):
         r = paths.get(p)
         parts = [value[k] for k in kids.get(p, [])]
@@ -264,16 +266,20 @@ def importances(nodes: pd.DataFrame, damp: float = 0.9) -> pd.DataFrame:
         style = r.style_entropy if r is not None and r.style_entropy is not None and not math.isnan(r.style_entropy) else None
         weight = damp ** max(1, len(parts))
         value[p] = below if style is None or not kids.get(p) else (1 - weight) * style + weight * below
+        # A page's own text counts by itself, not only as a part of its element.
+        highest[p] = max([value[p], *parts[len(kids.get(p, [])):], *[highest[k] for k in kids.get(p, [])]])
     out = nodes[["host", "path", "m"]].copy()
     out["importance"] = [value[p] for p in out["path"]]
+    out["highest"] = [highest[p] for p in out["path"]]
     return out
 
 
 def low_branches(parsed: DataFrame, least: float = 0.2, min_pages: int = 8) -> DataFrame:
-    """(host, low): paths of each host whose importance is under ``least``."""
+    """(host, low): paths of each host whose importance, and that of all their
+    descendants, is under ``least``."""
     def of_host(pdf: pd.DataFrame) -> pd.DataFrame:
         got = importances(pdf)
-        low = got[(got["importance"] < least) & (got["m"] >= min_pages)]
+        low = got[(got["highest"] < least) & (got["m"] >= min_pages)]
         return pd.DataFrame({"host": [pdf["host"].iloc[0]], "low": [list(low["path"])]}) if len(low) else \
             pd.DataFrame({"host": pd.Series([], dtype=str), "low": pd.Series([], dtype=object)})
     return node_features(parsed).groupBy("host").applyInPandas(of_host, "host string, low array<string>")
