@@ -52,6 +52,15 @@ def test_recurring_blocks_and_wrappers_leave_the_content(spark):
     assert got == {b * 100 + i: f"words {b} {i}" for b in (1, 2, 3, 4, 5) for i in range(10)}
 
 
+def test_copies_of_an_article_keep_their_text(spark):
+    page = lambda a, ad: f"<body><h1>Title {a}</h1><p>First of {a}</p><p>Second of {a}</p><div class='ad x{ad}'>buy</div>"
+    rows = [(i, f"http://one/{i}", page("one", "a" * (i % 3 + 1))) for i in range(20)]
+    rows += [(100 + i, f"http://ten/{i}", page(i % 10, "").replace("<body>", "<body><div class='top'><p>Share this</p></div>")) for i in range(400)]
+    got = {r.page_id: r.text for r in H.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    want = lambda a: f"Title {a}\n\nFirst of {a}\n\nSecond of {a}"
+    assert got == {i: want("one") for i in range(20)} | {100 + i: want(i % 10) for i in range(400)}
+
+
 def test_importance_of_nodes():
     nodes = pd.DataFrame([("h", "body", 10, None, 0.0), ("h", "body>nav", 10, 1.0, None), ("h", "body>p", 10, 0.0, None)],
                          columns=["host", "path", "m", "text_entropy", "style_entropy"])

@@ -16,8 +16,8 @@ and feature after each task; one task sees a host's paths, not its pages.
 
 Defined results: null html is empty and has an empty text; null urls share one
 host; hosts with fewer than ``min_pages`` pages at a path have no verdict
-there; repeated rows count as pages of their own and each get their text; an
-empty table gives an empty table; unclosed, cut or stray tags are closed as
+there; copies of a page (equal blocks) on a host count as one page of the tree
+and each get their text; an empty table gives an empty table; unclosed, cut or stray tags are closed as
 far as HTML's rules say; other input columns do not matter.
 """
 
@@ -214,21 +214,40 @@ def _entropy_sum(n: F.Column, m: F.Column) -> F.Column:
     return F.when(m > 1, F.log(n.cast("double")) / F.log(m.cast("double"))).otherwise(0.0)
 
 
+def _weighed(parsed: DataFrame) -> DataFrame:
+    """``parsed`` with each row's share of a distinct page of its host:
+    ``text_share`` among rows of equal blocks, ``style_share`` among those of
+    equal blocks and elements. Only hashes of pages with copies are joined."""
+    hashed = parsed.withColumns({"bh": F.xxhash64("blocks"), "eh": F.xxhash64("elements")})
+    equal = write_shared(hashed.groupBy("host", "bh", "eh").agg(F.count("*").alias("rows")), "html-equal")
+    several = equal.groupBy("host", "bh").agg(F.sum("rows").alias("all")).filter("all > 1")
+    copies = equal.join(small_or_shuffled(write_shared(several, "html-several"), 120), ["host", "bh"]).select(
+        F.col("host").alias("chost"), F.col("bh").alias("cbh"), F.col("eh").alias("ceh"), "all", "rows")
+    copies = small_or_shuffled(write_shared(copies, "html-copies"), 120)
+    same = (F.col("host") == F.col("chost")) & (F.col("bh") == F.col("cbh")) & (F.col("eh") == F.col("ceh"))
+    return hashed.join(copies, same, "left").select(
+        "host", "blocks", "elements", (F.lit(1.0) / F.coalesce("all", F.lit(1))).alias("text_share"),
+        (F.lit(1.0) / F.coalesce("rows", F.lit(1))).alias("style_share"))
+
+
 def node_features(parsed: DataFrame) -> DataFrame:
     """Per (host, path): pages m, style entropy (base m), text entropy (mean over its block texts)."""
-    page = parsed.withColumn("row", F.monotonically_increasing_id())
-    texts = page.select("host", "row", F.explode("blocks").alias("b")).select(
-        "host", "row", F.col("b.path").alias("path"), F.xxhash64("b.text").alias("f"))
-    leaf = texts.groupBy("host", "path", "f").agg(F.count("*").alias("n"))
-    leaf_pages = texts.select("host", "path", "row").distinct().groupBy("host", "path").agg(F.count("*").alias("m"))
+    page = _weighed(parsed).withColumn("row", F.monotonically_increasing_id())
+    # Shares of copies sum to whole pages.
+    pages = lambda share: F.round(F.sum(share)).cast("bigint")
+    texts = page.select("host", "row", "text_share", F.explode("blocks").alias("b")).select(
+        "host", "row", "text_share", F.col("b.path").alias("path"), F.xxhash64("b.text").alias("f"))
+    leaf = texts.groupBy("host", "path", "f").agg(pages("text_share").alias("n"))
+    leaf_pages = texts.select("host", "path", "row", "text_share").distinct().groupBy("host", "path").agg(
+        pages("text_share").alias("m"))
     m, n = F.col("m"), F.col("n")
     leaf = leaf.join(leaf_pages, ["host", "path"]).groupBy("host", "path").agg(
         F.first("m").alias("m"), (F.sum(n * F.least(F.lit(1.0), _entropy_sum(n, m))) / F.sum("n")).alias("text_entropy"))
     # An element's presentations: pages that show each (all of a page's elements at that path together).
-    shown = page.select("host", "row", F.explode("elements").alias("e")).select(
-        "host", "row", F.col("e.path").alias("path"), "e.style").groupBy("host", "path", "row").agg(
-        F.xxhash64(F.sort_array(F.collect_set("style"))).alias("s"))
-    style = shown.groupBy("host", "path", "s").agg(F.count("*").alias("n"))
+    shown = page.select("host", "row", "style_share", F.explode("elements").alias("e")).select(
+        "host", "row", "style_share", F.col("e.path").alias("path"), "e.style").groupBy("host", "path", "row").agg(
+        F.xxhash64(F.sort_array(F.collect_set("style"))).alias("s"), F.first("style_share").alias("style_share"))
+    style = shown.groupBy("host", "path", "s").agg(pages("style_share").alias("n"))
     style_pages = style.groupBy("host", "path").agg(F.sum("n").alias("m"))
     p = F.col("n") / F.col("m")
     style = style.join(style_pages, ["host", "path"]).groupBy("host", "path").agg(
