@@ -52,6 +52,19 @@ def test_entropy_spans_and_allow_list():
         assert S.entropy_spans(harmless) == [], harmless
 
 
+def test_values_within_a_run():
+    rng = random.Random(8)
+    key = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz23456789") for _ in range(40))
+    upper_hex = "".join(rng.choice("0123456789ABCDEF") for _ in range(64))
+    for name, value in (("sample_key=", key), ("/example/", key), ("your_key=", key), ("AUTH_KEY=", upper_hex),
+                        ("", key + "0123456789" + key), ("", key + "xxxxxx"), ("a=", key + "=="), ("path/to/v1/", key)):
+        covered = {i for a, b in S.entropy_spans(f"set {name}{value} end") for i in range(a, b)}
+        assert covered >= set(range(4 + len(name), 4 + len(name) + len(value.rstrip("=x")))), (name, value)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    for harmless in (alphabet, "id=550e8400-e29b-41d4-a716-446655440000", "your_key=example_value_placeholder1", "/path/to/example/file_name2"):
+        assert S.entropy_spans(harmless) == [], harmless
+
+
 def test_odd_rows_and_redaction(spark, odd_docs):
     got = S.span_digests(S.scan(odd_docs))
     assert got.count() == odd_docs.count() and got.filter("spans <> ''").count() == 0

@@ -1,8 +1,9 @@
 """Secret scans: base patterns plus sliding-window entropy (operator 1).
 
 Base kinds are fixed patterns. The method adds spans of kind ``entropy``:
-candidate strings are long runs of key-like characters, a window slides over
-each candidate, and the Shannon entropy of the window is kept up to date by
+candidate strings are long runs of key-like characters and the values within
+them (between ``=`` signs, and without path parts that are words), a window
+slides over each candidate, and the Shannon entropy of the window is kept up to date by
 adding the entering and removing the leaving character's count. Each
 character class has its own threshold; strings on the allow list (and the
 longer ones that consist of them) are suppressed.
@@ -37,16 +38,22 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 WINDOW = 20
 # Character class → least bits per character of a window.
 THRESHOLDS = {"hex": 3.0, "alnum": 3.8, "base64": 3.9}
-# Harmless strings: alphabets and counting runs, placeholders, identifiers
-# written as words, UUID-like and date-like forms, repeated units.
+# Harmless parts: alphabets and counting runs, placeholders. A candidate is
+# harmless if less than a window of it is left without them.
+HARMLESS = re.compile(
+    r"(?i)abcdefghij" + "".join(f"(?:{c}" for c in "klmnopqrstuvwxyz") + ")?" * 16 +
+    r"|0123456789|1234567890|qwertyuiop(?:asdfghjkl(?:zxcvbnm)?)?"
+    r"|example|sample|placeholder|changeme|dummy|x{6,}|your[_-]")
+# Harmless strings: identifiers written as words, UUID-like and date-like
+# forms, repeated units.
 ALLOW = tuple(re.compile(p) for p in (
-    r"(?i)abcdefghij|0123456789|1234567890|qwertyuiop",
-    r"(?i)example|sample|placeholder|changeme|dummy|x{6,}|your[_-]",
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
     r"^[A-Za-z]+([_/=-][A-Za-z]+)*[0-9]{0,4}$",
     r"^[0-9/_=+-]+$",
     r"^(.{1,8})\1+.{0,7}$",
 ))
+VALUE = re.compile(r"[^=]+(?:=+\Z)?")
+PATH_WORD = re.compile(r"[A-Za-z]+(?:[_-][A-Za-z]+)*[0-9]{0,4}")
 _NLOGN = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 
 
@@ -83,27 +90,50 @@ def window_entropies(s: str, width: int = WINDOW) -> list[float]:
     return out
 
 
+def allowed(s: str) -> bool:
+    """The candidate consists of allow-listed strings."""
+    return len(HARMLESS.sub("", s)) < WINDOW and HARMLESS.search(s) is not None or any(p.search(s) for p in ALLOW)
+
+
+def candidates_of(run: str) -> list[tuple[int, int]]:
+    """The run itself, its parts between ``=`` signs (trailing ones are
+    padding), and the stretches of those without path parts that are words."""
+    values = [m.span() for m in VALUE.finditer(run)]
+    found = values[:]
+    for a, b in values:
+        start, at = a, a
+        for part in run[a:b].split("/"):
+            end = at + len(part)
+            if not part or PATH_WORD.fullmatch(part):
+                found.append((start, at - 1))
+                start = end + 1
+            at = end + 1
+        found.append((start, b))
+    # A run of several values is harmless if each of them is.
+    whole = [(0, len(run))] if not all(allowed(run[a:b]) for a, b in values) else []
+    return sorted({(a, b) for a, b in found + whole if b - a >= WINDOW})
+
+
 def entropy_spans(text: str) -> list[tuple[int, int]]:
     """Merged runs of windows over their class's threshold, allow list off."""
-    out = []
+    out: list[list[int]] = []
     for m in CANDIDATE.finditer(text):
-        s = m.group()
-        kind = char_class(s)
-        if kind is None or any(p.search(s) for p in ALLOW):
-            continue
-        least, run = THRESHOLDS[kind], None
-        for i, h in enumerate(window_entropies(s)):
-            if h < least - 1e-9:
+        found = []
+        for a, b in candidates_of(m.group()):
+            s = m.group()[a:b]
+            kind = char_class(s)
+            if kind is None or allowed(s):
                 continue
-            if run and i <= run[1]:
-                run[1] = i + WINDOW
+            least, at = THRESHOLDS[kind], m.start() + a
+            found += [(at + i, at + i + WINDOW) for i, h in enumerate(window_entropies(s)) if h >= least - 1e-9]
+        run = None
+        for a, b in sorted(found):
+            if run and a <= run[1]:
+                run[1] = max(run[1], b)
             else:
-                if run:
-                    out.append((m.start() + run[0], m.start() + run[1]))
-                run = [i, i + WINDOW]
-        if run:
-            out.append((m.start() + run[0], m.start() + run[1]))
-    return out
+                run = [a, b]
+                out.append(run)
+    return [(a, b) for a, b in out]
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
