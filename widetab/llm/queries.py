@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from widetab.llm import fingerprint, html_tree, licenses, mixing, neardup, packing, quality, rans, secrets, trie_bpe, warc
+from widetab.llm import alignment, dialogue, fingerprint, html_tree, licenses, mixing, neardup, packing, quality, rans, secrets, trie_bpe, warc
 from widetab.llm.common import query_table, shared_path
 from widetab.session import ensure_checkpoint_dir
 
@@ -104,6 +104,16 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(query_table(spark, sf_dir, "documents"))
 
 
+@query("op11_dialogue_repair", dialogue.REPAIR_SQL)
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.repair(query_table(spark, sf_dir, "conversations"))
+
+
 @query("op12_trie_bpe")
 def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_bpe.encoding_digests(query_table(spark, sf_dir, "documents"))
+
+
+@query("op13_token_alignment")
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(query_table(spark, sf_dir, "documents"))
