@@ -33,6 +33,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from widetab.llm.common import small_or_shuffled, text_column, write_shared
-from widetab.llm.tokens import default_tokenizer_path
-from widetab.llm.trie_bpe import trie_encoder
+from widetab.llm.tokens import UnitEncoder, _byte_letters, default_tokenizer_path
 
 KNOWN_UNITS = 200_000
 ROWS = 256
@@ -64,8 +64,12 @@ class Tokens:
 
     def __init__(self, byte_path: str, piece_path: str):
         import sentencepiece
-        self.byte = trie_encoder(byte_path)
-        self.byte_bytes = self.byte.bytes
+        self.byte = UnitEncoder(byte_path)
+        self.byte.tok.encode_special_tokens = True         # their strings are plain text
+        letters = {c: b for b, c in enumerate(_byte_letters())}
+        size = self.byte.tok.get_vocab_size()
+        spelled = [self.byte.tok.id_to_token(i) or "" for i in range(size)]
+        self.byte_bytes = [bytes(letters[c] for c in s) if all(c in letters for c in s) else s.encode() for s in spelled]
         self.piece = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         pieces = [self.piece.id_to_piece(i) for i in range(self.piece.get_piece_size())]
         if any("▁" in p.lstrip("▁") for p in pieces):
@@ -73,14 +77,15 @@ class Tokens:
         self.piece_bytes = [bytes([int(p[3:5], 16)]) if self.piece.is_byte(i) else p.replace("▁", " ").encode()
                             for i, p in enumerate(pieces)]
 
-    def first(self, units: list[str]) -> list[np.ndarray]:
-        """Ids of a space and each unit by the byte-level tokenizer."""
-        plain = [u for u in units if u and not u[0].isspace() and " " not in u]
-        self.byte.learn(plain, True)
-        known = self.byte.spaced
-        out = [np.frombuffer(known[u] if u in known else self.byte._stretch(" " + u), dtype="<u4") for u in units]
-        self.byte.spaced, self.byte.bare = {}, {}         # this operator keeps units itself
-        return out
+        self.byte_len = np.array([len(x) for x in self.byte_bytes], dtype=np.int64)
+        self.piece_len = np.array([len(x) for x in self.piece_bytes], dtype=np.int64)
+
+    def first(self, units: list[str]) -> list[bytes]:
+        """Packed ids of a space and each unit by the byte-level tokenizer."""
+        enc = self.byte
+        plain = [bool(u) and not u[0].isspace() and not u[-1].isspace() and " " not in u for u in units]
+        together = iter(enc.packed_units([u for u, p in zip(units, plain) if p]))
+        return [next(together) if p else enc.whole(" " + u) for u, p in zip(units, plain)]
 
     def second(self, units: list[str]) -> list[list[int]]:
         """Ids of each unit by the piece model, which puts the space before it."""
@@ -135,41 +140,47 @@ class Aligner:
         self.t = Tokens(byte_path, piece_path)
         self.units: dict[str, tuple | None] = {}
 
+    def _good(self, said: list[bytes], first: list[bytes], second: list[list[int]]) -> list[int]:
+        """The units whose joined tokens are what they say."""
+        ab, bb = self.t.byte_bytes, self.t.piece_bytes
+        whole = b"".join(said)
+        if (b"".join([ab[x] for x in np.frombuffer(b"".join(first), "<u4").tolist()]) == whole
+                and b"".join([bb[x] for ids in second for x in ids]) == whole):
+            same = [sum(map(len, map(bb.__getitem__, ids))) == len(s) for ids, s in zip(second, said)]
+            if all(same):
+                return list(range(len(said)))
+        return [i for i, s in enumerate(said) if b"".join([bb[x] for x in second[i]]) == s
+                and b"".join([ab[x] for x in np.frombuffer(first[i], "<u4").tolist()]) == s]
+
     def learn(self, units: list[str]) -> None:
         first, second = self.t.first(units), self.t.second(units)
-        ab, bb = self.t.byte_bytes, self.t.piece_bytes
-        good = []
-        for i, u in enumerate(units):
-            said = b" " + u.encode()
-            if b"".join([bb[x] for x in second[i]]) == said and b"".join([ab[x] for x in first[i].tolist()]) == said:
-                good.append(i)
-            else:
-                self.units[u] = None
-        if not good:
+        said = [b" " + u.encode() for u in units]
+        good = self._good(said, first, second)
+        if len(good) < len(units):
+            self.units.update(dict.fromkeys(units))
+            units, first, second, said = ([x[i] for i in good] for x in (units, first, second, said))
+        if not units:
             return
-        a_ids = np.concatenate([first[i] for i in good]).astype(np.int64)
-        b_ids = np.array([x for i in good for x in second[i]], dtype=np.int64)
-        a_ends = np.cumsum(np.array([len(ab[x]) for x in a_ids.tolist()], dtype=np.int64))
-        b_ends = np.cumsum(np.array([len(bb[x]) for x in b_ids.tolist()], dtype=np.int64))
+        n_first, n_second = [len(x) // 4 for x in first], [len(x) for x in second]
+        a_ids = np.frombuffer(b"".join(first), dtype="<u4").astype(np.int64)
+        b_ids = np.fromiter(chain.from_iterable(second), np.int64, sum(n_second))
+        a_ends, b_ends = np.cumsum(self.t.byte_len[a_ids]), np.cumsum(self.t.piece_len[b_ids])
         a_label, b_label, lasts = group_labels(a_ends, b_ends)
         a_group, b_group = np.searchsorted(lasts, a_label), np.searchsorted(lasts, b_label)
         n_groups = len(lasts)
         a_n, b_n = np.bincount(a_group, minlength=n_groups), np.bincount(b_group, minlength=n_groups)
-        said = self._written(a_ids.tolist(), b_ids.tolist(), np.cumsum(a_n).tolist(), np.cumsum(b_n).tolist())
+        written = self._written(a_ids.tolist(), b_ids.tolist(), np.cumsum(a_n).tolist(), np.cumsum(b_n).tolist())
         group, code, links = _pairs(a_ids, b_ids, a_group, b_group, n_groups)
         packed = np.empty(len(code), dtype=PAIR)
         packed["code"], packed["links"] = code, links
         # Where each unit's groups end, and its pairs.
-        unit_bytes = np.cumsum(np.array([len(units[i].encode()) + 1 for i in good], dtype=np.int64))
-        g_ends = np.searchsorted(a_ends[lasts], unit_bytes, side="right")
-        p_ends = np.searchsorted(group, g_ends)
-        all_links = np.cumsum(a_n * b_n)
-        raw, size = packed.tobytes(), PAIR.itemsize
-        g0 = p0 = 0
-        for i, g1, p1 in zip(good, g_ends.tolist(), p_ends.tolist()):
-            before = int(all_links[g0 - 1]) if g0 else 0
-            self.units[units[i]] = (";".join(said[g0:g1]), len(first[i]), len(second[i]), g1 - g0,
-                                    int(all_links[g1 - 1]) - before, raw[p0 * size:p1 * size])
+        unit_ends = np.cumsum(np.array([len(x) for x in said], dtype=np.int64))
+        g_ends = np.searchsorted(a_ends[lasts], unit_ends, side="right")
+        p_ends = (np.searchsorted(group, g_ends) * PAIR.itemsize).tolist()
+        n_links = np.diff(np.cumsum(a_n * b_n)[g_ends - 1], prepend=0).tolist()
+        raw, g0, p0 = packed.tobytes(), 0, 0
+        for u, na, nb, nl, g1, p1 in zip(units, n_first, n_second, n_links, g_ends.tolist(), p_ends):
+            self.units[u] = (written[g0] if g1 - g0 == 1 else ";".join(written[g0:g1]), na, nb, g1 - g0, nl, raw[p0:p1])
             g0, p0 = g1, p1
 
     @staticmethod
@@ -193,7 +204,6 @@ class Aligner:
         links by code); None for texts without tokens."""
         if len(self.units) > KNOWN_UNITS:
             self.units = {}
-        self.t.byte._forget()
         cut = [self._cut(t) if t else [] for t in texts]
         new = {u for us in cut for u in us}.difference(self.units)
         if new:
@@ -203,11 +213,11 @@ class Aligner:
             if not got or None in got:
                 yield None
                 continue
-            pairs = np.frombuffer(b"".join([g[5] for g in got]), dtype=PAIR)
+            groups, n_a, n_b, n_groups, n_links, raw = zip(*got)
+            pairs = np.frombuffer(b"".join(raw), dtype=PAIR)
             code, at = np.unique(pairs["code"], return_inverse=True)
             links = np.bincount(at, weights=pairs["links"], minlength=len(code)).astype(np.int64)   # exact below 2^53
-            yield (";".join([g[0] for g in got]), sum(g[1] for g in got), sum(g[2] for g in got),
-                   sum(g[3] for g in got), sum(g[4] for g in got), code, links)
+            yield ";".join(groups), sum(n_a), sum(n_b), sum(n_groups), sum(n_links), code, links
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
