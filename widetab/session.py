@@ -72,5 +72,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table of ours in the shared folder once its successor is written."""
+    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hp, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
