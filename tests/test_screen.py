@@ -25,3 +25,32 @@ def test_prune_drops_duplicate(spark):
     dropped = S.prune_correlated(m, cols, 0.95)
     assert len(dropped) == 1 and dropped[0] in ("l_quantity", "q2")
     assert S.columns_in_both(["a", "b"], ["b", "c"]) == ["b"]
+
+
+def test_pruning_against_means_taken_anew():
+    """The sweep equals the rule written out for one cutoff at a time."""
+    import numpy as np
+
+    def plain(a, cutoff):
+        p = len(a)
+        pairs = sorted(((-a[i][j], i, j) for i in range(p) for j in range(i + 1, p) if a[i][j] > cutoff))
+        left, out = set(range(p)), []
+        for _, i, j in pairs:
+            if i in left and j in left:
+                mean = [round(sum(a[x][k] for k in left if k != x), 9) for x in (i, j)]
+                out.append(i if mean[0] > mean[1] else j)
+                left.discard(out[-1])
+        return out
+    rng = np.random.default_rng(2)
+    for p in (1, 2, 5, 12, 30):
+        for _ in range(8):
+            x = rng.normal(size=(40, p)) + rng.normal(size=(40, 1)) * rng.uniform(0, 3, p)
+            m = np.round(np.corrcoef(x, rowvar=False).reshape(p, p), 2)
+            if p > 2:
+                m[0, 1] = m[1, 0] = np.nan
+            a = np.abs(np.nan_to_num(m)).tolist()
+            cols = [f"c{i}" for i in range(p)]
+            curve = dict(S.prune_curve(m, cols))
+            for k in range(0, 101, 5):
+                want = plain(a, k / 100)
+                assert S.prune_correlated(m, cols, k / 100) == [cols[i] for i in want] and curve[k / 100] == len(want)

@@ -1,4 +1,4 @@
-"""Model fitting and scoring with Spark ML.
+"""Model fitting and scoring, mostly with Spark ML.
 
 Every learner takes a DataFrame with an explicit key, a label and a list of
 feature columns, and returns a fitted Spark ML model; ``predict`` turns a
@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from widetab.functions.exprs import safe_ratio
-from widetab.operators._util import qcol
-from widetab.operators.metrics import auc, best_round
+from widetab.operators import boosting
+from widetab.operators._util import materialize, qcol, sum_columns
 
 FEATURES = "features"
 
@@ -84,9 +84,8 @@ def boost_params(params: dict) -> dict:
 
 def fit_boosted(df: DataFrame, label: str, params: dict | None = None, features: str = FEATURES,
                 valid_col: str | None = None, weight_col: str | None = None, regression: bool = False) -> Model:
-    """Boosted trees (E1, E3, E4). With ``valid_col`` Spark stops on the
-    validation loss; choose the round by ``boosted_curve`` instead when the
-    reference's AUC-based early stop is wanted."""
+    """Spark ML's boosted trees (E3, E4). With ``valid_col`` Spark stops on the
+    validation loss; ``fit_boosted_by_auc`` stops by AUC."""
     kw = boost_params(params or {})
     cls = GBTRegressor if regression else GBTClassifier
     est = cls(labelCol=label, featuresCol=features, **kw)
@@ -97,34 +96,24 @@ def fit_boosted(df: DataFrame, label: str, params: dict | None = None, features:
     return est.fit(df)
 
 
-def boosted_curve(model, df: DataFrame, label: str) -> DataFrame:
-    """Validation loss and AUC after each round (F8): ``(round, loss, auc)``.
-    Every tree scores the rows once; a round's margin is the sum so far."""
-    losses = [float(v) for v in model.evaluateEachIteration(df)]
-    scored = df.select(label, model.getFeaturesCol())
-    for i, tree in enumerate(model.trees):
-        scored = tree.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(f"__t{i}").transform(scored)
-    margin, margins = F.lit(0.0), []
-    for i, w in enumerate(model.treeWeights):
-        margin = margin + F.lit(float(w)) * F.col(f"__t{i}")
-        margins.append(margin)
-    rounds = scored.select(label, F.posexplode(F.array(*margins)).alias("__r", "__m"))
-    curve = auc(rounds.withColumn("round", (F.col("__r") + 1).cast("int")), "__m", label, ["round"])
-    lost = df.sparkSession.createDataFrame([(i + 1, v) for i, v in enumerate(losses)], "round int, loss double")
-    return lost.join(F.broadcast(curve.select("round", "auc")), "round", "left").select("round", "loss", "auc")
+def fit_boosted_by_auc(train: DataFrame, valid: DataFrame, label: str, params: dict, features: str = FEATURES,
+                       patience: int | None = None, stage: int = 10, key: str | None = None) -> boosting.BoostedTrees:
+    """Boosted trees that stop ``patience`` rounds after the best validation AUC
+    (E1); predictions take the best round, without a second fit."""
+    return boosting.fit(train, label, params, features, valid=valid, patience=patience, stage=stage, key=key)
 
 
-def best_boosted_round(model, valid: DataFrame, label: str) -> int:
-    """The round with the highest validation AUC; the earliest of equal ones
-    (by loss where the rows have one class only)."""
-    return best_round(boosted_curve(model, valid, label).orderBy("loss"), "auc").first()["round"]
+def boosted_curve(train: DataFrame, valid: DataFrame, label: str, params: dict, features: str = FEATURES,
+                  patience: int | None = None, stage: int = 10, key: str | None = None) -> DataFrame:
+    """Validation loss and AUC after each round (F8): ``(round, loss, auc, error,
+    exact)``; ``error`` bounds the AUC of rounds that cannot be the best one."""
+    return boosting.curve_table(train.sparkSession, fit_boosted_by_auc(train, valid, label, params, features, patience, stage, key))
 
 
-def fit_boosted_by_auc(train: DataFrame, valid: DataFrame, label: str, params: dict, features: str = FEATURES) -> Model:
-    """Boosted trees with the number of rounds that is best on ``valid`` by
-    AUC (E1): fit all rounds, read the curve, fit again up to the best one."""
-    best = best_boosted_round(fit_boosted(train, label, params, features), valid, label)
-    return refit_boosted(train, label, params, best, features)
+def refit_by_auc(df: DataFrame, label: str, params: dict, best: int, features: str = FEATURES,
+                 key: str | None = None) -> boosting.BoostedTrees:
+    """All rows with the number of rounds that validation chose."""
+    return boosting.fit(df, label, {**params, "nrounds": best}, features, key=key)
 
 
 def refit_boosted(df: DataFrame, label: str, params: dict, best_round: int, features: str = FEATURES) -> Model:
@@ -191,18 +180,33 @@ class PlattSVM:
         return self.platt.transform(m.drop("rawPrediction", "prediction")).drop("__margin", "__mvec")
 
 
-def fit_svm_platt(df: DataFrame, label: str, reg: float = 0.0, features: str = FEATURES) -> PlattSVM:
-    svm = LinearSVC(labelCol=label, featuresCol=features, regParam=reg).fit(df)
-    m = svm.transform(df).withColumn("__margin", vector_to_array("rawPrediction")[1])
-    m = VectorAssembler(inputCols=["__margin"], outputCol="__mvec").transform(m)
-    platt = LogisticRegression(labelCol=label, featuresCol="__mvec").fit(m.drop("rawPrediction", "prediction"))
-    return PlattSVM(svm, platt)
+def fit_svm_platt(df: DataFrame, label: str, reg: float = 0.0, features: str = FEATURES,
+                  fold_col: str | None = None, k: int | None = None, max_iter: int = 100) -> PlattSVM:
+    """With ``fold_col`` Platt's logistic fit sees out-of-fold margins only: each
+    fold's rows are scored by an SVM of the other folds, as margins of training
+    rows are too sure."""
+    def margins(svm, rows: DataFrame) -> DataFrame:
+        m = svm.transform(rows).withColumn("__margin", vector_to_array("rawPrediction")[1])
+        return VectorAssembler(inputCols=["__margin"], outputCol="__mvec").transform(m).select(label, "__mvec")
+    fit = LinearSVC(labelCol=label, featuresCol=features, regParam=reg, maxIter=max_iter).fit
+    svm = fit(df)
+    if fold_col is None:
+        scored = margins(svm, df)
+    else:
+        k = df.agg(F.max(fold_col)).first()[0] + 1 if k is None else k
+        parts = [margins(fit(df.filter(F.col(fold_col) != i)), df.filter(F.col(fold_col) == i)) for i in range(k)]
+        scored = parts[0]
+        for p in parts[1:]:
+            scored = scored.unionByName(p)
+    return PlattSVM(svm, LogisticRegression(labelCol=label, featuresCol="__mvec").fit(scored))
 
 
 def predict(model, df: DataFrame, key: str, out: str = "prob", name: str = "target",
             keep: Sequence[str] = ()) -> DataFrame:
     """Score a keyed table (E15): ``prob`` (P(y = 1)), ``margin`` (raw score)
     or ``value`` (regression output)."""
+    if isinstance(model, boosting.BoostedTrees):
+        return model.predict(df, key, out, name, keep)
     t = model.transform(df)
     if out == "prob" and "probability" in t.columns:
         v = vector_to_array("probability")[1]
@@ -214,33 +218,62 @@ def predict(model, df: DataFrame, key: str, out: str = "prob", name: str = "targ
 
 
 def isotonic_calibrate(scores: DataFrame, key: str, label: str, fold_col: str, score: str = "target",
-                       k: int | None = None) -> DataFrame:
+                       k: int | None = None, test: DataFrame | None = None) -> DataFrame:
     """Isotonic calibration over folds (E13): for each fold, fit isotonic
-    regression on the other folds' (score, label) and calibrate this fold."""
+    regression on the other folds' (score, label) and calibrate this fold. Rows of
+    ``test`` (key, score) get the mean of all folds' calibrators; the result then has
+    a column ``set`` of ``train`` and ``test``.
+
+    Each fit takes one row per distinct score, with its mean label and its rows as
+    weight: the same regression, on a table that does not grow with copies. Rows
+    without a score or label are left out of fits; without a score they get NULL.
+    """
     if k is None:
         k = scores.agg(F.max(fold_col)).first()[0] + 1
-    va = VectorAssembler(inputCols=[score], outputCol="__s")
-    base = va.transform(scores)
-    parts = []
+    counts = materialize(scores.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+                         .groupBy(F.col(fold_col).alias("__f"), F.col(score).cast("double").alias("__s"))
+                         .agg(F.sum(F.col(label).cast("double")).alias("__y"), F.count(F.lit(1)).cast("double").alias("__n")))
+    va = VectorAssembler(inputCols=["__s"], outputCol="__v")
+    models = []
     for i in range(k):
-        iso = IsotonicRegression(labelCol=label, featuresCol="__s").fit(base.filter(F.col(fold_col) != i))
-        parts.append(iso.transform(base.filter(F.col(fold_col) == i))
-                     .select(key, F.col("prediction").alias(score)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        others = counts.filter(F.col("__f") != i).groupBy("__s").agg(F.sum("__y").alias("__y"), F.sum("__n").alias("__n"))
+        rows = va.transform(others.select("__s", "__n", (F.col("__y") / F.col("__n")).alias("__m")))
+        models.append(IsotonicRegression(labelCol="__m", featuresCol="__v", weightCol="__n").fit(rows))
+
+    def calibrated(df: DataFrame, some: Sequence[int]) -> DataFrame:
+        """``df`` (with ``__s``) and the mean prediction of some folds' models."""
+        out = va.transform(df)
+        for i in some:
+            out = models[i].setPredictionCol(f"__p{i}").transform(out)
+        return out.withColumn(score, sum_columns([F.col(f"__p{i}") for i in some]) / F.lit(float(len(some)))) \
+            .drop("__v", "__s", *[f"__p{i}" for i in some])
+
+    def known(df: DataFrame) -> DataFrame:
+        return df.filter(F.col(score).isNotNull()).withColumn("__s", F.col(score).cast("double"))
+    out: DataFrame | None = None
+    for i in range(k):
+        part = calibrated(known(scores.filter(F.col(fold_col) == i).select(key, score)), [i])
+        out = part if out is None else out.unionByName(part)
+    lost = lambda df: df.filter(F.col(score).isNull()).select(key, F.lit(None).cast("double").alias(score))
+    out = out.unionByName(lost(scores))
+    if test is None:
+        return out
+    tested = calibrated(known(test.select(key, score)), list(range(k))).unionByName(lost(test))
+    return out.withColumn("set", F.lit("train")).unionByName(tested.withColumn("set", F.lit("test")))
 
 
-def boost_from_margin(df: DataFrame, label: str, base_margin: str, params: dict, features: str = FEATURES):
-    """Go on boosting from an earlier model's output (E14): a regression
-    booster on the residual ``label − p``; add its output to the margin."""
-    resid = df.withColumn("__resid", F.col(label).cast("double") - F.col(base_margin))
-    return fit_boosted(resid, "__resid", params, features, regression=True)
+def boost_from_margin(df: DataFrame, label: str, base_margin: str, params: dict, features: str = FEATURES,
+                      key: str | None = None) -> boosting.BoostedTrees:
+    """Go on boosting from an earlier model's output (E14). ``base_margin`` is its
+    log-odds; trees take Newton steps from it, and predictions need the same
+    column of the rows they score (``model.predict(..., base_margin=...)``)."""
+    return boosting.fit(df, label, params, features, base_margin=base_margin, key=key)
 
 
 def top_features(model, names: Sequence[str], k: int = 50) -> list[tuple[str, float]]:
     """The k most important features of a tree model."""
+    if isinstance(model, boosting.BoostedTrees):
+        return model.importance(names)[:k]
     imp = model.featureImportances.toArray()
     order = sorted(range(len(names)), key=lambda i: (-imp[i], i))[:k]
     return [(names[i], float(imp[i])) for i in order]

@@ -97,7 +97,8 @@ def stack_holdout(train: DataFrame, test: DataFrame, key: str, label: str, part_
 
 
 def stack_meta(train: DataFrame, test: DataFrame, key: str, label: str, feature_cols: Sequence[str],
-               stack: DataFrame, models: Sequence[str], params: dict, valid_col: str) -> tuple[DataFrame, int]:
+               stack: DataFrame, models: Sequence[str], params: dict, valid_col: str,
+               patience: int | None = None) -> tuple[DataFrame, int]:
     """Stage 2 (G7): original columns + stage-1 meta columns → boosted trees
     validated on ``valid_col`` rows; the round with the highest validation
     AUC is kept, the model refit on all rows and the test table scored."""
@@ -105,12 +106,10 @@ def stack_meta(train: DataFrame, test: DataFrame, key: str, label: str, feature_
     tr = train.join(meta_features(stack, key, models, "train"), key)
     te = test.join(meta_features(stack, key, models, "test"), key)
     tr_v = L.assemble(tr, cols, keep=[key, label, valid_col])
-    fit_part = tr_v.filter(~F.col(valid_col))
-    val_part = tr_v.filter(F.col(valid_col))
-    model = L.fit_boosted(fit_part, label, params)
-    best = L.best_boosted_round(model, val_part, label)
-    final = L.refit_boosted(tr_v, label, params, best)
-    return L.predict(final, L.assemble(te, cols, keep=[key]), key), best
+    chosen = L.fit_boosted_by_auc(tr_v.filter(~F.col(valid_col)), tr_v.filter(F.col(valid_col)), label, params,
+                                  patience=patience, key=key)
+    final = L.refit_by_auc(tr_v, label, params, chosen.best, key=key)
+    return L.predict(final, L.assemble(te, cols, keep=[key]), key), chosen.best
 
 
 def bag(fit: Fit, df: DataFrame, test: DataFrame, key: str, label: str, members: DataFrame,

@@ -46,13 +46,46 @@ def spearman(spark, d):
     return S.correlation(read(spark, d, "lineitem"), LI_COLS, "spearman", digits=6)
 
 
-def _screen_table(spark, d):
-    li = read(spark, d, "lineitem")
-    return li.select(*LI_COLS, (F.col("l_extendedprice") * 2 + F.col("l_tax")).alias("price2"),
-                     (F.col("l_quantity") + F.col("l_discount")).alias("qty2"))
+SCREEN = {**{c: c for c in LI_COLS}, "price2": "l_extendedprice * 2 + l_tax", "qty2": "l_quantity + l_discount"}
 
 
-@register("prune_correlated", None, ("B23", "B24"))
+def _screen_table(spark, d):
+    return read(spark, d, "lineitem").select(*[F.expr(e).alias(c) for c, e in SCREEN.items()])
+
+
+def _pruned_sql(method: str) -> str:
+    """Tables x (rows), e (pairs by falling |r|) and w (the sweep: removed columns
+    after each pair) of one measure; the means are taken anew at every pair."""
+    cols, k = list(SCREEN), method[0]
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    src = ", ".join(f"CAST({e} AS DOUBLE) AS c{i}" for i, e in enumerate(SCREEN.values()))
+    if method == "spearman":
+        ranks = ", ".join(f"rank() OVER (ORDER BY c{i}) + (count(*) OVER (PARTITION BY c{i}) - 1) / 2.0 AS c{i}" for i in range(len(cols)))
+        rows = f"{k}x AS (SELECT {ranks} FROM (SELECT {src} FROM lineitem))"
+    else:
+        rows = f"{k}x AS (SELECT {src} FROM lineitem)"
+    edges = " UNION ALL ".join(f"SELECT {i} AS i, {j} AS j, round(abs(corr(c{i}, c{j})), 9) AS r FROM {k}x" for i, j in pairs)
+    mean = lambda c: (f"round(list_sum(list_transform(list_filter(es, lambda z: (z.i = {c} OR z.j = {c}) AND NOT list_contains(gone, z.i) "
+                      f"AND NOT list_contains(gone, z.j)), lambda z: z.r)), 9)")
+    return f"""{rows},
+{k}e AS (SELECT *, row_number() OVER (ORDER BY r DESC, i, j) AS n FROM ({edges})),
+{k}l AS (SELECT list({{'i': i, 'j': j, 'r': r}}) AS es FROM {k}e),
+{k}w(n, gone, r) AS (SELECT CAST(0 AS BIGINT), CAST([] AS INTEGER[]), CAST(2 AS DOUBLE)
+  UNION ALL
+  SELECT e.n, CASE WHEN list_contains(gone, e.i) OR list_contains(gone, e.j) THEN gone
+                   WHEN {mean('e.i')} > {mean('e.j')} THEN list_append(gone, e.i) ELSE list_append(gone, e.j) END, e.r
+  FROM {k}w w JOIN {k}e e ON e.n = w.n + 1, {k}l),
+{k}g AS (SELECT unnest(gone) AS c, min(n) AS n, max(r) AS r FROM (SELECT n, r, gone FROM {k}w) GROUP BY 1)"""
+
+
+_PRUNE = "WITH RECURSIVE " + _pruned_sql("pearson") + ", " + _pruned_sql("spearman")
+
+
+@register("prune_correlated", _PRUNE + """
+SELECT col_name, p.c IS NOT NULL AS pearson, s.c IS NOT NULL AS spearman, p.c IS NOT NULL AND s.c IS NOT NULL AS both
+FROM (VALUES """ + ", ".join(f"({i}, '{c}')" for i, c in enumerate(SCREEN)) + """) AS t(id, col_name)
+LEFT JOIN (SELECT c FROM pg WHERE r > 0.95) p ON p.c = id LEFT JOIN (SELECT c FROM sg WHERE r > 0.95) s ON s.c = id
+""", ("B23", "B24"))
 def prune_correlated(spark, d):
     t = _screen_table(spark, d)
     cols = t.columns
@@ -63,12 +96,16 @@ def prune_correlated(spark, d):
                                  "col_name string, pearson boolean, spearman boolean, both boolean")
 
 
-@register("prune_curve", None, ("B25",))
+@register("prune_curve", _PRUNE + """,
+k AS (SELECT round(g.v / 100.0, 4) AS cutoff FROM range(101) g(v))
+SELECT CAST(cutoff AS DOUBLE) AS cutoff, CAST((SELECT count(*) FROM pg WHERE r > cutoff) AS INTEGER) AS pearson,
+       CAST((SELECT count(*) FROM sg WHERE r > cutoff) AS INTEGER) AS spearman FROM k
+""", ("B25",))
 def prune_curve(spark, d):
     t = _screen_table(spark, d)
     cols = t.columns
-    m = S.correlation_matrix(t, cols, "pearson")
-    return spark.createDataFrame(S.prune_curve(m, cols), "cutoff double, n_pruned int")
+    pe, sp = (S.prune_curve(S.correlation_matrix(t, cols, m), cols) for m in ("pearson", "spearman"))
+    return spark.createDataFrame([(c, a, b) for (c, a), (_, b) in zip(pe, sp)], "cutoff double, pearson int, spearman int")
 
 
 # ---------------------------------------------------------------- learners
@@ -148,24 +185,31 @@ def _train_test(spark, d, extra=()):
 
 
 GBT = {"eta": 0.1, "nrounds": 20, "max_depth": 4, "subsample": 0.8, "colsample_bytree": 0.8, "seed": 1}
+PATIENCE = 5
 
 
 @register("boosted_scores", None, ("E1", "E2", "E15", "F8"))
 def boosted_scores(spark, d):
     tr, te, _ = _train_test(spark, d)
     tr = D.holdout_n(tr, KEY, tr.count() * 3 // 10, seed="valid", flag="is_valid")
-    model = L.fit_boosted(tr.filter(~F.col("is_valid")), LABEL, GBT)
-    best = L.best_boosted_round(model, tr.filter(F.col("is_valid")), LABEL)
-    final = L.refit_boosted(tr, LABEL, GBT, best)
-    return L.predict(final, te, KEY)
+    chosen = L.fit_boosted_by_auc(tr.filter(~F.col("is_valid")), tr.filter(F.col("is_valid")), LABEL, GBT,
+                                  patience=PATIENCE, stage=PATIENCE, key=KEY)
+    return L.predict(L.refit_by_auc(tr, LABEL, GBT, chosen.best, key=KEY), te, KEY)
 
 
 @register("boosted_curve", None, ("F8", "E3"))
 def boosted_curve(spark, d):
     tr, te, _ = _train_test(spark, d)
-    model = L.fit_boosted(tr, LABEL, {"eta": 0.03, "nrounds": 15, "max_depth": 4, "subsample": 0.5,
-                                      "min_child_weight": 20, "seed": 2})
-    return L.boosted_curve(model, te, LABEL)
+    return L.boosted_curve(tr, te, LABEL, {"eta": 0.03, "nrounds": 15, "max_depth": 4, "subsample": 0.5, "min_rows": 20,
+                                           "lam": 0.0, "min_child_weight": 0.0, "seed": 2}, key=KEY)
+
+
+@register("gbm_scores", None, ("E3",))
+def gbm_scores(spark, d):
+    tr, te, _ = _train_test(spark, d)
+    model = L.fit_boosted(tr, LABEL, {"eta": 0.03, "nrounds": 15, "max_depth": 4, "subsample": 0.5, "min_child_weight": 20,
+                                      "seed": 2})
+    return L.predict(model, te, KEY)
 
 
 @register("forest_scores", None, ("E5",))
@@ -178,6 +222,19 @@ def forest_scores(spark, d):
     return a.unionByName(b)
 
 
+@register("linear_one_feature", """
+WITH r AS (SELECT regr_slope(l_extendedprice, l_quantity) AS slope, regr_intercept(l_extendedprice, l_quantity) AS icept FROM lineitem)
+SELECT CAST(l_quantity AS DOUBLE) AS l_quantity, round(icept + slope * l_quantity, 2) AS target
+FROM (SELECT DISTINCT l_quantity FROM lineitem), r
+""", ("E6",))
+def linear_one_feature(spark, d):
+    li = read(spark, d, "lineitem").select(F.col("l_quantity").cast("double"), F.col("l_extendedprice").cast("double").alias("price"))
+    rows = L.assemble(li, ["l_quantity"], keep=["price"])
+    model = L.fit_linear(rows, "price", alpha=0.0, lam=0.0)
+    values = L.assemble(li.select("l_quantity").distinct().withColumn("q", F.col("l_quantity")), ["l_quantity"], keep=["q"])
+    return L.predict(model, values, "q", "value").select(F.col("q").alias("l_quantity"), F.round("target", 2).alias("target"))
+
+
 @register("linear_scores", None, ("E6", "E4"))
 def linear_scores(spark, d):
     tr, te, _ = _train_test(spark, d)
@@ -209,7 +266,7 @@ def mlp_svm_scores(spark, d):
     trz = sc.transform(tr).drop(L.FEATURES).withColumnRenamed("__z", L.FEATURES)
     tez = sc.transform(te).drop(L.FEATURES).withColumnRenamed("__z", L.FEATURES)
     mlp = L.fit_mlp(trz, LABEL, len(cols), hidden=(16, 16), max_iter=20)
-    svm = L.fit_svm_platt(trz, LABEL, reg=0.01)
+    svm = L.fit_svm_platt(trz, LABEL, reg=0.01, fold_col="fold", k=4, max_iter=30)
     return (L.predict(mlp, tez, KEY).withColumn("model", F.lit("mlp"))
             .unionByName(L.predict(svm, tez, KEY).withColumn("model", F.lit("svm_platt"))))
 
@@ -220,18 +277,18 @@ def isotonic_scores(spark, d):
     stack = ST.stack_oof(tr, te, KEY, {"lr": lambda df: L.fit_logistic(df, LABEL)})
     oof = stack.filter("set = 'train'").select(KEY, F.col("target").alias("score")) \
         .join(tr.select(KEY, LABEL, "fold"), KEY)
-    return L.isotonic_calibrate(oof, KEY, LABEL, "fold", score="score")
+    test = stack.filter("set = 'test'").select(KEY, F.col("target").alias("score"))
+    return L.isotonic_calibrate(oof, KEY, LABEL, "fold", score="score", test=test)
 
 
 @register("boost_from_margin", None, ("E14",))
 def boost_from_margin(spark, d):
     tr, te, _ = _train_test(spark, d)
     base = L.fit_logistic(tr, LABEL)
-    tr_p = L.predict(base, tr, KEY, keep=[LABEL, L.FEATURES], name="__p")
-    more = L.boost_from_margin(tr_p, LABEL, "__p", {"eta": 0.1, "nrounds": 5, "max_depth": 3})
-    te_p = L.predict(base, te, KEY, keep=[L.FEATURES], name="__p")
-    return L.predict(more, te_p, KEY, "value", keep=["__p"]).select(
-        KEY, F.least(F.greatest(F.col("__p") + F.col("target"), F.lit(0.0)), F.lit(1.0)).alias("target"))
+    tr_m = L.predict(base, tr, KEY, "margin", keep=[LABEL, L.FEATURES], name="base_margin")
+    te_m = L.predict(base, te, KEY, "margin", keep=[L.FEATURES], name="base_margin")
+    more = L.boost_from_margin(tr_m, LABEL, "base_margin", {"eta": 0.1, "nrounds": 5, "max_depth": 3}, key=KEY)
+    return more.predict(te_m, KEY, base_margin="base_margin")
 
 
 @register("top_features", None, ("C15",))
@@ -297,7 +354,8 @@ def bagged_scores(spark, d):
     bag_cols = {b: P.sample_columns(FEATS, 7, seed=5 + b) for b in range(3)}
     return ST.bag(lambda df: L.fit_boosted(df, LABEL, {"eta": 0.2, "nrounds": 8, "max_depth": 3}),
                   train, test, KEY, LABEL, members, bag_cols,
-                  fit_valid=lambda tr, va: L.fit_boosted_by_auc(tr, va, LABEL, {"eta": 0.2, "nrounds": 8, "max_depth": 3}))
+                  fit_valid=lambda tr, va: L.fit_boosted_by_auc(tr, va, LABEL, {"eta": 0.2, "nrounds": 8, "max_depth": 3},
+                                                               patience=4, stage=4, key=KEY))
 
 
 @register("seed_ensemble", None, ("G11",))
@@ -344,18 +402,17 @@ def random_search(spark, d):
     return SE.search(spark, SE.random_grid(space, 3, seed=1), evaluate)
 
 
+SWEEP = [(alpha, beta) for alpha in (0.01, 0.05, 0.1, 0.2) for beta in (0.5, 1.0)]
+
+
 @register("sweep_online", None, ("F9", "A10"))
 def sweep_online(spark, d):
+    """Eight settings of the adaptive learner, trained in the same passes."""
     from widetab.operators import online as O
     from widetab.plans.q_online import _prepared
     from widetab.session import scratch_path
     from widetab.sources.io import run_id
     e = _prepared(spark, d)
-
-    def fit_predict(s):
-        params = O.OnlineParams(algo="adagrad", alpha=s["alpha"], beta=s["beta"])
-        state, _ = O.fit(e, "event_id", "y", scratch_path(spark, "sweep"), params=params, n_batches=2)
-        return O.score(state, e, "event_id", params=params, keep=["y"])
-    preds = SE.sweep(fit_predict, [{"alpha": 0.05, "beta": 1.0}, {"alpha": 0.1, "beta": 1.0}],
-                     lambda s: run_id(s, "SGD"))
-    return M.auc(preds, "p", "y", ["model"])
+    settings = {run_id({"alpha": a, "beta": b}, "SGD"): O.OnlineParams(algo="adagrad", alpha=a, beta=b) for a, b in SWEEP}
+    state = O.fit_sweep(e, "event_id", "y", scratch_path(spark, "sweep"), list(settings.values()), n_batches=2)
+    return M.auc(O.score_sweep(state, e, "event_id", settings, keep=["y"]), "p", "y", ["model"])

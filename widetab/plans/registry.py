@@ -33,6 +33,6 @@ def register(name: str, sql: str | None = None, operators: tuple[str, ...] = ())
 def load_all() -> dict[str, Query]:
     # Importing the modules fills the registry.
     from widetab.plans import (  # noqa: F401
-        q_profile, q_features, q_sampling, q_metrics, q_ensemble, q_online, q_models, q_edges,
+        q_profile, q_features, q_sampling, q_metrics, q_ensemble, q_online, q_models, q_boosting, q_edges,
     )
     return REGISTRY
