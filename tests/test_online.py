@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from widetab.operators import online as O
@@ -85,3 +86,49 @@ def test_hash_pairs_count(spark):
     df = spark.createDataFrame([(1, [5, 3, 9, 3])], "k int, idx array<bigint>")
     out = O.hash_pairs(df, "idx", 1000).first()["pair_idx"]
     assert len(out) == 6 and all(0 <= v < 1000 for v in out)
+
+
+def _hashed(spark, n):
+    rows = [(i, [(i * 7) % 11 + 1, (i * 5) % 13 + 20, (i * 3) % 17 + 40], int(i * 7 % 11 > 5), i % n) for i in range(60)]
+    return spark.createDataFrame(rows, "ID bigint, idx array<bigint>, y int, batch int")
+
+
+def test_fit_goes_on_after_the_last_state(spark, tmp_path, monkeypatch):
+    e = _hashed(spark, 3)
+    whole, log = O.fit(e, "ID", "y", str(tmp_path / "a"), epochs=2)
+    # A fit that stops in its fourth step, then is started again.
+    steps, step = [], O.step
+
+    def broken(*args, **kw):
+        if len(steps) == 3:
+            raise OSError("lost")
+        steps.append(1)
+        return step(*args, **kw)
+    monkeypatch.setattr(O, "step", broken)
+    with pytest.raises(OSError):
+        O.fit(e, "ID", "y", str(tmp_path / "b"), epochs=2)
+    counted = []
+    monkeypatch.setattr(O, "step", lambda *a, **k: (counted.append(1), step(*a, **k))[1])
+    again, log2 = O.fit(e, "ID", "y", str(tmp_path / "b"), epochs=2)
+    assert len(counted) == 3 and log2.count() == log.count() == 120
+    pairs = lambda df: sorted((r["idx"], r["a"], r["b"]) for r in df.collect())
+    assert pairs(again) == pairs(whole)
+    O.fit(e, "ID", "y", str(tmp_path / "b"), epochs=2)
+    assert len(counted) == 3 and spark.read.parquet(str(tmp_path / "b/log")).count() == 120
+    with pytest.raises(ValueError):
+        O.fit(e, "ID", "y", str(tmp_path / "b"), params=O.OnlineParams(alpha=0.5), epochs=2)
+
+
+def test_sweep_equals_single_fits(spark, tmp_path):
+    e = _hashed(spark, 2)
+    settings = {"f": O.OnlineParams(alpha=0.1, l1=0.1, l2=0.5), "g": O.OnlineParams(algo="adagrad", alpha=0.2),
+                "h": O.OnlineParams(algo="adagrad", alpha=0.05, l2=0.1)}
+    state = O.fit_sweep(e, "ID", "y", str(tmp_path / "s"), list(settings.values()), epochs=2)
+    scores = {(r["model"], r["ID"]): r["p"] for r in O.score_sweep(state, e, "ID", settings).collect()}
+    for i, (name, p) in enumerate(settings.items()):
+        one, _ = O.fit(e, "ID", "y", str(tmp_path / name), params=p, epochs=2)
+        want = {r["idx"]: (r["a"], r["b"]) for r in one.collect()}
+        got = {r["idx"]: (r[f"a{i}"], r[f"b{i}"]) for r in state.collect()}
+        assert set(got) == set(want) and all(abs(x - y) < 1e-12 for k in want for x, y in zip(got[k], want[k]))
+        for r in O.score(one, e, "ID", params=p).collect():
+            assert abs(scores[name, r["ID"]] - r["p"]) < 1e-12

@@ -15,8 +15,11 @@ mini-batch is:
 
 A batch of one row is the sequential rule exactly; larger batches are the
 synchronous mini-batch form. The state is written after every batch to the
-shared checkpoint folder (versioned by batch), which cuts the lineage and
-lets a restarted job resume.
+shared checkpoint folder (versioned by batch), which cuts the lineage; a fit that
+is started again on the same folder goes on after the last written state.
+
+``fit_sweep`` trains several settings at once: the state has a pair (a, b) per
+setting, and one explode, one join and two aggregates a batch serve them all.
 """
 
 from __future__ import annotations
@@ -85,8 +88,8 @@ def empty_state(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], STATE_SCHEMA)
 
 
-def _weight(params: OnlineParams) -> Column:
-    a, b = F.coalesce(F.col("a"), F.lit(0.0)), F.coalesce(F.col("b"), F.lit(0.0))
+def _weight(params: OnlineParams, a: str = "a", b: str = "b") -> Column:
+    a, b = F.coalesce(F.col(a), F.lit(0.0)), F.coalesce(F.col(b), F.lit(0.0))
     if params.algo == "adagrad":
         return a
     # FTRL lazy weight from (z, n).
@@ -95,6 +98,23 @@ def _weight(params: OnlineParams) -> Column:
                                               + F.lit(params.l2)))
 
 
+def _advanced(params: OnlineParams, a: str, b: str, grad: str, squares: str, count: str) -> tuple[Column, Column]:
+    """An index's pair after a batch, from its pair, Σg, Σg² and occurrences."""
+    a0, b0, g, g2, c = (F.coalesce(F.col(x), F.lit(0.0)) for x in (a, b, grad, squares, count))
+    b1 = b0 + g2
+    if params.algo == "ftrl":
+        sigma = (F.sqrt(b1) - F.sqrt(b0)) / F.lit(params.alpha)
+        return a0 + g - sigma * _weight(params, a, b), b1
+    if params.algo == "adagrad":
+        sign = -1.0 if params.compat_l2_sign else 1.0
+        return a0 - F.lit(params.alpha) / (F.lit(params.beta) + F.sqrt(b1)) * (g + F.lit(sign * params.l2) * c * a0), b1
+    raise ValueError(f"unknown online algorithm {params.algo!r}")
+
+
+def _probability(x: Column) -> Column:
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.least(x, F.lit(WTX_CLIP)), F.lit(-WTX_CLIP))))
+
+
 def _join_state(exploded: DataFrame, state: DataFrame, params: OnlineParams,
                 broadcast_limit: int) -> DataFrame:
     st = state.select("idx", "a", "b")
@@ -115,8 +135,10 @@ def score(state: DataFrame, df: DataFrame, key: str, idx_col: str = "idx", param
 
 def step(state: DataFrame, batch: DataFrame, key: str, label: str, idx_col: str = "idx",
          params: OnlineParams = OnlineParams(), add_bias: bool = True,
-         broadcast_limit: int = 2_000_000, hold: list | None = None) -> tuple[DataFrame, DataFrame]:
-    """One synchronous mini-batch. Returns (new state, per-row predictions
+         broadcast_limit: int = 2_000_000, hold: list | None = None,
+         only_touched: bool = False) -> tuple[DataFrame, DataFrame]:
+    """One synchronous mini-batch. Returns (new state — with ``only_touched`` just
+    the indices that the batch has —, per-row predictions
     made *before* the update: ``key, label, p``). ``key`` identifies a row
     and must be unique within the batch (the per-row step groups by it, so
     its groups are bounded by the row's width)."""
@@ -138,20 +160,8 @@ def step(state: DataFrame, batch: DataFrame, key: str, label: str, idx_col: str
     grads = (scored.select((F.col("p") - F.col(label)).alias("g"), F.explode("__idx").alias("idx"))
              .groupBy("idx").agg(F.sum("g").alias("G"), F.sum(F.col("g") * F.col("g")).alias("G2"),
                                  F.count(F.lit(1)).cast("double").alias("C")))
-    merged = state.select("idx", "a", "b").join(grads, "idx", "full_outer")
-    a0, b0 = F.coalesce(F.col("a"), F.lit(0.0)), F.coalesce(F.col("b"), F.lit(0.0))
-    G, G2, C = (F.coalesce(F.col(c), F.lit(0.0)) for c in ("G", "G2", "C"))
-    w = _weight(params)
-    if params.algo == "ftrl":
-        sigma = (F.sqrt(b0 + G2) - F.sqrt(b0)) / F.lit(params.alpha)
-        a1 = a0 + G - sigma * w
-        b1 = b0 + G2
-    elif params.algo == "adagrad":
-        b1 = b0 + G2
-        sign = -1.0 if params.compat_l2_sign else 1.0
-        a1 = a0 - F.lit(params.alpha) / (F.lit(params.beta) + F.sqrt(b1)) * (G + F.lit(sign * params.l2) * C * a0)
-    else:
-        raise ValueError(f"unknown online algorithm {params.algo!r}")
+    merged = state.select("idx", "a", "b").join(grads, "idx", "right" if only_touched else "full_outer")
+    a1, b1 = _advanced(params, "a", "b", "G", "G2", "C")
     return merged.select("idx", a1.alias("a"), b1.alias("b")), preds
 
 
@@ -163,6 +173,22 @@ def save_state(state: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _written(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written whole."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
+def _same_settings(spark: SparkSession, path: str, settings: str) -> None:
+    """Note the settings of a fit; refuse a folder that holds a fit with others."""
+    if _written(spark, f"{path}/settings"):
+        found = "\n".join(r["value"] for r in spark.read.text(f"{path}/settings").collect())
+        if found != settings:
+            raise ValueError(f"{path} holds a fit with other settings: {found}")
+    else:
+        spark.createDataFrame([(settings,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/settings")
+
+
 def fit(df: DataFrame, key: str, label: str, state_path: str, idx_col: str = "idx",
         params: OnlineParams = OnlineParams(), batch_col: str = "batch", n_batches: int | None = None,
         epochs: int = 1, valid_flag: str | None = None, add_bias: bool = True,
@@ -172,18 +198,24 @@ def fit(df: DataFrame, key: str, label: str, state_path: str, idx_col: str = "id
     (progressive validation); rows flagged ``valid_flag`` are scored but not
     trained on. Returns (final state, prediction log) where the log has
     ``epoch, batch, key, label, p, is_valid`` for every row and pass, and is
-    appended per batch to ``state_path/log``.
+    written per batch below ``state_path/log``.
 
     Batches run one after another (each row must see the weights after the
-    previous batch); the work inside a batch is distributed.
+    previous batch); the work inside a batch is distributed. A batch's log is
+    written before its state, and a batch whose state is there is not run again: a
+    restarted fit goes on after it and leaves no log row twice.
     """
     spark = df.sparkSession
     if n_batches is None:
         n_batches = df.agg(F.max(batch_col)).first()[0] + 1
+    _same_settings(spark, state_path, f"{params} {idx_col} {batch_col} {n_batches} {valid_flag} {add_bias}")
     state = start_state if start_state is not None else empty_state(spark)
-    log_path = f"{state_path}/log"
     for e in range(epochs):
         for b in range(n_batches):
+            place = f"epoch={e}/batch={b}"
+            if _written(spark, f"{state_path}/state/{place}"):
+                state = spark.read.parquet(f"{state_path}/state/{place}")
+                continue
             batch = df.filter(F.col(batch_col) == b)
             if valid_flag:
                 train = batch.filter(~F.col(valid_flag))
@@ -192,17 +224,69 @@ def fit(df: DataFrame, key: str, label: str, state_path: str, idx_col: str = "id
                 train, valid = batch, None
             hold: list = []
             new_state, preds = step(state, train, key, label, idx_col, params, add_bias, hold=hold)
-            logs = preds.select(F.lit(e).alias("epoch"), F.lit(b).alias("batch"), key, label, "p",
-                                F.lit(False).alias("is_valid"))
+            logs = preds.select(key, label, "p", F.lit(False).alias("is_valid"))
             if valid is not None:
                 vp = score(state, valid, key, idx_col, params, add_bias, keep=[label])
-                logs = logs.unionByName(vp.select(F.lit(e).alias("epoch"), F.lit(b).alias("batch"), key, label,
-                                                  "p", F.lit(True).alias("is_valid")))
-            logs.write.mode("append").parquet(log_path)
-            state = save_state(new_state, f"{state_path}/state/epoch={e}/batch={b}")
+                logs = logs.unionByName(vp.select(key, label, "p", F.lit(True).alias("is_valid")))
+            logs.write.mode("overwrite").parquet(f"{state_path}/log/{place}")
+            state = save_state(new_state, f"{state_path}/state/{place}")
             for h in hold:
                 h.unpersist()
-    return state, spark.read.parquet(log_path)
+    return state, spark.read.parquet(f"{state_path}/log").select("epoch", "batch", key, label, "p", "is_valid")
+
+
+def empty_sweep(spark: SparkSession, n: int) -> DataFrame:
+    return spark.createDataFrame([], "idx bigint, " + ", ".join(f"a{i} double, b{i} double" for i in range(n)))
+
+
+def sweep_step(state: DataFrame, batch: DataFrame, key: str, label: str, settings: Sequence[OnlineParams],
+               idx_col: str = "idx", add_bias: bool = True, broadcast_limit: int = 2_000_000) -> DataFrame:
+    """``step`` for several settings at once; the state has (a, b) per setting."""
+    n = range(len(settings))
+    idx = with_bias(F.col(idx_col)) if add_bias else F.col(idx_col)
+    ex = batch.select(key, F.col(label).cast("double").alias("__y"), F.explode(idx).alias("idx"))
+    j = ex.join(broadcast_if_small(state, broadcast_limit), "idx", "left") \
+        .select(key, "__y", "idx", *[_weight(p, f"a{i}", f"b{i}").alias(f"w{i}") for i, p in enumerate(settings)])
+    per = j.groupBy(key).agg(F.first("__y").alias("__y"), F.collect_list("idx").alias("__idx"),
+                             *[F.sum(f"w{i}").alias(f"x{i}") for i in n])
+    each = per.select(F.explode("__idx").alias("idx"), *[(_probability(F.col(f"x{i}")) - F.col("__y")).alias(f"g{i}") for i in n])
+    grads = each.groupBy("idx").agg(F.count(F.lit(1)).cast("double").alias("C"),
+                                    *[F.sum(f"g{i}").alias(f"G{i}") for i in n],
+                                    *[F.sum(F.col(f"g{i}") * F.col(f"g{i}")).alias(f"S{i}") for i in n])
+    merged = state.join(grads, "idx", "full_outer")
+    new = [c.alias(f"{x}{i}") for i, p in enumerate(settings)
+           for x, c in zip("ab", _advanced(p, f"a{i}", f"b{i}", f"G{i}", f"S{i}", "C"))]
+    return merged.select("idx", *new)
+
+
+def fit_sweep(df: DataFrame, key: str, label: str, state_path: str, settings: Sequence[OnlineParams], idx_col: str = "idx",
+              batch_col: str = "batch", n_batches: int | None = None, epochs: int = 1, add_bias: bool = True) -> DataFrame:
+    """All settings trained in the same passes (F9): the state after the last
+    batch, equal to what ``fit`` gives each setting by itself. Resumes like it."""
+    spark = df.sparkSession
+    if n_batches is None:
+        n_batches = df.agg(F.max(batch_col)).first()[0] + 1
+    _same_settings(spark, state_path, f"{list(settings)} {idx_col} {batch_col} {n_batches} {add_bias}")
+    state = empty_sweep(spark, len(settings))
+    for e in range(epochs):
+        for b in range(n_batches):
+            path = f"{state_path}/state/epoch={e}/batch={b}"
+            if not _written(spark, path):
+                sweep_step(state, df.filter(F.col(batch_col) == b), key, label, settings, idx_col, add_bias) \
+                    .write.mode("overwrite").parquet(path)
+            state = spark.read.parquet(path)
+    return state
+
+
+def score_sweep(state: DataFrame, df: DataFrame, key: str, settings: dict[str, OnlineParams], idx_col: str = "idx",
+                add_bias: bool = True, keep: Sequence[str] = (), broadcast_limit: int = 2_000_000) -> DataFrame:
+    """(model, key, keep…, p) for every setting, named by the dict in the state's order."""
+    idx = with_bias(F.col(idx_col)) if add_bias else F.col(idx_col)
+    ex = df.select(key, *keep, F.explode(idx).alias("idx"))
+    j = ex.join(broadcast_if_small(state, broadcast_limit), "idx", "left")
+    per = j.groupBy(key, *keep).agg(*[F.sum(_weight(p, f"a{i}", f"b{i}")).alias(f"x{i}") for i, p in enumerate(settings.values())])
+    rows = F.array(*[F.struct(F.lit(m).alias("model"), _probability(F.col(f"x{i}")).alias("p")) for i, m in enumerate(settings)])
+    return per.select(key, *keep, F.explode(rows).alias("__r")).select("__r.model", key, *keep, "__r.p")
 
 
 def batch_progress(log: DataFrame, label: str) -> DataFrame:

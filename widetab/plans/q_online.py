@@ -239,3 +239,22 @@ def stream_score_ftrl(spark, d):
     q.awaitTermination()
     out = spark.read.parquet(f"{base}/scores")
     return out.select("event_id", "y", (F.round("p", 9) + F.lit(0.0)).alias("p"))
+
+
+@register("stream_fit_two_batches", _two_step_sql("ftrl"), ("H1", "E9"))
+def stream_fit_two_batches(spark, d):
+    """FTRL on a stream of two micro-batches, a base written after each: the same
+    state as SQL replaying the steps."""
+    from widetab.streaming import read_state
+    from widetab.streaming import stream_fit as run
+    e = O.hash_features(_events(spark, d), FEATURES, D)
+    batch = F.pmod(F.conv(F.substring(F.md5(F.concat(F.col("event_id").cast("string"), F.lit("_batch"))), 1, 8), 16, 10)
+                   .cast("bigint"), F.lit(2))
+    base = scratch_path(spark, "stream-two")
+    params = O.OnlineParams(algo="ftrl", alpha=ALPHA, beta=BETA, l1=L1, l2=L2)
+    for b in range(2):
+        e.filter(batch == b).coalesce(1).write.mode("append").parquet(f"{base}/src")
+        stream = spark.readStream.schema(e.schema).parquet(f"{base}/src")
+        run(stream, "event_id", "y", f"{base}/model", f"{base}/ckpt", params=params, compact_every=1 + b).awaitTermination()
+    return read_state(spark, f"{base}/model").select(
+        "idx", (F.round("a", 9) + F.lit(0.0)).alias("a"), (F.round("b", 9) + F.lit(0.0)).alias("b"))
