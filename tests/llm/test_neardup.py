@@ -108,3 +108,54 @@ def test_odd_rows(spark, odd_docs):
     left = N.drop_near_copies(odd_docs)
     assert left.schema == odd_docs.schema and sorted([r.doc_id or 0 for r in left.collect()]) == [0, 1, 2, 3, 5, 6, 7]
     assert N.drop_near_copies(odd_docs.limit(0)).count() == 0
+
+
+def test_dense_class_without_a_centre(spark, monkeypatch):
+    """Many sets near the threshold of each other, most of them not alike: few
+    links leave the tasks, and what the prefix index leaves out is not alike."""
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(400):
+        x = list(base)
+        for j in rng.sample(range(120), rng.randint(2, 6)):
+            x[j] = f"v{rng.randrange(10 ** 6)}"
+        rows.append((i, " ".join(x)))
+    sent = []
+    confirm = N.confirm_in_blocks
+    monkeypatch.setattr(N, "confirm_in_blocks", lambda asked, there, percent: sent.append(
+        (asked.count(), confirm(asked, there, percent).count())) or confirm(asked, there, percent))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    for limit in (16, 64):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.components(docs, width=3, percent=85, class_limit=limit).collect()}
+        assert got == brute(rows, 3, 85)
+    assert sent and all(asked <= 400 * 400 / 16 and links <= asked for asked, links in sent)
+
+
+def test_any_column_names(spark, odd_docs):
+    names = ["fk", "th", "rk", "rth", "row", "rowkey", "gk", "gth", "kept", "k", "t", "component_id", "a.b"]
+    docs = odd_docs.selectExpr("doc_id", "text", "source")
+    for i, n in enumerate(names):
+        docs = docs.withColumn(n, docs.doc_id + i if i % 2 else docs.text)
+    left = N.drop_near_copies(docs)
+    assert left.columns == docs.columns and sorted([r.doc_id or 0 for r in left.collect()]) == [0, 1, 2, 3, 5, 6, 7]
+
+
+def test_components_of_edges_over_several_tasks(spark, monkeypatch):
+    rng = random.Random(8)
+    edges = [(i, i + 1) for i in range(0, 300) if i % 50] + [(rng.randrange(1000, 1400), rng.randrange(1000, 1400)) for _ in range(250)]
+    up = {}
+
+    def find(i):
+        while up.setdefault(i, i) != i:
+            i = up[i]
+        return i
+    for a, b in edges:
+        a, b = find(a), find(b)
+        up[max(a, b)] = min(a, b)
+    want = {i: find(i) for a, b in edges for i in (a, b) if a != b}
+    df = spark.createDataFrame(edges, "a bigint, b bigint")
+    for most in (10, 100, 10 ** 6):
+        monkeypatch.setattr(N, "EDGES_PER_TASK", most)
+        assert {r.id: r.low for r in N.connected(df).collect() if r.id in want} == want
+    assert N.connected(df.limit(0)).count() == 0

@@ -4,18 +4,38 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from widetab.session import ensure_checkpoint_dir
+from widetab.session import discard, ensure_checkpoint_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 
 
+#: Folders that the pipeline's present stage has written, while one runs.
+_STAGE: list[str] | None = None
+_LEFT: list[str] = []
+
+
+@contextmanager
+def pipeline_stage(docs: DataFrame) -> Iterator[None]:
+    """A stage of the pipeline: the tables that the stage before wrote for its own
+    use go, as its output is written by now; any that ``docs`` still reads stays."""
+    global _STAGE, _LEFT
+    read = " ".join(docs.inputFiles())
+    _LEFT = [p for p in _LEFT if p.rsplit("/", 1)[1] in read or discard(docs.sparkSession, p)]
+    _STAGE = []
+    try:
+        yield
+    finally:
+        _LEFT, _STAGE = _LEFT + _STAGE, None
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared folder in ``spark.checkpoint.dir``."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
@@ -28,7 +48,20 @@ def write_shared(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if _STAGE is not None:
+        _STAGE.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.shared_folder = path
+    return out
+
+
+def drop_shared(*tables: DataFrame) -> None:
+    """Delete tables of ``write_shared`` that nothing will read again (what was
+    computed from them is written)."""
+    for t in tables:
+        discard(t.sparkSession, t.shared_folder)
+        if _STAGE and t.shared_folder in _STAGE:
+            _STAGE.remove(t.shared_folder)
 
 
 def text_column(name: str = "text") -> Column:
