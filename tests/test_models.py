@@ -39,17 +39,80 @@ def test_predictions_are_probabilities(spark):
     assert p.count() == te.count()
 
 
-def test_blend_weights_simplex_and_not_worse(spark):
-    ms = model_scores(spark, SMALL)
-    labels = ms.filter("model = 'm1'").select(KEY, "y")
-    models = ["m1", "m2", "m3"]
-    w = G.fit_blend_weights(ms.select("model", KEY, "target"), labels, KEY, "y", models, steps=15)
-    assert all(v >= 0 for v in w.values()) and abs(sum(w.values()) - 1) < 1e-9
-    wide = G.pivot_models(ms.select("model", KEY, "target"), KEY, models).join(labels, KEY)
+def test_blend_weights_gap_and_not_worse(spark):
+    ms = model_scores(spark, SMALL).select("model", KEY, "target", "y")
+    models = ["m1", "m2", "m3", "m4", "m5"]
+    fit = G.fit_blend_weights(ms, None, KEY, "y", models)
+    w = fit.weights
+    assert all(v >= 0 for v in w.values()) and abs(sum(w.values()) - 1) < 1e-9 and 0 <= fit.gap <= 1e-6
     from widetab.operators.metrics import logloss
-    single = min(logloss(wide, m, "y").first()["logloss"] for m in models)
+    wide = G.pivot_models(ms, KEY, models).join(ms.filter("model = 'm1'").select(KEY, "y"), KEY)
     blended = wide.withColumn("b", sum(F.col(m) * w[m] for m in models))
-    assert logloss(blended, "b", "y").first()["logloss"] <= single + 1e-9
+    loss = logloss(blended, "b", "y").first()["logloss"]
+    assert abs(loss - fit.loss) < 1e-9
+    # Not above the best point of the whole grid, and within the gap of it.
+    grid = G.blend_grid_losses(ms, None, KEY, "y", models, step=0.1).agg(F.min("logloss")).first()[0]
+    assert loss <= grid + 1e-9
+
+
+def test_blend_weights_on_a_vertex_and_refusals(spark):
+    import pytest
+    rows = [(m, i, (0.9 if y else 0.1) if m == "good" else 0.5 + 0.01 * (i % 7), y)
+            for i in range(60) for y in [i % 2] for m in ("good", "bad")]
+    preds = spark.createDataFrame(rows, "model string, ID bigint, target double, y int")
+    fit = G.fit_blend_weights(preds, None, "ID", "y", ["bad", "good"])
+    assert fit.weights["good"] == 1.0 and fit.gap <= 1e-6 and fit.steps == 1
+    with pytest.raises(ValueError):
+        G.fit_blend_weights(preds.limit(0), None, "ID", "y", ["bad", "good"])
+
+
+def test_simplex_minimum_against_a_fine_grid():
+    import numpy as np
+    rng = np.random.default_rng(1)
+    for _ in range(20):
+        a = rng.normal(size=(3, 3))
+        h, g, w = a @ a.T, rng.normal(size=3), np.array([0.2, 0.3, 0.5])
+        value = lambda x: g @ (x - w) + (x - w) @ h @ (x - w) / 2
+        got = G._simplex_minimum(w, g, h)
+        best = min(value(np.array([i, j, 100 - i - j]) / 100) for i in range(101) for j in range(101 - i))
+        assert abs(got.sum() - 1) < 1e-9 and (got >= 0).all() and value(got) <= best + 1e-9
+
+
+def test_isotonic_weights_and_test_rows(spark):
+    import bisect
+    rows = [(i, round((i * 37 % 100) / 25) / 4, int((i * 37 % 100) + (i * 13 % 40) > 70), i % 3) for i in range(300)]
+    scores = spark.createDataFrame(rows, "ID bigint, s double, y int, fold int")
+    test = spark.createDataFrame([(1000 + i, i / 10) for i in range(11)] + [(2000, None)], "ID bigint, s double")
+
+    def pool(some):
+        """Pool adjacent violators over single rows; a function of the score."""
+        blocks = []
+        for s, y in sorted(some):
+            if blocks and blocks[-1][2] == s:
+                blocks[-1][0] += y
+                blocks[-1][1] += 1
+            else:
+                blocks.append([y, 1, s, s])
+        out = []
+        for y, n, a, b in blocks:
+            out.append([y, n, a, b])
+            while len(out) > 1 and out[-2][0] / out[-2][1] >= out[-1][0] / out[-1][1]:
+                y2, n2, _, b2 = out.pop()
+                out[-1] = [out[-1][0] + y2, out[-1][1] + n2, out[-1][2], b2]
+        xs = [v for y, n, a, b in out for v in ((a,) if a == b else (a, b))]
+        ys = [y / n for y, n, a, b in out for _ in ((a,) if a == b else (a, b))]
+
+        def at(x):
+            if x <= xs[0] or x >= xs[-1]:
+                return ys[0] if x <= xs[0] else ys[-1]
+            i = bisect.bisect_left(xs, x)
+            return ys[i] if xs[i] == x else ys[i - 1] + (ys[i] - ys[i - 1]) * (x - xs[i - 1]) / (xs[i] - xs[i - 1])
+        return at
+    fits = [pool([(s, y) for _, s, y, f in rows if f != i]) for i in range(3)]
+    got = {(r["set"], r["ID"]): r["s"] for r in L.isotonic_calibrate(scores, "ID", "y", "fold", "s", test=test).collect()}
+    assert len(got) == 312 and got["test", 2000] is None
+    assert all(abs(got["train", i] - fits[f](s)) < 1e-9 for i, s, _, f in rows)
+    assert all(abs(got["test", 1000 + i] - sum(fit(i / 10) for fit in fits) / 3) < 1e-9 for i in range(11))
 
 
 def _learnable(spark, n=600):
@@ -69,22 +132,6 @@ def test_learners_learn(spark):
         assert M.auc(scored, "target", "y").first()["auc"] > 0.9, type(model)
 
 
-def test_boosted_curve_has_auc_per_round(spark):
-    data = L.assemble(_learnable(spark), ["a", "b", "c"], keep=["ID", "y"])
-    train, valid = data.filter("ID % 3 > 0"), data.filter("ID % 3 = 0")
-    model = L.fit_boosted(train, "y", {"nrounds": 4, "max_depth": 2, "eta": 0.3})
-    curve = L.boosted_curve(model, valid, "y").orderBy("round").collect()
-    assert [r["round"] for r in curve] == [1, 2, 3, 4]
-    # the last round against brute-force pair counting on the whole model's scores
-    rows = L.predict(model, valid, "ID").join(valid.select("ID", "y"), "ID").collect()
-    pos, neg = [r.target for r in rows if r.y == 1], [r.target for r in rows if r.y == 0]
-    pairs = sum((p > n) + (p == n) / 2 for p in pos for n in neg)
-    assert abs(curve[-1]["auc"] - pairs / (len(pos) * len(neg))) < 1e-12
-    best = max(r["auc"] for r in curve)
-    assert L.best_boosted_round(model, valid, "y") == min(r["round"] for r in curve if r["auc"] == best)
-    assert len(L.fit_boosted_by_auc(train, valid, "y", {"nrounds": 4, "max_depth": 2, "eta": 0.3}).trees) <= 4
-
-
 def test_weighted_means_refuse_gaps(spark):
     import pytest
     preds = spark.createDataFrame([("m1", 1, 1.0), ("m2", 1, None)], "model string, ID bigint, target double")

@@ -8,13 +8,16 @@ weights are small tables joined by model.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from widetab.functions.exprs import safe_ratio
-from widetab.operators._util import bounded_broadcast, qcol, sum_columns
+from widetab.operators._util import bounded_broadcast, broadcast_if_small, materialize, qcol, sum_columns
 
 
 def average(preds: DataFrame, key: str, score: str = "target", model: str = "model",
@@ -98,7 +101,11 @@ def minmax(preds: DataFrame, score: str = "target", by: Sequence[str] = ()) -> D
     by = list(by)
     stats = preds.groupBy(*by).agg(F.min(score).alias("__lo"), F.max(score).alias("__hi"))
     if by:
-        j = preds.join(stats, by)
+        groups = stats.select(*[F.col(c).alias(f"__g{i}") for i, c in enumerate(by)], "__lo", "__hi")
+        same = F.lit(True)
+        for i, c in enumerate(by):
+            same = same & F.col(c).eqNullSafe(F.col(f"__g{i}"))
+        j = preds.join(broadcast_if_small(groups), same).drop(*[f"__g{i}" for i in range(len(by))])
     else:
         lo_hi = stats.first()
         j = preds.withColumns({"__lo": F.lit(lo_hi["__lo"]), "__hi": F.lit(lo_hi["__hi"])})
@@ -136,65 +143,125 @@ def weight_grid(models: Sequence[str], step: float = 0.1) -> list[dict[str, floa
     return [{m: u / units for m, u in zip(models, ws)} for ws in out]
 
 
+GRID_ROWS = 512
+
+
 def blend_grid_losses(preds: DataFrame, labels: DataFrame | None, key: str, label: str,
                       models: Sequence[str], step: float = 0.1, score: str = "target",
                       model: str = "model") -> DataFrame:
     """Log loss of every weight vector on a simplex grid (G8, grid form).
 
-    The grid is a small bounded table; each row's score under every grid
-    point is one ``transform`` over an array of weight vectors, then one
-    aggregate gives all losses. No cross join of rows with the grid.
+    The grid is a small bounded table. A task multiplies its rows' scores with all
+    weight vectors, a few rows at a time, and sums the losses; one row per grid
+    point and task is shuffled. Rows without a score or a label are left out.
     """
     models = list(models)
     grid = weight_grid(models, step)
     wide = _wide_with_label(preds, labels, key, label, models, score, model)
-    gw = F.array(*[F.array(*[F.lit(g[m]) for m in models]) for g in grid])
-    pvec = F.array(*[qcol(m).cast("double") for m in models])
-    blended = F.transform(gw, lambda w: F.aggregate(F.zip_with(w, pvec, lambda a, b: a * b),
-                                                    F.lit(0.0), lambda acc, x: acc + x))
-    eps = 1e-14
-    y = F.col(label).cast("double")
-    losses = F.transform(F.col("__b"), lambda p: -(y * F.ln(F.greatest(F.least(p, F.lit(1 - eps)), F.lit(eps)))
-                                                    + (1 - y) * F.ln(F.lit(1.0) - F.greatest(F.least(p, F.lit(1 - eps)), F.lit(eps)))))
-    per_row = wide.select(blended.alias("__b"), F.col(label)).select(losses.alias("__l"))
-    # One aggregate with one mean per grid point (the grid size is bounded).
-    means = per_row.agg(*[F.avg(F.col("__l")[i]).alias(f"g{i}") for i in range(len(grid))])
-    sums = means.select(F.explode(F.array(*[F.struct(F.lit(i).alias("grid_id"), F.col(f"g{i}").alias("logloss"))
-                                             for i in range(len(grid))])).alias("r")).select("r.*")
-    spark = preds.sparkSession
-    gdf = spark.createDataFrame([(i, *[g[m] for m in models]) for i, g in enumerate(grid)],
-                                "grid_id int, " + ", ".join(f"`w_{m}` double" for m in models))
+    weights, eps = np.array([[g[m] for m in models] for g in grid]).T, 1e-14
+    rows = wide.select(*[qcol(m).cast("double").alias(f"p{i}") for i, m in enumerate(models)],
+                       F.col(label).cast("double").alias("y")).dropna()
+
+    def losses(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = np.zeros(len(grid)), 0
+        for b in it:
+            scores = np.column_stack([b.column(f"p{i}").to_numpy() for i in range(len(models))])
+            y = b.column("y").to_numpy()
+            for at in range(0, len(y), GRID_ROWS):
+                p = np.clip(scores[at:at + GRID_ROWS] @ weights, eps, 1 - eps)
+                some = y[at:at + GRID_ROWS, None]
+                if np.isin(some, (0, 1)).all():
+                    total -= np.log(np.where(some == 1, p, 1 - p)).sum(axis=0)
+                else:
+                    total -= (some * np.log(p) + (1 - some) * np.log(1 - p)).sum(axis=0)
+            n += len(y)
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(grid), dtype=np.int32)), pa.array(total),
+                                              pa.array(np.full(len(grid), n))], names=["grid_id", "loss", "n"])
+    sums = rows.mapInArrow(losses, "grid_id int, loss double, n bigint").groupBy("grid_id").agg(
+        (F.sum("loss") / F.sum("n")).alias("logloss"))
+    gdf = preds.sparkSession.createDataFrame([(i, *[g[m] for m in models]) for i, g in enumerate(grid)],
+                                             "grid_id int, " + ", ".join(f"`w_{m}` double" for m in models))
     return sums.join(bounded_broadcast(gdf, len(grid)), "grid_id")
 
 
+class BlendFit(NamedTuple):
+    """Blend weights with their loss, the passes over the rows, and the duality
+    gap: no weights on the simplex have a loss below ``loss - gap``."""
+
+    weights: dict[str, float]
+    loss: float
+    steps: int
+    gap: float
+
+
+def _simplex_minimum(w: np.ndarray, g: np.ndarray, h: np.ndarray, rounds: int = 2000) -> np.ndarray:
+    """Minimum over the simplex of the quadratic g·(x − w) + (x − w)·h·(x − w)/2, by
+    pairwise Frank–Wolfe steps from w (k numbers, on the driver)."""
+    x = w.copy()
+    for _ in range(rounds):
+        d = g + h @ (x - w)
+        into = int(d.argmin())
+        out = int(np.where(x > 0, d, -np.inf).argmax())
+        if d[out] - d[into] < 1e-13:
+            break
+        curve = h[into, into] + h[out, out] - 2 * h[into, out]
+        move = x[out] if curve <= 0 else min(x[out], (d[out] - d[into]) / curve)
+        x[into], x[out] = x[into] + move, x[out] - move
+    return x
+
+
 def fit_blend_weights(preds: DataFrame, labels: DataFrame | None, key: str, label: str, models: Sequence[str],
-                      steps: int = 50, rate: float = 2.0, score: str = "target", model: str = "model",
-                      eps: float = 1e-14) -> dict[str, float]:
+                      tolerance: float = 1e-6, max_steps: int = 100, score: str = "target", model: str = "model",
+                      eps: float = 1e-14) -> BlendFit:
     """Blend weights in the simplex minimising log loss.
 
-    Exponentiated-gradient descent (Kivinen & Warmuth 1997): each step is one
-    Spark aggregate over all rows returning k gradient sums; the driver keeps
-    only the k weights. Weights stay ≥ 0 and sum to 1 by construction.
+    The loss is convex in the weights. A pass over the rows is one aggregate:
+    loss, gradient and Hessian at the present weights (k² / 2 numbers). The driver
+    minimises the quadratic model on the simplex and the next pass tries that
+    point, halving the way back while the loss does not fall. It ends when the duality
+    gap, which bounds what any weights could still gain, is at most ``tolerance``
+    (a fit that needs more than ``max_steps`` passes is an error). The best single model is
+    the start, so the loss is never above it.
     """
-    import math
     models = list(models)
     k = len(models)
-    w = [1.0 / k] * k
-    wide = _wide_with_label(preds, labels, key, label, models, score, model) \
-        .select(F.array(*[qcol(m).cast("double") for m in models]).alias("__p"),
-                F.col(label).cast("double").alias("__y")).cache()
-    try:
-        for _ in range(steps):
-            wv = F.array(*[F.lit(x) for x in w])
-            pb = F.aggregate(F.zip_with(wv, F.col("__p"), lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-            pc = F.greatest(F.least(pb, F.lit(1 - eps)), F.lit(eps))
-            # d loss / d p_blend = (p − y) / (p (1 − p)); d p_blend / d w_i = p_i
-            d = (pc - F.col("__y")) / (pc * (F.lit(1.0) - pc))
-            grads = wide.agg(*[F.avg(d * F.col("__p")[i]).alias(f"g{i}") for i in range(k)]).first()
-            g = [grads[f"g{i}"] for i in range(k)]
-            z = [w[i] * math.exp(-rate * g[i]) for i in range(k)]
-            s = sum(z)
-            w = [x / s for x in z]
-    finally:
-        wide.unpersist()
-    return dict(zip(models, w))
+    wide = materialize(_wide_with_label(preds, labels, key, label, models, score, model)
+                       .select(*[qcol(m).cast("double").alias(f"p{i}") for i, m in enumerate(models)],
+                               F.col(label).cast("double").alias("y")))
+    clip = lambda p: F.greatest(F.least(p, F.lit(1 - eps)), F.lit(eps))
+    ll = lambda p: -(F.col("y") * F.ln(clip(p)) + (F.lit(1.0) - F.col("y")) * F.ln(F.lit(1.0) - clip(p)))
+    single = wide.agg(*[F.avg(ll(F.col(f"p{i}"))).alias(f"l{i}") for i in range(k)]).first()
+    if single["l0"] is None:
+        raise ValueError("no rows to fit weights on")
+
+    def at(w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        pb = clip(sum_columns([F.lit(float(w[i])) * F.col(f"p{i}") for i in range(k)]))
+        rows = wide.withColumns({"b": pb}).withColumns({
+            "d": (F.col("b") - F.col("y")) / (F.col("b") * (F.lit(1.0) - F.col("b"))),
+            "c": F.col("y") / (F.col("b") * F.col("b")) + (F.lit(1.0) - F.col("y")) / ((F.lit(1.0) - F.col("b")) * (F.lit(1.0) - F.col("b")))})
+        r = rows.agg(F.avg(ll(F.col("b"))).alias("loss"), *[F.avg(F.col("d") * F.col(f"p{i}")).alias(f"g{i}") for i in range(k)],
+                     *[F.avg(F.col("c") * F.col(f"p{i}") * F.col(f"p{j}")).alias(f"h{i}_{j}") for i in range(k) for j in range(i, k)]).first()
+        return (r["loss"], np.array([r[f"g{i}"] for i in range(k)]),
+                np.array([[r[f"h{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]))
+    w = np.zeros(k)
+    w[int(np.argmin([single[f"l{i}"] for i in range(k)]))] = 1.0
+    loss, g, h = at(w)
+    gap = float(g @ w - g.min())
+    steps = 1
+    while gap > tolerance:
+        goal = _simplex_minimum(w, g, h)
+        share, falls = 1.0, float(g @ (goal - w))
+        while True:
+            if steps >= max_steps:
+                raise RuntimeError(f"blend weights: gap {gap:g} after {steps} passes")
+            new = w + share * (goal - w)
+            got = at(new)
+            steps += 1
+            if got[0] <= loss + 1e-4 * share * falls or share < 1e-12:
+                break
+            share /= 2
+        w, (loss, g, h) = new, got
+        gap = float(g @ w - g.min())
+    w = np.maximum(w, 0) / np.maximum(w, 0).sum()
+    return BlendFit({m: float(x) for m, x in zip(models, w)}, float(loss), steps, max(gap, 0.0))

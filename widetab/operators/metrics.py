@@ -2,18 +2,22 @@
 
 AUC is computed from counts per distinct score. Rows are first reduced to
 ``(group, score) → (pos, neg)`` with a partial aggregate (a hot score value
-becomes one row), then "negatives below" is a distributed prefix sum
-(``ordering.prefix_sum``), never a single-task window. With ties:
+becomes one row), then laid out by ranges of (group, score): each partition sums
+its own pairs, and one row per (group, partition) is left to put together. With ties:
 AUC = Σ pos·(neg_below + neg/2) / (P·N), which equals the average-rank
 formula (Σ ranks of positives − P(P+1)/2) / (P·N).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from widetab.functions.exprs import safe_ratio
 from widetab.operators.ordering import prefix_sum
@@ -34,13 +38,59 @@ def score_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ())
         F.count_if(F.col(label) != 1).cast("double").alias("__neg"))
 
 
+def _partition_ranks(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per (group, partition) of counts laid out by (group, score): P, N and U, the
+    positive-negative pairs in order within the partition (ties by half)."""
+    by = list(by)
+    laid = counts.select(*by, "__s", "__pos", "__neg").repartitionByRange(*by, "__s").sortWithinPartitions(*by, "__s")
+    fields = [laid.schema[c] for c in by]
+    schema = T.StructType([*fields, T.StructField("__part", T.IntegerType()), *[T.StructField(c, T.DoubleType()) for c in "PNU"]])
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held, sums = TaskContext.get().partitionId(), None, np.zeros(3)
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [*[pa.array([v.as_py()], v.type) for v in held], pa.array([part], pa.int32()),
+                 *[pa.array([float(x)]) for x in sums]], names=schema.names)
+        for b in it:
+            if not b.num_rows:
+                continue
+            new = np.zeros(b.num_rows, dtype=bool)
+            for c in by:
+                codes = b.column(c).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+                codes = np.nan_to_num(codes.astype(float), nan=-1.0)
+                new[1:] |= codes[1:] != codes[:-1]
+            starts = [0, *np.flatnonzero(new).tolist(), b.num_rows]
+            pos, neg = b.column("__pos").to_numpy(), b.column("__neg").to_numpy()
+            for i, j in zip(starts, starts[1:]):
+                group = [b.column(c)[i] for c in by]
+                if held is None or not all(x.equals(y) for x, y in zip(held, group)):
+                    if held is not None:
+                        yield row()
+                    held, sums = group, np.zeros(3)
+                p, n = pos[i:j], neg[i:j]
+                below = sums[1] + np.cumsum(n) - n
+                sums = sums + [p.sum(), n.sum(), (p * (below + n / 2)).sum()]
+        if held is not None:
+            yield row()
+    return laid.mapInArrow(run, schema)
+
+
 def auc_from_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """AUC per group from a ``(by…, __s, __pos, __neg)`` count table."""
+    """AUC per group from a ``(by…, __s, __pos, __neg)`` count table: one range
+    repartition, partial sums per (group, partition), and those put together in
+    partition order (a partition's positives stand above all negatives of the
+    partitions before it)."""
     by = list(by)
-    ranked = prefix_sum(counts, ["__s"], {"__neg_below": F.col("__neg")}, by, inclusive=False, materialize_input=True)
-    agg = ranked.groupBy(*by).agg(
-        F.sum("__pos").alias("P"), F.sum("__neg").alias("N"),
-        F.sum(F.col("__pos") * (F.col("__neg_below") + F.col("__neg") / F.lit(2.0))).alias("U"))
+    parts = _partition_ranks(counts, by)                 # at most groups + partitions rows
+    before = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = parts.withColumn("__below", F.coalesce(F.sum("N").over(before), F.lit(0.0)))
+    agg = placed.groupBy(*by).agg(F.sum("P").alias("P"), F.sum("N").alias("N"),
+                                  F.sum(F.col("U") + F.col("P") * F.col("__below")).alias("U"))
+    if not by:
+        # No rows at all still give one row, as any aggregate without groups.
+        agg = agg.select(F.coalesce("P", F.lit(0.0)).alias("P"), F.coalesce("N", F.lit(0.0)).alias("N"), "U")
     return agg.select(*by, F.col("P").cast("bigint").alias("n_pos"), F.col("N").cast("bigint").alias("n_neg"),
                       F.try_divide(F.col("U"), F.col("P") * F.col("N")).alias("auc"))
 
@@ -109,7 +159,7 @@ def progress(preds: DataFrame, order: str, label: str, score: str, step: int,
         F.count_if(F.col(valid_flag)).cast("double").alias("vn"),
         F.max(order).alias("rows"))
     run = prefix_sum(per, ["block"], {"ctl": F.col("tl"), "ctn": F.col("tn"), "cvl": F.col("vl"),
-                                      "cvn": F.col("vn")}, by, inclusive=True, materialize_input=True)
+                                      "cvn": F.col("vn")}, by, inclusive=True)
     return run.select(
         *by, "block", F.col("rows").cast("bigint").alias("rows"),
         safe_ratio(F.col("ctl"), F.col("ctn")).alias("train_logloss"),

@@ -70,44 +70,44 @@ def row_mean(spark, d):
 
 
 @register("minmax", _S + """,
-m AS (SELECT ID, target FROM s WHERE model = 'm1'),
-st AS (SELECT min(target) AS lo, max(target) AS hi FROM m)
-SELECT ID, round((target - lo) / nullif(hi - lo, 0), 6) AS target FROM m, st
+st AS (SELECT model, min(target) AS lo, max(target) AS hi FROM s GROUP BY model)
+SELECT s.model, ID, round((target - lo) / nullif(hi - lo, 0), 6) AS target FROM s JOIN st ON s.model = st.model
 """, ("G9",))
 def minmax(spark, d):
-    m1 = _scores(spark, d).filter(F.col("model") == "m1").select(KEY, "target")
-    return G.minmax(m1).withColumn("target", F.round("target", 6))
+    scores = _scores(spark, d).select("model", KEY, "target")
+    return G.minmax(scores, by=["model"]).withColumn("target", F.round("target", 6))
 
 
-_GRID_MODELS = ("m1", "m2", "m3")
-_GRID = G.weight_grid(_GRID_MODELS, 0.25)
-_GRID_VALUES = ", ".join(f"({i}, {g['m1']!r}, {g['m2']!r}, {g['m3']!r})" for i, g in enumerate(_GRID))
+GRID_STEP = 0.1
+_GRID = G.weight_grid(MODELS, GRID_STEP)
+_GRID_VALUES = ", ".join(f"({i}, {', '.join(repr(g[m]) for m in MODELS)})" for i, g in enumerate(_GRID))
 _CLIP = f"greatest(least(p, 1 - {LOGLOSS_EPS!r}), {LOGLOSS_EPS!r})"
 
 
-@register("blend_weight_grid", _S + f""",
-p AS (SELECT ID, max(y) AS y, """ + ", ".join(f"max(target) FILTER (WHERE model = '{m}') AS {m}" for m in _GRID_MODELS) + f"""
+@register("blend_weight_grid", _S + """,
+p AS (SELECT ID, max(y) AS y, """ + ", ".join(f"max(target) FILTER (WHERE model = '{m}') AS {m}" for m in MODELS) + f"""
       FROM s GROUP BY ID),
-g AS (SELECT grid_id, CAST(w_m1 AS DOUBLE) AS w_m1, CAST(w_m2 AS DOUBLE) AS w_m2, CAST(w_m3 AS DOUBLE) AS w_m3
-      FROM (VALUES {_GRID_VALUES}) AS t(grid_id, w_m1, w_m2, w_m3)),
-b AS (SELECT g.grid_id, p.y, ((CAST(0 AS DOUBLE) + g.w_m1 * p.m1) + g.w_m2 * p.m2) + g.w_m3 * p.m3 AS p FROM p, g)
+g AS (SELECT grid_id, {", ".join(f"CAST(w_{m} AS DOUBLE) AS w_{m}" for m in MODELS)}
+      FROM (VALUES {_GRID_VALUES}) AS t(grid_id, {", ".join(f"w_{m}" for m in MODELS)})),
+b AS (SELECT g.grid_id, p.y, {" + ".join(f"g.w_{m} * p.{m}" for m in MODELS)} AS p FROM p, g)
 SELECT CAST(grid_id AS INTEGER) AS grid_id,
        round(avg(-(CAST(y AS DOUBLE) * ln({_CLIP}) + (1 - CAST(y AS DOUBLE)) * ln(1 - {_CLIP}))), 9) AS logloss,
-       max(w_m1) AS w_m1, max(w_m2) AS w_m2, max(w_m3) AS w_m3
+       {", ".join(f"max(w_{m}) AS w_{m}" for m in MODELS)}
 FROM b JOIN g USING (grid_id) GROUP BY grid_id
 """, ("G8",))
 def blend_weight_grid(spark, d):
-    ms = model_scores(spark, d).filter(F.col("model").isin(list(_GRID_MODELS)))
-    out = G.blend_grid_losses(ms.select("model", KEY, "target", "y"), None, KEY, "y", _GRID_MODELS, step=0.25)
+    ms = model_scores(spark, d)
+    out = G.blend_grid_losses(ms.select("model", KEY, "target", "y"), None, KEY, "y", MODELS, step=GRID_STEP)
     return out.select(F.col("grid_id").cast("int").alias("grid_id"), F.round("logloss", 9).alias("logloss"),
-                      "w_m1", "w_m2", "w_m3")
+                      *[f"w_{m}" for m in MODELS])
 
 
 @register("blend_weights_fit", None, ("G8",))
 def blend_weights_fit(spark, d):
     ms = model_scores(spark, d)
-    w = G.fit_blend_weights(ms.select("model", KEY, "target", "y"), None, KEY, "y", list(MODELS), steps=20)
-    return spark.createDataFrame(sorted(w.items()), "model string, weight double")
+    fit = G.fit_blend_weights(ms.select("model", KEY, "target", "y"), None, KEY, "y", list(MODELS))
+    return spark.createDataFrame([(m, w, fit.loss, fit.steps, fit.gap) for m, w in sorted(fit.weights.items())],
+                                 "model string, weight double, logloss double, steps int, gap double")
 
 
 @register("write_predictions", _S + """,

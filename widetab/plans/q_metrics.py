@@ -90,25 +90,25 @@ def best_run(spark, d):
 
 
 @register("progress", f"""
-WITH s AS (SELECT ID, target, y FROM ({MODEL_SCORES_SQL}) WHERE model = 'm4'),
-r AS (SELECT *, row_number() OVER (ORDER BY ID) AS rn FROM s),
-b AS (SELECT CAST(floor((rn - 1) / 1500) AS BIGINT) AS block, max(rn) AS rows,
+WITH s AS (SELECT model, ID, target, y FROM ({MODEL_SCORES_SQL})),
+r AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY ID) AS rn FROM s),
+b AS (SELECT model, CAST(floor((rn - 1) / 1500) AS BIGINT) AS block, max(rn) AS rows,
              sum(CASE WHEN rn % 100 <> 0 THEN {_LL} END) AS tl,
              count(*) FILTER (WHERE rn % 100 <> 0) AS tn,
              sum(CASE WHEN rn % 100 = 0 THEN {_LL} END) AS vl,
              count(*) FILTER (WHERE rn % 100 = 0) AS vn
-      FROM r GROUP BY 1)
-SELECT block, CAST(rows AS BIGINT) AS rows,
+      FROM r GROUP BY 1, 2)
+SELECT model, block, CAST(rows AS BIGINT) AS rows,
        round(sum(coalesce(tl, 0)) OVER w / nullif(sum(tn) OVER w, 0), 9) AS train_logloss,
        round(sum(coalesce(vl, 0)) OVER w / nullif(sum(vn) OVER w, 0), 9) AS valid_logloss,
        CAST(sum(vn) OVER w AS BIGINT) AS n_valid
-FROM b WINDOW w AS (ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+FROM b WINDOW w AS (PARTITION BY model ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 """, ("F3", "D6"))
 def progress(spark, d):
-    s = model_scores(spark, d).filter(F.col("model") == "m4").select("ID", "target", "y")
+    s = model_scores(spark, d).select("model", "ID", "target", "y")
     from widetab.operators.ordering import row_number
-    numbered = row_number(s, ["ID"], (), "rn")
+    numbered = row_number(s, ["ID"], ["model"], "rn")
     flagged = numbered.withColumn("is_valid", F.pmod(F.col("rn"), F.lit(100)) == 0)
-    rep = M.progress(flagged, "rn", "y", "target", 1500)
-    return rep.select("block", "rows", F.round("train_logloss", 9).alias("train_logloss"),
+    rep = M.progress(flagged, "rn", "y", "target", 1500, by=["model"])
+    return rep.select("model", "block", "rows", F.round("train_logloss", 9).alias("train_logloss"),
                       F.round("valid_logloss", 9).alias("valid_logloss"), "n_valid")
