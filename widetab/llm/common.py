@@ -75,17 +75,21 @@ def map_rows(df: DataFrame, schema: str | T.StructType, fn: Callable[[Iterator[d
     send its column dicts back as Arrow batches of at most ``rows`` input rows."""
     target = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
 
+    names = df.columns
+
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
-        out = to_arrow_schema(target)
+        out = to_arrow_schema(placed)
 
         def feed():
             for b in it:
                 for at in range(0, b.num_rows, rows):
-                    yield b.slice(at, rows).to_pydict()
+                    yield dict(zip(names, b.slice(at, rows).to_pydict().values()))
         for got in fn(feed()):
-            yield pa.RecordBatch.from_arrays([pa.array(got[f.name], type=f.type) for f in out], schema=out)
-    return df.mapInArrow(batches, target)
+            yield pa.RecordBatch.from_arrays([pa.array(got[f.name], type=o.type) for f, o in zip(target, out)], schema=out)
+    # Columns travel by place, so any name will do (one with a dot too).
+    placed = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(target)])
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(batches, placed).toDF(*[f.name for f in target])
 
 
 def small_or_shuffled(df: DataFrame, row_bytes: int, limit_bytes: int = 64 << 20) -> DataFrame:

@@ -163,5 +163,7 @@ def apply_mix(docs: DataFrame, key: str = "doc_id", seed: int = 17, **options) -
     copies = copies.select(F.col(key).alias("mk"), F.when(F.col("s") == 0, 1).otherwise(
         F.floor(F.col("t") / F.col("s") + draw)).cast("int").alias("mn"))
     copies = small_or_shuffled(write_shared(copies, "mix-copies"), 24)
-    rows = docs.alias("d").join(copies.alias("c"), F.col(f"d.{key}").eqNullSafe(F.col("c.mk"))).filter("c.mn > 0")
-    return rows.select("d.*", F.explode(F.expr("sequence(1, c.mn)")).alias("mcopy")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # Rows travel whole in one column, so no name of theirs can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{key}`").alias("rowkey"))
+    rows = rows.join(copies, F.col("rowkey").eqNullSafe(F.col("mk"))).filter("mn > 0")
+    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("mn")))).select("row.*")
