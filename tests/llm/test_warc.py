@@ -67,3 +67,40 @@ def test_odd_rows(spark):
     path = shared_path(spark, "t-warc")
     A.write_archive(docs.limit(0), path)
     assert A.read_archive(spark, path).count() == 0
+
+
+def test_hostile_lengths(spark):
+    """Payloads that declare lengths that are no numbers, negative, lead back to
+    themselves, overflow, or are longer than anything."""
+    lengths = ["abc", "-1", "", " 5", "5 5", "0x10", "99999999999999999999999", "9223372036854775807", "2147483647", "2147483648",
+               *(str(-n) for n in range(60, 140))]
+    rows = [(i, f"http://a/{i}", "y" * (i % 7) + f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{i}>\r\n"
+             f"Content-Length: {n}\r\n\r\nhello\r\n\r\nWARC/1.1\r\n" + "z" * (i % 50)) for i, n in enumerate(lengths)]
+    rows += [(500, "u", "WARC/1.1\r\nContent-Length: 3"), (501, "u", "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 0\r\n\r\n\r\n\r\nWARC/1.1\r\n")]
+    for most in ("300", "4000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+        try:
+            path = shared_path(spark, "t-warc")
+            A.write_archive(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3), path)
+            got = A.read_archive(spark, path).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert all(r.verified for r in got)
+        assert sorted([tuple(r)[:5] for r in got], key=repr) == expected(rows)
+
+
+def test_the_second_read_may_cut_files_elsewhere(spark, monkeypatch):
+    rows = ROWS + [(100 + i, "u", FORGED + str(i)) for i in range(40)]
+    path = shared_path(spark, "t-warc")
+    A.write_archive(spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(2), path)
+    read, sizes = A._pieces, iter(["400", "1700", "900"])
+
+    def elsewhere(spark, path):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", next(sizes))
+        return read(spark, path)
+    monkeypatch.setattr(A, "_pieces", elsewhere)
+    try:
+        got = A.read_archive(spark, path).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert all(r.verified for r in got) and sorted([tuple(r)[:5] for r in got], key=repr) == expected(rows)

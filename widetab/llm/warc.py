@@ -37,6 +37,7 @@ HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LEAST_BYTES = 1000
 RECORDS_PER_FILE = 20_000
+MOST_BYTES = (1 << 31) - 1
 
 
 def _id(c: Column) -> Column:
@@ -88,7 +89,9 @@ def _parsed(value: Column) -> dict[str, Column]:
     """What a record's text (after its version line) says: header fields,
     payload length and digest. ``content`` is cut by the declared length."""
     head = F.substring_index(value, END, 1)
-    length = _field(head, "Content-Length").cast("bigint")
+    # A declared length is a whole number of bytes that a record can have; payloads may declare anything.
+    said = F.expr(f"try_cast(regexp_extract(head, '(?:^|\\r\\n)Content-Length: ([0-9]+)(?=\\r\\n|$)', 1) as bigint)")
+    length = F.when((said <= MOST_BYTES) & value.contains(END), said)
     head_bytes = F.octet_length(head).cast("bigint")
     content = F.expr("substring(cast(value as binary), cast(head_bytes + 5 as int), cast(length as int))")
     http = F.octet_length(F.substring_index(content.cast("string"), END, 1)) + len(END)
@@ -109,6 +112,16 @@ def _with_parsed(df: DataFrame) -> DataFrame:
 SMALL = ["type", "id", "refers", "digest", "payload_bytes", "payload_sha"]
 
 
+def _affected(again: DataFrame, files: DataFrame) -> DataFrame:
+    """(file, start, value) of all pieces of some files, by a read of their own.
+    Starts are byte offsets, so they agree with those of any other read."""
+    cut = len(MAGIC)
+    rows = again.join(small_or_shuffled(files, 300), "file", "left_semi")
+    before = F.sum((F.octet_length("value") + cut).cast("bigint")).over(
+        W.partitionBy("file").orderBy("split", "row").rowsBetween(W.unboundedPreceding, -1))
+    return rows.select("file", (F.coalesce(before, F.lit(0)) - cut).alias("start"), "value")
+
+
 def candidates(spark: SparkSession, path: str) -> DataFrame:
     """Every version line of every file: file, start, end (of its piece) and
     ``next``, the start its declared length leads to (null if it has none)."""
@@ -128,14 +141,15 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
     placed = placed.filter("start >= 0")          # the empty text before a file's first version line
     jump = F.col("start") + cut + F.col("head_bytes") + len(END) + F.col("length") + len(END)
     return write_shared(placed.select(
-        "file", "split", "row", "start", (F.col("start") + F.col("span")).alias("end"),
+        "file", "start", (F.col("start") + F.col("span")).alias("end"),
         F.when(F.col("length").isNotNull() & F.col("type").isNotNull(), jump).alias("next"), *SMALL), "warc-candidates")
 
 
 def reachable(links: DataFrame) -> DataFrame:
     """(file, start) of candidates that the chain from offset 0 reaches, by
-    pointer jumping over (file, start, next)."""
-    jumps = links.select("file", "start", "next").filter("next is not null")
+    pointer jumping over (file, start, next). Jumps lead forward, so the rounds
+    end after log2 of the longest chain."""
+    jumps = links.select("file", "start", "next").filter("next > start")
     heads = links.select("file", "start")
     # A jump that leads to no candidate (end of file, or nowhere) is dropped.
     jumps = write_shared(jumps.join(heads.withColumnRenamed("start", "next"), ["file", "next"], "left_semi"),
@@ -167,12 +181,23 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     parts = F.count("*").over(W.partitionBy("file", "owner"))
     marked = write_shared(marked.withColumn("parts", parts), "warc-records")
     whole = marked.filter("real and parts = 1").select(*SMALL)
-    cut = marked.filter("parts > 1 and owner is not null").select("file", "split", "row", "start", "owner")
-    rebuilt = (_pieces(spark, path).join(small_or_shuffled(cut, 200), ["file", "split", "row"])
-               .groupBy("file", "owner")
-               .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "value"))),
-                                             lambda x: x["value"]), MAGIC).alias("value")))
-    records = write_shared(whole.unionByName(_with_parsed(rebuilt).select(*SMALL)), "warc-read")
+    # Records whose payload holds a version line are put together from their pieces.
+    cut = write_shared(marked.filter("parts > 1 and owner is not null").select("file", "start", "owner"), "warc-cut")
+    records = whole
+    if not cut.isEmpty():
+        pieces = _affected(_pieces(spark, path), cut.select("file").distinct()) \
+            .join(small_or_shuffled(cut.withColumnRenamed("start", "at").withColumnRenamed("file", "in"), 300),
+                  (F.col("file") == F.col("in")) & (F.col("start") == F.col("at")))
+        rebuilt = _with_parsed(pieces.groupBy("file", "owner").agg(
+            F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "value"))),
+                                                              lambda x: x["value"]), MAGIC).alias("value")))
+        rebuilt = write_shared(rebuilt.select("n", *SMALL), "warc-rebuilt")
+        got = rebuilt.agg(F.count("*").alias("records"), F.sum("n").alias("pieces")).first()
+        asked = cut.agg(F.count_distinct("file", "owner").alias("records"), F.count("*").alias("pieces")).first()
+        if got != asked:
+            raise RuntimeError(f"archive changed while it was read: {got} of {asked}")
+        records = whole.unionByName(rebuilt.select(*SMALL))
+    records = write_shared(records, "warc-read")
     records = records.withColumns({"page_id": F.expr("try_cast(id as bigint)"),
                                    "refers_to": F.expr("try_cast(refers as bigint)")})
     # A revisit's length is that of the response it refers to.
