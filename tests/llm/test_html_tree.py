@@ -77,3 +77,78 @@ def test_odd_rows(spark):
     assert sorted(r.n_chars for r in got) == [0, 0, 1, 1, 4, 499_999]
     assert H.main_text(pages.limit(0)).count() == 0
     assert H.host_of("HTTP://u@Host.example:80/a?b") == "host.example" and H.host_of(None) == ""
+
+
+STORY = "<h1>Title</h1><p>The story is told here in a sentence of some length.</p><p>And it goes on for a while longer.</p>"
+TOLD = ["Title", "The story is told here in a sentence of some length.", "And it goes on for a while longer."]
+
+
+def texts(page):
+    return [b[1] for b in H.parse(page)[0]]
+
+
+def test_pages_that_speak_of_noise_keep_their_text():
+    assert texts(f'<body><div class="page no-sidebar">{STORY}</div>') == TOLD
+    assert texts(f'<body><div class="layout has-comments">{STORY}<div class="comments"><p>First!</p></div></div>') == TOLD
+    assert texts(f'<body><article class="post share-enabled">{STORY}</article>') == TOLD
+    assert texts(f'<body><form id="aspnetForm" action="x">{STORY}<div class="search"><p>Find</p></div></form>') == TOLD
+    assert texts(f'<body><div class="widget-area sidebar-left">{STORY}</div><div class="menu"><p>Home</p></div>') == TOLD
+    assert texts('<p>Do <b class="notice">not</b> open</p><p><a class="share">Share</a> <a class="comments">3</a></p>') == ["Do not open"]
+    assert texts(f'<div class="story">{STORY}</div><div><article><p>Teaser card</p></article></div>') == [*TOLD, "Teaser card"]
+    # Comments may be longer than the story, adverts may stand in a sentence.
+    assert texts(f'<div>{STORY}</div><div class="comments">{"<p>I think so too, and so on.</p>" * 40}</div>') == TOLD
+    assert texts('<p>end <span class="ad">buy</span>x</p>') == ["end x"]
+
+
+def test_stray_quotes_end_no_text():
+    assert texts('<p title="a"">Hello</p><p>there</p>') == ["Hello", "there"]
+    assert texts("<p class=it's>Hello</p><p>there</p>") == ["Hello", "there"]
+    assert texts('<p title = "a > b" data-x=\'c>d\' y=e"f>Hello</p><a href=x"y>there</a>') == ["Hello", "there"]
+
+
+def test_deep_pages_stay_small_and_fast():
+    import time
+    began = time.time()
+    for page in ("<div>" * 50_000 + "deep", "<div><p>a" * 20_000, "<div>" * 20_000 + "</section>" * 20_000 + "x",
+                 "<div class='" + "very-long-name " * 2000 + "'>" * 50 + "<p>b"):
+        blocks, elements = H.parse(page)
+        assert sum(len(p) + len(k) for p, k in elements) + sum(len(b[0]) for b in blocks) < 60 * len(page) + 20_000
+    assert time.time() - began < 20
+
+
+def test_node_features_against_plain_python(spark):
+    """Brute force of the style tree's entropies over distinct pages of a host."""
+    import math
+    from collections import Counter, defaultdict
+    rows = []
+    for i in range(30):
+        ps = "".join(f"<p>{'same' if k % 2 else i % (k + 2)}</p>" for k in range(1 + i % 4))
+        rows.append((i, f"http://h{i % 2}/x", f"<body><div class='a'>{ps}</div><ul><li>menu</ul>{'<div>t</div>' if i % 3 else ''}"))
+    rows += rows[:7]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {(r.host, r.path): r for r in H.node_features(H.parsed_pages(pages)).collect()}
+    want = {}
+    for host in ("h0", "h1"):
+        parsed = {str(H.parse(h)): H.parse(h) for _, u, h in rows if H.host_of(u) == host}.values()      # distinct pages
+        texts_at, pages_at, styles_at = defaultdict(Counter), Counter(), defaultdict(Counter)
+        for blocks, elements in parsed:
+            for path in {b[0] for b in blocks}:
+                pages_at[path] += 1
+            for path, text, _ in blocks:
+                texts_at[path][text] += 1
+            shown = defaultdict(set)
+            for path, kids in elements:
+                shown[path].add(kids)
+            for path, kids in shown.items():
+                styles_at[path][tuple(sorted(kids))] += 1
+        for path, c in texts_at.items():
+            m = pages_at[path]
+            value = sum(n * math.log(n) for n in c.values()) / math.log(m) / sum(c.values()) if m > 1 else 0.0
+            want.setdefault((host, path), {})["text"] = min(1.0, value)
+        for path, c in styles_at.items():
+            m = sum(c.values())
+            want.setdefault((host, path), {})["style"] = -sum(n / m * math.log(n / m) for n in c.values()) / math.log(m) if m > 1 else 1.0
+    assert set(got) == set(want)
+    for k, w in want.items():
+        for name, value in (("text", got[k].text_entropy), ("style", got[k].style_entropy)):
+            assert (value is None) == (name not in w) and (value is None or abs(value - w[name]) < 1e-9)

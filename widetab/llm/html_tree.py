@@ -8,11 +8,14 @@ whose texts recur on the host's pages has high text entropy and low importance;
 an inner element's importance joins its presentation entropy with its
 children's importance. Branches whose every node is under ``least`` are cut
 from each page of their host. Elements that mark menus, headers, footers, sidebars, notices,
-adverts, forms, comments or code by tag, role or class are cut on every page,
-and where a page marks its article (or main part), text outside goes.
+adverts, forms, comments or code by tag, role or class are cut on every page (but not
+one that holds the page itself), and where a page marks its main part, or articles
+that hold most of its text, text outside goes.
 
 The tree is summed by partial aggregation, so a hot host is one row per path
-and feature after each task; one task sees a host's paths, not its pages.
+and feature after each task, and entropies are sums per (host, path); one task
+sees a host's paths, not its pages. Paths end at ``MAX_DEPTH`` blocks (deeper ones
+share their ancestor's node), so a page's paths grow with its length only.
 
 Defined results: null html is empty and has an empty text; null urls share one
 host; hosts with fewer than ``min_pages`` pages at a path have no verdict
@@ -23,9 +26,11 @@ far as HTML's rules say; other input columns do not matter.
 
 from __future__ import annotations
 
+import hashlib
 import html as html_lib
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -36,8 +41,9 @@ from pyspark.sql import functions as F
 from widetab.llm.common import small_or_shuffled, write_shared
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-ATTR = re.compile(r"([a-zA-Z:_-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+                   # A quote opens a value only after "="; any other is a character of a name.
+                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))?)*+)(?:>|\Z)", re.S)
+ATTR = re.compile(r"([a-zA-Z:_-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
 # Fixed lists of HTML's elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noscript template svg iframe".split())
@@ -49,7 +55,13 @@ BLOCK = frozenset(
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
         "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
         "option": ({"option"}, {"select"})}
-NOISE_TAGS = frozenset("nav footer aside form button select dialog menu head object canvas audio video map".split())
+NOISE_TAGS = frozenset("nav footer button select dialog menu head object canvas audio video map".split())
+MARKED_TAGS = frozenset("aside form".split())
+#: A class beside one of these speaks of a layout ("no-sidebar", "share-enabled"), not of the element.
+SAYS_OF = frozenset("no not has have with without is hide show page layout body".split())
+SAYS_STATE = frozenset("enabled disabled on off open closed visible active hidden".split())
+MAX_DEPTH = 32
+LONG_STEP = 64
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 NOISE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adbox sponsor sponsored sponsors promo promotion banner "
@@ -57,6 +69,8 @@ NOISE_WORDS = frozenset(
     "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login "
     "social share sharing shares related recommended recommendations widget widgets comment comments commentlist reply "
     "replies respond disqus discussion pagination pager skip search searchbox".split())
+ADVERT_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsense adbox sponsor sponsored sponsors promo "
+                         "promotion banner".split())
 HEADER_WORDS = frozenset(["header"])
 MAIN_IDS = frozenset("main content article main-content maincontent post entry".split())
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -66,61 +80,98 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): next((v for v in m.groups()[1:] if v is not None), "") for m in ATTR.finditer(raw)}
 
 
-class _Element:
-    __slots__ = ("tag", "step", "noise", "place", "kids")
+def _class_words(at: dict[str, str]) -> set[str]:
+    """Lower-case words of the classes and the id, those of layout classes left out."""
+    out: set[str] = set()
+    for name in [*at.get("class", "").split(), at.get("id", "")]:
+        words = [w.lower() for w in WORDS.findall(name)]
+        if words and not (len(words) > 1 and (words[0] in SAYS_OF or words[-1] in SAYS_STATE)):
+            out.update(words)
+    return out
 
-    def __init__(self, tag: str, raw: str, in_main: bool):
-        self.tag, self.kids = tag, []
-        self.place = 2 if tag == "article" else 1 if tag == "main" else 0
-        self.noise = tag in NOISE_TAGS or (tag == "header" and not in_main)
-        self.step = tag
+
+class _Element:
+    """An open element: what holds for all inside it is handed down, so nothing
+    is looked up along the stack. ``hard`` is noise by HTML's own meaning; ``soft`` the
+    number of the nearest block marked as noise by its class, role or tag;
+    ``inline`` says that text here is marked within a sentence."""
+
+    __slots__ = ("tag", "step", "path", "depth", "hard", "marked", "soft", "inline", "place", "begins", "kids")
+
+    def __init__(self, tag: str, raw: str, over: _Element | None):
+        self.tag, self.kids, self.step = tag, [], tag
+        self.place = self.begins = 2 if tag == "article" else 1 if tag == "main" else 0
+        in_main = over is not None and over.place > 0
+        self.hard = (over is not None and over.hard) or tag in NOISE_TAGS
+        self.marked = tag in MARKED_TAGS or (tag == "header" and not in_main)
         if raw and "=" in raw or "hidden" in raw:
             at = _attributes(raw)
-            words = {w.lower() for k in ("class", "id") for w in WORDS.findall(at.get(k, ""))}
-            self.noise |= bool(words & NOISE_WORDS) and tag not in ("html", "body")
-            self.noise |= bool(words & HEADER_WORDS) and not in_main and tag not in ("html", "body")
+            if tag not in ("html", "body"):
+                words = _class_words(at)
+                self.marked |= bool(words & NOISE_WORDS) or (bool(words & HEADER_WORDS) and not in_main)
+                self.hard |= tag not in BLOCK and bool(words & ADVERT_WORDS)
             role = at.get("role", "").lower()
-            self.noise |= role in NOISE_ROLES
+            self.marked |= role in NOISE_ROLES
             if role in ("article", "main") or at.get("id", "").lower() in MAIN_IDS:
-                self.place = max(self.place, 2 if role == "article" else 1)
-            self.noise |= "hidden" in at or at.get("aria-hidden", "").lower() == "true"
-            self.noise |= bool(re.search(r"display\s*:\s*none", at.get("style", ""), re.I))
+                self.place = self.begins = max(self.place, 2 if role == "article" else 1)
+            self.hard |= "hidden" in at or at.get("aria-hidden", "").lower() == "true"
+            self.hard |= bool(re.search(r"display\s*:\s*none", at.get("style", ""), re.I))
             name = ".".join(sorted({re.sub(r"\d+", "0", c) for c in at.get("class", "").split()}))
             self.step = f"{tag}.{name}" if name else tag
+        if len(self.step) > LONG_STEP:
+            self.step = f"{tag}.{hashlib.md5(self.step.encode()).hexdigest()}"
+        self.path, self.depth, self.soft, self.inline = "", 0, 0, False
+        if over is not None:
+            self.path, self.depth, self.soft, self.inline = over.path, over.depth, over.soft, over.inline
+            self.place = max(self.place, over.place)
+        if tag in BLOCK:
+            self.depth += 1
+            if self.depth <= MAX_DEPTH:                     # deeper blocks share their ancestor's place in the tree
+                self.path = f"{self.path}>{self.step}" if self.path else self.step
 
 
 def parse(page: str) -> tuple[list[tuple[str, str, int]], list[tuple[str, str]]]:
-    """(blocks, elements) of a page without noise elements. A block is (path,
-    text, place): place 2 is inside an article, 1 inside main, 0 elsewhere. An
-    element is (path, its children's steps without repeats)."""
-    blocks: list[tuple[str, str, int]] = []
-    elements: list[tuple[str, str]] = []
+    """(blocks, elements) of a page without noise. A block is (path, text, place):
+    place 2 is inside an article, 1 inside main, 0 elsewhere. An element is (path,
+    its children's steps without repeats).
+
+    A mark (class, role, form, aside, header) makes a block noise unless it holds the
+    page itself: more than half of its text and every article, main or h1 there is
+    (for a form its text is enough). A marked word within a sentence stays, other
+    than an advert; a block of marked words only goes. Articles are the page if they hold most of
+    its text, else its main part is, else all blocks are left to the tree."""
+    blocks: list[tuple[str, str, int, int]] = []
+    elements: list[tuple[str, str, int]] = []
     stack: list[_Element] = []
-    text: list[str] = []
+    open_tags: Counter[str] = Counter()
+    over_of, tag_of = [0], [""]                             # of each marked block: the one around it, its tag
+    begun: list[tuple[str, int]] = []                       # places and h1, with the marked block they are in
+    text: list[tuple[str, bool]] = []
     pos, size = 0, len(page)
 
-    def path_of(k: int) -> str:
-        return ">".join(e.step for e in stack[:k] if e.tag in BLOCK)
-
     def flush() -> None:
         if not text:
             return
-        got = " ".join(html_lib.unescape("".join(text)).split())
+        got = " ".join(html_lib.unescape("".join([t for t, _ in text])).split())
+        plain = any(not marked and t.strip() for t, marked in text)
         text.clear()
-        if got:
-            blocks.append((path_of(len(stack)), got, max((e.place for e in stack), default=0)))
+        if got and plain:
+            top = stack[-1] if stack else None
+            blocks.append((top.path, got, top.place, top.soft) if top else ("", got, 0, 0))
 
     def add(part: str) -> None:
-        if not any(e.noise for e in stack):
-            text.append(part)
+        if not stack:
+            text.append((part, False))
+        elif not stack[-1].hard:
+            text.append((part, stack[-1].inline))
 
     def close(k: int) -> None:
         """Pop elements from place k on."""
         while len(stack) > k:
-            e = stack[-1]
-            if e.kids and e.tag in BLOCK and not any(x.noise for x in stack):
-                elements.append((path_of(len(stack)), " ".join(e.kids)))
-            stack.pop()
+            e = stack.pop()
+            open_tags[e.tag] -= 1
+            if e.kids and e.tag in BLOCK and not e.hard and e.depth <= MAX_DEPTH:
+                elements.append((e.path, " ".join(e.kids), e.soft))
 
     while pos < size:
         m = TOKEN.search(page, pos)
@@ -136,12 +187,13 @@ def parse(page: str) -> tuple[list[tuple[str, str, int]], list[tuple[str, str]]]
         if m[1]:
             if tag in BLOCK:
                 flush()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].tag == tag:
-                    close(k)
-                    break
-                if tag not in BLOCK and stack[k].tag in BLOCK:
-                    break                                   # a stray inline end tag ends no block
+            if open_tags[tag]:
+                for k in range(len(stack) - 1, -1, -1):
+                    if stack[k].tag == tag:
+                        close(k)
+                        break
+                    if tag not in BLOCK and stack[k].tag in BLOCK:
+                        break                               # a stray inline end tag ends no block
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, pos)
@@ -163,22 +215,55 @@ def parse(page: str) -> tuple[list[tuple[str, str, int]], list[tuple[str, str]]]
                 if stack[k].tag in BLOCK:
                     break
             ended, within = ENDS.get(tag, ((), ()))
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].tag in ended:
-                    close(k)
-                elif stack[k].tag in within:
-                    break
-        e = _Element(tag, m[3] or "", any(x.place for x in stack))
-        if tag in BLOCK:
-            over = next((x for x in reversed(stack) if x.tag in BLOCK), None)
-            if over is not None and (not over.kids or over.kids[-1] != e.step):
-                over.kids.append(e.step)
+            if any(open_tags[t] for t in ended):
+                for k in range(len(stack) - 1, -1, -1):
+                    if stack[k].tag in ended:
+                        close(k)
+                    elif stack[k].tag in within:
+                        break
+        over = stack[-1] if stack else None
+        e = _Element(tag, m[3] or "", over)
+        if e.marked and not e.hard:
+            if tag in BLOCK:
+                over_of.append(e.soft)
+                tag_of.append(tag)
+                e.soft = len(over_of) - 1
+            else:
+                e.inline = True
+        if e.begins or tag == "h1":
+            begun.append(("h1" if tag == "h1" and not e.begins else "place", e.soft))
+        if tag in BLOCK and e.depth <= MAX_DEPTH:
+            up = next((x for x in reversed(stack) if x.tag in BLOCK), None)
+            if up is not None and (not up.kids or up.kids[-1] != e.step):
+                up.kids.append(e.step)
         if not (m[0].endswith("/>") and tag not in BLOCK):
             stack.append(e)
+            open_tags[tag] += 1
     flush()
     close(0)
-    best = max((b[2] for b in blocks), default=0)
-    return [b for b in blocks if b[2] == best], elements
+    # What each marked block holds, from the innermost out.
+    held, inside = [0] * len(over_of), [Counter() for _ in over_of]
+    for _, got, _, soft in blocks:
+        held[soft] += len(got)
+    for kind, soft in begun:
+        inside[soft][kind] += 1
+    for i in range(len(over_of) - 1, 0, -1):
+        held[over_of[i]] += held[i]
+        inside[over_of[i]].update(inside[i])
+    whole = inside[0]
+    noise = [False] * len(over_of)
+    for i in range(1, len(over_of)):
+        kind = "place" if whole["place"] else "h1"
+        page_itself = 2 * held[i] > held[0] and (tag_of[i] == "form" or whole[kind] and inside[i][kind] == whole[kind])
+        noise[i] = noise[over_of[i]] or not page_itself
+    left = [(path, got, place) for path, got, place, soft in blocks if not noise[soft]]
+    length = lambda some: sum(len(b[1]) for b in some)
+    articles = [b for b in left if b[2] == 2]
+    if 2 * length(articles) > length(left):
+        left = articles
+    elif any(b[2] == 1 for b in left):
+        left = [b for b in left if b[2]]
+    return left, [(path, kids) for path, kids, soft in elements if not noise[soft]]
 
 
 def host_of(url: str | None) -> str:
@@ -209,11 +294,6 @@ def parsed_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url", h
     return src.mapInArrow(run, PARSED.format(kind=src.schema["page_id"].dataType.simpleString()))
 
 
-def _entropy_sum(n: F.Column, m: F.Column) -> F.Column:
-    """Entropy to base m of a feature spread evenly over n of m pages."""
-    return F.when(m > 1, F.log(n.cast("double")) / F.log(m.cast("double"))).otherwise(0.0)
-
-
 def _weighed(parsed: DataFrame) -> DataFrame:
     """``parsed`` with each row's share of a distinct page of its host:
     ``text_share`` among rows of equal blocks, ``style_share`` among those of
@@ -237,22 +317,25 @@ def node_features(parsed: DataFrame) -> DataFrame:
     pages = lambda share: F.round(F.sum(share)).cast("bigint")
     texts = page.select("host", "row", "text_share", F.explode("blocks").alias("b")).select(
         "host", "row", "text_share", F.col("b.path").alias("path"), F.xxhash64("b.text").alias("f"))
-    leaf = texts.groupBy("host", "path", "f").agg(pages("text_share").alias("n"))
     leaf_pages = texts.select("host", "path", "row", "text_share").distinct().groupBy("host", "path").agg(
         pages("text_share").alias("m"))
-    m, n = F.col("m"), F.col("n")
-    leaf = leaf.join(leaf_pages, ["host", "path"]).groupBy("host", "path").agg(
-        F.first("m").alias("m"), (F.sum(n * F.least(F.lit(1.0), _entropy_sum(n, m))) / F.sum("n")).alias("text_entropy"))
+    n_ln_n = F.col("n") * F.log(F.greatest("n", F.lit(1)).cast("double"))
+    # A text on n of the node's m pages has entropy ln n / ln m; texts weigh by n. Both sides are sums per node.
+    sums = texts.groupBy("host", "path", "f").agg(pages("text_share").alias("n")).groupBy("host", "path").agg(
+        F.sum(n_ln_n).alias("nln"), F.sum("n").alias("n")) \
+        .select(F.col("host").alias("shost"), F.col("path").alias("spath"), "nln", "n")
+    m = F.col("m").cast("double")
+    leaf = leaf_pages.join(sums, (F.col("host") == F.col("shost")) & (F.col("path") == F.col("spath"))).select(
+        "host", "path", "m", F.when((F.col("m") > 1) & (F.col("n") > 0), F.least(F.lit(1.0), F.col("nln") / F.log(m) / F.col("n")))
+        .otherwise(0.0).alias("text_entropy"))
     # An element's presentations: pages that show each (all of a page's elements at that path together).
+    # With m pages, −Σ p ln p is ln m − (Σ n ln n) / m.
     shown = page.select("host", "row", "style_share", F.explode("elements").alias("e")).select(
         "host", "row", "style_share", F.col("e.path").alias("path"), "e.style").groupBy("host", "path", "row").agg(
         F.xxhash64(F.sort_array(F.collect_set("style"))).alias("s"), F.first("style_share").alias("style_share"))
-    style = shown.groupBy("host", "path", "s").agg(pages("style_share").alias("n"))
-    style_pages = style.groupBy("host", "path").agg(F.sum("n").alias("m"))
-    p = F.col("n") / F.col("m")
-    style = style.join(style_pages, ["host", "path"]).groupBy("host", "path").agg(
-        F.first("m").alias("m"), F.sum(F.when(F.col("m") > 1, -p * F.log(p) / F.log(F.col("m").cast("double"))).otherwise(1.0))
-        .alias("style_entropy"))
+    style = shown.groupBy("host", "path", "s").agg(pages("style_share").alias("n")).groupBy("host", "path").agg(
+        F.sum("n").alias("m"), F.sum(n_ln_n).alias("nln")).select(
+        "host", "path", "m", F.when(F.col("m") > 1, 1.0 - F.col("nln") / m / F.log(m)).otherwise(1.0).alias("style_entropy"))
     return leaf.select("host", "path", "m", "text_entropy", F.lit(None).cast("double").alias("style_entropy")).unionByName(
         style.select("host", "path", "m", F.lit(None).cast("double").alias("text_entropy"), "style_entropy")) \
         .groupBy("host", "path").agg(F.max("m").alias("m"), F.max("text_entropy").alias("text_entropy"),
@@ -265,13 +348,14 @@ def importances(nodes: pd.DataFrame, damp: float = 0.9) -> pd.DataFrame:
     children's mean by damp ** children; own text counts as one child.
     ``highest`` is the largest importance of the node and its descendants."""
     paths = {r.path: r for r in nodes.itertuples()}
-    kids: dict[str, list[str]] = {}
+    kids: dict[str, dict[str, None]] = {}
     every = set(paths)
     for p in paths:
         while ">" in p:
             up = p.rsplit(">", 1)[0]
-            if p not in kids.setdefault(up, []):
-                kids[up].append(p)
+            if p in kids.setdefault(up, {}):
+                break                                        # and so all above it
+            kids[up][p] = None
             every.add(up)
             p = up
     value: dict[str, float] = {}
@@ -308,8 +392,10 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
               least: float = 0.2, min_pages: int = 8) -> DataFrame:
     """Per page: page_id, url, text (blocks joined by a blank line), n_chars."""
     parsed = write_shared(parsed_pages(pages, page_id, url, html), "html-pages", "zstd")
-    low = write_shared(low_branches(parsed, least, min_pages), "html-low").withColumnRenamed("host", "lhost")
-    joined = parsed.join(small_or_shuffled(low, 2000), F.col("host") == F.col("lhost"), "left")
+    low = write_shared(low_branches(parsed, least, min_pages).withColumnRenamed("host", "lhost"), "html-low")
+    # A row is a host's list of paths: its bytes are counted before it is broadcast.
+    size = low.agg(F.sum(F.length(F.array_join("low", ",")) + 200)).first()[0] or 0
+    joined = parsed.join(F.broadcast(low) if size <= 64 << 20 else low, F.col("host") == F.col("lhost"), "left")
     under = lambda path: F.exists(F.coalesce("low", F.array().cast("array<string>")),
                                   lambda p: (path == p) | path.startswith(F.concat(p, F.lit(">"))))
     kept = F.filter("blocks", lambda b: ~under(b["path"]))
