@@ -1,6 +1,8 @@
 """Licence scans: trained paragraph classifier (operator 10), DataFrame functions only.
 
-Paragraphs are the lines of a text. A multinomial logistic regression on
+A paragraph is a line, and a run of adjacent lines where a notice is wrapped: a
+line's n-grams go on into the first two words of the next line, so the n-grams of
+joined lines are the union of theirs. A multinomial logistic regression on
 sparse word n-grams (two and three words, presence) is trained on labelled
 paragraphs: the licence notices and standard wordings below in several
 frames, invented licence names as class ``unknown``, and ``negatives`` plain
@@ -12,12 +14,16 @@ its n-grams with the paragraph, becomes ``unknown``.
 
 Scoring covers every paragraph: its n-grams meet the vocabulary (bounded by the
 training sample, thousands of rows) in a broadcast join, so only known n-grams
-are shuffled; weights and templates are literals of that same size.
+are shuffled; weights and templates are literals of that same size. Lines that share
+``RUN_GRAMS`` n-grams with templates and are not confirmed by themselves form runs,
+which are scored and compared as one paragraph.
 
 Defined results: null and empty texts have no paragraphs and no licence; a
 paragraph found twice in a document counts once per place; repeated rows
-get the same answer; an empty table gives an empty table; n-grams are of
-letters and digits, lower-cased; other input columns do not matter.
+get the same answer (an n-gram's weight counts once a paragraph); an empty table
+gives an empty table; n-grams are of letters and digits, lower-cased, so marks of
+comments before a line do not matter; a line without letters and digits ends a
+run; other input columns do not matter.
 """
 
 from __future__ import annotations
@@ -30,11 +36,13 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from widetab.llm.common import write_shared
+from widetab.llm.common import drop_shared, write_shared
 
 NEGATIVES = 1500
 CONFIRM = 0.5
+RUN_GRAMS = 2
 
 # Fixed wordings: names by which notices cite each family, and first sentences of the licences.
 NAMES = {
@@ -108,27 +116,38 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
 
 
-def ngrams_of(words: Column) -> Column:
-    """Distinct two- and three-word sequences of an array of words. ``words``
-    must be a column that is already computed: it is read once per place."""
+def ngrams_of(words: Column, own: Column | None = None) -> Column:
+    """Distinct two- and three-word sequences of an array of words that begin
+    among its first ``own`` (all). ``words`` must be a column that is already
+    computed: it is read once per place."""
     n = F.size(words)
 
     def runs(k: int) -> Column:
-        return F.when(n >= k, F.transform(F.sequence(F.lit(0), n - k), lambda i: F.concat_ws(
+        last = n - k if own is None else F.least(n - k, own - 1)
+        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.concat_ws(
             " ", *[F.get(words, i + j) for j in range(k)]))).otherwise(F.array().cast("array<string>"))
     return F.array_distinct(F.concat(runs(2), runs(3)))
 
 
-def with_ngrams(df: DataFrame, text: str, name: str = "grams") -> DataFrame:
-    """``df`` with the n-grams of a text column."""
-    return df.withColumn("words_", words_of(F.col(text))).withColumn(name, ngrams_of(F.col("words_"))).drop("words_")
+def with_ngrams(df: DataFrame, text: str, name: str = "grams", ahead: str | None = None) -> DataFrame:
+    """``df`` with the n-grams of a text column; with ``ahead`` those that go on
+    into another column's words too."""
+    df = df.withColumn("words_", words_of(F.col(text)))
+    if ahead is None:
+        return df.withColumn(name, ngrams_of(F.col("words_"))).drop("words_")
+    return df.withColumns({"own_": F.size("words_"), "words_": F.concat("words_", words_of(F.col(ahead)))}) \
+        .withColumn(name, ngrams_of(F.col("words_"), F.col("own_"))).drop("words_", "own_")
 
 
 def paragraphs(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(k, th, place, line) for every line with a letter or digit."""
-    return docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("th"),
-                       F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("place", "line")) \
-        .filter(F.col("line").rlike("[A-Za-z0-9]"))
+    """(k, th, place, line, ahead) for every line with a letter or digit; ``ahead``
+    holds the first two words of the next line."""
+    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
+    two = lambda x: F.regexp_extract(x, "^[^A-Za-z0-9]*([A-Za-z0-9]+(?:[^A-Za-z0-9]+[A-Za-z0-9]+)?)", 1)
+    return docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("th"), lines.alias("ls")).select(
+        "k", "th", F.posexplode(F.transform("ls", lambda x, i: F.struct(
+            x.alias("line"), F.coalesce(two(F.get("ls", i + 1)), F.lit("")).alias("ahead")))).alias("place", "x")) \
+        .select("k", "th", "place", "x.line", "x.ahead").filter(F.col("line").rlike("[A-Za-z0-9]"))
 
 
 @dataclass
@@ -164,12 +183,27 @@ def _fit(rows: DataFrame, n_classes: int) -> tuple[list[str], np.ndarray, np.nda
     return list(vectors.vocabulary), weights, bias
 
 
+def _plain_lines(docs: DataFrame, key: str, text: str, negatives: int, seed: int) -> DataFrame:
+    """The ``negatives`` distinct corpus lines with the smallest seeded hashes that do
+    not speak of licences. Only lines under a hash threshold meet, expected to be a
+    few times as many at any size of the corpus; it is raised if they are too few."""
+    lines = paragraphs(docs, key, text).filter(~F.lower("line").rlike("licen|copyright|public domain|cc0|creative commons|gpl"))
+    lines = lines.select("line", F.xxhash64(F.lit(seed), "line").alias("h"))
+    steps, n = 1 << 40, max(1, docs.count())
+    share = min(steps, steps * 2 * negatives // n)       # a document has a line at least, nearly always
+    while True:
+        few = write_shared(lines.filter(F.pmod("h", F.lit(steps)) < share).distinct(), "licence-lines")
+        if share >= steps or few.count() >= negatives:
+            return few.orderBy(F.pmod("h", F.lit(steps)), "line").limit(negatives)
+        drop_shared(few)
+        share = min(steps, share * 8)
+
+
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", negatives: int = NEGATIVES, seed: int = 5) -> Model:
     """Fit on the labelled paragraphs and at most ``negatives`` corpus lines
     that do not speak of licences (those with the smallest seeded hashes)."""
     spark: SparkSession = docs.sparkSession
-    lines = paragraphs(docs, key, text).filter(~F.lower("line").rlike("licen|copyright|public domain|cc0|creative commons|gpl"))
-    plain = lines.select("line").withColumn("h", F.xxhash64(F.lit(seed), "line")).orderBy("h", "line").limit(negatives)
+    plain = _plain_lines(docs, key, text, negatives, seed)
     named = spark.createDataFrame(examples(), "line string, family string")
     sample = named.unionByName(plain.select("line", F.lit("none").alias("family")))
     sample = with_ngrams(sample, "line").withColumn(
@@ -218,24 +252,47 @@ def findings(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     vocabulary = spark.createDataFrame(
         [(g, [float(x) for x in (model.weights[:, place[g]] if g in place else zero)]) for g in keep],
         "gram string, w array<double>")
-    grams = with_ngrams(paragraphs(docs, key, text), "line").select("k", "th", "place", F.explode_outer("grams").alias("gram"))   # plain explode would repeat the n-grams in a pushed filter
-    hits = grams.join(F.broadcast(vocabulary), "gram").groupBy("k", "th", "place").agg(
-        *[F.sum(F.get("w", F.lit(i))).alias(f"s{i}") for i in range(len(model.classes))],
-        F.collect_set("gram").alias("grams"))
+    grams = with_ngrams(paragraphs(docs, key, text), "line", ahead="ahead").select(
+        "k", "th", "place", F.explode_outer("grams").alias("gram"))   # plain explode would repeat the n-grams in a pushed filter
+    n = range(len(model.classes))
+    met = grams.join(F.broadcast(vocabulary), "gram").groupBy("k", "th", "place").agg(
+        *[F.sum(F.get("w", F.lit(i))).alias(f"s{i}") for i in n], F.collect_set("gram").alias("grams"), F.count("*").alias("n"))
+    # Rows that repeat a document bring each n-gram as often: their sums count once.
+    copies = F.col("n") / F.size("grams")
+    met = met.select("k", "th", "place", "grams", *[(F.col(f"s{i}") / copies).alias(f"s{i}") for i in n])
+    shared = F.size(F.array_intersect("grams", _array(sorted(by_gram))))
     t = F.lit(model.temperature)
-    score = [(F.col(f"s{i}") + F.lit(float(b))) / t for i, b in enumerate(model.bias)]
-    hits = hits.select("k", "th", "place", "grams", F.array(*score).alias("z"))
-    top = F.array_max("z")
-    total = F.aggregate(F.transform("z", lambda x: F.exp(x - F.array_max("z"))), F.lit(0.0), lambda a, x: a + x)
-    hits = hits.withColumns({"class": F.get(_array(model.classes), F.array_position("z", top) - 1),
-                             "probability": F.lit(1.0) / total}).filter("class <> 'none'")
-    best = F.greatest(*[F.lit(0.0)] * 2, *[
-        F.when(F.col("class") == r["family"], F.size(F.array_intersect("grams", _array(r["grams"]))) / F.lit(float(len(r["grams"]))))
-        .otherwise(F.lit(0.0)) for r in tgrams])
-    hits = hits.withColumn("similarity", best)
-    named = (F.col("class") != "unknown") & (F.col("probability") >= model.least) & (F.col("similarity") >= confirm)
-    return hits.select("k", "th", "place", F.when(named, F.col("class")).otherwise("unknown").alias("family"),
-                       "probability", "similarity")
+
+    def judged(df: DataFrame) -> DataFrame:
+        """Rows with sums s0.. and n-grams, with family (null: none), probability, similarity."""
+        df = df.withColumn("z", F.array(*[(F.col(f"s{i}") + F.lit(float(b))) / t for i, b in enumerate(model.bias)]))
+        top = F.array_max("z")
+        total = F.aggregate(F.transform("z", lambda x: F.exp(x - F.array_max("z"))), F.lit(0.0), lambda a, x: a + x)
+        df = df.withColumns({"class": F.get(_array(model.classes), F.array_position("z", top) - 1),
+                             "probability": F.lit(1.0) / total}).drop("z")
+        best = F.greatest(*[F.lit(0.0)] * 2, *[
+            F.when(F.col("class") == r["family"], F.size(F.array_intersect("grams", _array(r["grams"]))) / F.lit(float(len(r["grams"]))))
+            .otherwise(F.lit(0.0)) for r in tgrams])
+        df = df.withColumn("similarity", best)
+        sure = (F.col("class") != "unknown") & (F.col("probability") >= model.least) & (F.col("similarity") >= confirm)
+        return df.withColumn("family", F.when(F.col("class") != "none", F.when(sure, F.col("class")).otherwise("unknown"))).drop("class")
+    lines = write_shared(judged(met.withColumn("shared", shared)).filter(
+        F.col("family").isNotNull() | (F.col("shared") >= RUN_GRAMS)), "licence-lines-met")
+    alone = F.coalesce(F.col("family") != "unknown", F.lit(False))
+    # Runs of adjacent lines that no family confirms by themselves.
+    order = W.partitionBy("k", "th").orderBy("place")
+    rest = lines.filter(~alone & (F.col("shared") >= RUN_GRAMS)).withColumn(
+        "new", (F.col("place") - F.lag("place", 1, -2).over(order) > 1).cast("int")).withColumn("run", F.sum("new").over(order))
+    joined = rest.groupBy("k", "th", "run").agg(
+        F.min("place").alias("place"), F.max("place").alias("last"), *[F.sum(f"s{i}").alias(f"s{i}") for i in n],
+        F.array_distinct(F.flatten(F.collect_list("grams"))).alias("grams")).filter("last > place")
+    runs = judged(joined).filter(F.col("family") != "unknown").select("k", "th", "place", "last", "family", "probability", "similarity")
+    runs = write_shared(runs, "licence-runs")
+    found = lines.filter(F.col("family").isNotNull()).select("k", "th", "place", "family", "probability", "similarity")
+    inside = runs.select(F.col("k").alias("rk"), F.col("th").alias("rth"), F.explode(F.sequence("place", "last")).alias("rplace"))
+    left = found.join(inside, F.col("k").eqNullSafe(F.col("rk")) & (F.col("th") == F.col("rth")) & (F.col("place") == F.col("rplace"))
+                      & (F.col("family") == "unknown"), "left_anti")
+    return left.unionByName(runs.drop("last"))
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", confirm: float = CONFIRM, model: Model | None = None) -> DataFrame:
