@@ -32,14 +32,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from widetab.llm.common import small_or_shuffled, text_column, write_shared
+from widetab.llm.common import drop_shared, small_or_shuffled, text_column, write_shared
 from widetab.llm.tokens import default_tokenizer_path, encoder
 from widetab.session import shuffle_partitions
 
 SCALE = 20
-LANES = 1024
+LANES = 4096
 BLOCK_IDS = 1 << 18
-CHECK_STEPS = 128
+CHECK_STEPS = 32
+ROWS = 256
 LOW = np.uint64(1 << 31)
 MARK = "\r\n\x1dRANS-BLOCK\x1d\r\n"
 HEAD = struct.Struct("<4sBBHIIQQII")    # magic, version, mask, lanes, docs, checkpoints, ids, start, crc of ids, words
@@ -73,7 +74,8 @@ class Tables:
     def __init__(self, freq: np.ndarray):
         self.freq = freq.astype(np.uint64)
         self.start = (np.cumsum(freq) - freq).astype(np.uint64)
-        self.slots = np.repeat(np.arange(len(freq), dtype=np.uint32), freq)
+        # The narrowest type keeps the table in the processor's cache.
+        self.slots = np.repeat(np.arange(len(freq), dtype=np.uint16 if len(freq) <= 1 << 16 else np.uint32), freq)
 
 
 def encode_ids(ids: np.ndarray, t: Tables, lanes: int = LANES, every: int = CHECK_STEPS):
@@ -198,8 +200,18 @@ class Block:
 RAW = "seq bigint, n bigint, keys array<bigint>, counts array<bigint>, ids binary"
 
 
+def narrow(ids: np.ndarray) -> bytes:
+    """Ids as bytes: two each after b"2" if they fit, else four after b"4"."""
+    return b"2" + ids.astype("<u2").tobytes() if not len(ids) or int(ids.max()) < 1 << 16 else b"4" + ids.astype("<u4").tobytes()
+
+
+def widened(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, dtype="<u2" if data[:1] == b"2" else "<u4", offset=1).astype("<u4")
+
+
 def id_blocks(docs: DataFrame, key: str, text: str, end_id: int, tokenizer: str, block_ids: int) -> DataFrame:
-    """Ids in blocks of whole documents, in ascending key order (pid, seq)."""
+    """Ids in blocks of whole documents, in ascending key order (pid, seq), and
+    for each task a row of its symbols' counts (seq null; keys are ids)."""
     parts = shuffle_partitions(docs.sparkSession)
     src = (docs.select(F.col(key).cast("bigint").alias("k"), text_column(text).alias("t"))
            .repartitionByRange(parts, "k").sortWithinPartitions("k", F.xxhash64("t")))
@@ -210,41 +222,43 @@ def id_blocks(docs: DataFrame, key: str, text: str, end_id: int, tokenizer: str,
         enc, pid, seq = encoder(tokenizer), TaskContext.get().partitionId(), 0
         keys: list = []
         got: list[bytes] = []
-        held = 0
+        held, total = 0, np.zeros(0, dtype=np.int64)
 
-        def block() -> pa.RecordBatch:
-            counts = [len(g) // 4 for g in got]
+        def row(seq, n, keys, counts, ids) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array([pid], pa.int32()), pa.array([seq]), pa.array([sum(counts)]),
+                [pa.array([pid], pa.int32()), pa.array([seq], pa.int64()), pa.array([n], pa.int64()),
                  pa.array([keys], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int64())),
-                 pa.array([b"".join(got)], pa.binary())], names=["pid", "seq", "n", "keys", "counts", "ids"])
-        for b in it:
-            for k, t in zip(b.column("k"), b.column("t")):
-                ids = enc.encode(t.as_py()) + end
-                if got and held + len(ids) // 4 > block_ids:
-                    yield block()
-                    keys, got, held, seq = [], [], 0, seq + 1
-                keys.append(k.as_py())
-                got.append(ids)
-                held += len(ids) // 4
+                 pa.array([ids], pa.binary())], names=["pid", "seq", "n", "keys", "counts", "ids"])
+
+        def block() -> pa.RecordBatch:
+            nonlocal total
+            ids, counts = np.frombuffer(b"".join(got), dtype="<u4"), [len(g) // 4 for g in got]
+            c = np.bincount(ids, minlength=len(total))
+            c[:len(total)] += total
+            total = c
+            return row(seq, len(ids), keys, counts, narrow(ids))
+        for whole in it:
+            for at in range(0, whole.num_rows, ROWS):
+                b = whole.slice(at, ROWS)
+                for k, t in zip(b.column("k").to_pylist(), b.column("t").to_pylist()):
+                    ids = enc.encode(t)
+                    if got and held + len(ids) // 4 + 1 > block_ids:
+                        yield block()
+                        keys, got, held, seq = [], [], 0, seq + 1
+                    keys.append(k)
+                    got.append(ids + end)
+                    held += len(ids) // 4 + 1
         if got:
             yield block()
+            on = np.flatnonzero(total)
+            yield row(None, None, on.tolist(), total[on].tolist(), None)
     return src.mapInArrow(run, "pid int, " + RAW)
 
 
 def symbol_counts(blocks: DataFrame) -> DataFrame:
-    """(id, n) over all blocks: counted per task, summed by id."""
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, dtype=np.int64)
-        for b in it:
-            for v in b.column("ids"):
-                c = np.bincount(np.frombuffer(v.as_buffer(), dtype="<u4"))
-                if len(c) > len(total):
-                    total = np.concatenate([total, np.zeros(len(c) - len(total), dtype=np.int64)])
-                total[:len(c)] += c
-        on = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(on), pa.array(total[on])], names=["id", "n"])
-    return blocks.select("ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    """(id, n) over all blocks: the tasks' own counts, summed by id."""
+    return blocks.filter("seq is null").select(F.explode(F.arrays_zip("keys", "counts")).alias("c")) \
+        .groupBy(F.col("c.keys").alias("id")).agg(F.sum("c.counts").alias("n"))
 
 
 def load_tables(spark: SparkSession, path: str) -> Tables:
@@ -260,8 +274,9 @@ def write_ids(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text
               tokenizer: str | None = None, block_ids: int = BLOCK_IDS) -> None:
     """Write all documents' ids (with an end id each) in the block format."""
     spark = docs.sparkSession
-    blocks = write_shared(id_blocks(docs, key, text, end_id, tokenizer or default_tokenizer_path(), block_ids), "rans-ids", "zstd")
-    counts = symbol_counts(blocks).collect()             # at most one row per vocabulary entry
+    made = write_shared(id_blocks(docs, key, text, end_id, tokenizer or default_tokenizer_path(), block_ids), "rans-ids", "zstd")
+    blocks = made.filter("seq is not null")
+    counts = symbol_counts(made).collect()               # at most one row per vocabulary entry
     freq = np.zeros(max((r["id"] for r in counts), default=-1) + 1, dtype=np.int64)
     for r in counts:
         freq[r["id"]] = r["n"]
@@ -277,18 +292,20 @@ def write_ids(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text
               .join(F.broadcast(base), F.col("pid") == F.col("bp"))
               .select(F.col("pid").alias("sp"), F.col("seq").alias("ss"), (F.col("base") + F.col("at")).alias("start")))
     shared = spark.sparkContext.broadcast(Tables(freq))
-    ready = blocks.join(small_or_shuffled(write_shared(starts, "rans-starts"), 24),
+    starts = write_shared(starts, "rans-starts")
+    ready = blocks.join(small_or_shuffled(starts, 24),
                         (F.col("pid") == F.col("sp")) & (F.col("seq") == F.col("ss"))).select("keys", "counts", "ids", "start")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             for i in range(b.num_rows):
                 data = pack_block(b.column("keys")[i].as_py(), np.array(b.column("counts")[i].as_py()),
-                                  np.frombuffer(b.column("ids")[i].as_buffer(), dtype="<u4"),
+                                  widened(b.column("ids")[i].as_py()),
                                   b.column("start")[i].as_py(), shared.value)
                 yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["value"])
     (ready.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
      .write.option("lineSep", MARK).option("maxRecordsPerFile", BLOCKS_PER_FILE).text(f"{path}/blocks"))
+    drop_shared(made, starts)
 
 
 def read_documents(spark: SparkSession, path: str, key: str = "doc_id", with_ids: bool = False) -> DataFrame:

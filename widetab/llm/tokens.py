@@ -3,10 +3,10 @@
 The byte-level BPE splits text before merging, and no piece crosses a single
 space that has a non-space character on both sides. So a text is cut there,
 and each unit (with its leading space) is encoded once by the library and
-remembered as packed ids. A batch's new units go to the library in one text: its ids
-fall apart again at the tokens that begin with the space. A unit met alone, of letters,
-of letters and a mark, or of lines of these, is put together from its pieces. Texts
-with a special token's string are encoded whole. The memory is cut back when it is full.
+remembered as packed ids. Units of letters, of letters and a mark, and of lines
+of these are put together from their pieces. Texts with a special token's
+string are encoded whole. The memory is cut back when it is full. ``packed_units``
+takes many units in one call: their ids fall apart at the tokens that begin with the space.
 """
 
 from __future__ import annotations
@@ -113,20 +113,6 @@ class UnitEncoder:
         raw, at = ids.tobytes(), (4 * np.append(at, len(ids))).tolist()
         return [raw[i:j] for i, j in zip(at, at[1:])]
 
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """``encode`` of each text; new units are looked up together."""
-        found: set[str] = set()
-        for t in texts:
-            found.update(t.split(" ")[1:])
-        new = [u for u in found.difference(self.spaced) if u and not u[0].isspace() and not u[-1].isspace()
-               and not any(s in u for s in self.special)]
-        if len(self.spaced) + len(new) > self.memory:
-            first = list(islice(self.spaced.items(), min(KEPT_UNITS, self.memory // 2)))
-            self.spaced.clear()
-            self.spaced.update(first)
-        self.spaced.update(zip(new, self.packed_units(new)))
-        return [self.encode(t) for t in texts]
-
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
