@@ -266,7 +266,7 @@ def mlp_svm_scores(spark, d):
     trz = sc.transform(tr).drop(L.FEATURES).withColumnRenamed("__z", L.FEATURES)
     tez = sc.transform(te).drop(L.FEATURES).withColumnRenamed("__z", L.FEATURES)
     mlp = L.fit_mlp(trz, LABEL, len(cols), hidden=(16, 16), max_iter=20)
-    svm = L.fit_svm_platt(trz, LABEL, reg=0.01, fold_col="fold", k=4, max_iter=30)
+    svm = L.fit_svm_platt(trz, LABEL, reg=0.01, fold_col="fold", k=4, max_iter=8)
     return (L.predict(mlp, tez, KEY).withColumn("model", F.lit("mlp"))
             .unionByName(L.predict(svm, tez, KEY).withColumn("model", F.lit("svm_platt"))))
 
