@@ -84,3 +84,15 @@ def test_a_batch_writes_what_it_touches(spark, tmp_path):
     delta = spark.read.parquet(f"{path}/delta/batch=1")
     assert {r["idx"] for r in delta.collect()} == touched
     assert read_state(spark, path).count() == read_state(spark, path, before=1).count()
+
+
+def test_micro_batches_do_not_follow_the_files(spark, tmp_path):
+    """Four mini-batches, however many files the events lie in."""
+    from widetab.plans.registry import load_all
+    e = spark.read.parquet(f"{SMALL}/events.parquet").limit(400)
+    got = []
+    for n in (1, 5):
+        e.repartition(n).write.parquet(str(tmp_path / f"in{n}/events.parquet"))
+        rows = load_all()["stream_fit"].build(spark, str(tmp_path / f"in{n}")).collect()
+        got.append({r["event_id"]: (r["batch_id"], round(r["p"], 9)) for r in rows})
+    assert got[0] == got[1] and {b for b, _ in got[1].values()} == {0, 1, 2, 3}

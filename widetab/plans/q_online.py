@@ -143,40 +143,42 @@ def adagrad_scores(spark, d):
     return M.auc(scored, "p", "y")
 
 
-def _stream_source(spark, d, n_batches=4):
-    """Hashed event rows written as a file stream source in the shared
-    folder: one append per mini-batch, so files arrive in batch order."""
+N_APPENDS = 4
+
+
+def _stream(spark, d, start, appends=1):
+    """Hashed event rows as a file stream source in the shared folder, one append
+    per mini-batch. ``start`` gets the stream after every ``appends`` appends and
+    runs it over what is new on its checkpoint: a micro-batch holds whole
+    appends, however many files Spark writes for each."""
     e = O.hash_features(_events(spark, d), FEATURES, D)
     mb = F.pmod(F.conv(F.substring(F.md5(F.concat(F.col("event_id").cast("string"), F.lit("_mb"))), 1, 8), 16, 10)
-                .cast("bigint"), F.lit(n_batches))
+                .cast("bigint"), F.lit(N_APPENDS))
     src = scratch_path(spark, "stream-src")
-    for b in range(n_batches):
+    for b in range(N_APPENDS):
         e.filter(mb == b).write.mode("append").parquet(src)
-    return src, e.schema
+        if (b + 1) % appends == 0 or b + 1 == N_APPENDS:
+            start(spark.readStream.schema(e.schema).parquet(src)).awaitTermination()
 
 
 @register("stream_fit", None, ("H1", "E9"))
 def stream_fit(spark, d):
     from widetab.streaming import stream_fit as run
-    src, schema = _stream_source(spark, d)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
     base = scratch_path(spark, "stream-fit")
-    q = run(stream, "event_id", "y", f"{base}/model", f"{base}/ckpt", params=O.OnlineParams(alpha=0.05))
-    q.awaitTermination()
+    _stream(spark, d, lambda stream: run(stream, "event_id", "y", f"{base}/model", f"{base}/ckpt",
+                                         params=O.OnlineParams(alpha=0.05)))
     return spark.read.parquet(f"{base}/model/log").select("event_id", "y", "p", "batch_id")
 
 
 @register("stream_score", None, ("H2",))
 def stream_score(spark, d):
     from widetab.streaming import stream_score as run
-    src, schema = _stream_source(spark, d)
-    e = spark.read.parquet(src)
     base = scratch_path(spark, "stream-score")
     params = O.OnlineParams(alpha=0.05)
+    e = O.hash_features(_events(spark, d), FEATURES, D)
     state, _ = O.fit(e.withColumn("batch", F.lit(0)), "event_id", "y", f"{base}/model", params=params, n_batches=1)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(src)
-    q = run(stream, "event_id", f"{base}/scores", f"{base}/ckpt", state=state, params=params, keep=["y"])
-    q.awaitTermination()
+    _stream(spark, d, lambda stream: run(stream, "event_id", f"{base}/scores", f"{base}/ckpt", state=state, params=params,
+                                         keep=["y"]), appends=2)
     return spark.read.parquet(f"{base}/scores").select("event_id", "y", "p", "batch_id")
 
 
@@ -232,11 +234,8 @@ def stream_score_ftrl(spark, d):
     (stream–static, per micro-batch); same scores as SQL replaying the steps."""
     from widetab.streaming import stream_score as run
     state, params = _ftrl_state(spark, d)
-    src, schema = _stream_source(spark, d)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
     base = scratch_path(spark, "stream-score-ftrl")
-    q = run(stream, "event_id", f"{base}/scores", f"{base}/ckpt", state=state, params=params, keep=["y"])
-    q.awaitTermination()
+    _stream(spark, d, lambda stream: run(stream, "event_id", f"{base}/scores", f"{base}/ckpt", state=state, params=params, keep=["y"]))
     out = spark.read.parquet(f"{base}/scores")
     return out.select("event_id", "y", (F.round("p", 9) + F.lit(0.0)).alias("p"))
 
