@@ -141,3 +141,28 @@ def test_weighted_means_refuse_gaps(spark):
         G.weighted_average(preds.filter("target is not null"), {"m2": 1.0}, "ID")
     with pytest.raises(ValueError):
         G.blend(preds, {"f": {"m1": 1.0, "m2": 1.0}}, {"f": 1.0}, "ID")
+
+
+def test_blend_weights_with_scores_of_nought(spark):
+    """Scores that are 0 for some positive rows (and 1 for negative ones): the
+    optimum lies inside, and no other weights are better than the gap allows."""
+    import numpy as np
+    from widetab.operators import ensemble as G
+    rng = np.random.default_rng(7)
+    n = 4000
+    y = rng.integers(0, 2, n)
+    p = np.column_stack([rng.integers(0, 1001, n) / 1000.0 for _ in range(3)])
+    p[:, 0] = np.clip(0.6 * y + 0.4 * p[:, 0], 0, 1)
+    p[rng.permutation(n)[:20], 0] = 0.0
+    rows = [(i, m, float(p[i, j]), int(y[i])) for i in range(n) for j, m in enumerate("abc")]
+    rows += [(n, m, 0.0, 1) for m in "abc"]                  # the same loss under all weights
+    fit = G.fit_blend_weights(spark.createDataFrame(rows, "ID bigint, model string, target double, y int"), None, "ID", "y", list("abc"))
+    p, y = np.vstack([p, np.zeros(3)]), np.append(y, 1)
+
+    def loss(w):
+        b = np.clip(p @ w, 1e-14, 1 - 1e-14)
+        return -np.log(np.where(y == 1, b, 1 - b)).mean()
+    w = np.array([fit.weights[m] for m in "abc"])
+    assert abs(fit.loss - loss(w)) < 1e-9 and fit.gap <= 1e-6 and abs(w.sum() - 1) < 1e-12 and (w >= 0).all()
+    others = [*np.eye(3), *rng.dirichlet(np.ones(3), 300), *(w + 0.01 * (rng.dirichlet(np.ones(3), 100) - w))]
+    assert fit.loss <= min(map(loss, others)) + 1e-6

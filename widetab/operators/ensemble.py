@@ -195,6 +195,9 @@ class BlendFit(NamedTuple):
     gap: float
 
 
+MIN_SHARE = 1 / 64
+
+
 def _simplex_minimum(w: np.ndarray, g: np.ndarray, h: np.ndarray, rounds: int = 2000) -> np.ndarray:
     """Minimum over the simplex of the quadratic g·(x − w) + (x − w)·h·(x − w)/2, by
     pairwise Frank–Wolfe steps from w (k numbers, on the driver)."""
@@ -219,49 +222,80 @@ def fit_blend_weights(preds: DataFrame, labels: DataFrame | None, key: str, labe
     The loss is convex in the weights. A pass over the rows is one aggregate:
     loss, gradient and Hessian at the present weights (k² / 2 numbers). The driver
     minimises the quadratic model on the simplex and the next pass tries that
-    point, halving the way back while the loss does not fall. It ends when the duality
+    point, halving the way back while the loss does not fall; if it does not fall
+    near by either, an EM step (each weight times its share of the rows'
+    likelihood), which always lowers it, is taken instead. It ends when the duality
     gap, which bounds what any weights could still gain, is at most ``tolerance``
-    (a fit that needs more than ``max_steps`` passes is an error). The best single model is
-    the start, so the loss is never above it.
+    (a fit that needs more than ``max_steps`` passes is an error).
+
+    The best single model is tried first; if it is not the optimum, equal weights are
+    the start, and no step may give a row a blend that only the
+    clip at ``eps`` keeps from an endless loss (a score of 0 for a positive row,
+    alone): there the derivatives of a single row would outweigh all others.
+    A single model that is better than the last weights is returned instead, so
+    the loss is never above the best one. Rows without a score or label are left out.
     """
     models = list(models)
     k = len(models)
     wide = materialize(_wide_with_label(preds, labels, key, label, models, score, model)
                        .select(*[qcol(m).cast("double").alias(f"p{i}") for i, m in enumerate(models)],
-                               F.col(label).cast("double").alias("y")))
+                               F.col(label).cast("double").alias("y")).dropna())
     clip = lambda p: F.greatest(F.least(p, F.lit(1 - eps)), F.lit(eps))
     ll = lambda p: -(F.col("y") * F.ln(clip(p)) + (F.lit(1.0) - F.col("y")) * F.ln(F.lit(1.0) - clip(p)))
     single = wide.agg(*[F.avg(ll(F.col(f"p{i}"))).alias(f"l{i}") for i in range(k)]).first()
     if single["l0"] is None:
         raise ValueError("no rows to fit weights on")
-
-    def at(w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        pb = clip(sum_columns([F.lit(float(w[i])) * F.col(f"p{i}") for i in range(k)]))
-        rows = wide.withColumns({"b": pb}).withColumns({
-            "d": (F.col("b") - F.col("y")) / (F.col("b") * (F.lit(1.0) - F.col("b"))),
-            "c": F.col("y") / (F.col("b") * F.col("b")) + (F.lit(1.0) - F.col("y")) / ((F.lit(1.0) - F.col("b")) * (F.lit(1.0) - F.col("b")))})
-        r = rows.agg(F.avg(ll(F.col("b"))).alias("loss"), *[F.avg(F.col("d") * F.col(f"p{i}")).alias(f"g{i}") for i in range(k)],
-                     *[F.avg(F.col("c") * F.col(f"p{i}") * F.col(f"p{j}")).alias(f"h{i}_{j}") for i in range(k) for j in range(i, k)]).first()
+    # Likelihoods of both labels: q = 1 - p is blended like p, so 1 - b has no rounding of its own.
+    sides = [("y", [F.col(f"p{i}") for i in range(k)]),
+             ("n", [F.lit(1.0) - F.col(f"p{i}") for i in range(k)])]
+
+    def at(w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, int]:
+        """Mean loss, gradient and Hessian, and the rows that only the clip bounds."""
+        rows = wide.withColumn("n", F.lit(1.0) - F.col("y"))
+        blend = {f"b_{y}": sum_columns([F.lit(float(w[i])) * p[i] for i in range(k)]) for y, p in sides}
+        rows = rows.withColumns(blend)
+        inside = {y: (F.col(y) > 0) & F.col(f"b_{y}").between(eps, 1.0) for y, _ in sides}
+        rows = rows.withColumns({f"d_{y}": F.when(inside[y], F.col(y) / F.col(f"b_{y}")).otherwise(F.lit(0.0)) for y, _ in sides})
+        rows = rows.withColumns({f"c_{y}": F.when(inside[y], F.col(f"d_{y}") / F.col(f"b_{y}")).otherwise(F.lit(0.0)) for y, _ in sides})
+        lost = [(F.col(y) > 0) & (F.col(f"b_{y}") < eps) & ((F.greatest(*p) if k > 1 else p[0]) > eps) for y, p in sides]
+        loss = -sum_columns([F.col(y) * F.ln(clip(F.col(f"b_{y}"))) for y, _ in sides])
+        total = lambda terms: F.avg(sum_columns(terms))
+        r = rows.agg(F.avg(loss).alias("loss"), F.count_if(lost[0] | lost[1]).alias("lost"),
+                     *[total([-F.col(f"d_{y}") * p[i] for y, p in sides]).alias(f"g{i}") for i in range(k)],
+                     *[total([F.col(f"c_{y}") * p[i] * p[j] for y, p in sides]).alias(f"h{i}_{j}")
+                       for i in range(k) for j in range(i, k)]).first()
         return (r["loss"], np.array([r[f"g{i}"] for i in range(k)]),
-                np.array([[r[f"h{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]))
-    w = np.zeros(k)
-    w[int(np.argmin([single[f"l{i}"] for i in range(k)]))] = 1.0
-    loss, g, h = at(w)
+                np.array([[r[f"h{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]), r["lost"])
+    best = int(np.argmin([single[f"l{i}"] for i in range(k)]))
+    w = np.eye(k)[best]
+    loss, g, h, lost = at(w)
     gap = float(g @ w - g.min())
     steps = 1
+    if gap > tolerance or lost:
+        w = np.full(k, 1.0 / k)
+        loss, g, h, lost = at(w)
+        gap = float(g @ w - g.min())
+        steps += 1
     while gap > tolerance:
         goal = _simplex_minimum(w, g, h)
         share, falls = 1.0, float(g @ (goal - w))
         while True:
             if steps >= max_steps:
                 raise RuntimeError(f"blend weights: gap {gap:g} after {steps} passes")
+            if share < MIN_SHARE:
+                new = w * -g / (w * -g).sum()
+                got = at(new)
+                steps += 1
+                break
             new = w + share * (goal - w)
             got = at(new)
             steps += 1
-            if got[0] <= loss + 1e-4 * share * falls or share < 1e-12:
+            if got[0] <= loss + 1e-4 * share * falls and got[3] <= lost:
                 break
             share /= 2
-        w, (loss, g, h) = new, got
+        w, (loss, g, h, _) = new, got
         gap = float(g @ w - g.min())
     w = np.maximum(w, 0) / np.maximum(w, 0).sum()
+    if single[f"l{best}"] <= loss:
+        w, loss = np.eye(k)[best], single[f"l{best}"]
     return BlendFit({m: float(x) for m, x in zip(models, w)}, float(loss), steps, max(gap, 0.0))
