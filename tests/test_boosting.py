@@ -154,3 +154,11 @@ def test_odd_tables(spark):
         B.fit(t.limit(0), "y", {"nrounds": 1})
     with pytest.raises(TypeError):
         B.fit(t, "y", {"rounds": 1})
+
+
+def test_stored_rows_are_packed(spark):
+    """A fit's table holds chunks of rows, so a pass does not handle rows one by one."""
+    t = table(spark, rows_of(300, 8)).repartition(2)
+    edges = B.bin_edges(t, "features", 16)
+    stored = B._binned(t, "y", "features", edges, F.lit(0.0), F.lit(1.0), "ID").collect()
+    assert len(stored) == 2 and sum(len(r["y"]) for r in stored) == 8 * 300 and sum(len(r["x"]) for r in stored) == 3 * 300

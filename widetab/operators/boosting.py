@@ -92,17 +92,20 @@ class Tree:
         return Tree(np.full(n, -1, np.int32), np.zeros(n, np.int16), np.zeros(n, bool), np.zeros(n), np.zeros(n))
 
     def nodes(self, x: np.ndarray) -> np.ndarray:
-        """The leaf of each row of binned features."""
-        at = np.zeros(len(x), dtype=np.int64)
-        rows = np.arange(len(x))
-        while True:
-            f = self.feature[at]
-            on = f >= 0
-            if not on.any():
-                return at
-            v = x[rows[on], f[on]]
-            left = np.where(v == 0, self.missing_left[at[on]], v <= self.cut[at[on]])
-            at[on] = 2 * at[on] + np.where(left, 1, 2)
+        """The leaf of each row of binned features, x[feature, row]."""
+        n = x.shape[1]
+        at, flat, rows = np.zeros(n, dtype=np.int64), x.reshape(-1), np.arange(n)
+        # Feature, cut and side of missing cells (bin 0) as one table per node: leaves keep their rows.
+        inner = self.feature >= 0
+        if not inner[0]:
+            return at
+        place = np.where(inner, self.feature, 0).astype(np.int64) * n
+        cut = np.where(inner, self.cut, -1)
+        for _ in range(int(len(self.feature) + 1).bit_length() - 2):
+            v = flat[place[at] + rows]
+            left = np.where(v == 0, self.missing_left[at], v <= cut[at])
+            at = np.where(inner[at], 2 * at + 2 - left, at)
+        return at
 
 
 def bin_edges(df: DataFrame, features: str, max_bins: int) -> list[np.ndarray]:
@@ -132,30 +135,55 @@ def _matrix(column: pa.Array, p: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(float, copy=False).reshape(-1, p)
 
 
+CHUNK_ROWS = 1 << 14
+
+
+def _packed(y: np.ndarray, w: np.ndarray, m0: np.ndarray, m: np.ndarray, u: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
+    """One row of the stored table: a chunk of rows, its bins feature by feature."""
+    parts = [np.ascontiguousarray(v).tobytes() for v in (y, w, m0, m, u, x.T)]
+    return pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in parts], names=_NAMES)
+
+
 def _binned(df: DataFrame, label: str, features: str, edges: list[np.ndarray], margin: Column, weight: Column,
             key: str | None) -> DataFrame:
     """(y, w, m0, m, u, x): label, weight, first and present margin, the row's
-    random number and its bins; rows without a label are left out."""
+    random number and its bins, ``CHUNK_ROWS`` rows packed into one; rows
+    without a label are left out. A fit reads the table once a level, and packed
+    rows go to Python as they lie."""
     x = vector_to_array(features)
     src = df.filter(qcol(label).isNotNull()).select(
         qcol(label).cast("double").alias("y"), weight.cast("double").alias("w"), margin.cast("double").alias("m"),
         F.xxhash64(qcol(key).cast("string") if key else x).alias("u"), x.alias("x"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        rows = 0
         for b in it:
-            bins = _bins(_matrix(b.column("x"), len(edges)), edges)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("y"), b.column("w"), b.column("m"), b.column("m"), b.column("u"),
-                 pa.array([r.tobytes() for r in bins], pa.binary())], names=["y", "w", "m0", "m", "u", "x"])
+            m = b.column("m").to_numpy()
+            held.append((b.column("y").to_numpy(), b.column("w").to_numpy(), m, m, b.column("u").to_numpy(),
+                         _bins(_matrix(b.column("x"), len(edges)), edges)))
+            rows += b.num_rows
+            if rows >= CHUNK_ROWS:
+                yield _packed(*map(np.concatenate, zip(*held)))
+                held, rows = [], 0
+        if rows:
+            yield _packed(*map(np.concatenate, zip(*held)))
     return src.mapInArrow(run, _ROW)
 
 
-_ROW = "y double, w double, m0 double, m double, u bigint, x binary"
+_ROW = "y binary, w binary, m0 binary, m binary, u binary, x binary"
+_NAMES = [c.split()[0] for c in _ROW.split(", ")]
 
 
-def _held(b: pa.RecordBatch, p: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    x = np.frombuffer(b"".join(b.column("x").to_pylist()), dtype=np.uint8).reshape(-1, p)
-    return (*[b.column(c).to_numpy() for c in ("y", "w", "m")], b.column("u").to_numpy().view(np.uint64), x)
+def _numbers(b: pa.RecordBatch, column: str, kind: str = "<f8") -> Iterator[np.ndarray]:
+    for v in b.column(column):
+        yield np.frombuffer(v.as_buffer(), dtype=kind)
+
+
+def _held(b: pa.RecordBatch, p: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """The chunks of a batch; bins are x[feature, row]."""
+    for y, w, m, u, x in zip(_numbers(b, "y"), _numbers(b, "w"), _numbers(b, "m"), _numbers(b, "u", "<u8"), _numbers(b, "x", "u1")):
+        yield y, w, m, u, x.reshape(p, -1)
 
 
 def _unit(u: np.ndarray, seed: int) -> np.ndarray:
@@ -223,18 +251,21 @@ def _level(data: DataFrame, trees: list[Tree], tree: Tree, frontier: list[int],
     def sums(part: list[int]):
         def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = np.zeros((len(part), 3, size))
-            for b in it:
-                y, w, m, u, x = _held(b, p)
+            for y, w, m, u, x in (chunk for b in it for chunk in _held(b, p)):
+                at = place[tree.nodes(x)]
+                on = at >= 0
+                if q.subsample < 1:
+                    on &= _unit(u, q.seed * 1_000_003 + number) < q.subsample
+                if not on.all():
+                    at, y, w, m, x = at[on], y[on], w[on], m[on], x[:, on]
                 for t in trees:
                     m = m + q.eta * t.value[t.nodes(x)]
                 g, h = _derivatives(y, m, q.objective)
-                at = place[tree.nodes(x)]
-                on = (at >= 0) & (_unit(u, q.seed * 1_000_003 + number) < q.subsample)
-                at, x = at[on] * bins, x[on]
+                at = at * bins
                 # Whole numbers: sums are exact and the same in any order.
-                g, h = np.rint(g[on] * w[on] * SCALE), np.rint(h[on] * w[on] * SCALE)
+                g, h = np.rint(g * w * SCALE), np.rint(h * w * SCALE)
                 for i, f in enumerate(part):
-                    k = at + x[:, f]
+                    k = at + x[f]
                     held[i, 0] += np.bincount(k, weights=g, minlength=size)
                     held[i, 1] += np.bincount(k, weights=h, minlength=size)
                     held[i, 2] += np.bincount(k, minlength=size)
@@ -329,7 +360,7 @@ class BoostedTrees:
 
         def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in it:
-                x, m = _bins(_matrix(b.column("__x"), len(edges)), edges), b.column("__m").to_numpy(zero_copy_only=False).copy()
+                x, m = _bins(_matrix(b.column("__x"), len(edges)), edges).T.copy(), b.column("__m").to_numpy(zero_copy_only=False).copy()
                 for t in trees:
                     m += eta * t.value[t.nodes(x)]
                 yield pa.RecordBatch.from_arrays([*[b.column(k) for k in keep], pa.array(m, from_pandas=False)],
@@ -360,10 +391,12 @@ def _applied(data: DataFrame, trees: list[Tree], p: int, eta: float) -> DataFram
     """``data`` with the trees added to its margins."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            _, _, m, _, x = _held(b, p)
-            for t in trees:
-                m = m + eta * t.value[t.nodes(x)]
-            yield b.set_column(b.schema.get_field_index("m"), "m", pa.array(m))
+            new = []
+            for _, _, m, _, x in _held(b, p):
+                for t in trees:
+                    m = m + eta * t.value[t.nodes(x)]
+                new.append(m.tobytes())
+            yield b.set_column(b.schema.get_field_index("m"), "m", pa.array(new, pa.binary()))
     return data.mapInArrow(run, _ROW)
 
 
@@ -380,33 +413,30 @@ def round_bins(data: DataFrame, trees: list[Tree], p: int, eta: float, first: in
     """(round, bin, pos, neg, low, high, loss): validation rows by score bin after
     each of the stage's rounds, with their summed loss; the first is numbered ``first``."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, int], list[float]] = {}
-        for b in it:
-            y, _, m, _, x = _held(b, p)
+        held: list[np.ndarray] = []
+        for y, _, m, _, x in (chunk for b in it for chunk in _held(b, p)):
+            if not held:
+                held = [np.zeros((SCORE_BINS, 5)) for _ in trees]
+                for r in held:
+                    r[:, 2], r[:, 3] = np.inf, -np.inf
             one = y == 1
-            for i, t in enumerate(trees):
+            for t, r in zip(trees, held):
                 m = m + eta * t.value[t.nodes(x)]
                 score = _sigmoid(m) if objective == "logistic" else np.clip(m, 0, 1)
                 at = np.minimum((score * SCORE_BINS).astype(np.int64), SCORE_BINS - 1)
+                off = np.logaddexp(0, np.where(one, -m, m)) if objective == "logistic" else (m - y) ** 2
                 order = np.argsort(at, kind="stable")
                 u, starts = np.unique(at[order], return_index=True)
-                if not len(u):
-                    continue
                 pos = np.add.reduceat(one[order].astype(float), starts)
-                n = np.diff(np.append(starts, len(at)))
                 low, high = np.minimum.reduceat(m[order], starts), np.maximum.reduceat(m[order], starts)
-                off = np.logaddexp(0, np.where(one, -m, m)) if objective == "logistic" else (m - y) ** 2
-                loss = np.add.reduceat(off[order], starts)
-                for k, a, c, lo, hi, e in zip(*(v.tolist() for v in (u, pos, n, low, high, loss))):
-                    r = held.get((i, k))
-                    if r is None:
-                        held[i, k] = [a, c - a, lo, hi, e]
-                    else:
-                        r[:] = r[0] + a, r[1] + c - a, min(r[2], lo), max(r[3], hi), r[4] + e
-        if held:
-            cols = zip(*[(first + i, k, *r) for (i, k), r in held.items()])
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=[c.split()[0] for c in _BIN.split(", ")]) \
-                .cast(_arrow(_BIN))
+                r[u, 0] += pos
+                r[u, 1] += np.diff(np.append(starts, len(at))) - pos
+                r[u, 2], r[u, 3] = np.minimum(r[u, 2], low), np.maximum(r[u, 3], high)
+                r[u, 4] += np.add.reduceat(off[order], starts)
+        for i, r in enumerate(held):
+            some = np.flatnonzero(r[:, 0] + r[:, 1])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), first + i)), pa.array(some), *[pa.array(c) for c in r[some].T]],
+                                             names=[c.split()[0] for c in _BIN.split(", ")]).cast(_arrow(_BIN))
     return data.mapInArrow(run, _BIN).groupBy("round", "bin").agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.min("low").alias("low"), F.max("high").alias("high"),
         F.sum("loss").alias("loss"))
@@ -431,9 +461,7 @@ def _exact(valid: DataFrame, trees: list[Tree], p: int, eta: float, rounds: list
         wanted = set(some)
 
         def run(it: Iterator[pa.RecordBatch], wanted=wanted) -> Iterator[pa.RecordBatch]:
-            for b in it:
-                y, _, _, _, x = _held(b, p)
-                m = b.column("m0").to_numpy().copy()
+            for m, (y, _, _, _, x) in (pair for b in it for pair in zip(_numbers(b, "m0"), _held(b, p))):
                 for i, t in enumerate(trees[:max(wanted)], 1):
                     m = m + eta * t.value[t.nodes(x)]
                     if i in wanted:
