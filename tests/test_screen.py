@@ -54,3 +54,33 @@ def test_pruning_against_means_taken_anew():
             for k in range(0, 101, 5):
                 want = plain(a, k / 100)
                 assert S.prune_correlated(m, cols, k / 100) == [cols[i] for i in want] and curve[k / 100] == len(want)
+
+
+def test_rank_joins_are_bounded(spark):
+    """Broadcast columns are bounded together; missing and NaN cells stay missing
+    whichever way the ranks come back."""
+    rows = [(None if i % 5 == 0 else float(i * 7 % 40), float("nan") if i % 6 == 0 else float(i % 3)) for i in range(200)]
+    t = spark.createDataFrame(rows, "a double, b double")
+    got = [S.average_ranks(t, ["a", "b"], **k) for k in ({"strategy": "broadcast"}, {"broadcast_rows": 3}, {"strategy": "long"})]
+    key = lambda r: tuple((v is not None, v or 0.0) for v in r)
+    tables = [sorted(map(tuple, g.collect()), key=key) for g in got]
+    assert tables[0] == tables[1] == tables[2] and sum(r[0] is None for r in tables[0]) == 40 and sum(r[1] is None for r in tables[0]) == 34
+    plans = [g._jdf.queryExecution().optimizedPlan().toString() for g in got]
+    assert [p.count("strategy=broadcast") for p in plans] == [2, 1, 0]
+
+
+def test_correlation_of_tasks_that_differ(spark):
+    """Tasks far apart in value, one of them without a value of a column, and a
+    constant column: as numpy has it, after one pass over the rows."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 4)) + 1e4 * (np.arange(400) // 100)[:, None]
+    x[:, 2] = rng.normal(size=400) - x[:, 0]
+    x[:, 3] = 7.3
+    x[:100, 1] = np.nan
+    cols = list("abcd")
+    t = spark.createDataFrame([[None if np.isnan(v) else float(v) for v in r] for r in x], "a double, b double, c double, d double") \
+        .repartitionByRange(4, "a")
+    m = S.correlation_matrix(t, cols)
+    on = ~np.isnan(x[:, 1])
+    assert abs(m[0, 2] - np.corrcoef(x[:, 0], x[:, 2])[0, 1]) < 1e-12 and abs(m[0, 1] - np.corrcoef(x[on, 0], x[on, 1])[0, 1]) < 1e-12
+    assert np.isnan(m[3, :3]).all() and np.isnan(m[:3, 3]).all()

@@ -2,7 +2,8 @@
 
 The correlation matrix is computed by Spark, every pair of columns over the
 rows that have both, for any number of columns: each task sums masked products
-of its (centred) rows, one row per pair leaves it, and a grouped sum adds them.
+of its rows about their first means, one row per pair leaves it, and a grouped
+sum moves them to the means of all rows and adds them: one pass over the rows.
 Only the p × p matrix reaches the driver, where the pruning runs on numpy:
 O(p²) numbers, no rows. Spearman is Pearson on average ranks, each column
 ranked over its own values.
@@ -17,47 +18,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from widetab.operators._util import chunks, qcol
-
-COLUMNS_PER_AGGREGATE = 200
+from widetab.operators._util import materialize, qcol
 
 
 def average_ranks(df: DataFrame, cols: Sequence[str], strategy: str = "auto",
-                  broadcast_rows: int = 2_000_000) -> DataFrame:
+                  broadcast_rows: int = 500_000) -> DataFrame:
     """Replace each column by its average rank (ties share the mean rank),
     over the column's own values; missing cells stay missing.
 
     Ranks come from per-column value counts and a distributed prefix sum
-    (no global sort). Joining back (``strategy``): ``"broadcast"`` — one
-    broadcast join per column, no shuffle, when every rank table is small
-    (counted); ``"long"`` — rows get a stable id (written once), are
-    unpivoted, joined to the ranks on (column, value) and pivoted back: about
-    2·n·p values moved instead of n·p per column. ``"auto"`` picks by size.
+    (no global sort). They are joined back column by column, and rows are never
+    taken apart: columns of few values by broadcast, ``broadcast_rows`` values
+    in all at most; the others by a shuffle of the rows on the value, in which
+    missing cells spread over the partitions. ``strategy`` ``"broadcast"`` or
+    ``"long"`` (shuffle) does all columns one way, ``"auto"`` by their counts.
     """
-    from widetab.operators._util import bounded_broadcast, materialize
     from widetab.operators.ordering import prefix_sum
     cols = list(cols)
-    base = df.select(*[F.nanvl(qcol(c).cast("double"), F.lit(None)).alias(c) for c in cols])
-    vc = (base.unpivot([], cols, "col_name", "v").filter("v is not null").groupBy("col_name", "v")
-          .agg(F.count(F.lit(1)).cast("double").alias("cnt")))
-    ranked = prefix_sum(vc, ["v"], {"below": F.col("cnt")}, ["col_name"], inclusive=False,
-                        materialize_input=True)
-    ranks = materialize(ranked.select(
-        "col_name", "v", (F.col("below") + (F.col("cnt") + F.lit(1.0)) / F.lit(2.0)).alias("rank")))
-    sizes = {r["col_name"]: r["n"] for r in ranks.groupBy("col_name").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if strategy == "auto":
-        strategy = "broadcast" if max(sizes.values(), default=0) <= broadcast_rows else "long"
-    if strategy == "long":
-        ided = materialize(base.withColumn("__rid", F.monotonically_increasing_id()))
-        long = ided.unpivot(["__rid"], cols, "col_name", "v")
-        back = (long.join(ranks, ["col_name", "v"], "left").groupBy("__rid")
-                .pivot("col_name", cols).agg(F.first("rank")))
-        return back.select(*[F.col(c) for c in cols])
+    base = df.select(*[F.nanvl(qcol(c).cast("double"), F.lit(None)).alias(f"v{i}") for i, c in enumerate(cols)])
+    vc = (base.select(F.posexplode(F.array(*[F.col(f"v{i}") for i in range(len(cols))])).alias("c", "v"))
+          .filter("v is not null").groupBy("c", "v").agg(F.count(F.lit(1)).cast("double").alias("cnt")))
+    ranked = prefix_sum(vc, ["v"], {"below": F.col("cnt")}, ["c"], inclusive=False, materialize_input=True)
+    ranks = materialize(ranked.select("c", "v", (F.col("below") + (F.col("cnt") + F.lit(1.0)) / F.lit(2.0)).alias("rank")))
+    sizes = {r["c"]: r["n"] for r in ranks.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    left = broadcast_rows
     out = base
-    for i, c in enumerate(cols):
-        r = ranks.filter(F.col("col_name") == c).select(F.col("v").alias(f"__v{i}"), F.col("rank").alias(f"__r{i}"))
-        out = out.join(bounded_broadcast(r, sizes.get(c, 0)), qcol(c) == F.col(f"__v{i}"), "left")
-    return out.select(*[F.col(f"__r{i}").alias(c) for i, c in enumerate(cols)])
+    for i in sorted(range(len(cols)), key=lambda i: (sizes.get(i, 0), i)):
+        r = ranks.filter(F.col("c") == i).select(F.col("v").alias("__v"), F.col("rank").alias(f"r{i}"))
+        left -= sizes.get(i, 0)
+        if strategy == "broadcast" or strategy == "auto" and left >= 0:
+            out = out.join(F.broadcast(r), F.col(f"v{i}") == F.col("__v"), "left").drop("__v", f"v{i}")
+        else:
+            spread = F.when(F.col(f"v{i}").isNull(), F.floor(F.rand() * 1024).cast("int")).otherwise(F.lit(0))
+            out = out.withColumn("__s", spread).join(
+                r.withColumn("__t", F.lit(0) + F.floor(F.lit(0.0)).cast("int")).hint("merge"),
+                (F.col(f"v{i}") == F.col("__v")) & (F.col("__s") == F.col("__t")), "left").drop("__v", "__s", "__t", f"v{i}")
+    return out.select(*[F.col(f"r{i}").alias(c) for i, c in enumerate(cols)])
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str], method: str = "pearson") -> np.ndarray:
@@ -72,29 +68,49 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], method: str = "pearso
     m = np.eye(p)
     names = [f"x{i}" for i in range(p)]
     x = df.select(*[F.nanvl(qcol(c).cast("double"), F.lit(None)).alias(n) for c, n in zip(cols, names)])
-    mean = np.zeros(p)
-    for part in chunks(list(range(p)), COLUMNS_PER_AGGREGATE):
-        row = x.agg(*[F.avg(names[i]).alias(names[i]) for i in part]).first()
-        mean[part] = [row[names[i]] or 0.0 for i in part]
-    i, j = np.triu_indices(p, 1)
+    if p < 2:
+        return m
+    i, j = np.triu_indices(p)
 
     def products(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
+        total, near = None, np.zeros(p)
         for batch in it:
-            v = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float) - mean
+            v = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
             has = ~np.isnan(v)
-            v, has = np.where(has, v, 0.0), has.astype(float)
+            if total is None:
+                # Sums of a task are taken about the means of its first rows.
+                near = np.where(has, v, 0.0).sum(axis=0) / np.maximum(1, has.sum(axis=0))
+                near = np.where(np.isfinite(near), near, 0.0)
+            v, has = np.where(has, v - near, 0.0), has.astype(float)
             part = [has.T @ has, v.T @ has, (v * v).T @ has, v.T @ v]
             total = part if total is None else [a + b for a, b in zip(total, part)]
         if total is not None:
             n, s, q, c = total
             yield pa.RecordBatch.from_arrays(
-                [pa.array(k) for k in (i, j, n[i, j], s[i, j], s[j, i], q[i, j], q[j, i], c[i, j])],
-                names=["i", "j", "n", "si", "sj", "qi", "qj", "c"])
-    if p < 2:
-        return m
-    sums = x.mapInArrow(products, "i bigint, j bigint, n double, si double, sj double, qi double, qj double, c double") \
-        .groupBy("i", "j").agg(*[F.sum(k).alias(k) for k in ("n", "si", "sj", "qi", "qj", "c")])
+                [pa.array(k) for k in (i, j, n[i, j], s[i, j], s[j, i], q[i, j], q[j, i], c[i, j], near[i], near[j])],
+                names=["i", "j", "n", "si", "sj", "qi", "qj", "c", "ai", "aj"])
+    spark = df.sparkSession
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(limit)
+    # Many columns make one generated method that HotSpot does not compile (over 8000
+    # bytes); with this limit Spark splits their projection instead.
+    spark.conf.set(limit, "8000")
+    try:
+        parts = materialize(x.mapInArrow(products, "i bigint, j bigint, n double, si double, sj double, qi double, qj double, "
+                                                   "c double, ai double, aj double"))       # one row per task and pair of columns
+    finally:
+        spark.conf.set(limit, before)
+    mean = np.zeros(p)
+    for r in parts.filter("i = j and n > 0").groupBy("i").agg((F.sum(F.expr("si + n * ai")) / F.sum("n")).alias("mean")).collect():
+        mean[r["i"]] = r["mean"]
+    # A task's sums about the means of all rows.
+    mean_of = F.array(*[F.lit(float(v)) for v in mean])
+    moved = parts.filter("i < j").withColumns({"di": F.col("ai") - F.get(mean_of, F.col("i").cast("int")),
+                                              "dj": F.col("aj") - F.get(mean_of, F.col("j").cast("int"))})
+    about = {"n": "n", "si": "si + n * di", "sj": "sj + n * dj", "qi": "qi + 2 * di * si + n * di * di",
+             "qj": "qj + 2 * dj * sj + n * dj * dj", "c": "c + di * sj + dj * si + n * di * dj"}
+    sums = moved.groupBy("i", "j").agg(*[F.sum(F.expr(e)).alias(k) for k, e in about.items()])
+    i, j = np.triu_indices(p, 1)
     m[i, j] = m[j, i] = np.nan
     for r in sums.collect():                     # one row per pair of columns
         if r["n"]:
