@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from widetab.functions.hashing import raw_hash
 from widetab.operators._util import broadcast_if_small, qcol
 from widetab.operators.metrics import row_logloss
+from widetab.session import discard
 
 # Fixed value: hash space of the reference learner, 2**28 + 2**22.
 DEFAULT_D = 2 ** 28 + 2 ** 22
@@ -189,6 +190,17 @@ def _same_settings(spark: SparkSession, path: str, settings: str) -> None:
         spark.createDataFrame([(settings,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/settings")
 
 
+def _by_batch(df: DataFrame, cols: Sequence[str], batch_col: str, n_batches: int, passes: int, path: str) -> DataFrame:
+    """The rows of all batches, written once by batch if they are read more than
+    once: a batch then reads its own rows and does not prepare the others again."""
+    rows = df.select(*dict.fromkeys([*cols, batch_col]))
+    if n_batches * passes < 2:
+        return rows
+    if not _written(df.sparkSession, path):
+        rows.filter(F.col(batch_col).between(0, n_batches - 1)).write.mode("overwrite").partitionBy(batch_col).parquet(path)
+    return df.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def fit(df: DataFrame, key: str, label: str, state_path: str, idx_col: str = "idx",
         params: OnlineParams = OnlineParams(), batch_col: str = "batch", n_batches: int | None = None,
         epochs: int = 1, valid_flag: str | None = None, add_bias: bool = True,
@@ -209,6 +221,9 @@ def fit(df: DataFrame, key: str, label: str, state_path: str, idx_col: str = "id
     if n_batches is None:
         n_batches = df.agg(F.max(batch_col)).first()[0] + 1
     _same_settings(spark, state_path, f"{params} {idx_col} {batch_col} {n_batches} {valid_flag} {add_bias}")
+    cols = [key, label, idx_col, *([valid_flag] if valid_flag else [])]
+    # A batch is read for its training rows and, if there are any, for its held-out rows.
+    df = _by_batch(df, cols, batch_col, n_batches, epochs * (2 if valid_flag else 1), f"{state_path}/rows")
     state = start_state if start_state is not None else empty_state(spark)
     for e in range(epochs):
         for b in range(n_batches):
@@ -232,6 +247,7 @@ def fit(df: DataFrame, key: str, label: str, state_path: str, idx_col: str = "id
             state = save_state(new_state, f"{state_path}/state/{place}")
             for h in hold:
                 h.unpersist()
+    discard(spark, f"{state_path}/rows")
     return state, spark.read.parquet(f"{state_path}/log").select("epoch", "batch", key, label, "p", "is_valid")
 
 
@@ -267,6 +283,7 @@ def fit_sweep(df: DataFrame, key: str, label: str, state_path: str, settings: Se
     if n_batches is None:
         n_batches = df.agg(F.max(batch_col)).first()[0] + 1
     _same_settings(spark, state_path, f"{list(settings)} {idx_col} {batch_col} {n_batches} {add_bias}")
+    df = _by_batch(df, [key, label, idx_col], batch_col, n_batches, epochs, f"{state_path}/rows")
     state = empty_sweep(spark, len(settings))
     for e in range(epochs):
         for b in range(n_batches):
@@ -275,6 +292,7 @@ def fit_sweep(df: DataFrame, key: str, label: str, state_path: str, settings: Se
                 sweep_step(state, df.filter(F.col(batch_col) == b), key, label, settings, idx_col, add_bias) \
                     .write.mode("overwrite").parquet(path)
             state = spark.read.parquet(path)
+    discard(spark, f"{state_path}/rows")
     return state
 
 
