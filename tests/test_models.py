@@ -166,3 +166,13 @@ def test_blend_weights_with_scores_of_nought(spark):
     assert abs(fit.loss - loss(w)) < 1e-9 and fit.gap <= 1e-6 and abs(w.sum() - 1) < 1e-12 and (w >= 0).all()
     others = [*np.eye(3), *rng.dirichlet(np.ones(3), 300), *(w + 0.01 * (rng.dirichlet(np.ones(3), 100) - w))]
     assert fit.loss <= min(map(loss, others)) + 1e-6
+
+
+def test_pivot_spreads_its_groups(spark):
+    """One shuffle by key into many partitions; missing models and scores stay missing."""
+    from widetab.session import shuffle_partitions
+    t = spark.createDataFrame([(1, "a", 0.1), (1, "b", None), (2, "b", 0.4), (None, "a", 0.7)], "ID bigint, model string, target double")
+    got = G.pivot_models(t, "ID", ["a", "b"])
+    assert {tuple(r) for r in got.collect()} == {(1, 0.1, None), (2, None, 0.4), (None, 0.7, None)}
+    assert got._jdf.queryExecution().sparkPlan().toString().count("Exchange") == 1
+    assert got.rdd.getNumPartitions() == 8 * shuffle_partitions(spark)

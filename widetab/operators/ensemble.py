@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from widetab.functions.exprs import safe_ratio
 from widetab.operators._util import bounded_broadcast, broadcast_if_small, materialize, qcol, sum_columns
+from widetab.session import shuffle_partitions
 
 
 def average(preds: DataFrame, key: str, score: str = "target", model: str = "model",
@@ -88,11 +89,16 @@ def row_mean(df: DataFrame, cols: Sequence[str], name: str = "target") -> DataFr
     return df.withColumn(name, sum_columns([qcol(c).cast("double") for c in cols]) / F.lit(float(len(cols))))
 
 
+PIVOT_SPREAD = 8
+
+
 def pivot_models(preds: DataFrame, key: str, models: Sequence[str], score: str = "target",
                  model: str = "model") -> DataFrame:
     """Long predictions → one column per model (meta-feature table), with an
-    explicit model list so no distinct pass is needed."""
-    return preds.groupBy(key).pivot(model, list(models)).agg(F.first(score))
+    explicit model list so no distinct pass is needed. One shuffle by key, into
+    many partitions, serves both steps of the pivot and keeps a task's groups few."""
+    parts = PIVOT_SPREAD * shuffle_partitions(preds.sparkSession)
+    return preds.repartition(parts, qcol(key)).groupBy(key).pivot(model, list(models)).agg(F.first(score))
 
 
 def minmax(preds: DataFrame, score: str = "target", by: Sequence[str] = ()) -> DataFrame:
