@@ -132,3 +132,16 @@ def test_sweep_equals_single_fits(spark, tmp_path):
         assert set(got) == set(want) and all(abs(x - y) < 1e-12 for k in want for x, y in zip(got[k], want[k]))
         for r in O.score(one, e, "ID", params=p).collect():
             assert abs(scores[name, r["ID"]] - r["p"]) < 1e-12
+
+
+def test_rows_are_prepared_once(spark, tmp_path):
+    """The batches of a fit share one preparation of the rows."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(it):
+        for b in it:
+            seen.add(b.num_rows)
+            yield b
+    e = spark.range(40).selectExpr("id AS k", "cast(id % 2 AS int) AS y", "array(id % 5) AS idx", "cast(id % 4 AS int) AS batch", "id % 10 = 0 AS v")
+    _, log = O.fit(e.mapInArrow(count, e.schema), "k", "y", str(tmp_path / "fit"), n_batches=4, valid_flag="v")
+    assert log.count() == 40 and seen.value == 40
