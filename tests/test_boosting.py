@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from widetab.operators import boosting as B
 from widetab.operators import learners as L
 from widetab.operators import metrics as M
+from widetab.operators._util import few_tasks
 
 COLS = ["a", "b", "c"]
 
@@ -156,6 +157,32 @@ def test_odd_tables(spark):
         B.fit(t, "y", {"rounds": 1})
 
 
+def test_masks_find_the_leaves_of_a_walk(monkeypatch):
+    rng = np.random.default_rng(9)
+    for depth in (0, 1, 3, 6):
+        for _ in range(20):
+            t = B.Tree.empty(depth)
+            for i in range((1 << depth) - 1):
+                if (i == 0 or t.feature[(i - 1) // 2] >= 0) and rng.random() < .8:
+                    t.feature[i], t.cut[i], t.missing_left[i] = rng.integers(0, 3), rng.integers(1, 254), rng.random() < .5
+            x = rng.choice(np.array([0, 1, 2, 100, 253, 254], np.uint8), (3, 200))
+            masked = t._masked(x)
+            monkeypatch.setattr(B, "MASKED_NODES", 0)
+            assert (masked == t.nodes(x)).all()
+            monkeypatch.undo()
+
+
+def test_repeated_passes_have_few_tasks(spark, monkeypatch):
+    """A level and the quantiles take two tasks a core at most, however many partitions the rows have."""
+    t = table(spark, rows_of(300, 10))
+    cores = spark.sparkContext.defaultParallelism
+    asked = []
+    monkeypatch.setattr(B, "few_tasks", lambda df: asked.append(few_tasks(df)) or asked[-1])
+    many = B.fit(t.repartition(5 * cores), "y", {"nrounds": 2, "max_depth": 2}, key="ID")
+    assert asked and all(df.rdd.getNumPartitions() <= 2 * cores for df in asked[:1])
+    assert same_trees(many, B.fit(t.coalesce(1), "y", {"nrounds": 2, "max_depth": 2}, key="ID"))
+
+
 def test_stored_rows_are_packed(spark):
     """A fit's table holds chunks of rows, so a pass does not handle rows one by one."""
     t = table(spark, rows_of(300, 8)).repartition(2)

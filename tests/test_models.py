@@ -30,6 +30,84 @@ def test_stack_oof_no_leak(spark):
     assert stack.filter("set = 'test'").count() == te.count()
 
 
+def stack_rows(spark, n=240):
+    """Train and test rows; some test keys come twice."""
+    rows = [(i, float(i % 13), None if i % 7 == 0 else (i * 37 % 101) / 10, int((i * 5 % 13) + (i % 3) > 7), i % 3) for i in range(n)]
+    raw = spark.createDataFrame(rows, f"{KEY} bigint, a double, b double, {LABEL} int, fold int")
+    test = raw.filter(f"{KEY} % 4 = 0").unionByName(raw.filter(f"{KEY} % 20 = 0"))
+    return raw, test, L.assemble(raw, ["a", "b"], keep=[KEY, LABEL, "fold"]), L.assemble(test, ["a", "b"], keep=[KEY])
+
+
+LEARNERS = {"lr": lambda df: L.fit_logistic(df, LABEL, max_iter=5),
+            "gbt": lambda df: L.fit_boosted(df, LABEL, {"eta": 0.3, "nrounds": 2, "max_depth": 2})}
+
+
+def test_stack_oof_equals_single_predictions(spark):
+    """Scores of one pass over the rows are those of every model by itself, also with boosted trees of ours."""
+    _, _, tr, te = stack_rows(spark)
+    for learners in (LEARNERS, LEARNERS | {"own": lambda df: L.refit_by_auc(df, LABEL, {"max_depth": 2}, 2, key=KEY)}):
+        kept = {}
+        spied = {name: (lambda df, name=name, fit=fit: kept.setdefault(name, {}).setdefault(
+            3 - sum(r[0] for r in df.select("fold").distinct().collect()), fit(df))) for name, fit in learners.items()}
+        got = ST.stack_oof(tr, te, KEY, spied, k=3)
+        want = {}
+        for name, models in kept.items():
+            for i, m in models.items():
+                for r in L.predict(m, tr.filter(F.col("fold") == i), KEY).collect():
+                    want.setdefault((name, "train", r[KEY]), []).append(r["target"])
+                for r in L.predict(m, te, KEY).collect():
+                    want.setdefault((name, "test", r[KEY]), []).append(r["target"])
+        assert got.columns == ["model", "set", KEY, "target"]
+        rows = {(r["model"], r["set"], r[KEY]): r["target"] for r in got.collect()}
+        assert got.count() == len(rows) and rows.keys() == want.keys()
+        assert all(abs(v - sum(want[x]) / len(want[x])) < 1e-12 for x, v in rows.items())
+
+
+def test_large_fits_run_one_by_one(spark, monkeypatch):
+    """Fits side by side cache their rows side by side: past the bound one runs after the other."""
+    import threading
+    import time
+    _, _, tr, te = stack_rows(spark)
+
+    def most(limit):
+        monkeypatch.setattr(ST, "FIT_BYTES_AT_ONCE", limit)
+        lock, now, top = threading.Lock(), [0], [0]
+
+        def fit(df):
+            with lock:
+                now[0] += 1
+                top[0] = max(top[0], now[0])
+            time.sleep(0.3)
+            with lock:
+                now[0] -= 1
+            return LEARNERS["lr"](df)
+        ST.stack_oof(tr, te, KEY, {"lr": fit}, k=3)
+        return top[0]
+    row = ST.FIT_ROW_BYTES + 8 * 2
+    assert most(1) == 1 and most(2 * 240 * row) == 2 and most(6 << 30) == 3
+
+
+def test_stack_meta_computes_its_rows_once(spark, monkeypatch):
+    """Both fits read written rows, not the scores and joins again; the rows are deleted."""
+    import os
+    from widetab.session import ensure_checkpoint_dir
+    raw, test, tr, te = stack_rows(spark)
+    raw = raw.withColumn("is_valid", F.col(KEY) % 5 == 0)
+    plans = []
+    fit = L.boosting.fit
+
+    def spied(df, *a, valid=None, **kw):
+        plans.extend(str(x._jdf.queryExecution().optimizedPlan()) for x in (df, valid) if x is not None)
+        return fit(df, *a, valid=valid, **kw)
+    monkeypatch.setattr(L.boosting, "fit", spied)
+    stack = ST.stack_oof(tr, te, KEY, LEARNERS, k=3)
+    preds, best = ST.stack_meta(raw.drop("fold"), test.drop("fold", LABEL), KEY, LABEL, ["a", "b"], stack, list(LEARNERS),
+                                {"nrounds": 4, "max_depth": 2}, "is_valid")
+    assert len(plans) == 3 and not any("Join" in p or "Aggregate" in p for p in plans)
+    assert 1 <= best <= 4 and preds.count() == test.count()
+    assert not [x for x in os.listdir(ensure_checkpoint_dir(spark).removeprefix("file:")) if x.startswith("stack-rows")]
+
+
 def test_predictions_are_probabilities(spark):
     tr, te, _ = _train_test(spark, SMALL)
     m = L.fit_boosted(tr, LABEL, {"eta": 0.3, "nrounds": 3, "max_depth": 2})

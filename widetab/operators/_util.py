@@ -67,6 +67,20 @@ def qcol(name: str):
     return F.col(f"`{name}`")
 
 
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written once to the shared checkpoint folder, and its path for ``discard``."""
+    from widetab.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def few_tasks(df: DataFrame) -> DataFrame:
+    """``df`` in two tasks per core at most: for passes that are repeated, where
+    what a task costs by itself adds up."""
+    return df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back
     (reliable ``checkpoint``): later passes reuse it instead of recomputing

@@ -29,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +38,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from widetab.operators._util import chunks, qcol
+from widetab.operators._util import chunks, few_tasks, qcol, stored
 from widetab.operators.metrics import auc
-from widetab.session import discard, scratch_path
+from widetab.session import discard
 
 SCALE = float(1 << 24)
 SCORE_BINS = 1 << 14
 HISTOGRAM_BYTES = 128 << 20
 COLUMNS_PER_AGGREGATE = 200
+MASKED_NODES = 255
 EXACT_AT_ONCE = 8
 
 
@@ -93,6 +95,8 @@ class Tree:
 
     def nodes(self, x: np.ndarray) -> np.ndarray:
         """The leaf of each row of binned features, x[feature, row]."""
+        if len(self.feature) <= MASKED_NODES:
+            return self._masked(x)
         n = x.shape[1]
         at, flat, rows = np.zeros(n, dtype=np.int64), x.reshape(-1), np.arange(n)
         # Feature, cut and side of missing cells (bin 0) as one table per node: leaves keep their rows.
@@ -107,16 +111,30 @@ class Tree:
             at = np.where(inner[at], 2 * at + 2 - left, at)
         return at
 
+    def _masked(self, x: np.ndarray) -> np.ndarray:
+        """The same by one mask of rows per node, on bytes."""
+        at, rows = np.zeros(x.shape[1], dtype=np.uint8), {0: np.ones(x.shape[1], dtype=bool)}
+        for i in np.flatnonzero(self.feature >= 0).tolist():       # a parent comes before its children
+            v, cut = x[self.feature[i]], int(self.cut[i])
+            # Missing cells, bin 0, become the largest byte where they go right.
+            left = rows[i] & (v <= np.uint8(cut) if self.missing_left[i] else v - np.uint8(1) <= np.uint8(cut - 1))
+            rows[2 * i + 1], rows[2 * i + 2] = left, rows.pop(i) ^ left
+        for i, here in rows.items():
+            at += here.view(np.uint8) * np.uint8(i)
+        return at
+
 
 def bin_edges(df: DataFrame, features: str, max_bins: int) -> list[np.ndarray]:
     """Quantile edges per feature, at most ``max_bins`` - 1 each (approximate
-    quantiles of partial summaries; a bin holds values up to its edge)."""
+    quantiles of partial summaries; a bin holds values up to its edge). One task
+    merges the summaries, so there are two per core and not one per partition."""
     x = df.select(vector_to_array(features).alias("x"))
     first = x.select(F.size("x").alias("p")).first()
     if first is None:
         raise ValueError("no rows to fit")
     at = [i / max_bins for i in range(1, max_bins)]
     edges: list[np.ndarray] = []
+    x = few_tasks(x)
     for part in chunks(list(range(first["p"])), COLUMNS_PER_AGGREGATE):
         row = x.agg(*[F.percentile_approx(F.nanvl(F.col("x")[i], F.lit(None)), at, 10_000).alias(f"q{i}") for i in part]).first()
         edges += [np.unique(np.array(row[f"q{i}"] or [], dtype=float)) for i in part]
@@ -180,9 +198,10 @@ def _numbers(b: pa.RecordBatch, column: str, kind: str = "<f8") -> Iterator[np.n
         yield np.frombuffer(v.as_buffer(), dtype=kind)
 
 
-def _held(b: pa.RecordBatch, p: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """The chunks of a batch; bins are x[feature, row]."""
-    for y, w, m, u, x in zip(_numbers(b, "y"), _numbers(b, "w"), _numbers(b, "m"), _numbers(b, "u", "<u8"), _numbers(b, "x", "u1")):
+def _held(b: pa.RecordBatch, p: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray | None, np.ndarray]]:
+    """The chunks of a batch; bins are x[feature, row]. ``u`` is None if not read."""
+    us = _numbers(b, "u", "<u8") if "u" in b.schema.names else repeat(None)
+    for y, w, m, u, x in zip(_numbers(b, "y"), _numbers(b, "w"), _numbers(b, "m"), us, _numbers(b, "x", "u1")):
         yield y, w, m, u, x.reshape(p, -1)
 
 
@@ -290,6 +309,8 @@ def _level(data: DataFrame, trees: list[Tree], tree: Tree, frontier: list[int],
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*top.values())],
                                              names=[c.split()[0] for c in _CUT.split(", ")]).cast(_arrow(_CUT))
     best: dict[int, object] = {}
+    # The random numbers are read for sampling only, the first margins never.
+    data = few_tasks(data.select("y", "w", "m", *["u"] * (q.subsample < 1), "x"))
     for part in chunks(columns, max(1, HISTOGRAM_BYTES // (size * 24))):
         # Each task that sums features returns its best cut of every node.
         for r in data.mapInArrow(sums(part), "feature int, sums binary").repartition("feature").mapInArrow(cuts, _CUT).collect():
@@ -400,12 +421,6 @@ def _applied(data: DataFrame, trees: list[Tree], p: int, eta: float) -> DataFram
     return data.mapInArrow(run, _ROW)
 
 
-def _stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
-
-
 _BIN = "round int, bin int, pos double, neg double, low double, high double, loss double"
 
 
@@ -488,9 +503,9 @@ def fit(df: DataFrame, label: str, params: dict | BoostParams | None = None, fea
         base = df.agg(F.avg(qcol(label).cast("double"))).first()[0] or 0.0
     margin = F.lit(base) if base_margin is None else qcol(base_margin)
     weight = F.lit(1.0) if weight_col is None else qcol(weight_col)
-    data, path = _stored(_binned(df, label, features, edges, margin, weight, key), "boost-rows")
+    data, path = stored(_binned(df, label, features, edges, margin, weight, key), "boost-rows")
     model = BoostedTrees([], edges, base, q, features)
-    held, held_path = (None, None) if valid is None else _stored(
+    held, held_path = (None, None) if valid is None else stored(
         _binned(valid, label, features, edges, margin, F.lit(1.0), key), "boost-valid")
     while len(model.trees) < q.nrounds:
         done = len(model.trees)
@@ -510,10 +525,10 @@ def fit(df: DataFrame, label: str, params: dict | BoostParams | None = None, fea
             if patience is not None and len(model.trees) - (model.best or 0) >= patience:
                 break
         if len(model.trees) < q.nrounds:
-            (data, path), old = _stored(_applied(data, new, p, q.eta), "boost-rows"), path
+            (data, path), old = stored(_applied(data, new, p, q.eta), "boost-rows"), path
             discard(spark, old)
             if held is not None:
-                (held, held_path), old = _stored(_applied(held, new, p, q.eta), "boost-valid"), held_path
+                (held, held_path), old = stored(_applied(held, new, p, q.eta), "boost-valid"), held_path
                 discard(spark, old)
     discard(spark, path)
     if held_path:

@@ -15,8 +15,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from widetab.operators import boosting
 from widetab.operators import learners as L
+from widetab.operators._util import few_tasks, qcol, stored, sum_columns
 from widetab.operators.ensemble import pivot_models
+from widetab.session import discard
 
 Fit = Callable[[DataFrame], object]
 
@@ -24,6 +27,12 @@ Fit = Callable[[DataFrame], object]
 # (each fit is a distributed Spark job; the threads only submit them).
 DEFAULT_PARALLELISM = 4
 
+# What fits side by side may cache in all. A fit of Spark ML caches a row's cells
+# and, for boosted trees, about 200 bytes of objects, and reads them once a level
+# or step: several large fits would push each other's rows to disk.
+FIT_BYTES_AT_ONCE = 6 << 30
+FIT_ROW_BYTES = 200
+
 
 def fit_many(jobs: list[tuple[Fit, DataFrame]], parallelism: int = DEFAULT_PARALLELISM) -> list:
     """Fit several independent models concurrently, like
@@ -42,6 +51,31 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _at_once(df: DataFrame, features: str, parallelism: int) -> int:
+    """How many fits on the rows of ``df`` run side by side."""
+    first = df.select(features).first() if features in df.columns else None
+    width = FIT_ROW_BYTES + (8 * first[0].size if first and first[0] is not None else 0)
+    return max(1, min(parallelism, FIT_BYTES_AT_ONCE // (width * max(1, df.count()))))
+
+
+def _scored(models: dict[str, Sequence], df: DataFrame, key: str, out: str) -> DataFrame:
+    """(model, key, target): each row's mean prediction over the models of a name.
+    Spark ML models add their scores to the row one after the other, so it is read
+    and assembled once; boosted trees of ours score it by themselves."""
+    if any(isinstance(m, boosting.BoostedTrees) for some in models.values() for m in some):
+        return _union([L.predict(m, df, key, out).select(F.lit(name).alias("model"), key, "target")
+                       for name, some in models.items() for m in some])
+    carried = [c for c in df.columns if c != key]
+    scores: dict[str, list[str]] = {name: [] for name in models}
+    for i, (name, m) in enumerate((name, m) for name, some in models.items() for m in some):
+        df = L.predict(m, df, key, out, f"__score_{i}", keep=carried)
+        carried.append(f"__score_{i}")
+        scores[name].append(f"__score_{i}")
+    means = [F.struct(F.lit(name).alias("model"), (sum_columns([F.col(c) for c in some]) / F.lit(float(len(some)))).alias("target"))
+             for name, some in scores.items()]
+    return df.select(qcol(key), F.inline(F.array(*means))).select("model", key, "target")
+
+
 def stack_oof(train: DataFrame, test: DataFrame, key: str, learners: dict[str, Fit], fold_col: str = "fold",
               k: int | None = None, out: str = "prob", features: str = L.FEATURES,
               parallelism: int = DEFAULT_PARALLELISM) -> DataFrame:
@@ -55,15 +89,14 @@ def stack_oof(train: DataFrame, test: DataFrame, key: str, learners: dict[str, F
     """
     if k is None:
         k = train.agg(F.max(fold_col)).first()[0] + 1
-    oof, tst = [], []
     pairs = [(name, i) for name in learners for i in range(k)]
-    models = fit_many([(learners[name], train.filter(F.col(fold_col) != i)) for name, i in pairs], parallelism)
-    for (name, i), model in zip(pairs, models):
-        oof.append(L.predict(model, train.filter(F.col(fold_col) == i), key, out)
-                   .select(F.lit(name).alias("model"), key, "target"))
-        tst.append(L.predict(model, test, key, out).select(F.lit(name).alias("model"), key, "target"))
-    train_part = _union(oof).select("model", F.lit("train").alias("set"), key, "target")
-    test_part = (_union(tst).groupBy("model", key).agg(F.avg("target").alias("target"))
+    fitted = fit_many([(learners[name], train.filter(F.col(fold_col) != i)) for name, i in pairs],
+                      _at_once(train, features, parallelism))
+    models = {name: fitted[at * k:(at + 1) * k] for at, name in enumerate(learners)}
+    oof = _union([_scored({name: [some[i]] for name, some in models.items()}, train.filter(F.col(fold_col) == i), key, out)
+                  for i in range(k)])
+    train_part = oof.select("model", F.lit("train").alias("set"), key, "target")
+    test_part = (_scored(models, test, key, out).groupBy("model", key).agg(F.avg("target").alias("target"))
                  .select("model", F.lit("test").alias("set"), key, "target"))
     return train_part.unionByName(test_part)
 
@@ -105,10 +138,13 @@ def stack_meta(train: DataFrame, test: DataFrame, key: str, label: str, feature_
     cols = list(feature_cols) + list(models)
     tr = train.join(meta_features(stack, key, models, "train"), key)
     te = test.join(meta_features(stack, key, models, "test"), key)
-    tr_v = L.assemble(tr, cols, keep=[key, label, valid_col])
+    # Written once: the scores and joins behind these rows are costly, and two fits read them many times.
+    rows, path = stored(L.assemble(tr, cols, keep=[key, label, valid_col]), "stack-rows")
+    tr_v = few_tasks(rows)
     chosen = L.fit_boosted_by_auc(tr_v.filter(~F.col(valid_col)), tr_v.filter(F.col(valid_col)), label, params,
                                   patience=patience, key=key)
     final = L.refit_by_auc(tr_v, label, params, chosen.best, key=key)
+    discard(train.sparkSession, path)
     return L.predict(final, L.assemble(te, cols, keep=[key]), key), chosen.best
 
 
